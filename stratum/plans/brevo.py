@@ -1,0 +1,135 @@
+"""E-mail/policy source: Silver SCD-1 tables, Gold SCD-2 dimensions and the event fact."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from stratum import functions as X
+from stratum.functions.temporal import ts_literal
+from stratum.operators.dedup import dedup_latest
+from stratum.operators.merge import fact_merge
+from stratum.operators.scd2 import scd2_apply
+from stratum.operators.flatten import list_membership
+from stratum.plans import feeds, specs
+from stratum.plans.state import materialize, memo
+
+# Fixed run times of the three pipeline runs (one shared run_ts per run).
+RUN_TS = {1: "2024-03-01 00:00:00", 2: "2024-03-02 00:00:00", 3: "2024-03-03 00:00:00"}
+# Batch 2 lands before batch 1, so the late-data guard (M3) and stale deletes (M2) are exercised.
+CONTACT_BATCH_ORDER = (2, 1, 3)
+
+
+def run_ts(run: int):
+    return ts_literal(RUN_TS[run])
+
+
+def contact_silver(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """SLV_CONTACT after each of the three runs."""
+    def build():
+        feed = feeds.contact_feed(spark, sf_dir)
+        snaps, target = [], None
+        for run, batch in enumerate(CONTACT_BATCH_ORDER, start=1):
+            target = materialize(specs.SLV_CONTACT.merge(target, feed.filter(F.col("batch_no") == batch), run_ts(run)))
+            snaps.append(target)
+        return snaps
+    return memo(spark, sf_dir, "contact_silver", build)
+
+
+def dim_contact_source(silver: DataFrame) -> DataFrame:
+    return (silver.filter(X.active_valid("is_valid_record", "is_deleted"))
+            .withColumn("full_name", X.full_name("first_name", "last_name")))
+
+
+def contact_dims(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """DIM_CONTACT after each run (SCD-2 over the Silver snapshot of that run)."""
+    def build():
+        dims, dim = [], None
+        for run, silver in enumerate(contact_silver(spark, sf_dir), start=1):
+            dim = materialize(scd2_apply(dim, dim_contact_source(silver), specs.DIM_CONTACT, run_ts(run)))
+            dims.append(dim)
+        return dims
+    return memo(spark, sf_dir, "contact_dims", build)
+
+
+def membership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SLV_CONTACT_LIST_MEMBERSHIP rebuilt from the final contact snapshot (M9)."""
+    return list_membership(contact_silver(spark, sf_dir)[-1])
+
+
+def event_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return memo(spark, sf_dir, "event_silver", lambda: materialize(
+        specs.SLV_EVENT.merge(None, feeds.policy_event_feed(spark, sf_dir), run_ts(1))))
+
+
+def agg_report_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return specs.SLV_AGG_REPORT.merge(None, feeds.daily_report_feed(spark, sf_dir), run_ts(1))
+
+
+def policy_id(code="policy_code", number="policy_number", null_as_empty=False):
+    return X.hash_key(code, number, null_as_empty=null_as_empty)
+
+
+def plan_id_key(plan="plan_id", gateway="payment_gateway"):
+    return X.hash_key(plan, gateway)
+
+
+def dim_policy_source(events: DataFrame) -> DataFrame:
+    """Latest valid event per policy (the reference takes every distinct event: see README)."""
+    src = (events.filter(F.coalesce(F.col("is_valid_record"), F.lit(False))
+                         & F.col("policy_code").isNotNull() & F.col("policy_number").isNotNull())
+           .withColumn("policy_id", policy_id()))
+    latest = dedup_latest(src, ["policy_id"], ["event_date", "audit_updated_at"], [F.col("event_uuid").desc()])
+    return latest.select("policy_id", "policy_code", "policy_number", "coverage_code", "policy_start_date",
+                         "policy_end_date",
+                         X.days_between("policy_start_date", "policy_end_date").alias("policy_duration_days"))
+
+
+def dim_plan_source(events: DataFrame) -> DataFrame:
+    """Distinct (plan, gateway) pairs; '' and NULL gateways share a key, the non-NULL one is kept."""
+    src = (events.filter(F.coalesce(F.col("is_valid_record"), F.lit(False)) & F.col("plan_id").isNotNull())
+           .select("plan_id", "payment_gateway").distinct()
+           .withColumn("plan_id_key", plan_id_key()))
+    return dedup_latest(src, ["plan_id_key"], ["payment_gateway"])
+
+
+def policy_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return memo(spark, sf_dir, "policy_dim", lambda: materialize(
+        scd2_apply(None, dim_policy_source(event_silver(spark, sf_dir)), specs.DIM_POLICY, run_ts(1))))
+
+
+def plan_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return memo(spark, sf_dir, "plan_dim", lambda: materialize(
+        scd2_apply(None, dim_plan_source(event_silver(spark, sf_dir)), specs.DIM_PLAN, run_ts(1))))
+
+
+FACT_EVENT_COLS = ("event_uuid", "dim_contact_sk", "dim_policy_sk", "dim_plan_sk", "contact_id", "event_date_id",
+                   "policy_id", "plan_id_key", "event_name", "premium_amount", "event_date")
+
+
+def fact_event_source(events: DataFrame, dim_contact: DataFrame, dim_policy: DataFrame,
+                      dim_plan: DataFrame) -> DataFrame:
+    """Valid, live inserted events linked to the dimension rows current at load.
+
+    The dimension sides are left to the planner: broadcast below
+    ``spark.sql.autoBroadcastJoinThreshold`` (a checked size), shuffle join above it.
+    """
+    e = (events.filter(X.active_valid("is_valid_record", "is_deleted", "is_valid_event_date"))
+         .withColumn("policy_id", policy_id(null_as_empty=True))
+         .withColumn("plan_id_key", plan_id_key()))
+    dc = dim_contact.filter("is_current").select("contact_id", "dim_contact_sk")
+    dp = dim_policy.filter("is_current").select("policy_id", "dim_policy_sk")
+    dl = dim_plan.filter("is_current").select("plan_id_key", "dim_plan_sk")
+    joined = (e.join(dc, "contact_id", "left").join(dp, "policy_id", "left").join(dl, "plan_id_key", "left"))
+    latest = dedup_latest(joined, ["event_uuid"], ["audit_updated_at"])
+    return latest.select(*[F.to_date("event_date").alias(c) if c == "event_date_id" else F.col(c)
+                           for c in FACT_EVENT_COLS])
+
+
+def fact_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build():
+        src = fact_event_source(event_silver(spark, sf_dir), contact_dims(spark, sf_dir)[-1],
+                                policy_dim(spark, sf_dir), plan_dim(spark, sf_dir))
+        empty = src.limit(0).withColumn("gold_loaded_at", F.lit(None).cast("timestamp_ntz")) \
+                   .withColumn("gold_updated_at", F.lit(None).cast("timestamp_ntz"))
+        return materialize(fact_merge(empty, src, ["event_uuid"], run_ts=run_ts(3)))
+    return memo(spark, sf_dir, "fact_event", build)

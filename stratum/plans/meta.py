@@ -1,0 +1,115 @@
+"""Ads source: Silver entities and insights, Gold SCD-2 dimensions and the ad-insight fact."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from stratum import functions as X
+from stratum.functions.temporal import ts_literal
+from stratum.operators.calendar import date_dimension
+from stratum.operators.dedup import dedup_latest
+from stratum.operators.merge import fact_merge
+from stratum.operators.scd2 import scd2_apply
+from stratum.operators.surrogate import assign_surrogate_keys, max_key
+from stratum.plans import feeds, specs
+from stratum.plans.state import materialize, memo
+
+# Fixed run times of the two ads runs.
+RUN_TS = {1: "2024-03-01 00:00:00", 2: "2024-03-02 00:00:00"}
+
+ENTITIES = {
+    # name: (silver spec, gold spec, feed)
+    "ad_account": (specs.SLV_AD_ACCOUNT, specs.DIM_AD_ACCOUNT, feeds.ad_account_feed),
+    "campaign": (specs.SLV_CAMPAIGN, specs.DIM_CAMPAIGN, feeds.campaign_feed),
+    "adset": (specs.SLV_ADSET, specs.DIM_ADSET, feeds.adset_feed),
+    "ad": (specs.SLV_AD, specs.DIM_AD, feeds.ad_feed),
+}
+
+
+def run_ts(run: int):
+    return ts_literal(RUN_TS[run])
+
+
+def entity_silver(spark: SparkSession, sf_dir: str, entity: str) -> list[DataFrame]:
+    silver_spec, _, feed = ENTITIES[entity]
+
+    def build():
+        snaps, target = [], None
+        for run in (1, 2):
+            target = materialize(silver_spec.merge(target, feed(spark, sf_dir, run), run_ts(run)))
+            snaps.append(target)
+        return snaps
+    return memo(spark, sf_dir, f"silver_{entity}", build)
+
+
+def entity_dims(spark: SparkSession, sf_dir: str, entity: str) -> list[DataFrame]:
+    _, gold_spec, _ = ENTITIES[entity]
+
+    def build():
+        dims, dim = [], None
+        for run, silver in enumerate(entity_silver(spark, sf_dir, entity), start=1):
+            src = silver.filter(X.active_valid("is_valid_record", "is_deleted"))
+            dim = materialize(scd2_apply(dim, src, gold_spec, run_ts(run)))
+            dims.append(dim)
+        return dims
+    return memo(spark, sf_dir, f"dim_{entity}", build)
+
+
+def insight_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return memo(spark, sf_dir, "silver_insight_ad", lambda: materialize(
+        specs.SLV_INSIGHT_AD.merge(None, feeds.insight_feed(spark, sf_dir), run_ts(1))))
+
+
+FACT_KEYS = ("ad_id", "date_start_id", "date_stop_id")
+FACT_COLS = ("insight_sk", "dim_ad_account_sk", "dim_campaign_sk", "dim_adset_sk", "dim_ad_sk", "ad_id",
+             "adset_id", "campaign_id", "ad_account_id", "date_start_id", "date_stop_id", "impressions", "reach",
+             "clicks", "spend", "cpc", "cpm", "ctr", "actions_raw", "gold_loaded_at", "gold_updated_at")
+
+
+def fact_source(insights: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Valid, live insights with the surrogate keys of the dimension rows current *now*."""
+    i = insights.filter(X.active_valid("is_valid_record", "is_deleted", "is_valid_date_range"))
+    cur = {k: d.filter("is_current") for k, d in dims.items()}
+    j = (i.join(cur["ad"].select("ad_id", "dim_ad_sk"), "ad_id", "left")
+          .join(cur["adset"].select("adset_id", "dim_adset_sk"), "adset_id", "left")
+          .join(cur["campaign"].select("campaign_id", "dim_campaign_sk"), "campaign_id", "left")
+          .join(cur["ad_account"].select(F.col("account_id").alias("ad_account_id"), "dim_ad_account_sk"),
+                "ad_account_id", "left"))
+    latest = dedup_latest(j, ["ad_id", "date_start", "date_stop"], ["audit_updated_at"])
+    return latest.select("dim_ad_account_sk", "dim_campaign_sk", "dim_adset_sk", "dim_ad_sk", "ad_id", "adset_id",
+                         "campaign_id", "ad_account_id", F.col("date_start").alias("date_start_id"),
+                         F.col("date_stop").alias("date_stop_id"), "impressions", "reach", "clicks", "spend", "cpc",
+                         "cpm", "ctr", "actions_raw")
+
+
+def fill_insight_sk(fact: DataFrame, base: int) -> DataFrame:
+    """New fact rows (NULL key) get keys after ``base`` in (ad, start, stop) order (M6)."""
+    new = assign_surrogate_keys(fact.filter(F.col("insight_sk").isNull()), list(FACT_KEYS), "insight_sk", base=base)
+    return fact.filter(F.col("insight_sk").isNotNull()).unionByName(new.select(*fact.columns))
+
+
+def fact_runs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """FACT_AD_INSIGHT after each run: every run re-points all rows to the current dimension rows."""
+    def build():
+        insights = insight_silver(spark, sf_dir)
+        out, fact = [], None
+        for run in (1, 2):
+            dims = {e: entity_dims(spark, sf_dir, e)[run - 1] for e in ENTITIES}
+            src = fact_source(insights, dims)
+            if fact is None:
+                fact = spark.createDataFrame([], src.select(
+                    F.lit(None).cast("long").alias("insight_sk"), *src.columns,
+                    F.lit(None).cast("timestamp_ntz").alias("gold_loaded_at"),
+                    F.lit(None).cast("timestamp_ntz").alias("gold_updated_at")).schema)
+            base = max_key(fact, "insight_sk")
+            merged = fact_merge(fact, src, list(FACT_KEYS), run_ts=run_ts(run))
+            fact = materialize(fill_insight_sk(materialize(merged), base).select(*FACT_COLS))
+            out.append(fact)
+        return out
+    return memo(spark, sf_dir, "fact_ad_insight", build)
+
+
+def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10 date dimension anchored at the first year of the insight data."""
+    first = feeds.table(spark, sf_dir, "lineitem").agg(F.min("l_shipdate")).first()[0]
+    return date_dimension(spark, f"{first.year:04d}-01-01")
