@@ -25,6 +25,17 @@ def safe_ratio(num: str | Column, den: str | Column, factor=1, scale: int = 2) -
     return F.round(col(num) * F.lit(factor) / F.nullif(d, F.lit(0)), scale)
 
 
+def exact_ratio(num: str | Column, den: str | Column, scale: int = 2) -> Column:
+    """``ROUND(num / NULLIF(den, 0), scale)`` over whole numbers (counts, cents), as DECIMAL(38, scale).
+
+    Operands are narrowed to DECIMAL(24,0)/DECIMAL(20,0) so Spark keeps 14 fraction digits in the
+    quotient: rounding a ratio of sums then never double-rounds a half (a DECIMAL(38,x) operand
+    would leave only 6 digits).
+    """
+    q = col(num).cast("decimal(24,0)") / F.nullif(col(den), F.lit(0)).cast("decimal(20,0)")
+    return F.round(q, scale).cast(f"decimal(38,{scale})")
+
+
 def ad_metrics(spend: str | Column, clicks: str | Column, impressions: str | Column,
                reach: str | Column | None = None) -> dict[str, Column]:
     """derived ad metrics with denominators floored at 1."""
