@@ -61,6 +61,9 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     else:
         c2 = matched & ~c1
     c3 = (~tp & F.coalesce(s_del == False, false)) if insert_only_live else ~tp  # noqa: E712
+    # the clause outcome is computed once per row; the column expressions below only read it
+    j = j.select("*", c1.alias("__c1"), c2.alias("__c2"), c3.alias("__c3"))
+    c1, c2, c3 = F.col("__c1"), F.col("__c2"), F.col("__c3")
 
     update_set, insert_set = set(update_cols), set(insert_cols)
     out = []
@@ -84,6 +87,21 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     return j.filter(tp | c3).select(*out)
 
 
+def insert_into_empty(source: DataFrame, keys: Sequence[str], *, columns: Sequence[str], run_ts: Column,
+                      deleted_col: str | None = "is_deleted", loaded_col: str | None = "silver_loaded_at",
+                      updated_col: str | None = "silver_updated_at", insert_only_live: bool = True) -> DataFrame:
+    """:func:`scd1_merge` into an empty target: only clause 3 can fire, so no join is needed."""
+    source, _ = split_null_keys(source, keys)
+    if insert_only_live and deleted_col:
+        source = source.filter(F.coalesce(F.col(deleted_col) == False, F.lit(False)))  # noqa: E712
+    extra = []
+    if loaded_col:
+        extra.append(run_ts.alias(loaded_col))
+    if updated_col:
+        extra.append(F.lit(None).cast("timestamp_ntz").alias(updated_col))
+    return source.select(*columns, *extra)
+
+
 def fact_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *, run_ts: Column,
                loaded_col: str | None = "gold_loaded_at", updated_col: str | None = "gold_updated_at",
                update_cols: Sequence[str] | None = None) -> DataFrame:

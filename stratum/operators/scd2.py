@@ -23,7 +23,7 @@ from pyspark.sql.types import StructField, StructType, LongType, TimestampNTZTyp
 
 from stratum.functions.temporal import OPEN_END, ts_literal
 from stratum.functions.validity import null_default_differs
-from stratum.operators.surrogate import assign_surrogate_keys, max_key
+from stratum.operators.surrogate import assign_surrogate_keys_counted, max_key
 
 _D, _S = "__d_", "__s_"
 
@@ -72,12 +72,19 @@ def scd2_apply(dim: DataFrame | None, source: DataFrame, spec: Scd2Spec, run_ts:
     """One SCD-2 run. ``source`` must already be filtered (valid, not deleted) and unique per key.
 
     ``dim=None`` starts an empty dimension. New versions get surrogate keys after the current
-    maximum, in natural-key order (M6).
+    maximum (``sk_base``; computed from ``dim`` when not given), in natural-key order (M6).
     """
+    return scd2_apply_counted(dim, source, spec, run_ts, sk_base)[0]
+
+
+def scd2_apply_counted(dim: DataFrame | None, source: DataFrame, spec: Scd2Spec, run_ts: Column,
+                       sk_base: int | None = None) -> tuple[DataFrame, int]:
+    """:func:`scd2_apply` that also returns the key base for the next run (no extra scan)."""
     spark = source.sparkSession
     attrs = spec.attr_cols
     src = source.select(*attrs)
     if dim is None:
+        sk_base = 0
         dim = empty_dimension(spark, spec, src.schema)
     dim = dim.select(*spec.dim_cols)
     history = dim.filter(~F.col(spec.current_col))
@@ -99,10 +106,10 @@ def scd2_apply(dim: DataFrame | None, source: DataFrame, spec: Scd2Spec, run_ts:
         F.when(changed, run_ts).otherwise(F.col(_D + spec.updated_col)).alias(spec.updated_col))
 
     opened = j.filter(sp & (~dp | changed)).select(*[F.col(_S + c).alias(c) for c in attrs])
-    base = sk_base if sk_base is not None else max_key(dim, spec.sk_col)
-    opened = assign_surrogate_keys(opened, [*spec.keys, *spec.order_extra], spec.sk_col, base=base)
+    base = sk_base if sk_base is not None else (0 if dim is None else max_key(dim, spec.sk_col))
+    opened, n_new = assign_surrogate_keys_counted(opened, [*spec.keys, *spec.order_extra], spec.sk_col, base=base)
     opened = opened.select(
         spec.sk_col, *attrs, run_ts.alias(spec.start_col), ts_literal(OPEN_END).alias(spec.end_col),
         F.lit(True).alias(spec.current_col), run_ts.alias(spec.loaded_col),
         F.lit(None).cast("timestamp_ntz").alias(spec.updated_col))
-    return history.unionByName(kept).unionByName(opened)
+    return history.unionByName(kept).unionByName(opened), base + n_new

@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import chain
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stratum.session import ensure_checkpoint_dir
@@ -27,11 +28,21 @@ def max_key(df: DataFrame, sk_col: str) -> int:
 
 def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str | Column], sk_col: str,
                           base: int = 0, num_partitions: int | None = None) -> DataFrame:
+    return assign_surrogate_keys_counted(df, order_cols, sk_col, base, num_partitions)[0]
+
+
+def assign_surrogate_keys_counted(df: DataFrame, order_cols: Sequence[str | Column], sk_col: str,
+                                  base: int = 0, num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """As :func:`assign_surrogate_keys`, also returning how many keys were handed out."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    laid_out = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    staged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).persist(StorageLevel.MEMORY_AND_DISK)
+    # persisted first, so the checkpoint write reads the blocks instead of recomputing the plan;
+    # from here on the checkpoint files alone define the layout (fault tolerant).
+    laid_out = staged.checkpoint(eager=True)
+    staged.unpersist()
     counts = sorted((r[0], r[1]) for r in
                     laid_out.groupBy(F.spark_partition_id().alias("pid")).count().collect())
     offsets, running = {}, 0
@@ -45,4 +56,4 @@ def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str | Column], sk_
         offset = F.lit(0)
     position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
     sk = (F.lit(base).cast("long") + offset.cast("long") + position + 1).alias(sk_col)
-    return laid_out.select(sk, *[F.col(c) for c in df.columns if c != sk_col])
+    return laid_out.select(sk, *[F.col(c) for c in df.columns if c != sk_col]), running

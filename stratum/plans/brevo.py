@@ -8,7 +8,7 @@ from stratum import functions as X
 from stratum.functions.temporal import ts_literal
 from stratum.operators.dedup import dedup_latest
 from stratum.operators.merge import fact_merge
-from stratum.operators.scd2 import scd2_apply
+from stratum.operators.scd2 import scd2_apply, scd2_apply_counted
 from stratum.operators.flatten import list_membership
 from stratum.plans import feeds, specs
 from stratum.plans.state import materialize, memo
@@ -43,9 +43,10 @@ def dim_contact_source(silver: DataFrame) -> DataFrame:
 def contact_dims(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """DIM_CONTACT after each run (SCD-2 over the Silver snapshot of that run)."""
     def build():
-        dims, dim = [], None
+        dims, dim, base = [], None, 0
         for run, silver in enumerate(contact_silver(spark, sf_dir), start=1):
-            dim = materialize(scd2_apply(dim, dim_contact_source(silver), specs.DIM_CONTACT, run_ts(run)))
+            dim, base = scd2_apply_counted(dim, dim_contact_source(silver), specs.DIM_CONTACT, run_ts(run), base)
+            dim = materialize(dim)
             dims.append(dim)
         return dims
     return memo(spark, sf_dir, "contact_dims", build)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratum import functions as X
@@ -9,8 +11,8 @@ from stratum.functions.temporal import ts_literal
 from stratum.operators.calendar import date_dimension
 from stratum.operators.dedup import dedup_latest
 from stratum.operators.merge import fact_merge
-from stratum.operators.scd2 import scd2_apply
-from stratum.operators.surrogate import assign_surrogate_keys, max_key
+from stratum.operators.scd2 import scd2_apply_counted
+from stratum.operators.surrogate import assign_surrogate_keys_counted
 from stratum.plans import feeds, specs
 from stratum.plans.state import materialize, memo
 
@@ -46,15 +48,24 @@ def entity_dims(spark: SparkSession, sf_dir: str, entity: str) -> list[DataFrame
     _, gold_spec, _ = ENTITIES[entity]
 
     def build():
-        dims, dim = [], None
+        dims, dim, base = [], None, 0
         for run, silver in enumerate(entity_silver(spark, sf_dir, entity), start=1):
             src = silver.filter(X.active_valid("is_valid_record", "is_deleted"))
-            dim = materialize(scd2_apply(dim, src, gold_spec, run_ts(run)))
+            dim, base = scd2_apply_counted(dim, src, gold_spec, run_ts(run), base)
+            dim = materialize(dim)
             dims.append(dim)
         return dims
     return memo(spark, sf_dir, f"dim_{entity}", build)
 
 
+def all_entity_dims(spark: SparkSession, sf_dir: str) -> dict[str, list[DataFrame]]:
+    """The four dimension pipelines are independent: submit them as concurrent Spark jobs
+    (the reference's task graph also runs them in parallel)."""
+    with ThreadPoolExecutor(max_workers=len(ENTITIES)) as pool:
+        futures = {e: pool.submit(entity_dims, spark, sf_dir, e) for e in ENTITIES}
+        return {e: f.result() for e, f in futures.items()}
+
+
 def insight_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return memo(spark, sf_dir, "silver_insight_ad", lambda: materialize(
         specs.SLV_INSIGHT_AD.merge(None, feeds.insight_feed(spark, sf_dir), run_ts(1))))
@@ -82,28 +93,35 @@ def fact_source(insights: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
                          "cpm", "ctr", "actions_raw")
 
 
-def fill_insight_sk(fact: DataFrame, base: int) -> DataFrame:
-    """New fact rows (NULL key) get keys after ``base`` in (ad, start, stop) order (M6)."""
-    new = assign_surrogate_keys(fact.filter(F.col("insight_sk").isNull()), list(FACT_KEYS), "insight_sk", base=base)
-    return fact.filter(F.col("insight_sk").isNotNull()).unionByName(new.select(*fact.columns))
+def fill_insight_sk(fact: DataFrame, base: int) -> tuple[DataFrame, int]:
+    """New fact rows (NULL key) get keys after ``base`` in (ad, start, stop) order (M6).
+
+    ``fact`` is a materialised snapshot; only the new rows are re-laid out and checkpointed.
+    """
+    new, n = assign_surrogate_keys_counted(fact.filter(F.col("insight_sk").isNull()), list(FACT_KEYS),
+                                           "insight_sk", base=base)
+    return fact.filter(F.col("insight_sk").isNotNull()).unionByName(new.select(*fact.columns)), base + n
 
 
 def fact_runs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """FACT_AD_INSIGHT after each run: every run re-points all rows to the current dimension rows."""
     def build():
-        insights = insight_silver(spark, sf_dir)
-        out, fact = [], None
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            dims_f = pool.submit(all_entity_dims, spark, sf_dir)
+            insights = insight_silver(spark, sf_dir)
+            all_dims = dims_f.result()
+        out, fact, base = [], None, 0
         for run in (1, 2):
-            dims = {e: entity_dims(spark, sf_dir, e)[run - 1] for e in ENTITIES}
+            dims = {e: all_dims[e][run - 1] for e in ENTITIES}
             src = fact_source(insights, dims)
             if fact is None:
                 fact = spark.createDataFrame([], src.select(
                     F.lit(None).cast("long").alias("insight_sk"), *src.columns,
                     F.lit(None).cast("timestamp_ntz").alias("gold_loaded_at"),
                     F.lit(None).cast("timestamp_ntz").alias("gold_updated_at")).schema)
-            base = max_key(fact, "insight_sk")
-            merged = fact_merge(fact, src, list(FACT_KEYS), run_ts=run_ts(run))
-            fact = materialize(fill_insight_sk(materialize(merged), base).select(*FACT_COLS))
+            merged = materialize(fact_merge(fact, src, list(FACT_KEYS), run_ts=run_ts(run)))
+            fact, base = fill_insight_sk(merged, base)
+            fact = fact.select(*FACT_COLS)
             out.append(fact)
         return out
     return memo(spark, sf_dir, "fact_ad_insight", build)

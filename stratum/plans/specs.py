@@ -10,7 +10,7 @@ from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
 from stratum import functions as X
 from stratum.operators.dedup import dedup_latest
-from stratum.operators.merge import scd1_merge
+from stratum.operators.merge import insert_into_empty, scd1_merge
 from stratum.operators.scd2 import Scd2Spec
 
 
@@ -44,8 +44,9 @@ class SilverSpec:
 
     def merge(self, target: DataFrame | None, raw: DataFrame, run_ts: Column) -> DataFrame:
         src = self.prepare(raw, run_ts)
-        if target is None:
-            target = self.empty_target(raw.sparkSession, src.schema)
+        if target is None:  # first load: only the insert clause can fire
+            return insert_into_empty(src, self.keys, columns=self.columns, run_ts=run_ts,
+                                     loaded_col=self.loaded_col, updated_col=self.updated_col)
         return scd1_merge(target, src, self.keys, update_cols=self.update_cols, insert_cols=self.columns,
                           run_ts=run_ts, loaded_col=self.loaded_col, updated_col=self.updated_col)
 
