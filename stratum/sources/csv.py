@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 # Header row, optional double-quote enclosure, doubled quotes inside a quoted value.
-# Blank lines are skipped by the reader. A quoted "" stays '' while an empty field is NULL.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "",
+# Blank lines are skipped by the reader. A quoted "" stays '' while an empty field is NULL: the
+# reader already returns NULL for an empty unquoted field, so nullValue is set to a marker that
+# never occurs (with nullValue='' a quoted "" would turn into NULL as well).
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0000",
                "mode": "PERMISSIVE"}
 CORRUPT = "_corrupt_record"
 
@@ -79,7 +81,11 @@ def load_csv_with_quarantine(spark: SparkSession, path: str | list[str], target:
         if src is not None and not isinstance(f.dataType, StringType):
             v = F.col(f"`{src}`")
             bad_cast = bad_cast | (v.isNotNull() & v.try_cast(f.dataType).isNull())
-    flagged = raw.withColumn("__bad", F.col(CORRUPT).isNotNull() | bad_cast)
+    # The reader only checks the field count of a row when every column is parsed; with CSV column
+    # pruning a query needing a few columns would never mark short/long rows. Referencing all
+    # file columns in the flag keeps them in the scan (the length test itself is always false).
+    parsed_all = F.length(F.concat_ws("\u0001", *[F.col(f"`{c}`") for c in header])) < 0
+    flagged = raw.withColumn("__bad", F.col(CORRUPT).isNotNull() | bad_cast | parsed_all)
     good = load_by_name(flagged.filter(~F.col("__bad")).drop(CORRUPT, "__bad"), target)
     bad = flagged.filter(F.col("__bad")).drop("__bad")
     return good, bad
