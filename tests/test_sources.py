@@ -78,3 +78,33 @@ def test_stage_inventory_and_cleanup(spark, tmp_path):
     inv = {r["file_name"]: r["size_bytes"] for r in stage_inventory(spark, str(tmp_path / "x*.csv")).collect()}
     assert inv == {"x1.csv": 4, "x2.csv": 6}
     assert remove_files(spark, [a]) == 1 and not os.path.exists(a) and os.path.exists(tmp_path / "x2.csv")
+
+
+def test_bucketed_merge_rewrites_only_touched_buckets(spark, tmp_path):
+    import datetime as dt
+    from stratum.functions.temporal import ts_literal
+    from stratum.operators import scd1_merge
+    from stratum.operators.merge import insert_into_empty
+    from stratum.sources.snapshots import BucketedTable
+
+    cols = ["k", "v", "audit_updated_at", "is_deleted"]
+    run = ts_literal("2024-02-01 00:00:00")
+
+    def merge(target, src):
+        if target is None:
+            return insert_into_empty(src, ["k"], columns=cols, run_ts=run)
+        return scd1_merge(target, src, ["k"], update_cols=cols[1:], insert_cols=cols, run_ts=run)
+
+    t = BucketedTable(spark, str(tmp_path / "bt"), ["k"], num_buckets=16)
+    b1 = spark.createDataFrame([(k, "a", dt.datetime(2024, 1, 1), False) for k in range(200)],
+                               "k long, v string, audit_updated_at timestamp_ntz, is_deleted boolean")
+    assert t.merge(b1, merge) == 0 and t.read().count() == 200
+    b2 = spark.createDataFrame([(5, "b", dt.datetime(2024, 1, 2), False), (500, "c", dt.datetime(2024, 1, 2), False)],
+                               b1.schema)
+    assert t.merge(b2, merge) == 1
+    got = {r["k"]: r["v"] for r in t.read().collect()}
+    assert len(got) == 201 and got[5] == "b" and got[500] == "c" and got[6] == "a"
+    touched = {r[0] for r in b2.select(t.bucket()).distinct().collect()}
+    v1_dirs = [p for p in t._bucket_paths().values() if p.endswith("v=1")]
+    assert len(v1_dirs) == len(touched) <= 2        # only the touched buckets were rewritten
+    assert t.merge(b2, merge, version=1) == 1        # replay of a committed version: no-op
