@@ -36,20 +36,36 @@ def exact_ratio(num: str | Column, den: str | Column, scale: int = 2) -> Column:
     return F.round(q, scale).cast(f"decimal(38,{scale})")
 
 
+def round_div_long(num: Column, den: Column) -> Column:
+    """``ROUND(num / den)`` for whole numbers, half away from zero, in exact long arithmetic (den > 0)."""
+    q = F.call_function("div", F.lit(2) * F.abs(num) + den, F.lit(2) * den)
+    return F.when(num < 0, -q).otherwise(q)
+
+
+def _scaled(units: Column, scale: int) -> Column:
+    # units / 10^scale as DECIMAL(18, scale): exact, because the double nearest to units/10^scale
+    # rounds back to it at ``scale`` digits while |units| < 2^53
+    return (units.cast("double") / F.lit(10 ** scale)).cast(f"decimal(18,{scale})")
+
+
 def ad_metrics(spend: str | Column, clicks: str | Column, impressions: str | Column,
                reach: str | Column | None = None) -> dict[str, Column]:
-    """derived ad metrics with denominators floored at 1."""
-    s = col(spend).cast("decimal(18,2)")
-    c, i = col(clicks).cast("decimal(20,0)"), col(impressions).cast("decimal(20,0)")
-    one = F.lit(1).cast("decimal(20,0)")
+    """derived ad metrics with denominators floored at 1.
+
+    CPC = spend / clicks, CPM = spend / impressions * 1000 (both 2 dp), CTR = clicks / impressions * 100
+    (4 dp), FREQUENCY = impressions / reach (2 dp). Computed on whole cents in long arithmetic: the
+    same exact half-up result as decimal division, without per-row 38-digit decimals.
+    """
+    cents = F.round(col(spend).cast("double") * 100).cast("long")
+    c, i = col(clicks).cast("long"), col(impressions).cast("long")
+    one = F.lit(1).cast("long")
     out = {
-        "cpc": F.round(s / F.greatest(c, one), 2).cast("decimal(18,2)"),
-        "cpm": F.round(s / F.greatest(i, one) * 1000, 2).cast("decimal(18,2)"),
-        "ctr": F.round(c / F.greatest(i, one) * 100, 4).cast("decimal(18,4)"),
+        "cpc": _scaled(round_div_long(cents, F.greatest(c, one)), 2),
+        "cpm": _scaled(round_div_long(cents * 1000, F.greatest(i, one)), 2),
+        "ctr": _scaled(round_div_long(c * 1000000, F.greatest(i, one)), 4),
     }
     if reach is not None:
-        r = col(reach).cast("decimal(20,0)")
-        out["frequency"] = F.round(i / F.greatest(r, one), 2).cast("decimal(18,2)")
+        out["frequency"] = _scaled(round_div_long(i * 100, F.greatest(col(reach).cast("long"), one)), 2)
     return out
 
 

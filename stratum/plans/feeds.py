@@ -107,7 +107,7 @@ def daily_report_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
                  one(et == "error").alias("hard_bounces")))
 
 
-# Meta entity snapshots: two extracts ("runs") of each entity table. Run 2 changes some
+# Ads entity snapshots: two extracts ("runs") of each entity table. Run 2 changes some
 # attributes (tracked and untracked) and soft-deletes some rows, by rules on the row values.
 def ad_account_feed(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
     r = table(spark, sf_dir, "region")

@@ -55,7 +55,7 @@ def _batch(n) -> Column:
     return F.concat(F.lit("batch-"), F.lit(n).cast("string") if isinstance(n, int) else n.cast("string"))
 
 
-# ---------------------------------------------------------------- Brevo (e-mail / policy events)
+# ---------------------------------------------------------------- e-mail / policy events source
 
 def _clean_contact(raw: DataFrame, run_ts: Column) -> DataFrame:
     return raw.select(
@@ -119,7 +119,7 @@ SLV_AGG_REPORT = SilverSpec(
              "open_rate_pct", "click_rate_pct", "delivery_rate_pct", "bounce_rate_pct", "is_valid_record",
              "audit_inserted_at", "audit_updated_at", "is_deleted", "batch_id"))
 
-# ---------------------------------------------------------------- Meta (ads)
+# ---------------------------------------------------------------- ads source
 
 
 def _clean_insight_ad(raw: DataFrame, run_ts: Column) -> DataFrame:

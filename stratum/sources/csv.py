@@ -65,15 +65,15 @@ def _string_schema(names: Iterable[str]) -> StructType:
 
 
 def load_csv_with_quarantine(spark: SparkSession, path: str | list[str], target: StructType,
-                             header: list[str]) -> tuple[DataFrame, DataFrame]:
+                             header: list[str], has_header: bool = True) -> tuple[DataFrame, DataFrame]:
     """S5 ``ON_ERROR = CONTINUE``: returns (good rows typed as ``target``, quarantined raw rows).
 
     The file is read as text columns named by ``header`` (the file's own header order); a row is
     bad when the reader marks it corrupt (too many / too few fields) or when a non-empty value
     does not cast to its target type. Nothing is dropped silently: good + bad = input.
     """
-    raw = spark.read.options(**CSV_OPTIONS).option("columnNameOfCorruptRecord", CORRUPT) \
-        .schema(_string_schema(header)).csv(path)
+    raw = spark.read.options(**CSV_OPTIONS).option("header", str(has_header).lower()) \
+        .option("columnNameOfCorruptRecord", CORRUPT).schema(_string_schema(header)).csv(path)
     by_norm = {normalize_name(c): c for c in header}
     bad_cast = F.lit(False)
     for f in target.fields:

@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from stratum.plans import brevo, feeds, specs
+from stratum.plans import feeds, mailing, specs
 from stratum.sources import SnapshotTable
 from stratum.streaming import MergeSink, has_new_files, land_batch, stream_ingest, stream_merge
 from tests.conftest import SF0001
@@ -33,12 +33,12 @@ def test_stream_merge_equals_batch_merge_and_replay_is_idempotent(spark, tmp_pat
     root = str(tmp_path / f"s{uuid.uuid4().hex}")
     feed = feeds.contact_feed(spark, SF0001)
     table = SnapshotTable(spark, f"{root}/silver")
-    sink = MergeSink(table, specs.SLV_CONTACT.merge, lambda b: brevo.run_ts(b + 1))
-    for batch in brevo.CONTACT_BATCH_ORDER:
+    sink = MergeSink(table, specs.SLV_CONTACT.merge, lambda b: mailing.run_ts(b + 1))
+    for batch in mailing.CONTACT_BATCH_ORDER:
         land_batch(feed.filter(F.col("batch_no") == batch), f"{root}/bronze", f"batch-{batch}")
         stream_merge(spark, f"{root}/bronze", feed.schema, sink, f"{root}/ck").awaitTermination()
     streamed = table.read()
-    batch = brevo.contact_silver(spark, SF0001)[-1]
+    batch = mailing.contact_silver(spark, SF0001)[-1]
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.select(*streamed.columns).collect()))
     version = table.current_version()
     sink(feed.filter(F.col("batch_no") == 3), version)   # a replayed micro-batch changes nothing
