@@ -14,7 +14,7 @@ from stratum.operators.merge import fact_merge
 from stratum.operators.scd2 import scd2_apply_counted
 from stratum.operators.surrogate import assign_surrogate_keys_counted
 from stratum.plans import feeds, specs
-from stratum.plans.state import materialize, memo
+from stratum.plans.state import materialize, memo, silver_runs
 
 # Fixed run times of the two ads runs.
 RUN_TS = {1: "2024-03-01 00:00:00", 2: "2024-03-02 00:00:00"}
@@ -36,11 +36,8 @@ def entity_silver(spark: SparkSession, sf_dir: str, entity: str) -> list[DataFra
     silver_spec, _, feed = ENTITIES[entity]
 
     def build():
-        snaps, target = [], None
-        for run in (1, 2):
-            target = materialize(silver_spec.merge(target, feed(spark, sf_dir, run), run_ts(run)))
-            snaps.append(target)
-        return snaps
+        return silver_runs(spark, silver_spec, [(feed(spark, sf_dir, run), run_ts(run)) for run in (1, 2)],
+                           f"slv_{entity}")
     return memo(spark, sf_dir, f"silver_{entity}", build)
 
 

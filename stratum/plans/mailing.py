@@ -11,7 +11,7 @@ from stratum.operators.merge import fact_merge
 from stratum.operators.scd2 import scd2_apply, scd2_apply_counted
 from stratum.operators.flatten import list_membership
 from stratum.plans import feeds, specs
-from stratum.plans.state import materialize, memo
+from stratum.plans.state import materialize, memo, silver_runs
 
 # Fixed run times of the three pipeline runs (one shared run_ts per run).
 RUN_TS = {1: "2024-03-01 00:00:00", 2: "2024-03-02 00:00:00", 3: "2024-03-03 00:00:00"}
@@ -27,11 +27,9 @@ def contact_silver(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """SLV_CONTACT after each of the three runs."""
     def build():
         feed = feeds.contact_feed(spark, sf_dir)
-        snaps, target = [], None
-        for run, batch in enumerate(CONTACT_BATCH_ORDER, start=1):
-            target = materialize(specs.SLV_CONTACT.merge(target, feed.filter(F.col("batch_no") == batch), run_ts(run)))
-            snaps.append(target)
-        return snaps
+        batches = [(feed.filter(F.col("batch_no") == batch), run_ts(run))
+                   for run, batch in enumerate(CONTACT_BATCH_ORDER, start=1)]
+        return silver_runs(spark, specs.SLV_CONTACT, batches, "slv_contact")
     return memo(spark, sf_dir, "contact_silver", build)
 
 

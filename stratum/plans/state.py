@@ -28,6 +28,26 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Session setting: hash buckets of a Silver table (size it so one bucket is a few hundred MB).
+SILVER_BUCKETS_CONF = "stratum.silver.buckets"
+
+
+def silver_runs(spark: SparkSession, spec, batches: list[tuple[DataFrame, object]], name: str) -> list[DataFrame]:
+    """Apply a Silver spec to successive batches on a key-bucketed copy-on-write table.
+
+    Each run rewrites only the buckets its batch touches (version = run number - 1); the returned list
+    holds the table as of each run (older versions stay readable, which the history reports use).
+    """
+    from stratum.sources.snapshots import BucketedTable
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    table = BucketedTable(spark, root, list(spec.keys), int(spark.conf.get(SILVER_BUCKETS_CONF, "16")))
+    snaps = []
+    for version, (raw, run_ts) in enumerate(batches):
+        table.merge(raw, lambda target, src, ts=run_ts: spec.merge(target, src, ts), version=version)
+        snaps.append(table.read())
+    return snaps
+
+
 def memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     with _GUARD:

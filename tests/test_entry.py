@@ -9,6 +9,7 @@ from tests.conftest import SF0001
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
 KEYS = ["scd1_merge", "scd2_apply", "fact_merge", "fact_event", "campaign_performance", "dq_summary_brevo",
+        "stream_chain", "stage_cleanup", "load_skip_bad_rows", "late_data_guard", "scd2_demo",
         "json_array_flatten", "change_feed", "proper_case", "dim_policy", "star_sample", "list_membership"]
 
 
