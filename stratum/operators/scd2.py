@@ -84,7 +84,7 @@ def scd2_apply_counted(dim: DataFrame | None, source: DataFrame, spec: Scd2Spec,
     attrs = spec.attr_cols
     src = source.select(*attrs)
     if dim is None:
-        sk_base = 0
+        sk_base = 0 if sk_base is None else sk_base   # a bucket subset may be empty while keys exist elsewhere
         dim = empty_dimension(spark, spec, src.schema)
     dim = dim.select(*spec.dim_cols)
     history = dim.filter(~F.col(spec.current_col))

@@ -48,6 +48,27 @@ def silver_runs(spark: SparkSession, spec, batches: list[tuple[DataFrame, object
     return snaps
 
 
+def scd2_runs(spark: SparkSession, spec, sources: list[tuple[DataFrame, object]], name: str) -> list[DataFrame]:
+    """SCD-2 runs on a key-bucketed copy-on-write dimension.
+
+    Fed with change rows (T7), a run reads and rewrites only the buckets of keys that changed;
+    the surrogate-key base is carried across runs, so keys stay unique over all buckets.
+    """
+    from stratum.operators.scd2 import scd2_apply_counted
+    from stratum.sources.snapshots import BucketedTable
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    table = BucketedTable(spark, root, list(spec.keys), int(spark.conf.get(SILVER_BUCKETS_CONF, "16")))
+    base = [0]
+    snaps = []
+    for version, (source, run_ts) in enumerate(sources):
+        def apply(target, changes, ts=run_ts):
+            dim, base[0] = scd2_apply_counted(target, changes, spec, ts, base[0])
+            return dim
+        table.merge(source, apply, version=version)
+        snaps.append(table.read())
+    return snaps
+
+
 def memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     with _GUARD:
