@@ -167,3 +167,67 @@ ENTITY_AUDIT_TS = {1: "2024-02-15 00:00:00", 2: "2024-02-20 00:00:00"}
 
 def _audit(run: int) -> F.Column:
     return ts_literal(ENTITY_AUDIT_TS[run]).alias("audit_updated_at")
+
+
+# More source records: each is one aggregation or projection over a whole driver table.
+LOAD_AUDIT_TS = "2024-02-15 00:00:00"
+
+
+def contact_list_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mailing lists = nations; subscribers = their customers."""
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    per_list = c.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(
+        F.count(F.lit(1)).alias("total_subscribers"),
+        F.count_distinct("c_mktsegment").alias("unique_subscribers"),
+        F.sum(F.when(F.col("c_acctbal") < 0, 1).otherwise(0)).cast("bigint").alias("total_blacklisted"))
+    return n.join(per_list, "n_nationkey", "left").select(
+        F.col("n_nationkey").cast("bigint").alias("list_id"),
+        F.concat(F.lit(" "), F.col("n_name"), F.lit(" list ")).alias("name"),
+        F.col("n_regionkey").cast("bigint").alias("folder_id"), "total_subscribers", "unique_subscribers",
+        "total_blacklisted", ts_literal(LOAD_AUDIT_TS).alias("audit_updated_at"), F.lit(False).alias("is_deleted"))
+
+
+def smtp_email_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One transactional e-mail per order."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.concat(F.lit("em-"), _s(F.col("o_orderkey"))).alias("email_uuid"),
+        F.concat(F.lit("msg-"), _s(F.col("o_orderkey"))).alias("message_id"),
+        F.col("o_orderdate").alias("email_date"),
+        F.concat(F.lit(" Customer"), _s(F.col("o_custkey")), F.lit("@Mail.COM")).alias("smtp_email"),
+        F.lit("NoReply@Shop.COM").alias("from_email"),
+        F.col("o_orderpriority").alias("subject"),
+        F.col("o_orderdate").alias("audit_updated_at"), F.lit(False).alias("is_deleted"))
+
+
+def smtp_event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One delivery event per order line (several lines can report the same event)."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.concat(F.lit("msg-"), _s(F.col("l_orderkey"))).alias("message_id"),
+        F.when(F.col("l_linestatus") == "O", F.lit("opened")).otherwise(F.lit("delivered")).alias("event"),
+        F.col("l_shipdate").alias("event_date"),
+        F.when(F.col("l_returnflag") == "R", F.lit("bounced")).otherwise(F.lit("")).alias("reason"),
+        F.col("l_shipdate").alias("audit_updated_at"), F.col("l_linenumber").alias("line_no"),
+        F.lit(False).alias("is_deleted"))
+
+
+def custom_audience_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier")
+    return s.select(
+        (F.col("s_suppkey") + 700000).alias("audience_id"), F.concat(F.col("s_name"), F.lit(" lookalike ")).alias("name"),
+        F.lit("LOOKALIKE").alias("subtype"), F.floor(F.col("s_acctbal")).cast("bigint").alias("approx_count_lower"),
+        F.ceil(F.col("s_acctbal") * 2).cast("bigint").alias("approx_count_upper"),
+        (F.col("s_nationkey") + 30).alias("retention_days"), F.lit("").alias("lookalike_spec"),
+        ts_literal(LOAD_AUDIT_TS).alias("audit_updated_at"), F.lit(False).alias("is_deleted"))
+
+
+def insight_level_feed(spark: SparkSession, sf_dir: str, level: str) -> DataFrame:
+    """Account / campaign / adset insights: the ad-level rows summed per entity and day range."""
+    i = insight_feed(spark, sf_dir)
+    return (i.groupBy(level, "date_start", "date_stop")
+            .agg(F.sum("impressions").alias("impressions"), F.sum("reach").alias("reach"),
+                 F.sum("clicks").alias("clicks"), F.sum("spend").cast("decimal(18,2)").alias("spend"),
+                 F.max("audit_updated_at").alias("audit_updated_at"))
+            .withColumn("is_deleted", F.lit(False)))

@@ -119,6 +119,50 @@ SLV_AGG_REPORT = SilverSpec(
              "open_rate_pct", "click_rate_pct", "delivery_rate_pct", "bounce_rate_pct", "is_valid_record",
              "audit_inserted_at", "audit_updated_at", "is_deleted", "batch_id"))
 
+def _clean_contact_list(raw: DataFrame, run_ts: Column) -> DataFrame:
+    return raw.select(
+        "list_id", X.clean_trim("name").alias("list_name"), "folder_id", "total_subscribers", "unique_subscribers",
+        "total_blacklisted",
+        X.valid_required_nonblank(not_null=("list_id",), nonblank=("name",)).alias("is_valid_record"),
+        F.col("audit_updated_at").alias("audit_inserted_at"), "audit_updated_at", "is_deleted")
+
+
+SLV_CONTACT_LIST = SilverSpec(
+    name="slv_contact_list", keys=("list_id",), clean=_clean_contact_list,
+    columns=("list_id", "list_name", "folder_id", "total_subscribers", "unique_subscribers", "total_blacklisted",
+             "is_valid_record", "audit_inserted_at", "audit_updated_at", "is_deleted"))
+
+
+def _clean_smtp_email(raw: DataFrame, run_ts: Column) -> DataFrame:
+    return raw.select(
+        "email_uuid", "message_id", "email_date", X.clean_lower("smtp_email").alias("smtp_email"),
+        X.clean_lower("from_email").alias("from_email"), X.clean_trim("subject").alias("subject"),
+        X.valid_required_nonblank(nonblank=("email_uuid", "smtp_email")).alias("is_valid_record"),
+        F.col("audit_updated_at").alias("audit_inserted_at"), "audit_updated_at", "is_deleted")
+
+
+SLV_SMTP_EMAIL = SilverSpec(
+    name="slv_smtp_email", keys=("email_uuid",), clean=_clean_smtp_email,
+    columns=("email_uuid", "message_id", "email_date", "smtp_email", "from_email", "subject", "is_valid_record",
+             "audit_inserted_at", "audit_updated_at", "is_deleted"))
+
+
+def _clean_smtp_event(raw: DataFrame, run_ts: Column) -> DataFrame:
+    return raw.select(
+        X.hash_key("message_id", "event", "event_date").alias("smtp_event_id"),   # key over the *raw* values
+        "message_id", X.clean_upper("event").alias("event"), "event_date", X.clean_trim("reason").alias("reason"),
+        X.valid_required_nonblank(nonblank=("message_id", "event")).alias("is_valid_record"),
+        X.valid_event_time("event_date", run_ts).alias("is_valid_event_date"),
+        F.col("audit_updated_at").alias("audit_inserted_at"), "audit_updated_at", "is_deleted", "line_no")
+
+
+SLV_SMTP_EVENT = SilverSpec(
+    name="slv_smtp_event", keys=("smtp_event_id",), clean=_clean_smtp_event,
+    columns=("smtp_event_id", "message_id", "event", "event_date", "reason", "is_valid_record",
+             "is_valid_event_date", "audit_inserted_at", "audit_updated_at", "is_deleted"),
+    tie_break=("line_no", "reason"))
+
+
 # ---------------------------------------------------------------- ads source
 
 
@@ -169,6 +213,38 @@ SLV_AD = _entity_spec("slv_ad", "ad_id", ("ad_name", "status", "effective_status
                                           "creative_cta_type"),
                       ("adset_id", "campaign_id", "creative_id", "ad_account_id"))
 
+SLV_CUSTOM_AUDIENCE = _entity_spec("slv_custom_audience", "audience_id", ("name", "subtype", "lookalike_spec"),
+                                   ("approx_count_lower", "approx_count_upper", "retention_days"))
+
+
+def _clean_insight_level(level: str, with_frequency: bool):
+    def clean(raw: DataFrame, run_ts: Column) -> DataFrame:
+        m = X.ad_metrics("spend", "clicks", "impressions", "reach" if with_frequency else None)
+        extra = [m["frequency"].alias("frequency")] if with_frequency else []
+        return raw.select(
+            level, "date_start", "date_stop", "impressions", "reach", "clicks", "spend",
+            m["cpc"].alias("cpc"), m["cpm"].alias("cpm"), m["ctr"].alias("ctr"), *extra,
+            X.valid_required(level, "date_start").alias("is_valid_record"),
+            X.valid_date_range("date_start", "date_stop", F.to_date(run_ts)).alias("is_valid_date_range"),
+            F.col("audit_updated_at").alias("audit_inserted_at"), "audit_updated_at", "is_deleted")
+    return clean
+
+
+def _insight_level_spec(level: str, with_frequency: bool = False) -> SilverSpec:
+    name = {"ad_account_id": "slv_insight_account", "campaign_id": "slv_insight_campaign",
+            "adset_id": "slv_insight_adset"}[level]
+    metrics = ("cpc", "cpm", "ctr") + (("frequency",) if with_frequency else ())
+    return SilverSpec(name=name, keys=(level, "date_start", "date_stop"),
+                      clean=_clean_insight_level(level, with_frequency),
+                      columns=(level, "date_start", "date_stop", "impressions", "reach", "clicks", "spend", *metrics,
+                               "is_valid_record", "is_valid_date_range", "audit_inserted_at", "audit_updated_at",
+                               "is_deleted"))
+
+
+SLV_INSIGHT_ACCOUNT = _insight_level_spec("ad_account_id", with_frequency=True)
+SLV_INSIGHT_CAMPAIGN = _insight_level_spec("campaign_id")
+SLV_INSIGHT_ADSET = _insight_level_spec("adset_id")
+
 # ---------------------------------------------------------------- Gold SCD-2 dimensions
 
 DIM_CONTACT = Scd2Spec(sk_col="dim_contact_sk", keys=("contact_id",),
