@@ -15,9 +15,11 @@ Deleted or invalid source rows are filtered out before the join and therefore do
 from __future__ import annotations
 
 from collections.abc import Sequence
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType, LongType, TimestampNTZType, BooleanType
 
@@ -78,8 +80,14 @@ def scd2_apply(dim: DataFrame | None, source: DataFrame, spec: Scd2Spec, run_ts:
 
 
 def scd2_apply_counted(dim: DataFrame | None, source: DataFrame, spec: Scd2Spec, run_ts: Column,
-                       sk_base: int | None = None) -> tuple[DataFrame, int]:
-    """:func:`scd2_apply` that also returns the key base for the next run (no extra scan)."""
+                       sk_base: int | None = None,
+                       write: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, int]:
+    """:func:`scd2_apply` that also returns the key base for the next run (no extra scan).
+
+    With ``write`` (a function that commits a DataFrame and returns it read back) the join of current
+    rows and source is persisted while the new rows are keyed and the result is written, so the join
+    runs once instead of twice; the cache is released as soon as the result is committed.
+    """
     spark = source.sparkSession
     attrs = spec.attr_cols
     src = source.select(*attrs)
@@ -94,6 +102,8 @@ def scd2_apply_counted(dim: DataFrame | None, source: DataFrame, spec: Scd2Spec,
     s = src.select(*[F.col(c).alias(_S + c) for c in attrs], F.lit(True).alias("__s_present"))
     on = reduce(lambda a, b: a & b, [F.col(_D + k) == F.col(_S + k) for k in spec.keys])
     j = d.join(s, on, "full_outer")
+    if write is not None:
+        j = j.persist(StorageLevel.MEMORY_AND_DISK)
     dp, sp = F.col("__d_present").isNotNull(), F.col("__s_present").isNotNull()
     changed = dp & sp & reduce(lambda a, b: a | b, [_differs(F.col(_S + c), F.col(_D + c), dflt)
                                                      for c, dflt in spec.tracked.items()])
@@ -112,4 +122,8 @@ def scd2_apply_counted(dim: DataFrame | None, source: DataFrame, spec: Scd2Spec,
         spec.sk_col, *attrs, run_ts.alias(spec.start_col), ts_literal(OPEN_END).alias(spec.end_col),
         F.lit(True).alias(spec.current_col), run_ts.alias(spec.loaded_col),
         F.lit(None).cast("timestamp_ntz").alias(spec.updated_col))
-    return history.unionByName(kept).unionByName(opened), base + n_new
+    result = history.unionByName(kept).unionByName(opened)
+    if write is not None:
+        result = write(result)
+        j.unpersist()
+    return result, base + n_new

@@ -48,8 +48,7 @@ def entity_dims(spark: SparkSession, sf_dir: str, entity: str) -> list[DataFrame
         dims, dim, base = [], None, 0
         for run, silver in enumerate(entity_silver(spark, sf_dir, entity), start=1):
             src = silver.filter(X.active_valid("is_valid_record", "is_deleted"))
-            dim, base = scd2_apply_counted(dim, src, gold_spec, run_ts(run), base)
-            dim = materialize(dim)
+            dim, base = scd2_apply_counted(dim, src, gold_spec, run_ts(run), base, write=materialize)
             dims.append(dim)
         return dims
     return memo(spark, sf_dir, f"dim_{entity}", build)

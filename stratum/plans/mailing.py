@@ -43,8 +43,8 @@ def contact_dims(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     def build():
         dims, dim, base = [], None, 0
         for run, silver in enumerate(contact_silver(spark, sf_dir), start=1):
-            dim, base = scd2_apply_counted(dim, dim_contact_source(silver), specs.DIM_CONTACT, run_ts(run), base)
-            dim = materialize(dim)
+            dim, base = scd2_apply_counted(dim, dim_contact_source(silver), specs.DIM_CONTACT, run_ts(run), base,
+                                           write=materialize)
             dims.append(dim)
         return dims
     return memo(spark, sf_dir, "contact_dims", build)

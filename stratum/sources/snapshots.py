@@ -123,11 +123,15 @@ class BucketedTable:
         version = (0 if last is None else last + 1) if version is None else version
         if last is not None and version <= last:
             return version  # replay of a committed merge
+        from pyspark import StorageLevel
+        # the batch is read twice (touched buckets, then the merge): compute it once
+        source = source.persist(StorageLevel.MEMORY_AND_DISK)
         touched = {r[0] for r in source.select(self.bucket().alias("__b")).distinct().collect()}
         target = self.read(touched) if last is not None else None
         merged = merge_fn(target, source).withColumn("__b", self.bucket())
         staging = f"{self.root}/_staging/v={version}"
         merged.write.mode("overwrite").partitionBy("__b").parquet(staging)
+        source.unpersist()
         for st in self._fs.listStatus(self._Path(staging)):
             name = st.getPath().getName()
             if not name.startswith("__b="):
