@@ -32,9 +32,11 @@ def land_batch(df: DataFrame, landing_dir: str, batch_name: str, fmt: str = "par
 
 
 def stream_ingest(spark: SparkSession, landing_dir: str, bronze_dir: str, schema: StructType, checkpoint: str,
-                  fmt: str = "csv", clean_source: str | None = None, archive_dir: str | None = None) -> StreamingQuery:
+                  fmt: str = "csv", clean_source: str | None = None, archive_dir: str | None = None,
+                  source_file_col: str | None = None) -> StreamingQuery:
     """One ``availableNow`` run of landing -> Bronze. ``clean_source='delete'|'archive'`` removes
-    (S8) only the files this query has committed, never files that arrived afterwards."""
+    (S8) only the files this query has committed, never files that arrived afterwards.
+    ``source_file_col`` adds the landing file of each row (Bronze lineage, and what the T6 gate reads)."""
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         from stratum.sources.csv import CSV_OPTIONS
@@ -44,6 +46,9 @@ def stream_ingest(spark: SparkSession, landing_dir: str, bronze_dir: str, schema
         if archive_dir:
             reader = reader.option("sourceArchiveDir", archive_dir)
     stream = reader.load(f"{landing_dir.rstrip('/')}/*")
+    if source_file_col:
+        from pyspark.sql import functions as F
+        stream = stream.select("*", F.col("_metadata.file_path").alias(source_file_col))
     return (stream.writeStream.format("parquet").option("path", bronze_dir)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
@@ -83,13 +88,20 @@ def stream_merge(spark: SparkSession, bronze_dir: str, schema: StructType, sink:
             .trigger(availableNow=True).start())
 
 
-def has_new_files(spark: SparkSession, landing_glob: str, seen: DataFrame | None) -> bool:
-    """T6 batch form of the gate: are there landing files not yet in ``seen`` (a file-name frame)?"""
-    from stratum.sources.inventory import stage_inventory
-    files = stage_inventory(spark, landing_glob).select("file_name")
-    if seen is not None:
-        files = files.join(seen, "file_name", "left_anti")
-    return not files.isEmpty()
+def pending_files(spark: SparkSession, landing_glob: str, loaded: DataFrame | None,
+                  source_file_col: str = "source_file") -> DataFrame:
+    """Landing files with no row in ``loaded`` (Bronze with its source-file column): an anti join."""
+    from pyspark.sql import functions as F
+    files = spark.read.format("binaryFile").load(landing_glob).select(F.col("path"))
+    if loaded is None:
+        return files
+    return files.join(loaded.select(F.col(source_file_col).alias("path")).distinct(), "path", "left_anti")
+
+
+def has_new_files(spark: SparkSession, landing_glob: str, loaded: DataFrame | None,
+                  source_file_col: str = "source_file") -> bool:
+    """T6 gate: is anything on the stage that Bronze has not loaded yet?"""
+    return not pending_files(spark, landing_glob, loaded, source_file_col).isEmpty()
 
 
 def silver_changes(previous: DataFrame | None, current: DataFrame, keys: list[str]) -> DataFrame:

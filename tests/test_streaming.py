@@ -19,10 +19,12 @@ def test_csv_ingest_available_now_and_clean_source(spark, tmp_path):
     st = StructType.fromDDL(schema)
     (tmp_path / "landing" / "a.csv").write_text("id,name\n1,a\n2,b\n")
     assert has_new_files(spark, landing + "/*.csv", None)
-    stream_ingest(spark, landing, bronze, st, ck, clean_source="delete").awaitTermination()
+    stream_ingest(spark, landing, bronze, st, ck, clean_source="delete", source_file_col="source_file").awaitTermination()
     assert spark.read.parquet(bronze).count() == 2
+    assert not has_new_files(spark, landing + "/*.csv", spark.read.parquet(bronze))
     (tmp_path / "landing" / "b.csv").write_text("id,name\n3,c\n")
-    stream_ingest(spark, landing, bronze, st, ck, clean_source="delete").awaitTermination()
+    assert has_new_files(spark, landing + "/*.csv", spark.read.parquet(bronze))
+    stream_ingest(spark, landing, bronze, st, ck, clean_source="delete", source_file_col="source_file").awaitTermination()
     assert sorted(r[0] for r in spark.read.parquet(bronze).select("id").collect()) == [1, 2, 3]
     q = stream_ingest(spark, landing, bronze, st, ck)   # nothing new: zero batches, nothing appended
     q.awaitTermination()
