@@ -14,7 +14,7 @@ from stratum.operators.merge import fact_merge
 from stratum.operators.scd2 import scd2_apply_counted
 from stratum.operators.surrogate import assign_surrogate_keys_counted
 from stratum.plans import feeds, specs
-from stratum.plans.state import materialize, memo, silver_runs
+from stratum.plans.state import materialize, memo, scd2_runs, silver_runs
 
 # Fixed run times of the two ads runs.
 RUN_TS = {1: "2024-03-01 00:00:00", 2: "2024-03-02 00:00:00"}
@@ -45,12 +45,10 @@ def entity_dims(spark: SparkSession, sf_dir: str, entity: str) -> list[DataFrame
     _, gold_spec, _ = ENTITIES[entity]
 
     def build():
-        dims, dim, base = [], None, 0
-        for run, silver in enumerate(entity_silver(spark, sf_dir, entity), start=1):
-            src = silver.filter(X.active_valid("is_valid_record", "is_deleted"))
-            dim, base = scd2_apply_counted(dim, src, gold_spec, run_ts(run), base, write=materialize)
-            dims.append(dim)
-        return dims
+        silver = entity_silver(spark, sf_dir, entity)
+        sources = [(silver.changed_rows(i).filter(X.active_valid("is_valid_record", "is_deleted")), run_ts(i + 1))
+                   for i in range(len(silver))]
+        return scd2_runs(spark, gold_spec, sources, f"dim_{entity}")
     return memo(spark, sf_dir, f"dim_{entity}", build)
 
 

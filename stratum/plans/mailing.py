@@ -11,7 +11,7 @@ from stratum.operators.merge import fact_merge
 from stratum.operators.scd2 import scd2_apply, scd2_apply_counted
 from stratum.operators.flatten import list_membership
 from stratum.plans import feeds, specs
-from stratum.plans.state import materialize, memo, silver_runs
+from stratum.plans.state import materialize, memo, scd2_runs, silver_runs
 
 # Fixed run times of the three pipeline runs (one shared run_ts per run).
 RUN_TS = {1: "2024-03-01 00:00:00", 2: "2024-03-02 00:00:00", 3: "2024-03-03 00:00:00"}
@@ -41,12 +41,11 @@ def dim_contact_source(silver: DataFrame) -> DataFrame:
 def contact_dims(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """DIM_CONTACT after each run (SCD-2 over the Silver snapshot of that run)."""
     def build():
-        dims, dim, base = [], None, 0
-        for run, silver in enumerate(contact_silver(spark, sf_dir), start=1):
-            dim, base = scd2_apply_counted(dim, dim_contact_source(silver), specs.DIM_CONTACT, run_ts(run), base,
-                                           write=materialize)
-            dims.append(dim)
-        return dims
+        # Gold is fed the change rows of each Silver run (read from the rewritten buckets only), and
+        # each SCD-2 run rewrites only the dimension buckets of those keys.
+        silver = contact_silver(spark, sf_dir)
+        sources = [(dim_contact_source(silver.changed_rows(i)), run_ts(i + 1)) for i in range(len(silver))]
+        return scd2_runs(spark, specs.DIM_CONTACT, sources, "dim_contact")
     return memo(spark, sf_dir, "contact_dims", build)
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stratum.session import ensure_checkpoint_dir
 
 _MEMO: dict[tuple, object] = {}
+_CREATED: list[tuple[SparkSession, str]] = []   # folders this process wrote (snapshots, tables)
 _LOCKS: dict[tuple, threading.Lock] = {}
 _GUARD = threading.Lock()
 
@@ -24,6 +25,7 @@ _GUARD = threading.Lock()
 def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/snapshots/{uuid.uuid4().hex}"
+    _CREATED.append((spark, path))
     df.write.parquet(path)
     return spark.read.parquet(path)
 
@@ -32,20 +34,40 @@ def materialize(df: DataFrame) -> DataFrame:
 SILVER_BUCKETS_CONF = "stratum.silver.buckets"
 
 
-def silver_runs(spark: SparkSession, spec, batches: list[tuple[DataFrame, object]], name: str) -> list[DataFrame]:
+class SilverHistory(list):
+    """Snapshots of a Silver table after each run (a list), plus the change rows of each run."""
+
+    def __init__(self, snapshots, table, keys):
+        super().__init__(snapshots)
+        self.table, self.keys = table, list(keys)
+
+    def changed_rows(self, run_index: int) -> DataFrame:
+        """Rows inserted or updated by run ``run_index`` (T4/T5), read from the rewritten buckets only."""
+        from stratum.operators.change_feed import change_feed, inserts_only
+        before, after = self.table.changes(run_index)
+        if after is None:
+            return self[run_index].limit(0)
+        if before is None:
+            return after
+        return inserts_only(change_feed(before, after, self.keys)).drop("metadata_action", "metadata_is_update")
+
+
+def silver_runs(spark: SparkSession, spec, batches: list[tuple[DataFrame, object]], name: str) -> SilverHistory:
     """Apply a Silver spec to successive batches on a key-bucketed copy-on-write table.
 
-    Each run rewrites only the buckets its batch touches (version = run number - 1); the returned list
-    holds the table as of each run (older versions stay readable, which the history reports use).
+    Each run rewrites only the buckets its batch touches (version = run number - 1); the result holds
+    the table as of each run (older versions stay readable, which the history reports use) and can
+    produce each run's change rows for Gold.
     """
     from stratum.sources.snapshots import BucketedTable
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    _CREATED.append((spark, root))
     table = BucketedTable(spark, root, list(spec.keys), int(spark.conf.get(SILVER_BUCKETS_CONF, "16")))
     snaps = []
     for version, (raw, run_ts) in enumerate(batches):
         table.merge(raw, lambda target, src, ts=run_ts: spec.merge(target, src, ts), version=version)
         snaps.append(table.read())
-    return snaps
+    return SilverHistory(snaps, table, spec.keys)
 
 
 def scd2_runs(spark: SparkSession, spec, sources: list[tuple[DataFrame, object]], name: str) -> list[DataFrame]:
@@ -57,6 +79,7 @@ def scd2_runs(spark: SparkSession, spec, sources: list[tuple[DataFrame, object]]
     from stratum.operators.scd2 import scd2_apply_counted
     from stratum.sources.snapshots import BucketedTable
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    _CREATED.append((spark, root))
     table = BucketedTable(spark, root, list(spec.keys), int(spark.conf.get(SILVER_BUCKETS_CONF, "16")))
     base = [0]
     snaps = []
@@ -79,5 +102,13 @@ def memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object
     return _MEMO[key]
 
 
-def clear() -> None:
+def clear(delete_files: bool = False) -> None:
+    """Forget memoised snapshots; with ``delete_files`` also vacuum the folders they were written to
+    (only folders this process created, never anything else)."""
     _MEMO.clear()
+    if delete_files:
+        for spark, path in _CREATED:
+            jvm = spark.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        _CREATED.clear()

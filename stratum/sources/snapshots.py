@@ -91,11 +91,13 @@ class BucketedTable:
         done = [int(s.getPath().getName()) for s in self._fs.listStatus(p) if s.getPath().getName().isdigit()]
         return max(done) if done else None
 
-    def _bucket_paths(self, buckets: set[int] | None = None) -> dict[int, str]:
+    def _bucket_paths(self, buckets: set[int] | None = None, as_of: int | None = None) -> dict[int, str]:
         last = self.last_commit()
         out: dict[int, str] = {}
         if last is None:
             return out
+        if as_of is not None:
+            last = min(last, as_of)
         for st in self._fs.listStatus(self._Path(self.root)):
             name = st.getPath().getName()
             if not name.startswith("b="):
@@ -110,12 +112,31 @@ class BucketedTable:
                 out[b] = f"{self.root}/{name}/v={max(versions)}"
         return out
 
-    def read(self, buckets: set[int] | None = None, schema=None) -> DataFrame | None:
-        paths = self._bucket_paths(buckets)
+    def read(self, buckets: set[int] | None = None, schema=None, as_of: int | None = None) -> DataFrame | None:
+        """The table (or some of its buckets) as of the last commit, or as of version ``as_of``."""
+        paths = self._bucket_paths(buckets, as_of)
         if not paths:
             return None if schema is None else self.spark.createDataFrame([], schema)
         return self.spark.read.parquet(*paths.values())
 
+    def buckets_written(self, version: int) -> set[int]:
+        """Buckets that ``version`` rewrote (directory listing only)."""
+        out = set()
+        for st in self._fs.listStatus(self._Path(self.root)):
+            name = st.getPath().getName()
+            if name.startswith("b=") and self._fs.exists(self._Path(st.getPath(), f"v={version}")):
+                out.add(int(name[2:]))
+        return out
+
+    def changes(self, version: int) -> tuple[DataFrame | None, DataFrame | None]:
+        """(before, after) of the buckets ``version`` rewrote: diffing them finds the changed rows at
+        the cost of the batch, not of the table."""
+        touched = self.buckets_written(version)
+        if not touched:
+            return None, None
+        before = self.read(touched, as_of=version - 1) if version > 0 else None
+        return before, self.read(touched, as_of=version)
+
     def merge(self, source: DataFrame, merge_fn, version: int | None = None) -> int:
         """``merge_fn(target_subset_or_None, source) -> rows of the touched buckets``; returns the version."""
         from pyspark.sql import functions as F
@@ -124,14 +145,19 @@ class BucketedTable:
         if last is not None and version <= last:
             return version  # replay of a committed merge
         from pyspark import StorageLevel
-        # the batch is read twice (touched buckets, then the merge): compute it once
-        source = source.persist(StorageLevel.MEMORY_AND_DISK)
-        touched = {r[0] for r in source.select(self.bucket().alias("__b")).distinct().collect()}
-        target = self.read(touched) if last is not None else None
+        cached = last is not None
+        if cached:
+            # the batch is read twice (touched buckets, then the merge): compute it once
+            source = source.persist(StorageLevel.MEMORY_AND_DISK)
+            touched = {r[0] for r in source.select(self.bucket().alias("__b")).distinct().collect()}
+            target = self.read(touched)
+        else:
+            target = None  # first load: nothing to read back, no bucket list needed
         merged = merge_fn(target, source).withColumn("__b", self.bucket())
         staging = f"{self.root}/_staging/v={version}"
         merged.write.mode("overwrite").partitionBy("__b").parquet(staging)
-        source.unpersist()
+        if cached:
+            source.unpersist()
         for st in self._fs.listStatus(self._Path(staging)):
             name = st.getPath().getName()
             if not name.startswith("__b="):
