@@ -11,7 +11,6 @@ from stratum.functions.temporal import ts_literal
 from stratum.operators.calendar import date_dimension
 from stratum.operators.dedup import dedup_latest
 from stratum.operators.merge import fact_merge
-from stratum.operators.scd2 import scd2_apply_counted
 from stratum.operators.surrogate import assign_surrogate_keys_counted
 from stratum.plans import feeds, specs
 from stratum.plans.state import materialize, memo, scd2_runs, silver_runs

@@ -108,3 +108,31 @@ def test_bucketed_merge_rewrites_only_touched_buckets(spark, tmp_path):
     v1_dirs = [p for p in t._bucket_paths().values() if p.endswith("v=1")]
     assert len(v1_dirs) == len(touched) <= 2        # only the touched buckets were rewritten
     assert t.merge(b2, merge, version=1) == 1        # replay of a committed version: no-op
+
+
+def test_bucketed_changes_read_only_rewritten_buckets(spark, tmp_path):
+    import datetime as dt
+    from stratum.functions.temporal import ts_literal
+    from stratum.plans.state import SilverHistory
+    from stratum.operators import scd1_merge
+    from stratum.operators.merge import insert_into_empty
+    from stratum.sources.snapshots import BucketedTable
+
+    cols = ["k", "v", "audit_updated_at", "is_deleted"]
+    run = ts_literal("2024-02-01 00:00:00")
+
+    def merge(target, src):
+        if target is None:
+            return insert_into_empty(src, ["k"], columns=cols, run_ts=run)
+        return scd1_merge(target, src, ["k"], update_cols=cols[1:], insert_cols=cols, run_ts=run)
+
+    schema = "k long, v string, audit_updated_at timestamp_ntz, is_deleted boolean"
+    t = BucketedTable(spark, str(tmp_path / "ct"), ["k"], num_buckets=32)
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    t.merge(spark.createDataFrame([(k, "a", t1, False) for k in range(300)], schema), merge)
+    t.merge(spark.createDataFrame([(7, "b", t2, False), (7000, "n", t2, False), (8, "a", t1, False)], schema), merge)
+    hist = SilverHistory([t.read(as_of=0), t.read(as_of=1)], t, ["k"])
+    before, after = t.changes(1)
+    assert before.count() < 300 and after.count() == before.count() + 1   # only the touched buckets
+    assert sorted((r["k"], r["v"]) for r in hist.changed_rows(1).collect()) == [(7, "b"), (7000, "n")]
+    assert hist.changed_rows(0).count() == 300                               # first run: everything is new
