@@ -81,12 +81,14 @@ def scd2_apply(dim: DataFrame | None, source: DataFrame, spec: Scd2Spec, run_ts:
 
 def scd2_apply_counted(dim: DataFrame | None, source: DataFrame, spec: Scd2Spec, run_ts: Column,
                        sk_base: int | None = None,
-                       write: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, int]:
+                       write: Callable[[DataFrame], DataFrame] | None = None,
+                       release: list | None = None) -> tuple[DataFrame, int]:
     """:func:`scd2_apply` that also returns the key base for the next run (no extra scan).
 
     With ``write`` (a function that commits a DataFrame and returns it read back) the join of current
     rows and source is persisted while the new rows are keyed and the result is written, so the join
-    runs once instead of twice; the cache is released as soon as the result is committed.
+    runs once instead of twice; the cache is released as soon as the result is committed. A caller
+    that writes the result itself passes ``release`` (a list) and calls what it receives after writing.
     """
     spark = source.sparkSession
     attrs = spec.attr_cols
@@ -102,8 +104,10 @@ def scd2_apply_counted(dim: DataFrame | None, source: DataFrame, spec: Scd2Spec,
     s = src.select(*[F.col(c).alias(_S + c) for c in attrs], F.lit(True).alias("__s_present"))
     on = reduce(lambda a, b: a & b, [F.col(_D + k) == F.col(_S + k) for k in spec.keys])
     j = d.join(s, on, "full_outer")
-    if write is not None:
+    if write is not None or release is not None:
         j = j.persist(StorageLevel.MEMORY_AND_DISK)
+        if release is not None:
+            release.append(j.unpersist)
     dp, sp = F.col("__d_present").isNotNull(), F.col("__s_present").isNotNull()
     changed = dp & sp & reduce(lambda a, b: a | b, [_differs(F.col(_S + c), F.col(_D + c), dflt)
                                                      for c, dflt in spec.tracked.items()])

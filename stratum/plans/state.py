@@ -84,10 +84,14 @@ def scd2_runs(spark: SparkSession, spec, sources: list[tuple[DataFrame, object]]
     base = [0]
     snaps = []
     for version, (source, run_ts) in enumerate(sources):
+        release: list = []
+
         def apply(target, changes, ts=run_ts):
-            dim, base[0] = scd2_apply_counted(target, changes, spec, ts, base[0])
+            dim, base[0] = scd2_apply_counted(target, changes, spec, ts, base[0], release=release)
             return dim
         table.merge(source, apply, version=version)
+        for free in release:          # the join stayed cached until the table wrote the run
+            free()
         snaps.append(table.read())
     return snaps
 
