@@ -89,3 +89,16 @@ def load_csv_with_quarantine(spark: SparkSession, path: str | list[str], target:
     good = load_by_name(flagged.filter(~F.col("__bad")).drop(CORRUPT, "__bad"), target)
     bad = flagged.filter(F.col("__bad")).drop("__bad")
     return good, bad
+
+
+def load_extract(spark: SparkSession, path: str | list[str], target: StructType, header: list[str], bronze,
+                 batch_name: str) -> DataFrame:
+    """One Bronze load of a landing extract: read as text -> match columns by name -> type -> quarantine
+    bad rows -> append the good ones under the batch's own name (S1-S6 in one call).
+
+    ``bronze`` is a :class:`stratum.sources.snapshots.SnapshotTable`; re-loading the same ``batch_name``
+    is a no-op. Returns the quarantined rows (raw text plus the reader's corrupt record).
+    """
+    good, bad = load_csv_with_quarantine(spark, path, target, header)
+    bronze.append(good, batch_name)
+    return bad
