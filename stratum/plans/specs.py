@@ -10,7 +10,7 @@ from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
 from stratum import functions as X
 from stratum.operators.dedup import dedup_latest
-from stratum.operators.merge import insert_into_empty, scd1_merge
+from stratum.operators.merge import insert_into_empty, scd1_merge, split_null_keys
 from stratum.operators.scd2 import Scd2Spec
 
 
@@ -37,6 +37,11 @@ class SilverSpec:
                               [F.col(c).desc_nulls_last() for c in self.tie_break])
         return latest.select(*self.columns)
 
+    def quarantine(self, raw: DataFrame, run_ts: Column) -> DataFrame:
+        """Cleaned rows whose key has a NULL part: the reference's MERGE would fail the whole statement
+        on them; here they are kept aside (the merge skips them) so nothing is lost silently."""
+        return split_null_keys(self.clean(raw, run_ts), self.keys)[1]
+
     def empty_target(self, spark, source_schema: StructType) -> DataFrame:
         fields = [StructField(c, source_schema[c].dataType) for c in self.columns]
         fields += [StructField(self.loaded_col, TimestampNTZType()), StructField(self.updated_col, TimestampNTZType())]

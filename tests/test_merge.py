@@ -101,3 +101,20 @@ def test_dedup_is_partial_before_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("ts"))
     plan = dedup_latest(df, ["k"], ["ts"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_spec_quarantine_plus_loaded_equals_input(spark):
+    """NULL keys go to quarantine; every other key is loaded."""
+    from stratum.plans import specs
+    rows = [(1, 10, " a@b.co ", " x ", None, "v", True, T1, T1, False, "[1]", None, 1),
+            (2, None, "c@d.co", "y", "z", "v", False, T1, T1, False, None, None, 1),
+            (3, 11, "e@f.co", "w", "q", "v", True, T0, T0, False, "[]", None, 1)]
+    raw = spark.createDataFrame(rows, "row_no long, contact_id long, email string, first_name string, "
+                                      "last_name string, vehicle_make string, is_email_optin boolean, "
+                                      "modified_at timestamp_ntz, audit_updated_at timestamp_ntz, is_deleted boolean, "
+                                      "list_ids_raw string, list_unsubscribed_raw string, batch_no int")
+    run = ts_literal(RUN)
+    loaded = specs.SLV_CONTACT.merge(None, raw, run)
+    bad = specs.SLV_CONTACT.quarantine(raw, run)
+    assert sorted(r["contact_id"] for r in loaded.collect()) == [10, 11]
+    assert [r["row_no"] for r in bad.collect()] == [2]
