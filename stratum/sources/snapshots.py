@@ -137,6 +137,20 @@ class BucketedTable:
         before = self.read(touched, as_of=version - 1) if version > 0 else None
         return before, self.read(touched, as_of=version)
 
+    def _drop_uncommitted(self, last: int | None) -> None:
+        """Remove version folders above the last commit: leftovers of an attempt that failed before its
+        marker. A retry may touch other buckets, so they must not survive to be committed with it."""
+        root = self._Path(self.root)
+        if not self._fs.exists(root):
+            return
+        for st in self._fs.listStatus(root):
+            if not st.getPath().getName().startswith("b="):
+                continue
+            for v in self._fs.listStatus(st.getPath()):
+                name = v.getPath().getName()
+                if name.startswith("v=") and (last is None or int(name[2:]) > last):
+                    self._fs.delete(v.getPath(), True)
+
     def merge(self, source: DataFrame, merge_fn, version: int | None = None) -> int:
         """``merge_fn(target_subset_or_None, source) -> rows of the touched buckets``; returns the version."""
         from pyspark.sql import functions as F
@@ -144,6 +158,7 @@ class BucketedTable:
         version = (0 if last is None else last + 1) if version is None else version
         if last is not None and version <= last:
             return version  # replay of a committed merge
+        self._drop_uncommitted(last)
         from pyspark import StorageLevel
         cached = last is not None
         if cached:

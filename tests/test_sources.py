@@ -149,3 +149,32 @@ def test_load_extract_appends_good_rows_once(spark, tmp_path):
     load_extract(spark, path, target, header, bronze, "extract-1")      # replay: nothing appended twice
     loaded = spark.read.parquet(str(tmp_path / "bronze" / "batch=*"))
     assert sorted(r["id"] for r in loaded.collect()) == [1, 2] and bad.count() == 3
+
+
+def test_bucketed_uncommitted_version_is_invisible_and_rerun_replaces_it(spark, tmp_path):
+    """A crash after moving bucket folders but before the commit marker leaves the version invisible;
+    running the same version again overwrites the leftovers and commits."""
+    import datetime as dt
+    from stratum.functions.temporal import ts_literal
+    from stratum.operators import scd1_merge
+    from stratum.operators.merge import insert_into_empty
+    from stratum.sources.snapshots import BucketedTable
+
+    cols = ["k", "v", "audit_updated_at", "is_deleted"]
+    run = ts_literal("2024-02-01 00:00:00")
+
+    def merge(target, src):
+        if target is None:
+            return insert_into_empty(src, ["k"], columns=cols, run_ts=run)
+        return scd1_merge(target, src, ["k"], update_cols=cols[1:], insert_cols=cols, run_ts=run)
+
+    schema = "k long, v string, audit_updated_at timestamp_ntz, is_deleted boolean"
+    root = tmp_path / "crash"
+    t = BucketedTable(spark, str(root), ["k"], num_buckets=8)
+    t.merge(spark.createDataFrame([(k, "a", dt.datetime(2024, 1, 1), False) for k in range(50)], schema), merge)
+    # simulate a crashed version 1: data moved into place, no commit marker
+    spark.createDataFrame([(1, "BROKEN", dt.datetime(2024, 1, 9), False)], schema).write.parquet(str(root / "b=0" / "v=1"))
+    assert t.last_commit() == 0 and "BROKEN" not in {r["v"] for r in t.read().collect()}
+    t.merge(spark.createDataFrame([(1, "b", dt.datetime(2024, 1, 2), False)], schema), merge, version=1)
+    got = {r["k"]: r["v"] for r in t.read().collect()}
+    assert t.last_commit() == 1 and got[1] == "b" and "BROKEN" not in got.values() and len(got) == 50
