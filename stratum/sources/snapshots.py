@@ -72,6 +72,8 @@ class BucketedTable:
     version in one job, moves them into place and then writes the commit marker. Readers never see
     a half-applied merge; a crash before the marker leaves the version invisible, and re-running it
     overwrites the uncommitted directories.
+
+    One writer per table (the pipeline run or the stream's ``foreachBatch``); readers are unlimited.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: list[str], num_buckets: int = 64):
