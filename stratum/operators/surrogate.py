@@ -36,9 +36,11 @@ def assign_surrogate_keys_counted(df: DataFrame, order_cols: Sequence[str | Colu
     """As :func:`assign_surrogate_keys`, also returning how many keys were handed out."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    staged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).persist(StorageLevel.MEMORY_AND_DISK)
+    # Without an explicit count AQE may coalesce *adjacent* range partitions, which keeps the global
+    # order: a handful of new rows no longer costs hundreds of tasks, a large batch keeps its parallelism.
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    staged = ranged.sortWithinPartitions(*order).persist(StorageLevel.MEMORY_AND_DISK)
     # persisted first, so the checkpoint write reads the blocks instead of recomputing the plan;
     # from here on the checkpoint files alone define the layout (fault tolerant).
     laid_out = staged.checkpoint(eager=True)
