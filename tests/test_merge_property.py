@@ -91,3 +91,41 @@ def test_scd2_matches_version_model(spark, runs):
         dim = spark.createDataFrame(dim.collect(), dim.schema)      # small: cut lineage between runs
     got = sorted((r.asDict() for r in dim.collect()), key=lambda v: v["sk"])
     assert got == scd2_model(runs)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(old=st.dictionaries(st.integers(0, 6), st.sampled_from(["a", "b", None]), max_size=7),
+       new=st.dictionaries(st.integers(0, 6), st.sampled_from(["a", "b", None]), max_size=7))
+def test_change_feed_matches_diff_model(spark, old, new):
+    from stratum.operators import change_feed
+    o = spark.createDataFrame([(k, v) for k, v in old.items()], "k long, v string")
+    n = spark.createDataFrame([(k, v) for k, v in new.items()], "k long, v string")
+    got = sorted((r["k"], r["v"] or "~", r["metadata_action"], r["metadata_is_update"])
+                 for r in change_feed(o, n, ["k"]).collect())
+    want = []
+    for k in set(old) | set(new):
+        if k in old and k in new:
+            if old[k] != new[k]:
+                want += [(k, old[k] or "~", "DELETE", True), (k, new[k] or "~", "INSERT", True)]
+        elif k in old:
+            want.append((k, old[k] or "~", "DELETE", False))
+        else:
+            want.append((k, new[k] or "~", "INSERT", False))
+    assert got == sorted(want)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.integers(0, 4), st.one_of(st.none(), st.integers(0, 3))), max_size=20))
+def test_dedup_matches_latest_model(spark, rows):
+    from pyspark.sql import functions as F
+    from stratum.operators import dedup_latest
+    data = [(k, ts, i) for i, (k, ts) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k long, ts long, row_no long")
+    got = {r["k"]: r["row_no"] for r in dedup_latest(df, ["k"], ["ts"], [F.col("row_no").desc()]).collect()}
+    want = {}
+    for k, ts, i in data:   # latest ts, NULL last; ties -> highest row_no
+        best = want.get(k)
+        rank = (ts is not None, ts if ts is not None else -1, i)
+        if best is None or rank > best[0]:
+            want[k] = (rank, i)
+    assert got == {k: v[1] for k, v in want.items()}
