@@ -40,8 +40,8 @@ def date_parts(d: str | Column, prefix: str = "") -> dict[str, Column]:
 
 
 def days_between(start: str | Column, end: str | Column) -> Column:
-    """``DATEDIFF(DAY, start, end)`` = end - start in days."""
-    return F.datediff(col(end), col(start))
+    """``DATEDIFF(DAY, start, end)`` = end - start in days (a whole NUMBER: BIGINT)."""
+    return F.datediff(col(end), col(start)).cast("bigint")
 
 
 def add_days(c: str | Column, n: int | Column) -> Column:
