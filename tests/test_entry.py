@@ -59,3 +59,11 @@ def test_current_versions_unique_and_contiguous(spark):
     gaps = dim.withColumn("next_start", F.lead("effective_start_date").over(w)).filter(
         F.col("next_start").isNotNull() & (F.col("next_start") != F.col("effective_end_date")))
     assert gaps.count() == 0
+
+
+def test_run_all_builds_every_table(spark):
+    from stratum.plans.runner import run_all
+    tables = run_all(spark, SF0001)
+    assert len(tables) == 26   # 16 Silver (incl. membership), 8 dimensions (incl. calendar), 2 facts
+    counts = {k: v.count() for k, v in tables.items()}
+    assert all(n > 0 for n in counts.values()), counts
