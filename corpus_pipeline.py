@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import line_dedup, quality
-from stratum.llm.common import load, written
+from stratum.llm import decontam, line_dedup, ngram_join, packing, quality
+from stratum.llm.common import load, tokenizer_path, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,9 +23,27 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return line_dedup.without_repeats(docs)
 
 
+def ngram_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the smallest doc_id stays."""
+    return ngram_join.one_of_each(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item, also a re-parameterised one, go."""
+    return decontam.without_benchmark(docs, load(spark, sf_dir, "benchmark"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the remaining documents, packed into sequences of at most 1024 tokens."""
+    return packing.pack(docs, tokenizer_path())
+
+
 STAGES = [
     ("quality_classifier", quality_stage),
     ("line_dedup", line_dedup_stage),
+    ("ngram_jaccard_join", ngram_stage),
+    ("benchmark_decontamination", decontamination_stage),
+    ("best_fit_packing", packing_stage),
 ]
 
 # Stages learn models and use tokenizer files, which SQL cannot express; tests/llm holds brute-force versions.

@@ -68,6 +68,12 @@ def written(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """The installed vocabulary file of that name; it is the same on every machine of the cluster."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def ascii_lower(col):
     """A-Z to a-z and nothing else (``lower`` would change other alphabets)."""
     return F.translate(col, UPPER, LOWER)
