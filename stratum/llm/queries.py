@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, ngram_join, packing, quality
+from . import decontam, line_dedup, ngram_join, packing, quality, urlfilter, warc
 from .common import load, tokenizer_path
 
 
@@ -29,14 +29,59 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(load(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.round_trip(load(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", F.coalesce(F.sha2("payload", 256), "digest").alias("payload_digest"),
+                       "record_type", "refers_to")
+
+
+URL_RULES = [urlfilter.Rule("block", "net", "/"), urlfilter.Rule("allow", "example.net", "/en/"),
+             urlfilter.Rule("block", "example.com", "/de/"), urlfilter.Rule("allow", "org", "/fr/")]
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = load(spark, sf_dir, "pages")
+    return (urlfilter.judge(pages, urlfilter.spam_list(pages), URL_RULES)
+            .select("page_id", "host", "path", "rule", "verdict"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_line_dedup, op5_benchmark_decontamination,
-                                   op6_ngram_jaccard_join, op10_best_fit_packing)}
+                                   op6_ngram_jaccard_join, op7_warc, op8_url_filters, op10_best_fit_packing)}
 
 ORACLE_SQL = {
+    "op7_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest FROM pages),
+        f AS (SELECT digest, min(page_id) AS first_id FROM p WHERE strlen(html) >= 100 GROUP BY digest)
+        SELECT p.page_id, strlen(html) AS payload_bytes, p.digest AS payload_digest,
+               CASE WHEN f.first_id IS NULL OR f.first_id = p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN f.first_id <> p.page_id THEN f.first_id END AS refers_to
+        FROM p LEFT JOIN f USING (digest)""",
+    "op8_url_filters": """
+        WITH a AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+                   FROM pages),
+        b AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                        'abcdefghijklmnopqrstuvwxyz') AS host,
+                     regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM a),
+        c AS (SELECT *, regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www[.]', '') AS plain,
+                     list_has_any([regexp_extract(x, '^(spam-farm|casino|cheap-pills|free-bets|adult-x|ads-track)')
+                                   FOR x IN string_split(host, '.')],
+                                  ['spam-farm', 'casino', 'cheap-pills', 'free-bets', 'adult-x', 'ads-track']) AS spam
+              FROM b),
+        d AS (SELECT *, CASE WHEN plain = '' THEN '' ELSE plain || regexp_replace(path, '/+$', '') END AS canonical FROM c),
+        e AS (SELECT *, CASE
+                WHEN (host = 'example.net' OR suffix(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+                WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+                WHEN (host = 'org' OR suffix(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+                WHEN (host = 'net' OR suffix(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM d)
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+                    WHEN canonical <> '' AND canonical IN (SELECT canonical FROM d WHERE spam) THEN 'block'
+                    ELSE 'allow' END AS verdict
+        FROM e""",
     "op2_line_dedup": """
         WITH lines AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
