@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, ngram_join, packing, quality, urlfilter, warc
+from . import decontam, license_scan, line_dedup, ngram_join, packing, quality, secret_scan, urlfilter, warc
 from .common import load, tokenizer_path
 
 
@@ -21,6 +21,14 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(load(spark, sf_dir, "documents"))
+    of_kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return found.select("doc_id", of_kind(0).alias("n_assign"), of_kind(1).alias("n_access"), of_kind(2).alias("n_hex"),
+                        F.sha2(secret_scan.written_out(F.col("base")), 256).alias("base_sha256"),
+                        secret_scan.written_out(F.col("spans")).alias("spans"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
@@ -45,12 +53,17 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "host", "path", "rule", "verdict"))
 
 
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(load(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_line_dedup, op5_benchmark_decontamination,
-                                   op6_ngram_jaccard_join, op7_warc, op8_url_filters, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_line_dedup, op4_secret_scans, op5_benchmark_decontamination,
+                                   op6_ngram_jaccard_join, op7_warc, op8_url_filters, op9_license_scans,
+                                   op10_best_fit_packing)}
 
 ORACLE_SQL = {
     "op7_warc": """
