@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, license_scan, line_dedup, ngram_join, packing, quality, secret_scan, urlfilter, warc
+from . import decontam, license_scan, line_dedup, ngram_join, packing, quality, secret_scan, topk, urlfilter, warc
 from .common import load, tokenizer_path
 
 
@@ -21,6 +21,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+def op3_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(load(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0, k=5)
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(load(spark, sf_dir, "documents"))
     of_kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
@@ -61,11 +65,21 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_line_dedup, op4_secret_scans, op5_benchmark_decontamination,
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_line_dedup, op3_exact_topk_search, op4_secret_scans, op5_benchmark_decontamination,
                                    op6_ngram_jaccard_join, op7_warc, op8_url_filters, op9_license_scans,
                                    op10_best_fit_packing)}
 
 ORACLE_SQL = {
+    "op3_exact_topk_search": """
+        WITH v AS (
+            SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op7_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest FROM pages),
         f AS (SELECT digest, min(page_id) AS first_id FROM p WHERE strlen(html) >= 100 GROUP BY digest)
