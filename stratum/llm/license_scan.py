@@ -49,7 +49,7 @@ FAMILIES = [
     Family("lgpl", "library general", "(?:gnu )?library general public", "lgpl"),
     Family("agpl", "affero", "(?:gnu )?affero general public", r"agpl \d(?: \d)?(?: only| or later)?"),
     Family("gfdl", "free documentation", "(?:gnu )?free documentation", r"gfdl \d(?: \d)?"),
-    Family("bsd", "bsd", r"(?:(?:new|modified|revised|simplified|original|free|[234] clause|two clause|three clause) )?bsd",
+    Family("bsd", "bsd", r"(?:(?:new|modified|revised|simplified|original|free|[234] clause|two clause|three clause) )?bsd(?: [0234] clause)?",
            r"bsd \d clause"),
     Family("isc", "isc", "isc", "isc"),
     Family("mpl", "mozilla", "mozilla public", r"mpl \d \d"),

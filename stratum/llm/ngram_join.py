@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, row_groups, text_buffer, written
+from .common import arrow_udf, map_arrow, row_groups, text_buffer, written
 from .words import mix, windows, words
 
 N, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.999, 64
@@ -226,6 +226,14 @@ def near_duplicates(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, r
     ``rep_id``: the smallest doc_id with the same n-gram set. ``class_id``: the smallest doc_id of the group
     of near duplicates (connected by links). ``n_links``: how many other rows are linked to it, copies
     included."""
+    rest = (docs.filter("doc_id IS NULL").select(F.col("doc_id").cast("long").alias("doc_id"))
+            .selectExpr("doc_id", "cast(null AS long) AS class_id", "cast(null AS long) AS rep_id",
+                        "cast(null AS long) AS n_links"))
+    return _judged(docs, n, threshold, recall).drop("key").unionByName(rest)
+
+
+def _judged(docs: DataFrame, n: int, threshold: float, recall: float) -> DataFrame:
+    """(doc_id, key, class_id, rep_id, n_links) of every row with a doc_id."""
     bands, rows = choose_bands(threshold, recall)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = own.filter("doc_id IS NOT NULL")
@@ -268,16 +276,22 @@ def near_duplicates(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, r
     verdict = written(placed.join(smallest, "root")
                       .select("key", "class_id", "rep_id", (F.col("links") + F.col("copies") - 1).alias("n_links")),
                       "verdict")
-    rest = (own.filter("doc_id IS NULL").select("doc_id")
-            .selectExpr("doc_id", "cast(null AS long) AS class_id", "cast(null AS long) AS rep_id",
-                        "cast(null AS long) AS n_links"))
-    return (signed.select("doc_id", "key").join(verdict, "key").select("doc_id", "class_id", "rep_id", "n_links")
-            .unionByName(rest))
+    return signed.select("doc_id", "key").join(verdict, "key").select("doc_id", "key", "class_id", "rep_id", "n_links")
+
+
+def _key_udf(n: int):
+    @arrow_udf("binary")
+    def key(text: pa.Array) -> pa.Array:
+        return pa.array([xxhash.xxh3_128_digest(grams[first[k]:first[k + 1]].tobytes())
+                         for i, j, grams, first in _ngram_sets(text, n) for k in range(j - i)], pa.binary())
+    return key
 
 
-def one_of_each(docs: DataFrame, **how) -> DataFrame:
+def one_of_each(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """Pipeline stage: the rows of ``docs``, all columns, whose doc_id is the smallest of its group of near
-    duplicates; rows without a doc_id stay."""
-    lost = (near_duplicates(docs, **how).filter("doc_id <> class_id")
-            .select(F.col("doc_id").alias("__lost")).distinct())
-    return docs.join(lost, docs["doc_id"] == lost["__lost"], "left_anti")
+    duplicates. Rows without a doc_id stay; rows that repeat both doc_id and n-gram set stay or go together."""
+    lost = (_judged(docs, n, threshold, recall).filter("doc_id <> class_id")
+            .select(F.col("doc_id").alias("__lost"), F.col("key").alias("__lost_key")).distinct())
+    keyed = docs.withColumn("__key", _key_udf(n)(F.col("text")))
+    return (keyed.join(lost, (keyed["doc_id"] == lost["__lost"]) & (keyed["__key"] == lost["__lost_key"]), "left_anti")
+            .drop("__key"))

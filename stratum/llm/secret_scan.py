@@ -5,8 +5,8 @@ characters), ``access`` (AKIA keys of at least 16 characters), ``hex`` (at least
 
 The method adds ``markov`` spans: tokens of ``TOKEN`` that are likelier under a first-order Markov model of random
 strings than under one of ordinary identifiers, by ``MIN_RATIO`` nats over the whole token, and that overlap no base
-span. Both models are trained from labelled samples: ordinary are the words of ``MAX_TRAIN_DOCS`` documents (those with
-the smallest hashes of their ids) outside base spans; random are those documents' base spans and digests of their ids in
+span. Both models are trained from labelled samples: ordinary are the words that at least two of ``MAX_TRAIN_DOCS`` documents
+(those with the smallest hashes of their ids) have outside base spans; random are those documents' base spans and digests of their ids in
 hexadecimal, base64 and capital letters and digits. Only the counts of character pairs, a table of fixed size, reach
 the driver; the log-likelihood ratios go back as one literal array.
 
@@ -33,6 +33,8 @@ MIN_VALUE = 8
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 MIN_RATIO = 12.0
 MAX_TRAIN_DOCS = 1000
+DIGESTS = 8
+BACK_OFF = 2.0
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 
@@ -73,13 +75,16 @@ def pair_ratios(docs: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> list[float]
            .orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(max_docs))
     sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
     plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.col("text"), ASSIGN, " "), ACCESS, " "), HEX, " ")
-    ordinary = sample.select(F.lit(0).alias("random"), F.explode(F.regexp_extract_all(plain, F.lit("[A-Za-z0-9+/_=-]{4,}"),
-                                                                                      F.lit(0))).alias("word"))
-    digest = F.sha2(F.col("doc_id").cast("string"), 512)
-    capitals = F.regexp_replace(F.upper(F.base64(F.unhex(digest))), "[^A-Z0-9]", "")
+    # a word of one document only may be a secret that no pattern knows; words that recur are ordinary
+    ordinary = (sample.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(
+        plain, F.lit("[A-Za-z0-9+/_=-]{4,}"), F.lit(0)))).alias("word"))
+        .groupBy("word").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
+        .select(F.lit(0).alias("random"), "word"))
+    digests = [F.regexp_replace(F.base64(F.unhex(F.sha2(F.concat_ws("/", F.col("doc_id").cast("string"), F.lit(str(k))), 512))),
+                                "[^A-Za-z0-9+/]", "") for k in range(DIGESTS)]
     random = sample.select(F.lit(1).alias("random"), F.explode(F.concat(
-        F.array(digest, F.regexp_replace(F.base64(F.unhex(digest)), "[^A-Za-z0-9+/=]", ""), capitals),
-        F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)),
+        F.array(*digests), F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)),
+        F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)),
         F.regexp_extract_all("text", F.lit(HEX), F.lit(0)))).alias("word"))
     pairs = (ordinary.union(random).filter(F.length("word") > 1)
              .select("random", F.split("word", "").alias("c"))
@@ -92,12 +97,14 @@ def pair_ratios(docs: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> list[float]
             counts[r["random"]][r["pair"]] = r["n"]
     if not all(counts):
         return None
-    out = []
-    for a in ALPHABET:
-        own = [{b: c.get(a + b, 0) + 0.5 for b in ALPHABET} for c in counts]
-        total = [sum(o.values()) for o in own]
-        out += [math.log(own[1][b] / total[1]) - math.log(own[0][b] / total[0]) for b in ALPHABET]
-    return out
+    once = [{b: sum(n for pair, n in c.items() if pair[1] == b) + 0.5 for b in ALPHABET} for c in counts]
+    logs = []
+    for c, o in zip(counts, once, strict=True):     # unseen pairs fall back on how common the second character is
+        every = sum(o.values())
+        before = {a: sum(n for pair, n in c.items() if pair[0] == a and pair[1] in o) for a in ALPHABET}
+        logs.append([math.log((c.get(a + b, 0) + BACK_OFF * o[b] / every) / (before[a] + BACK_OFF))
+                     for a in ALPHABET for b in ALPHABET])
+    return [r - o for o, r in zip(*logs, strict=True)]
 
 
 def markov_spans(text: Column, base: Column, ratios: list[float] | None) -> Column:
