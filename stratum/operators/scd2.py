@@ -15,11 +15,9 @@ Deleted or invalid source rows are filtered out before the join and therefore do
 from __future__ import annotations
 
 from collections.abc import Sequence
-from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType, LongType, TimestampNTZType, BooleanType
 
@@ -69,65 +67,48 @@ def empty_dimension(spark, spec: Scd2Spec, source_schema: StructType) -> DataFra
     return spark.createDataFrame([], StructType(fields))
 
 
-def scd2_apply(dim: DataFrame | None, source: DataFrame, spec: Scd2Spec, run_ts: Column,
-               sk_base: int | None = None) -> DataFrame:
-    """One SCD-2 run. ``source`` must already be filtered (valid, not deleted) and unique per key.
+def scd2_apply(dim: DataFrame | None, source: DataFrame, spec: Scd2Spec, run_ts: Column) -> DataFrame:
+    """One SCD-2 run over a whole dimension. ``source`` must already be filtered (valid, not deleted) and unique
+    per key.
 
-    ``dim=None`` starts an empty dimension. New versions get surrogate keys after the current
-    maximum (``sk_base``; computed from ``dim`` when not given), in natural-key order (M6).
+    ``dim=None`` starts an empty dimension. New versions get surrogate keys after the largest one in ``dim``, in
+    natural-key order (M6). For a part of a dimension use :func:`scd2_changes`, which has to be told the key base.
     """
-    return scd2_apply_counted(dim, source, spec, run_ts, sk_base)[0]
+    if dim is None:
+        return scd2_changes(None, source, spec, run_ts, 0)[0]
+    dim = dim.select(*spec.dim_cols)
+    current = dim.filter(F.col(spec.current_col))
+    changes, _ = scd2_changes(current, source, spec, run_ts, max_key(dim, spec.sk_col))
+    replaced = changes.filter(~F.col(spec.current_col)).select(spec.sk_col)
+    return dim.join(replaced, spec.sk_col, "left_anti").unionByName(changes)
 
 
-def scd2_apply_counted(dim: DataFrame | None, source: DataFrame, spec: Scd2Spec, run_ts: Column,
-                       sk_base: int | None = None,
-                       write: Callable[[DataFrame], DataFrame] | None = None,
-                       release: list | None = None) -> tuple[DataFrame, int]:
-    """:func:`scd2_apply` that also returns the key base for the next run (no extra scan).
+def scd2_changes(current: DataFrame | None, source: DataFrame, spec: Scd2Spec, run_ts: Column,
+                 sk_base: int) -> tuple[DataFrame, int]:
+    """The rows an SCD-2 run writes (versions it closes, versions it opens), and the key base of the next run.
 
-    With ``write`` (a function that commits a DataFrame and returns it read back) the join of current
-    rows and source is persisted while the new rows are keyed and the result is written, so the join
-    runs once instead of twice; the cache is released as soon as the result is committed. A caller
-    that writes the result itself passes ``release`` (a list) and calls what it receives after writing.
+    ``current`` holds the current rows of at least the source's keys; ``sk_base`` is the largest surrogate key the
+    whole dimension has handed out so far.
     """
-    spark = source.sparkSession
     attrs = spec.attr_cols
     src = source.select(*attrs)
-    if dim is None:
-        sk_base = 0 if sk_base is None else sk_base   # a bucket subset may be empty while keys exist elsewhere
-        dim = empty_dimension(spark, spec, src.schema)
-    dim = dim.select(*spec.dim_cols)
-    history = dim.filter(~F.col(spec.current_col))
-    current = dim.filter(F.col(spec.current_col))
-
+    if current is None:
+        current = empty_dimension(source.sparkSession, spec, src.schema)
     d = current.select(*[F.col(c).alias(_D + c) for c in spec.dim_cols], F.lit(True).alias("__d_present"))
-    s = src.select(*[F.col(c).alias(_S + c) for c in attrs], F.lit(True).alias("__s_present"))
+    s = src.select(*[F.col(c).alias(_S + c) for c in attrs])
     on = reduce(lambda a, b: a & b, [F.col(_D + k) == F.col(_S + k) for k in spec.keys])
-    j = d.join(s, on, "full_outer")
-    if write is not None or release is not None:
-        j = j.persist(StorageLevel.MEMORY_AND_DISK)
-        if release is not None:
-            release.append(j.unpersist)
-    dp, sp = F.col("__d_present").isNotNull(), F.col("__s_present").isNotNull()
-    changed = dp & sp & reduce(lambda a, b: a | b, [_differs(F.col(_S + c), F.col(_D + c), dflt)
-                                                     for c, dflt in spec.tracked.items()])
-
-    kept = j.filter(dp).select(
-        *[F.col(_D + c).alias(c) for c in [spec.sk_col, *attrs, spec.start_col]],
-        F.when(changed, run_ts).otherwise(F.col(_D + spec.end_col)).alias(spec.end_col),
-        F.when(changed, F.lit(False)).otherwise(F.col(_D + spec.current_col)).alias(spec.current_col),
-        F.col(_D + spec.loaded_col).alias(spec.loaded_col),
-        F.when(changed, run_ts).otherwise(F.col(_D + spec.updated_col)).alias(spec.updated_col))
-
-    opened = j.filter(sp & (~dp | changed)).select(*[F.col(_S + c).alias(c) for c in attrs])
-    base = sk_base if sk_base is not None else (0 if dim is None else max_key(dim, spec.sk_col))
-    opened, n_new = assign_surrogate_keys_counted(opened, [*spec.keys, *spec.order_extra], spec.sk_col, base=base)
+    j = s.join(d, on, "left")
+    dp = F.col("__d_present").isNotNull()
+    changed = dp & reduce(lambda a, b: a | b, [_differs(F.col(_S + c), F.col(_D + c), dflt)
+                                               for c, dflt in spec.tracked.items()])
+    closed = j.filter(changed).select(
+        *[F.col(_D + c).alias(c) for c in [spec.sk_col, *attrs, spec.start_col]], run_ts.alias(spec.end_col),
+        F.lit(False).alias(spec.current_col), F.col(_D + spec.loaded_col).alias(spec.loaded_col),
+        run_ts.alias(spec.updated_col))
+    opened = j.filter(~dp | changed).select(*[F.col(_S + c).alias(c) for c in attrs])
+    opened, n_new = assign_surrogate_keys_counted(opened, [*spec.keys, *spec.order_extra], spec.sk_col, base=sk_base)
     opened = opened.select(
         spec.sk_col, *attrs, run_ts.alias(spec.start_col), ts_literal(OPEN_END).alias(spec.end_col),
         F.lit(True).alias(spec.current_col), run_ts.alias(spec.loaded_col),
         F.lit(None).cast("timestamp_ntz").alias(spec.updated_col))
-    result = history.unionByName(kept).unionByName(opened)
-    if write is not None:
-        result = write(result)
-        j.unpersist()
-    return result, base + n_new
+    return closed.unionByName(opened), sk_base + n_new

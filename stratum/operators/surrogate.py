@@ -1,20 +1,19 @@
 """M6: dense surrogate keys assigned in parallel, in natural-key order.
 
 There is no identity column on parquet tables and a global ``row_number()`` would run in a single
-task. Instead: range-partition the new rows by the order columns, sort inside each partition and
-materialise that layout with a reliable checkpoint (partition contents must not change between
-counting and numbering). The per-partition row counts (one number per partition, so bounded by the
-partition count, not the data) give each partition its starting offset; inside a partition the
+task. Instead: range-partition the new rows by the order columns, sort inside each partition and write
+that layout, with each row's partition number and position, to shared storage (it must not change
+between counting and numbering). The per-partition row counts (one number per partition, so bounded by the
+partition count, not the data) give each partition its starting offset, joined by partition number; the
 position comes from ``monotonically_increasing_id``. The result equals
 ``base + row_number() OVER (ORDER BY order_cols)`` without funnelling rows through one task.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from itertools import chain
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stratum.session import ensure_checkpoint_dir
@@ -35,27 +34,26 @@ def assign_surrogate_keys_counted(df: DataFrame, order_cols: Sequence[str | Colu
                                   base: int = 0, num_partitions: int | None = None) -> tuple[DataFrame, int]:
     """As :func:`assign_surrogate_keys`, also returning how many keys were handed out."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     # Without an explicit count AQE may coalesce *adjacent* range partitions, which keeps the global
     # order: a handful of new rows no longer costs hundreds of tasks, a large batch keeps its parallelism.
     ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
-    staged = ranged.sortWithinPartitions(*order).persist(StorageLevel.MEMORY_AND_DISK)
-    # persisted first, so the checkpoint write reads the blocks instead of recomputing the plan;
-    # from here on the checkpoint files alone define the layout (fault tolerant).
-    laid_out = staged.checkpoint(eager=True)
-    staged.unpersist()
-    counts = sorted((r[0], r[1]) for r in
-                    laid_out.groupBy(F.spark_partition_id().alias("pid")).count().collect())
-    offsets, running = {}, 0
-    for pid, cnt in counts:
-        offsets[pid] = running
-        running += cnt
     pid = F.spark_partition_id()
-    if offsets:
-        offset = F.create_map(*chain.from_iterable((F.lit(p), F.lit(o)) for p, o in offsets.items()))[pid]
-    else:
-        offset = F.lit(0)
-    position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    sk = (F.lit(base).cast("long") + offset.cast("long") + position + 1).alias(sk_col)
-    return laid_out.select(sk, *[F.col(c) for c in df.columns if c != sk_col]), running
+    numbered = ranged.sortWithinPartitions(*order).select(
+        *[c for c in df.columns if c != sk_col], pid.alias("__pid"),
+        (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias("__pos"))
+    # written once: a partition's number and its rows' positions come from one committed task attempt
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/keys/{uuid.uuid4().hex}"
+    numbered.write.parquet(path)
+    laid_out = spark.read.schema(numbered.schema).parquet(path)
+    counts = sorted(laid_out.groupBy("__pid").count().collect())    # one row per partition
+    offsets, running = [], 0
+    for part, n in counts:
+        offsets.append((part, running))
+        running += n
+    if not offsets:
+        return laid_out.select(F.lit(None).cast("long").alias(sk_col), *[c for c in df.columns if c != sk_col]), 0
+    starts = spark.createDataFrame(offsets, "__p int, __offset long")
+    sk = (F.lit(base).cast("long") + F.col("__offset") + F.col("__pos") + 1).alias(sk_col)
+    return (laid_out.join(F.broadcast(starts), F.col("__pid") == F.col("__p"))      # one row per partition
+            .select(sk, *[F.col(c) for c in df.columns if c != sk_col])), running

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stratum import functions as X
 from stratum.functions.temporal import ts_literal
 from stratum.operators.calendar import date_dimension
-from stratum.operators.dedup import dedup_latest
 from stratum.operators.merge import fact_merge
 from stratum.operators.surrogate import assign_surrogate_keys_counted
 from stratum.plans import feeds, specs
@@ -79,8 +78,8 @@ def fact_source(insights: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
           .join(cur["campaign"].select("campaign_id", "dim_campaign_sk"), "campaign_id", "left")
           .join(cur["ad_account"].select(F.col("account_id").alias("ad_account_id"), "dim_ad_account_sk"),
                 "ad_account_id", "left"))
-    latest = dedup_latest(j, ["ad_id", "date_start", "date_stop"], ["audit_updated_at"])
-    return latest.select("dim_ad_account_sk", "dim_campaign_sk", "dim_adset_sk", "dim_ad_sk", "ad_id", "adset_id",
+    # insights are unique by (ad, start, stop), the Silver key, and every dimension has one current row per key
+    return j.select("dim_ad_account_sk", "dim_campaign_sk", "dim_adset_sk", "dim_ad_sk", "ad_id", "adset_id",
                          "campaign_id", "ad_account_id", F.col("date_start").alias("date_start_id"),
                          F.col("date_stop").alias("date_stop_id"), "impressions", "reach", "clicks", "spend", "cpc",
                          "cpm", "ctr", "actions_raw")

@@ -41,8 +41,8 @@ def dim_contact_source(silver: DataFrame) -> DataFrame:
 def contact_dims(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """DIM_CONTACT after each run (SCD-2 over the Silver snapshot of that run)."""
     def build():
-        # Gold is fed the change rows of each Silver run (read from the rewritten buckets only), and
-        # each SCD-2 run rewrites only the dimension buckets of those keys.
+        # Gold is fed the change rows of each Silver run, and each SCD-2 run writes only the versions of
+        # those keys that it closes or opens.
         silver = contact_silver(spark, sf_dir)
         sources = [(dim_contact_source(silver.changed_rows(i)), run_ts(i + 1)) for i in range(len(silver))]
         return scd2_runs(spark, specs.DIM_CONTACT, sources, "dim_contact")
@@ -118,8 +118,8 @@ def fact_event_source(events: DataFrame, dim_contact: DataFrame, dim_policy: Dat
     dp = dim_policy.filter("is_current").select("policy_id", "dim_policy_sk")
     dl = dim_plan.filter("is_current").select("plan_id_key", "dim_plan_sk")
     joined = (e.join(dc, "contact_id", "left").join(dp, "policy_id", "left").join(dl, "plan_id_key", "left"))
-    latest = dedup_latest(joined, ["event_uuid"], ["audit_updated_at"])
-    return latest.select(*[F.to_date("event_date").alias(c) if c == "event_date_id" else F.col(c)
+    # events are unique by event_uuid (the Silver key) and every dimension has one current row per key
+    return joined.select(*[F.to_date("event_date").alias(c) if c == "event_date_id" else F.col(c)
                            for c in FACT_EVENT_COLS])
 
 

@@ -48,13 +48,20 @@ class SilverSpec:
         return spark.createDataFrame([], StructType(fields))
 
     def merge(self, target: DataFrame | None, raw: DataFrame, run_ts: Column) -> DataFrame:
-        src = self.prepare(raw, run_ts)
+        return self.merge_prepared(target, self.prepare(raw, run_ts), run_ts)
+
+    def merge_prepared(self, target: DataFrame | None, src: DataFrame, run_ts: Column) -> DataFrame:
         if target is None:  # first load: only the insert clause can fire
             return insert_into_empty(src, self.keys, columns=self.columns, run_ts=run_ts,
                                      loaded_col=self.loaded_col, updated_col=self.updated_col)
         return scd1_merge(target, src, self.keys, update_cols=self.update_cols, insert_cols=self.columns,
                           run_ts=run_ts, loaded_col=self.loaded_col, updated_col=self.updated_col)
 
+    def changed_by(self, run_ts: Column) -> Column:
+        """Rows that the run at ``run_ts`` inserted or updated."""
+        return F.coalesce(F.col(self.loaded_col) == run_ts, F.lit(False)) | \
+            F.coalesce(F.col(self.updated_col) == run_ts, F.lit(False))
+
 
 def _batch(n) -> Column:
     return F.concat(F.lit("batch-"), F.lit(n).cast("string") if isinstance(n, int) else n.cast("string"))

@@ -11,9 +11,11 @@ from __future__ import annotations
 import threading
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stratum.operators.scd2 import scd2_changes
 from stratum.session import ensure_checkpoint_dir
 
 _MEMO: dict[tuple, object] = {}
@@ -30,70 +32,66 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-# Session setting: hash buckets of a Silver table (size it so one bucket is a few hundred MB).
-SILVER_BUCKETS_CONF = "stratum.silver.buckets"
-
-
 class SilverHistory(list):
-    """Snapshots of a Silver table after each run (a list), plus the change rows of each run."""
+    """Snapshots of a Silver table after each run (a list), the change rows of each run and the rows set aside."""
 
-    def __init__(self, snapshots, table, keys):
+    def __init__(self, snapshots, table, spec=None, batches=()):
         super().__init__(snapshots)
-        self.table, self.keys = table, list(keys)
+        self.table, self.spec, self.batches = table, spec, list(batches)
 
     def changed_rows(self, run_index: int) -> DataFrame:
-        """Rows inserted or updated by run ``run_index`` (T4/T5), read from the rewritten buckets only."""
-        from stratum.operators.change_feed import change_feed, inserts_only
-        before, after = self.table.changes(run_index)
-        if after is None:
-            return self[run_index].limit(0)
-        if before is None:
-            return after
-        return inserts_only(change_feed(before, after, self.keys)).drop("metadata_action", "metadata_is_update")
-
-
-def silver_runs(spark: SparkSession, spec, batches: list[tuple[DataFrame, object]], name: str) -> SilverHistory:
-    """Apply a Silver spec to successive batches on a key-bucketed copy-on-write table.
-
-    Each run rewrites only the buckets its batch touches (version = run number - 1); the result holds
-    the table as of each run (older versions stay readable, which the history reports use) and can
-    produce each run's change rows for Gold.
+        """Rows inserted or updated by run ``run_index`` (T4/T5): exactly what its commit wrote."""
+        return self.table.changes(run_index)
+
+    def quarantined(self) -> DataFrame:
+        """Records of all batches whose key has a NULL part; no merge takes them in."""
+        return reduce(DataFrame.unionByName, [self.spec.quarantine(raw, ts) for raw, ts in self.batches])
+
+
+def _new_table(spark: SparkSession, name: str, keys, root: str | None = None):
+    from stratum.sources.snapshots import ChangeTable
+    if root is None:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+        _CREATED.append((spark, root))
+    return ChangeTable(spark, root, list(keys))
+
+
+def silver_runs(spark: SparkSession, spec, batches: list[tuple[DataFrame, object]], name: str,
+                root: str | None = None) -> SilverHistory:
+    """Apply a Silver spec to successive batches; each run writes only the rows it inserts or updates.
+
+    Version = run number - 1. The result holds the table as of each run (earlier versions stay readable, which
+    the history reports use) and each run's change rows for Gold. With ``root`` the table lives there: runs that
+    it has already committed are not repeated.
     """
-    from stratum.sources.snapshots import BucketedTable
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    _CREATED.append((spark, root))
-    table = BucketedTable(spark, root, list(spec.keys), int(spark.conf.get(SILVER_BUCKETS_CONF, "16")))
-    snaps = []
+    table = _new_table(spark, name, spec.keys, root)
     for version, (raw, run_ts) in enumerate(batches):
-        table.merge(raw, lambda target, src, ts=run_ts: spec.merge(target, src, ts), version=version)
-        snaps.append(table.read())
-    return SilverHistory(snaps, table, spec.keys)
+        last = table.last_commit()
+        if last is None or version > last:
+            table.merge(spec.prepare(raw, run_ts), lambda target, src, ts=run_ts: spec.merge_prepared(target, src, ts),
+                        changed=spec.changed_by(run_ts), version=version)
+    return SilverHistory([table.read(v) for v in range(len(batches))], table, spec, batches)
 
 
-def scd2_runs(spark: SparkSession, spec, sources: list[tuple[DataFrame, object]], name: str) -> list[DataFrame]:
-    """SCD-2 runs on a key-bucketed copy-on-write dimension.
+def scd2_runs(spark: SparkSession, spec, sources: list[tuple[DataFrame, object]], name: str,
+              root: str | None = None) -> list[DataFrame]:
+    """SCD-2 runs on a dimension stored as its changes: a run writes the versions it closes and opens.
 
-    Fed with change rows (T7), a run reads and rewrites only the buckets of keys that changed;
-    the surrogate-key base is carried across runs, so keys stay unique over all buckets.
+    Fed with change rows (T7), a run reads the current rows of their keys only. The largest surrogate key is
+    part of each commit, so a later process goes on from there.
     """
-    from stratum.operators.scd2 import scd2_apply_counted
-    from stratum.sources.snapshots import BucketedTable
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    _CREATED.append((spark, root))
-    table = BucketedTable(spark, root, list(spec.keys), int(spark.conf.get(SILVER_BUCKETS_CONF, "16")))
-    base = [0]
-    snaps = []
+    table = _new_table(spark, name, [spec.sk_col], root)
     for version, (source, run_ts) in enumerate(sources):
-        release: list = []
-
-        def apply(target, changes, ts=run_ts):
-            dim, base[0] = scd2_apply_counted(target, changes, spec, ts, base[0], release=release)
-            return dim
-        table.merge(source, apply, version=version)
-        for free in release:          # the join stayed cached until the table wrote the run
-            free()
-        snaps.append(table.read())
-    return snaps
+        last = table.last_commit()
+        if last is not None and version <= last:
+            continue
+        dim = table.read()
+        current = None
+        if dim is not None:
+            current = dim.filter(F.col(spec.current_col)).join(source.select(*spec.keys), list(spec.keys), "left_semi")
+        rows, base = scd2_changes(current, source, spec, run_ts, table.meta().get("sk_base", 0))
+        table.commit(rows, version, meta={"sk_base": base})
+    return [table.read(v) for v in range(len(sources))]
 
 
 def memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):

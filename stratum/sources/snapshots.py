@@ -10,7 +10,13 @@ File listing goes through the Hadoop FileSystem of the path, so it works on any
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+from functools import reduce
+
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 class SnapshotTable:
@@ -62,128 +68,129 @@ class SnapshotTable:
         df.write.mode("overwrite").parquet(target)
 
 
-class BucketedTable:
-    """Copy-on-write table hash-bucketed by key, for MERGE whose cost follows the batch, not the table.
+class ChangeTable:
+    """Keyed table stored as its changes: a commit writes only the rows that it inserts or replaces.
 
-    Layout: ``<root>/b=<bucket>/v=<version>/`` data and ``<root>/_commits/<version>`` markers. A bucket's
-    current data is its newest version at or below the last committed version. A merge reads only
-    the buckets its source touches (their number is bounded by ``num_buckets``, so the list of
-    touched buckets is small enough for the driver), rewrites exactly those buckets as the next
-    version in one job, moves them into place and then writes the commit marker. Readers never see
-    a half-applied merge; a crash before the marker leaves the version invisible, and re-running it
-    overwrites the uncommitted directories.
+    Layout: ``<root>/v=<version>/`` the rows of a commit, ``<root>/base=<version>/`` a compacted whole table, and
+    ``<root>/_commits/<version>.json`` the manifest of a commit: which base and which changes make up the table,
+    and the caller's ``meta`` (such as the last surrogate key). Data are written to their final place and never
+    moved; a version exists once its manifest does, so a crash before that leaves it invisible and running it again
+    overwrites what was left. The latest row of a key wins. After ``max_changes`` commits the next one also writes a
+    new base, so a read merges a bounded number of changes.
 
     One writer per table (the pipeline run or the stream's ``foreachBatch``); readers are unlimited.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys: list[str], num_buckets: int = 64):
-        self.spark, self.root, self.keys, self.n = spark, root.rstrip("/"), list(keys), num_buckets
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
+    def __init__(self, spark: SparkSession, root: str, keys: list[str], max_changes: int = 8):
+        self.spark, self.root, self.keys, self.max_changes = spark, root.rstrip("/"), list(keys), max_changes
+        self._jvm = spark.sparkContext._jvm
+        self._Path = self._jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def bucket(self):
-        from pyspark.sql import functions as F
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.n)).cast("int")
-
-    def last_commit(self) -> int | None:
+    def _versions(self) -> list[int]:
         p = self._Path(f"{self.root}/_commits")
         if not self._fs.exists(p):
+            return []
+        names = [s.getPath().getName() for s in self._fs.listStatus(p)]
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def last_commit(self) -> int | None:
+        versions = self._versions()
+        return versions[-1] if versions else None
+
+    def manifest(self, as_of: int | None = None) -> dict | None:
+        versions = [v for v in self._versions() if as_of is None or v <= as_of]
+        if not versions:
+            return None
+        stream = self._fs.open(self._Path(f"{self.root}/_commits/{versions[-1]}.json"))
+        try:
+            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def meta(self) -> dict:
+        m = self.manifest()
+        return m["meta"] if m else {}
+
+    def _write_manifest(self, version: int, manifest: dict) -> None:
+        final = self._Path(f"{self.root}/_commits/{version}.json")
+        temp = self._Path(f"{self.root}/_commits/_{version}.{uuid.uuid4().hex}")
+        out = self._fs.create(temp)
+        out.write(json.dumps(manifest).encode("utf-8"))
+        out.close()
+        if self._fs.exists(final) or not self._fs.rename(temp, final):
+            self._fs.delete(temp, False)
+            raise RuntimeError(f"version {version} of {self.root} could not be committed")
+
+    def read(self, as_of: int | None = None) -> DataFrame | None:
+        """The table as of the last commit, or as of version ``as_of``; None before the first commit."""
+        return self._assemble(self.manifest(as_of))
+
+    def _assemble(self, m: dict | None) -> DataFrame | None:
+        if m is None:
+            return None
+        parts = [(-1, f"{self.root}/base={m['base']}")] if m["base"] is not None else []
+        parts += [(v, f"{self.root}/v={v}") for v in m["changes"]]
+        frames = [self.spark.read.parquet(path).withColumn("__v", F.lit(v)) for v, path in parts]
+        if len(frames) == 1:
+            return frames[0].drop("__v")
+        latest = Window.partitionBy(*self.keys).orderBy(F.col("__v").desc())
+        rows = reduce(DataFrame.unionByName, frames).withColumn("__n", F.row_number().over(latest))
+        return rows.filter("__n = 1").drop("__v", "__n")
+
+    def changes(self, version: int) -> DataFrame | None:
+        """The rows that commit ``version`` inserted or replaced."""
+        if version not in self._versions():
             return None
-        done = [int(s.getPath().getName()) for s in self._fs.listStatus(p) if s.getPath().getName().isdigit()]
-        return max(done) if done else None
+        return self.spark.read.parquet(f"{self.root}/v={version}")
 
-    def _bucket_paths(self, buckets: set[int] | None = None, as_of: int | None = None) -> dict[int, str]:
-        last = self.last_commit()
-        out: dict[int, str] = {}
-        if last is None:
-            return out
-        if as_of is not None:
-            last = min(last, as_of)
-        for st in self._fs.listStatus(self._Path(self.root)):
-            name = st.getPath().getName()
-            if not name.startswith("b="):
-                continue
-            b = int(name[2:])
-            if buckets is not None and b not in buckets:
-                continue
-            versions = [int(v.getPath().getName()[2:]) for v in self._fs.listStatus(st.getPath())
-                        if v.getPath().getName().startswith("v=")]
-            versions = [v for v in versions if v <= last]
-            if versions:
-                out[b] = f"{self.root}/{name}/v={max(versions)}"
-        return out
-
-    def read(self, buckets: set[int] | None = None, schema=None, as_of: int | None = None) -> DataFrame | None:
-        """The table (or some of its buckets) as of the last commit, or as of version ``as_of``."""
-        paths = self._bucket_paths(buckets, as_of)
-        if not paths:
-            return None if schema is None else self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(*paths.values())
-
-    def buckets_written(self, version: int) -> set[int]:
-        """Buckets that ``version`` rewrote (directory listing only)."""
-        out = set()
-        for st in self._fs.listStatus(self._Path(self.root)):
-            name = st.getPath().getName()
-            if name.startswith("b=") and self._fs.exists(self._Path(st.getPath(), f"v={version}")):
-                out.add(int(name[2:]))
-        return out
-
-    def changes(self, version: int) -> tuple[DataFrame | None, DataFrame | None]:
-        """(before, after) of the buckets ``version`` rewrote: diffing them finds the changed rows at
-        the cost of the batch, not of the table."""
-        touched = self.buckets_written(version)
-        if not touched:
-            return None, None
-        before = self.read(touched, as_of=version - 1) if version > 0 else None
-        return before, self.read(touched, as_of=version)
-
-    def _drop_uncommitted(self, last: int | None) -> None:
-        """Remove version folders above the last commit: leftovers of an attempt that failed before its
-        marker. A retry may touch other buckets, so they must not survive to be committed with it."""
-        root = self._Path(self.root)
-        if not self._fs.exists(root):
-            return
-        for st in self._fs.listStatus(root):
-            if not st.getPath().getName().startswith("b="):
-                continue
-            for v in self._fs.listStatus(st.getPath()):
-                name = v.getPath().getName()
-                if name.startswith("v=") and (last is None or int(name[2:]) > last):
-                    self._fs.delete(v.getPath(), True)
-
-    def merge(self, source: DataFrame, merge_fn, version: int | None = None) -> int:
-        """``merge_fn(target_subset_or_None, source) -> rows of the touched buckets``; returns the version."""
-        from pyspark.sql import functions as F
+    def commit(self, rows: DataFrame, version: int | None = None, meta: dict | None = None) -> int:
+        """Write ``rows`` (inserted or replacing the row of the same key) as ``version``; a version that is
+        already committed is left alone (replay)."""
         last = self.last_commit()
         version = (0 if last is None else last + 1) if version is None else version
         if last is not None and version <= last:
-            return version  # replay of a committed merge
-        self._drop_uncommitted(last)
-        from pyspark import StorageLevel
-        cached = last is not None
-        if cached:
-            # the batch is read twice (touched buckets, then the merge): compute it once
-            source = source.persist(StorageLevel.MEMORY_AND_DISK)
-            touched = {r[0] for r in source.select(self.bucket().alias("__b")).distinct().collect()}
-            target = self.read(touched)
-        else:
-            target = None  # first load: nothing to read back, no bucket list needed
-        merged = merge_fn(target, source).withColumn("__b", self.bucket())
-        staging = f"{self.root}/_staging/v={version}"
-        merged.write.mode("overwrite").partitionBy("__b").parquet(staging)
-        if cached:
+            return version
+        had = self.manifest() or {"base": None, "changes": [], "meta": {}}
+        rows.write.mode("overwrite").parquet(f"{self.root}/v={version}")
+        new = {"base": had["base"], "changes": [*had["changes"], version], "meta": {**had["meta"], **(meta or {})}}
+        if len(new["changes"]) > self.max_changes:
+            self._assemble(new).write.mode("overwrite").parquet(f"{self.root}/base={version}")
+            new |= {"base": version, "changes": []}
+        self._write_manifest(version, new)
+        return version
+
+    def merge(self, source: DataFrame, merge_fn, changed: Column, version: int | None = None) -> int:
+        """``merge_fn(rows of the table with keys of source or None, source)`` gives those keys' new rows; only
+        those with ``changed`` are written. ``source`` has at most one row per key."""
+        last = self.last_commit()
+        if version is not None and last is not None and version <= last:
+            return version
+        target = self.read()
+        if target is None:
+            return self.commit(merge_fn(None, source), version)
+        # the batch is read twice (its keys, then its rows): computed once
+        source = source.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            held = target.join(source.select(*self.keys), self.keys, "left_semi")
+            return self.commit(merge_fn(held, source).filter(F.coalesce(changed, F.lit(False))), version)
+        finally:
             source.unpersist()
-        for st in self._fs.listStatus(self._Path(staging)):
+
+    def expire(self, keep: int = 2) -> int:
+        """Delete manifests before the last ``keep`` and the data no kept manifest names; returns how many folders."""
+        versions = self._versions()
+        old, kept = versions[:-keep], versions[-keep:]
+        wanted = set()
+        for v in kept:
+            m = self.manifest(v)
+            wanted |= {f"v={c}" for c in [*m["changes"], v]} | {f"base={m['base']}"}
+        for v in old:
+            self._fs.delete(self._Path(f"{self.root}/_commits/{v}.json"), False)
+        gone = 0
+        for st in self._fs.listStatus(self._Path(self.root)):
             name = st.getPath().getName()
-            if not name.startswith("__b="):
-                continue
-            dest = self._Path(f"{self.root}/b={name[4:]}/v={version}")
-            if self._fs.exists(dest):
-                self._fs.delete(dest, True)
-            self._fs.mkdirs(dest.getParent())
-            self._fs.rename(st.getPath(), dest)
-        self._fs.delete(self._Path(staging), True)
-        self._fs.create(self._Path(f"{self.root}/_commits/{version}")).close()
-        return version
+            kind, _, number = name.partition("=")
+            if kind in ("v", "base") and name not in wanted and versions and int(number) <= versions[-1]:
+                gone += bool(self._fs.delete(st.getPath(), True))
+        return gone

@@ -67,17 +67,17 @@ class MergeSink:
         self.table.publish(self.merge(prev, batch, self.run_ts_for(batch_id)), version=batch_id)
 
 
-class BucketedMergeSink:
-    """``foreachBatch`` target for a :class:`BucketedTable`: each micro-batch rewrites only the key
-    buckets it touches, as version ``batch_id`` (a replayed batch id is a no-op)."""
+class TableMergeSink:
+    """``foreachBatch`` target for a :class:`ChangeTable`: a micro-batch writes the rows it changes, as version
+    ``batch_id`` (a replayed batch id is a no-op)."""
 
-    def __init__(self, table, merge: Callable[[DataFrame | None, DataFrame, Column], DataFrame],
-                 run_ts_for: Callable[[int], Column]):
-        self.table, self.merge, self.run_ts_for = table, merge, run_ts_for
+    def __init__(self, table, spec, run_ts_for: Callable[[int], Column]):
+        self.table, self.spec, self.run_ts_for = table, spec, run_ts_for
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        run_ts = self.run_ts_for(batch_id)
-        self.table.merge(batch, lambda target, src: self.merge(target, src, run_ts), version=batch_id)
+        ts = self.run_ts_for(batch_id)
+        self.table.merge(self.spec.prepare(batch, ts), lambda target, src: self.spec.merge_prepared(target, src, ts),
+                         changed=self.spec.changed_by(ts), version=batch_id)
 
 
 def stream_merge(spark: SparkSession, bronze_dir: str, schema: StructType, sink: MergeSink,

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from stratum.functions.temporal import ts_literal
@@ -82,8 +84,23 @@ def test_point_in_time_edges(spark):
     assert sorted((r["k"], r["name"]) for r in j.collect()) == [(1, "a"), (1, "b"), (2, None)]
 
 
-def test_bucketed_scd2_keys_stay_unique_across_buckets(spark):
-    """A run touching only empty buckets must continue the key sequence, not restart it."""
+def test_keys_go_on_after_a_restart(spark, tmp_path):
+    """The key base is part of each commit: a process that opens the table again goes on from there."""
+    from stratum.operators.scd2 import scd2_changes
+    from stratum.plans.state import scd2_runs
+    src = lambda rows: spark.createDataFrame(rows, SRC)
+    runs = [(src([(k, "a", 1, "x") for k in range(100)]), ts_literal(R1)), (src([(5000, "n", 1, "x")]), ts_literal(R2)),
+            (src([(7, "changed", 1, "x")]), ts_literal(R3))]
+    for n in (1, 2, 3):                       # each call is a new table object on the same folder
+        snaps = scd2_runs(spark, SPEC, runs[:n], "t", root=str(tmp_path / "dim"))
+    sks = sorted(r["sk"] for r in snaps[-1].collect())
+    assert sks == list(range(1, 103))
+    with pytest.raises(TypeError):            # a part of a dimension needs the key base
+        scd2_changes(snaps[-1].filter("is_current").limit(0), runs[0][0], SPEC, ts_literal(R3))
+
+
+def test_scd2_keys_stay_unique_over_runs(spark):
+    """A run that meets only unknown keys continues the key sequence, it does not restart it."""
     from stratum.plans.state import scd2_runs
     src = lambda rows: spark.createDataFrame(rows, SRC)
     snaps = scd2_runs(spark, SPEC, [(src([(1, "a", 1, "x")]), ts_literal(R1)),

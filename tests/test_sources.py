@@ -2,6 +2,9 @@
 
 import os
 
+import pytest
+
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from stratum.sources import (SnapshotTable, infer_schema, load_by_name, load_csv_with_quarantine, normalize_name,
@@ -80,62 +83,83 @@ def test_stage_inventory_and_cleanup(spark, tmp_path):
     assert remove_files(spark, [a]) == 1 and not os.path.exists(a) and os.path.exists(tmp_path / "x2.csv")
 
 
-def test_bucketed_merge_rewrites_only_touched_buckets(spark, tmp_path):
+MERGE_COLS = ["k", "v", "audit_updated_at", "is_deleted"]
+MERGE_SCHEMA = "k long, v string, audit_updated_at timestamp_ntz, is_deleted boolean"
+
+
+def run_merge(table, rows, day, version=None):
+    """One SCD-1 run of ``rows`` (k, v, audit day, deleted) on a ChangeTable at 2024-02-``day``."""
     import datetime as dt
+    from pyspark.sql import functions as F
     from stratum.functions.temporal import ts_literal
     from stratum.operators import scd1_merge
     from stratum.operators.merge import insert_into_empty
-    from stratum.sources.snapshots import BucketedTable
-
-    cols = ["k", "v", "audit_updated_at", "is_deleted"]
-    run = ts_literal("2024-02-01 00:00:00")
+    ts = ts_literal(f"2024-02-{day:02d} 00:00:00")
 
     def merge(target, src):
         if target is None:
-            return insert_into_empty(src, ["k"], columns=cols, run_ts=run)
-        return scd1_merge(target, src, ["k"], update_cols=cols[1:], insert_cols=cols, run_ts=run)
-
-    t = BucketedTable(spark, str(tmp_path / "bt"), ["k"], num_buckets=16)
-    b1 = spark.createDataFrame([(k, "a", dt.datetime(2024, 1, 1), False) for k in range(200)],
-                               "k long, v string, audit_updated_at timestamp_ntz, is_deleted boolean")
-    assert t.merge(b1, merge) == 0 and t.read().count() == 200
-    b2 = spark.createDataFrame([(5, "b", dt.datetime(2024, 1, 2), False), (500, "c", dt.datetime(2024, 1, 2), False)],
-                               b1.schema)
-    assert t.merge(b2, merge) == 1
+            return insert_into_empty(src, ["k"], columns=MERGE_COLS, run_ts=ts)
+        return scd1_merge(target, src, ["k"], update_cols=MERGE_COLS[1:], insert_cols=MERGE_COLS, run_ts=ts)
+
+    source = table.spark.createDataFrame([(k, v, dt.datetime(2024, 1, d), gone) for k, v, d, gone in rows], MERGE_SCHEMA)
+    changed = (F.col("silver_loaded_at") == ts) | (F.col("silver_updated_at") == ts)
+    return table.merge(source, merge, changed, version)
+
+
+def test_change_table_writes_only_changed_rows(spark, tmp_path):
+    from stratum.sources.snapshots import ChangeTable
+    t = ChangeTable(spark, str(tmp_path / "bt"), ["k"])
+    assert t.read() is None and run_merge(t, [(k, "a", 1, False) for k in range(20_000)], 1) == 0
+    batch = [(k * 97, "b", 2, False) for k in range(200)] + [(5, "late", 1, False), (90_000, "new", 2, False), (90_001, "x", 2, True)]
+    assert run_merge(t, batch, 2) == 1
+    assert t.changes(1).count() == 201 and t.changes(0).count() == 20_000     # scattered keys: the batch, not the table
+    files = list((tmp_path / "bt" / "v=1").glob("part-*"))
+    assert len(files) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
     got = {r["k"]: r["v"] for r in t.read().collect()}
-    assert len(got) == 201 and got[5] == "b" and got[500] == "c" and got[6] == "a"
-    touched = {r[0] for r in b2.select(t.bucket()).distinct().collect()}
-    v1_dirs = [p for p in t._bucket_paths().values() if p.endswith("v=1")]
-    assert len(v1_dirs) == len(touched) <= 2        # only the touched buckets were rewritten
-    assert t.merge(b2, merge, version=1) == 1        # replay of a committed version: no-op
-
+    assert len(got) == 20_001 and got[97] == "b" and got[5] == "a" and got[90_000] == "new"
+    assert run_merge(t, [(5, "z", 9, False)], 3, version=1) == 1 and t.last_commit() == 1   # replay: no-op
+    assert {r["k"]: r["v"] for r in t.read(as_of=0).collect()}[97] == "a"      # earlier versions stay readable
+
+
+def test_change_table_compacts_and_expires(spark, tmp_path):
+    from stratum.sources.snapshots import ChangeTable
+    t = ChangeTable(spark, str(tmp_path / "ct"), ["k"], max_changes=2)
+    for n in range(5):
+        run_merge(t, [(k, f"r{n}", n + 1, False) for k in range(n, n + 4)], n + 1)
+    want = {0: "r0", 1: "r1", 2: "r2", 3: "r3", **{k: "r4" for k in range(4, 8)}}
+    assert {r["k"]: r["v"] for r in t.read().collect()} == want
+    assert t.manifest()["base"] == 2 and t.manifest()["changes"] == [3, 4]
+    assert t.expire(keep=1) > 0
+    assert {r["k"]: r["v"] for r in ChangeTable(spark, t.root, ["k"]).read().collect()} == want
+    assert not (tmp_path / "ct" / "v=0").exists() and (tmp_path / "ct" / "v=4").exists()
+
+
+def test_change_table_survives_a_crash_before_the_manifest(spark, tmp_path):
+    from stratum.sources.snapshots import ChangeTable
+    t = ChangeTable(spark, str(tmp_path / "crash"), ["k"])
+    run_merge(t, [(k, "a", 1, False) for k in range(50)], 1)
+    t.read().withColumn("v", F.lit("BROKEN")).write.parquet(str(tmp_path / "crash" / "v=1"))   # no manifest
+    assert t.last_commit() == 0 and "BROKEN" not in {r["v"] for r in t.read().collect()}
+    run_merge(t, [(1, "b", 2, False)], 2, version=1)
+    got = {r["k"]: r["v"] for r in t.read().collect()}
+    assert t.last_commit() == 1 and got[1] == "b" and "BROKEN" not in got.values() and len(got) == 50
 
-def test_bucketed_changes_read_only_rewritten_buckets(spark, tmp_path):
-    import datetime as dt
-    from stratum.functions.temporal import ts_literal
-    from stratum.plans.state import SilverHistory
-    from stratum.operators import scd1_merge
-    from stratum.operators.merge import insert_into_empty
-    from stratum.sources.snapshots import BucketedTable
 
-    cols = ["k", "v", "audit_updated_at", "is_deleted"]
-    run = ts_literal("2024-02-01 00:00:00")
+def test_change_table_refuses_a_second_commit_of_a_version(spark, tmp_path):
+    from stratum.sources.snapshots import ChangeTable
+    t = ChangeTable(spark, str(tmp_path / "two"), ["k"])
+    run_merge(t, [(1, "a", 1, False)], 1)
+    with pytest.raises(RuntimeError):
+        t._write_manifest(0, {"base": None, "changes": [0], "meta": {}})
 
-    def merge(target, src):
-        if target is None:
-            return insert_into_empty(src, ["k"], columns=cols, run_ts=run)
-        return scd1_merge(target, src, ["k"], update_cols=cols[1:], insert_cols=cols, run_ts=run)
 
-    schema = "k long, v string, audit_updated_at timestamp_ntz, is_deleted boolean"
-    t = BucketedTable(spark, str(tmp_path / "ct"), ["k"], num_buckets=32)
-    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
-    t.merge(spark.createDataFrame([(k, "a", t1, False) for k in range(300)], schema), merge)
-    t.merge(spark.createDataFrame([(7, "b", t2, False), (7000, "n", t2, False), (8, "a", t1, False)], schema), merge)
-    hist = SilverHistory([t.read(as_of=0), t.read(as_of=1)], t, ["k"])
-    before, after = t.changes(1)
-    assert before.count() < 300 and after.count() == before.count() + 1   # only the touched buckets
-    assert sorted((r["k"], r["v"]) for r in hist.changed_rows(1).collect()) == [(7, "b"), (7000, "n")]
-    assert hist.changed_rows(0).count() == 300                               # first run: everything is new
+def test_empty_first_batch_has_no_change_rows(spark, tmp_path):
+    from stratum.sources.snapshots import ChangeTable
+    t = ChangeTable(spark, str(tmp_path / "none"), ["k"])
+    run_merge(t, [], 1)
+    assert t.read().count() == 0 and t.changes(0).count() == 0
+    run_merge(t, [(1, "a", 1, False)], 2)
+    assert t.changes(1).count() == 1
 
 
 def test_load_extract_appends_good_rows_once(spark, tmp_path):
@@ -149,32 +173,3 @@ def test_load_extract_appends_good_rows_once(spark, tmp_path):
     load_extract(spark, path, target, header, bronze, "extract-1")      # replay: nothing appended twice
     loaded = spark.read.parquet(str(tmp_path / "bronze" / "batch=*"))
     assert sorted(r["id"] for r in loaded.collect()) == [1, 2] and bad.count() == 3
-
-
-def test_bucketed_uncommitted_version_is_invisible_and_rerun_replaces_it(spark, tmp_path):
-    """A crash after moving bucket folders but before the commit marker leaves the version invisible;
-    running the same version again overwrites the leftovers and commits."""
-    import datetime as dt
-    from stratum.functions.temporal import ts_literal
-    from stratum.operators import scd1_merge
-    from stratum.operators.merge import insert_into_empty
-    from stratum.sources.snapshots import BucketedTable
-
-    cols = ["k", "v", "audit_updated_at", "is_deleted"]
-    run = ts_literal("2024-02-01 00:00:00")
-
-    def merge(target, src):
-        if target is None:
-            return insert_into_empty(src, ["k"], columns=cols, run_ts=run)
-        return scd1_merge(target, src, ["k"], update_cols=cols[1:], insert_cols=cols, run_ts=run)
-
-    schema = "k long, v string, audit_updated_at timestamp_ntz, is_deleted boolean"
-    root = tmp_path / "crash"
-    t = BucketedTable(spark, str(root), ["k"], num_buckets=8)
-    t.merge(spark.createDataFrame([(k, "a", dt.datetime(2024, 1, 1), False) for k in range(50)], schema), merge)
-    # simulate a crashed version 1: data moved into place, no commit marker
-    spark.createDataFrame([(1, "BROKEN", dt.datetime(2024, 1, 9), False)], schema).write.parquet(str(root / "b=0" / "v=1"))
-    assert t.last_commit() == 0 and "BROKEN" not in {r["v"] for r in t.read().collect()}
-    t.merge(spark.createDataFrame([(1, "b", dt.datetime(2024, 1, 2), False)], schema), merge, version=1)
-    got = {r["k"]: r["v"] for r in t.read().collect()}
-    assert t.last_commit() == 1 and got[1] == "b" and "BROKEN" not in got.values() and len(got) == 50
