@@ -7,11 +7,11 @@ from pyspark.sql import Column, functions as F
 from stratum.functions._util import col
 
 
-def rate_pct(num: str | Column, den: str | Column, precision: int = 5, scale: int = 2) -> Column:
-    """F8: ``CASE WHEN d > 0 THEN ROUND(n*100.0/d, 2) ELSE 0 END`` stored as DECIMAL(5,2).
+def rate_pct(num: str | Column, den: str | Column, precision: int = 18, scale: int = 2) -> Column:
+    """F8: ``CASE WHEN d > 0 THEN ROUND(n*100.0/d, 2) ELSE 0 END`` as DECIMAL(18,2).
 
-    Exact decimal arithmetic; a value that does not fit the column type becomes NULL (try_cast)
-    instead of failing the whole batch.
+    Exact decimal arithmetic. The column is wide enough for any rate of two 15-digit counts: a rate above 999.99
+    percent is a value, not a NULL.
     """
     n = col(num).cast("decimal(20,0)")
     d = col(den).cast("decimal(20,0)")

@@ -39,12 +39,16 @@ def entity_silver(spark: SparkSession, sf_dir: str, entity: str) -> list[DataFra
     return memo(spark, sf_dir, f"silver_{entity}", build)
 
 
+def dim_source(silver: DataFrame) -> DataFrame:
+    return silver.filter(X.active_valid("is_valid_record", "is_deleted"))
+
+
 def entity_dims(spark: SparkSession, sf_dir: str, entity: str) -> list[DataFrame]:
     _, gold_spec, _ = ENTITIES[entity]
 
     def build():
         silver = entity_silver(spark, sf_dir, entity)
-        sources = [(silver.changed_rows(i).filter(X.active_valid("is_valid_record", "is_deleted")), run_ts(i + 1))
+        sources = [(dim_source(silver.changed_rows(i)), run_ts(i + 1))
                    for i in range(len(silver))]
         return scd2_runs(spark, gold_spec, sources, f"dim_{entity}")
     return memo(spark, sf_dir, f"dim_{entity}", build)

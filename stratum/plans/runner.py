@@ -42,3 +42,30 @@ def run_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "fact_event": fact_event.result(), "fact_ad_insight": fact_ad.result()[-1],
         }
     return tables
+
+
+def pipeline_run(spark: SparkSession, sf_dir: str, root: str, batches: int | None = None) -> dict[str, DataFrame]:
+    """One scheduled run of the contact and ads chains over tables kept under ``root`` (shared storage).
+
+    ``batches`` bounds how many batches of each source have arrived (default: all). Every table knows from its own
+    manifest what it has committed, and the key base of each dimension is part of its manifest, so a later call, also in
+    another process, does only what is new: Silver of a source first, then its dimension from Silver's change rows."""
+    from stratum.plans import feeds, specs
+    from stratum.plans.state import scd2_runs, silver_runs
+    root = root.rstrip("/")
+
+    def chain(silver_name, silver_spec, raw, dim_name, dim_spec, source):
+        silver = silver_runs(spark, silver_spec, raw[:batches], silver_name, root=f"{root}/{silver_name}")
+        fed = [(source(silver.changed_rows(k)), ts) for k, (_, ts) in enumerate(raw[:batches])]
+        dim = scd2_runs(spark, dim_spec, fed, dim_name, root=f"{root}/{dim_name}")
+        return {silver_name: silver[-1], dim_name: dim[-1]}
+
+    feed = feeds.contact_feed(spark, sf_dir)
+    contacts = [(feed.filter(feed["batch_no"] == b), mailing.run_ts(k))
+                for k, b in enumerate(mailing.CONTACT_BATCH_ORDER, start=1)]
+    jobs = [("slv_contact", specs.SLV_CONTACT, contacts, "dim_contact", specs.DIM_CONTACT, mailing.dim_contact_source)]
+    for name, (silver_spec, gold_spec, entity_feed) in ads.ENTITIES.items():
+        raw = [(entity_feed(spark, sf_dir, run), ads.run_ts(run)) for run in (1, 2)]
+        jobs.append((f"slv_{name}", silver_spec, raw, f"dim_{name}", gold_spec, ads.dim_source))
+    with ThreadPoolExecutor(max_workers=4) as pool:      # the sources do not depend on each other
+        return {k: t for done in pool.map(lambda j: chain(*j), jobs) for k, t in done.items()}

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Iterable
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -13,18 +16,41 @@ from pyspark.sql.types import StringType, StructField, StructType
 # reader already returns NULL for an empty unquoted field, so nullValue is set to a marker that
 # never occurs (with nullValue='' a quoted "" would turn into NULL as well).
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0000",
-               "mode": "PERMISSIVE"}
+               "mode": "PERMISSIVE", "multiLine": "true"}   # multiLine: quoted cells may hold line breaks
 CORRUPT = "_corrupt_record"
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | None = None,
              infer: bool = False) -> DataFrame:
-    reader = spark.read.options(**CSV_OPTIONS)
-    if schema is not None:
-        reader = reader.schema(schema)
-    elif infer:
-        reader = reader.option("inferSchema", "true")
-    return reader.csv(path)
+    """CSV files by their own headers. With ``schema``, columns are matched by name (S3), whatever their order in
+    each file; a value that does not fit its type becomes NULL (use :func:`load_files` to keep such rows)."""
+    if schema is None:
+        reader = spark.read.options(**CSV_OPTIONS)
+        return (reader.option("inferSchema", "true") if infer else reader).csv(path)
+    frames = [load_by_name(spark.read.options(**CSV_OPTIONS).schema(_string_schema(names, corrupt=False)).csv(files), schema)
+              for names, files in header_groups(spark, path)]
+    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], schema)
+
+
+def header_groups(spark: SparkSession, path: str | list[str]) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) of each distinct header line among the files at ``path``; empty files are left out.
+
+    The header is the first line of a file. Only file names and header lines reach the driver, for the files of one
+    load (a stream bounds them by ``maxFilesPerTrigger``)."""
+    lines = (spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                          F.col("_metadata.file_block_start").alias("at"),
+                                          F.monotonically_increasing_id().alias("n"))
+             .filter("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("header")))
+    groups: dict[str, list[str]] = {}
+    for r in lines.collect():
+        groups.setdefault(r["header"].lstrip("\ufeff").rstrip("\r"), []).append(unquote(r["file"]))
+    out = []
+    for header, files in sorted(groups.items()):
+        names = next(csv.reader([header]), [])
+        seen = [normalize_name(n) or f"column_{k}" for k, n in enumerate(names)]
+        out.append(([n if n.strip() and seen.count(normalize_name(n)) == 1 else f"{n.strip() or 'column'} {k}"
+                     for k, n in enumerate(names)], sorted(files)))
+    return [g for g in out if g[0]]
 
 
 def infer_schema(spark: SparkSession, path: str | list[str]) -> StructType:
@@ -60,8 +86,8 @@ def load_by_name(df: DataFrame, target: StructType) -> DataFrame:
     return df.select(*cols)
 
 
-def _string_schema(names: Iterable[str]) -> StructType:
-    return StructType([StructField(n, StringType()) for n in names] + [StructField(CORRUPT, StringType())])
+def _string_schema(names: Iterable[str], corrupt: bool = True) -> StructType:
+    return StructType([StructField(n, StringType()) for n in names] + [StructField(CORRUPT, StringType())] * corrupt)
 
 
 def load_csv_with_quarantine(spark: SparkSession, path: str | list[str], target: StructType,
@@ -91,14 +117,49 @@ def load_csv_with_quarantine(spark: SparkSession, path: str | list[str], target:
     return good, bad
 
 
-def load_extract(spark: SparkSession, path: str | list[str], target: StructType, header: list[str], bronze,
-                 batch_name: str) -> DataFrame:
-    """One Bronze load of a landing extract: read as text -> match columns by name -> type -> quarantine
-    bad rows -> append the good ones under the batch's own name (S1-S6 in one call).
-
-    ``bronze`` is a :class:`stratum.sources.snapshots.SnapshotTable`; re-loading the same ``batch_name``
-    is a no-op. Returns the quarantined rows (raw text plus the reader's corrupt record).
-    """
-    good, bad = load_csv_with_quarantine(spark, path, target, header)
+def load_files(spark: SparkSession, path: str | list[str], target: StructType, keys: Iterable[str] = (),
+               source_file_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good rows typed as ``target``, bad rows) of CSV files with their own headers, matched by name.
+
+    A row is bad if it has too few or too many fields, a value that does not cast, or a NULL among ``keys``. Bad rows
+    come as (source_file, reason, record): the record is a JSON object of the file's own columns. good + bad = input."""
+    lineage = [StructField(source_file_col, StringType())] if source_file_col else []
+    good = [spark.createDataFrame([], StructType([*target.fields, *lineage]))]
+    bad = [spark.createDataFrame([], "source_file string, reason string, record string")]
+    for names, files in header_groups(spark, path):
+        raw = (spark.read.options(**CSV_OPTIONS).option("columnNameOfCorruptRecord", CORRUPT)
+               .schema(_string_schema(names)).csv(files))
+        by_norm = {normalize_name(c): c for c in names}
+        reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("fields"))
+        for f in target.fields:
+            src = by_norm.get(normalize_name(f.name))
+            if src is not None and not isinstance(f.dataType, StringType):
+                v = F.col(f"`{src}`")
+                reason = reason.when(v.isNotNull() & v.try_cast(f.dataType).isNull(), F.lit(f"type of {f.name}"))
+        for k in keys:
+            src = by_norm.get(normalize_name(k))
+            reason = reason.when(F.col(f"`{src}`").isNull() if src else F.lit(True), F.lit(f"no {k}"))
+        record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in names], F.col(CORRUPT)))
+        # the record is part of every row, so the reader parses all columns and counts the fields of each row
+        read = raw.select("*", record.alias("__record"), F.col("_metadata.file_path").alias("__file"),
+                          reason.alias("__reason")).filter(F.length("__record") >= 0)
+        fit = read.filter("__reason IS NULL").withColumnRenamed("__file", source_file_col or "__file")
+        good.append(load_by_name(fit.select(*[f"`{c}`" for c in names], *[f.name for f in lineage]),
+                                 StructType([*target.fields, *lineage])))
+        bad.append(read.filter("__reason IS NOT NULL").select(F.col("__file").alias("source_file"),
+                                                              F.col("__reason").alias("reason"), F.col("__record").alias("record")))
+    return reduce(DataFrame.unionByName, good), reduce(DataFrame.unionByName, bad)
+
+
+def load_extract(spark: SparkSession, path: str | list[str], target: StructType, bronze, batch_name: str,
+                 quarantine=None, keys: Iterable[str] = ()) -> None:
+    """One Bronze load of a landing extract: match columns by each file's header, type them, append the good rows
+    to ``bronze`` and the bad ones to ``quarantine`` (both :class:`stratum.sources.snapshots.SnapshotTable`)
+    under the batch's own name; loading the same ``batch_name`` again is a no-op. The bad rows are written first, so no
+    committed load leaves any behind. Without ``quarantine`` a bad row is an error."""
+    good, bad = load_files(spark, path, target, keys)
+    if quarantine is not None:
+        quarantine.append(bad, batch_name)
+    elif not bad.isEmpty():
+        raise ValueError(f"{batch_name} has rows that do not fit the table, and there is no quarantine")
     bronze.append(good, batch_name)
-    return bad

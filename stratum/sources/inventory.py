@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 def stage_inventory(spark: SparkSession, path_glob: str) -> DataFrame:
     """File name, size and modification time; the content column is pruned, so no bytes are read."""
     return (spark.read.format("binaryFile").load(path_glob)
-            .select(F.element_at(F.split("path", "/"), -1).alias("file_name"),
+            .select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"),
                     F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at")))
 
 

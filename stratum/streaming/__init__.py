@@ -1,6 +1,6 @@
 """Structured Streaming: landing files -> Bronze -> Silver merges, each micro-batch exactly once."""
 
-from stratum.streaming.ingest import (stream_ingest, stream_merge, has_new_files, pending_files, land_batch, silver_changes,
+from stratum.streaming.ingest import (stream_ingest, read_bronze, stream_merge, has_new_files, pending_files, land_batch, silver_changes,
                                       MergeSink, TableMergeSink)
 
-__all__ = ["stream_ingest", "stream_merge", "has_new_files", "pending_files", "land_batch", "silver_changes", "MergeSink", "TableMergeSink"]
+__all__ = ["stream_ingest", "read_bronze", "stream_merge", "has_new_files", "pending_files", "land_batch", "silver_changes", "MergeSink", "TableMergeSink"]

@@ -15,12 +15,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from stratum.operators.change_feed import change_feed
+from stratum.sources.csv import load_files
 from stratum.sources.snapshots import SnapshotTable
 
 
@@ -31,26 +33,47 @@ def land_batch(df: DataFrame, landing_dir: str, batch_name: str, fmt: str = "par
     return path
 
 
+FILE_LOG = "_files"      # under the checkpoint: one row per file that a run has loaded
+BATCH = "ingest_batch"   # Bronze folder of a micro-batch
+
+
 def stream_ingest(spark: SparkSession, landing_dir: str, bronze_dir: str, schema: StructType, checkpoint: str,
-                  fmt: str = "csv", clean_source: str | None = None, archive_dir: str | None = None,
-                  source_file_col: str | None = None) -> StreamingQuery:
-    """One ``availableNow`` run of landing -> Bronze. ``clean_source='delete'|'archive'`` removes
-    (S8) only the files this query has committed, never files that arrived afterwards.
-    ``source_file_col`` adds the landing file of each row (Bronze lineage, and what the T6 gate reads)."""
-    reader = spark.readStream.schema(schema).format(fmt)
-    if fmt == "csv":
-        from stratum.sources.csv import CSV_OPTIONS
-        reader = reader.options(**{k: v for k, v in CSV_OPTIONS.items() if k != "mode"})
+                  quarantine_dir: str | None = None, keys: tuple[str, ...] = (), clean_source: str | None = None,
+                  archive_dir: str | None = None, source_file_col: str | None = None,
+                  max_files: int = 1000) -> StreamingQuery:
+    """One ``availableNow`` run of landing CSV files -> Bronze, in micro-batches of at most ``max_files`` files.
+
+    Each file's columns are matched by its own header; rows that do not fit, or lack one of ``keys``, go to
+    ``quarantine_dir`` (default: beside Bronze) before anything is cleaned. A micro-batch overwrites its own folders, so a
+    replay after a failure adds nothing twice; its files are logged, also those without rows.
+    ``clean_source='delete'|'archive'`` removes (S8) only the files this query has committed, never files that
+    arrived afterwards. ``source_file_col`` adds the landing file of each row (Bronze lineage)."""
+    bronze_dir, checkpoint = bronze_dir.rstrip("/"), checkpoint.rstrip("/")
+    quarantine_dir = (quarantine_dir or bronze_dir + "_quarantine").rstrip("/")
+    reader = spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length long, content binary").option("maxFilesPerTrigger", max_files)
     if clean_source:
         reader = reader.option("cleanSource", clean_source)
         if archive_dir:
             reader = reader.option("sourceArchiveDir", archive_dir)
-    stream = reader.load(f"{landing_dir.rstrip('/')}/*")
-    if source_file_col:
-        from pyspark.sql import functions as F
-        stream = stream.select("*", F.col("_metadata.file_path").alias(source_file_col))
-    return (stream.writeStream.format("parquet").option("path", bronze_dir)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    arrived = reader.load(f"{landing_dir.rstrip('/')}/*").select(F.col("_metadata.file_path").alias("file"))
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        files = [r["file"] for r in batch.distinct().collect()]     # at most max_files names
+        good, bad = load_files(spark, [unquote(f) for f in files], schema, keys, source_file_col) if files else (None, None)
+        if files:
+            bad.write.mode("overwrite").parquet(f"{quarantine_dir}/{BATCH}={batch_id}")
+            good.write.mode("overwrite").parquet(f"{bronze_dir}/{BATCH}={batch_id}")
+        (spark.createDataFrame([(f, batch_id) for f in files], "file string, batch long")
+         .write.mode("overwrite").parquet(f"{checkpoint}/{FILE_LOG}/{BATCH}={batch_id}"))
+
+    return (arrived.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def read_bronze(spark: SparkSession, bronze_dir: str) -> DataFrame:
+    """All rows that ``stream_ingest`` has put there (or into its quarantine)."""
+    return spark.read.parquet(bronze_dir).drop(BATCH)
 
 
 class MergeSink:
@@ -88,25 +111,24 @@ def stream_merge(spark: SparkSession, bronze_dir: str, schema: StructType, sink:
             .trigger(availableNow=True).start())
 
 
-def pending_files(spark: SparkSession, landing_glob: str, loaded: DataFrame | None,
-                  source_file_col: str = "source_file") -> DataFrame:
-    """Landing files with no row in ``loaded`` (Bronze with its source-file column): an anti join."""
-    from pyspark.sql import functions as F
-    files = spark.read.format("binaryFile").load(landing_glob).select(F.col("path"))
-    if loaded is None:
+def pending_files(spark: SparkSession, landing_glob: str, checkpoint: str) -> DataFrame:
+    """Landing files (column ``file``) that no run of the ingest with this ``checkpoint`` has loaded: the listing
+    anti-joined with the file log. No file content and no Bronze row is read."""
+    files = spark.read.format("binaryFile").load(landing_glob).select(F.col("_metadata.file_path").alias("file"))
+    log = f"{checkpoint.rstrip('/')}/{FILE_LOG}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(log)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
         return files
-    return files.join(loaded.select(F.col(source_file_col).alias("path")).distinct(), "path", "left_anti")
+    return files.join(spark.read.parquet(log).select("file"), "file", "left_anti")
 
 
-def has_new_files(spark: SparkSession, landing_glob: str, loaded: DataFrame | None,
-                  source_file_col: str = "source_file") -> bool:
-    """T6 gate: is anything on the stage that Bronze has not loaded yet?"""
-    return not pending_files(spark, landing_glob, loaded, source_file_col).isEmpty()
+def has_new_files(spark: SparkSession, landing_glob: str, checkpoint: str) -> bool:
+    """T6 gate: is anything on the stage that the ingest has not loaded yet?"""
+    return not pending_files(spark, landing_glob, checkpoint).isEmpty()
 
 
 def silver_changes(previous: DataFrame | None, current: DataFrame, keys: list[str]) -> DataFrame:
     """Silver as a change stream for Gold (``SHOW_INITIAL_ROWS``: everything is an insert first)."""
     if previous is None:
-        from pyspark.sql import functions as F
         return current.withColumns({"metadata_action": F.lit("INSERT"), "metadata_is_update": F.lit(False)})
     return change_feed(previous, current, keys)

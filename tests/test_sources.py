@@ -167,9 +167,24 @@ def test_load_extract_appends_good_rows_once(spark, tmp_path):
     path = write(tmp_path, "d.csv", CSV)
     target = StructType([StructField("id", LongType()), StructField("first_name", StringType()),
                          StructField("created_at", TimestampNTZType())])
-    bronze = SnapshotTable(spark, str(tmp_path / "bronze"))
-    header = ["Id", "First Name", "Attributes", "Created At"]
-    bad = load_extract(spark, path, target, header, bronze, "extract-1")
-    load_extract(spark, path, target, header, bronze, "extract-1")      # replay: nothing appended twice
+    bronze, aside = (SnapshotTable(spark, str(tmp_path / n)) for n in ("bronze", "aside"))
+    for _ in range(2):                                                     # replay: nothing appended twice
+        load_extract(spark, path, target, bronze, "extract-1", aside)
+    os.remove(path)                                                        # the stage is cleaned; both sides stay
     loaded = spark.read.parquet(str(tmp_path / "bronze" / "batch=*"))
-    assert sorted(r["id"] for r in loaded.collect()) == [1, 2] and bad.count() == 3
+    assert sorted(r["id"] for r in loaded.collect()) == [1, 2]
+    assert spark.read.parquet(str(tmp_path / "aside" / "batch=*")).count() == 3
+
+
+def test_load_extract_without_quarantine_refuses_bad_rows(spark, tmp_path):
+    from stratum.sources.csv import load_extract
+    target = StructType([StructField("id", LongType())])
+    with pytest.raises(ValueError):
+        load_extract(spark, write(tmp_path, "e.csv", "id\nx\n"), target, SnapshotTable(spark, str(tmp_path / "b")), "e")
+
+
+def test_columns_are_matched_by_each_files_header(spark, tmp_path):
+    write(tmp_path, "h1.csv", "id,city,name\n1,Rome,Ann\n")
+    write(tmp_path, "h2.csv", "Name,ID\nBob,2\n")
+    df = read_csv(spark, str(tmp_path / "h*.csv"), StructType.fromDDL("id long, name string, city string"))
+    assert sorted(tuple(r) for r in df.collect()) == [(1, "Ann", "Rome"), (2, "Bob", None)]
