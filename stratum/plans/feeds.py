@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stratum import functions as X
 from stratum.functions.temporal import ts_literal
 
 
@@ -33,7 +34,13 @@ def contact_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(eid % 9 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("mc."), et, F.lit("  jr"))).alias("last_name"),
         et.alias("vehicle_make"),
+        F.when(uid % 8 != 0, F.date_add(F.lit("1960-01-01").cast("date"), ((uid * 37) % 15000).cast("int")))
+         .alias("date_of_birth"),
+        (eid % 6 == 0).alias("is_email_blacklisted"),
         (F.col("value") > 25).alias("is_email_optin"),
+        F.when(eid % 4 != 0, uid % 2 == 0).alias("is_sms_blacklisted"),
+        ts.alias("created_at"),
+        X.add_hours(ts, 1).alias("api_extracted_at"),
         ts.alias("modified_at"),
         ts.alias("audit_updated_at"),
         F.when(eid % 13 == 0, F.lit(None).cast("boolean"))
@@ -57,6 +64,15 @@ def policy_event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         F.concat(F.lit("ord-"), _s(ok)).alias("event_uuid"),
         ck.alias("contact_id"),
+        (ck + 100000).alias("customer_id"),
+        F.concat(F.lit(" Cust"), _s(ck), F.lit("@Mail.COM ")).alias("email"),
+        F.concat(F.lit(" anne-"), _s(ck % 3), F.lit("x ")).alias("first_name"),
+        F.when(ck % 9 != 0, F.concat(F.lit("van der "), F.lower("o_orderpriority"))).alias("last_name"),
+        (ok % 9).alias("event_filter_id"),
+        (ok % 5).alias("payment_status_id"),
+        F.concat(F.lit('{"contact":'), _s(ck), F.lit("}")).alias("contact_properties_raw"),
+        F.concat(F.lit('{"priority":"'), F.col("o_orderpriority"), F.lit('"}')).alias("event_properties_raw"),
+        X.add_hours("o_orderdate", 1).alias("api_extracted_at"),
         F.col("o_orderstatus").alias("event_name"),
         F.when(ok % 17 == 0, F.lit(None).cast("string")).when(ck % 3 == 0, F.lit("AUTO"))
          .when(ck % 3 == 1, F.lit("HOME")).otherwise(F.lit("LIFE")).alias("policy_code"),
@@ -89,6 +105,8 @@ def insight_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("l_extendedprice") * 0.7).cast("bigint").alias("reach"),
         F.col("l_quantity").cast("bigint").alias("clicks"),
         F.round(F.col("l_extendedprice"), 2).cast("decimal(18,2)").alias("spend"),
+        F.concat(F.lit(" Ad "), _s(F.col("l_partkey")), F.lit(" ")).alias("ad_name"),
+        F.concat(F.lit('{"link_click":'), _s(F.col("l_quantity").cast("bigint")), F.lit("}")).alias("actions"),
         F.col("l_shipdate").alias("audit_updated_at"),
         ((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)).alias("is_deleted"),
         F.col("l_orderkey").alias("src_order"),
@@ -103,8 +121,12 @@ def daily_report_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
     return (e.groupBy(F.to_date("ts").alias("report_date"))
             .agg(F.count(F.lit(1)).alias("requests"), one(et != "error").alias("delivered"),
-                 one(et == "view").alias("unique_opens"), one(et == "click").alias("unique_clicks"),
-                 one(et == "error").alias("hard_bounces")))
+                 one(et.isin("view", "click")).alias("opens"), one(et == "view").alias("unique_opens"),
+                 one((et == "click") | (F.col("value") > 45)).alias("clicks"), one(et == "click").alias("unique_clicks"),
+                 one(et == "error").alias("hard_bounces"), one((et != "error") & (F.col("value") < 1)).alias("soft_bounces"),
+                 one(F.col("value") > 49).alias("blocked"), one((et == "error") & (F.col("value") > 40)).alias("spam_reports"),
+                 one((et == "view") & (F.col("value") < 2)).alias("unsubscribed"))
+            .withColumn("api_extracted_at", X.add_hours(F.col("report_date").cast("timestamp_ntz"), 25)))
 
 
 # Ads entity snapshots: two extracts ("runs") of each entity table. Run 2 changes some
@@ -115,7 +137,10 @@ def ad_account_feed(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
     status = F.lit(1) if run == 1 else F.when(k == 2, F.lit(2)).otherwise(F.lit(1))
     tz = F.lit("UTC") if run == 1 else F.when(k == 3, F.lit("Europe/Paris")).otherwise(F.lit("UTC"))
     return r.select(
-        k.cast("bigint").alias("account_id"), F.concat(F.lit(" "), F.col("r_name"), F.lit(" ")).alias("account_name"),
+        k.cast("bigint").alias("account_id"), F.concat(F.lit("act_"), _s(k)).alias("account_id_text"),
+        F.concat(F.lit(" "), F.col("r_name"), F.lit(" ")).alias("account_name"),
+        ((k + 1) * 100000).cast("bigint").alias("spend_cap"), (k * 1234 + run).cast("bigint").alias("amount_spent"),
+        ((k + 1) * 100000 - k * 1234 - run).cast("bigint").alias("balance"),
         status.alias("account_status"), F.lit("USD").alias("currency"), tz.alias("timezone_name"),
         (k + 9000).cast("bigint").alias("business_id"), F.concat(F.lit("biz "), F.lower("r_name")).alias("business_name"),
         _audit(run), F.lit(False).alias("is_deleted"))
@@ -130,8 +155,11 @@ def campaign_feed(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
         k.cast("bigint").alias("campaign_id"), F.col("n_name").alias("campaign_name"),
         F.lit("ACTIVE").alias("status"), F.lit("ACTIVE").alias("effective_status"), objective.alias("objective"),
         buying.alias("buying_type"), ((k + 1) * 1000).cast("bigint").alias("daily_budget"),
-        F.lit(None).cast("bigint").alias("lifetime_budget"), F.col("n_regionkey").cast("bigint").alias("ad_account_id"),
-        _audit(run), F.lit(False).alias("is_deleted"))
+        F.lit(None).cast("bigint").alias("lifetime_budget"), (k % 3 == run).alias("budget_remaining"),
+        F.when(k % 4 == 0, F.lit(" HOUSING ")).otherwise(F.lit("")).alias("special_ad_categories"),
+        _day_text(k).alias("created_time"), F.when(k % 5 != 0, _day_text(k + 10)).otherwise(F.lit("soon")).alias("start_time"),
+        F.when(k % 2 == 0, _day_text(k + 100)).alias("stop_time"), _day_text(k + run).alias("updated_time"),
+        F.col("n_regionkey").cast("bigint").alias("ad_account_id"), _audit(run), F.lit(False).alias("is_deleted"))
 
 
 def adset_feed(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
@@ -145,6 +173,12 @@ def adset_feed(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
         F.lit("ACTIVE").alias("status"), F.lit("ACTIVE").alias("effective_status"),
         F.lit("LOWEST_COST").alias("bid_strategy"), F.lit("LINK_CLICKS").alias("optimization_goal"),
         budget.alias("daily_budget"), F.lit(None).cast("bigint").alias("lifetime_budget"),
+        (k % 50 * 10).alias("bid_amount"), F.lit(" IMPRESSIONS ").alias("billing_event"),
+        F.when(k % 2 == 0, F.lit("WEBSITE ")).alias("destination_type"), _day_text(k % 300).alias("start_time"),
+        F.when(k % 3 != 0, _day_text(k % 300 + 30)).otherwise(F.lit("never")).alias("end_time"),
+        _day_text(k % 300 + run).alias("updated_time"),
+        F.concat(F.lit('{"nation":'), _s(F.col("s_nationkey")), F.lit("}")).alias("targeting_raw"),
+        F.when(k % 7 == 0, F.concat(F.lit('{"page":'), _s(k), F.lit("}"))).alias("promoted_object_raw"),
         (F.col("s_nationkey") % 5).cast("bigint").alias("ad_account_id"), _audit(run), deleted.alias("is_deleted"))
 
 
@@ -157,7 +191,11 @@ def ad_feed(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
         k.alias("ad_id"), F.col("p_name").alias("ad_name"), (k % 1000).alias("adset_id"), (k % 25).alias("campaign_id"),
         status.alias("status"), status.alias("effective_status"), (k + 500000).alias("creative_id"),
         F.concat(F.lit(" "), F.col("p_type"), F.lit(" ")).alias("creative_name"), F.col("p_brand").alias("creative_title"),
-        cta.alias("creative_cta_type"), F.lit(None).cast("bigint").alias("ad_account_id"), _audit(run),
+        F.concat(F.lit(" Buy "), F.col("p_name"), F.lit(" ")).alias("creative_body"),
+        F.concat(F.lit("https://img.example/"), _s(k), F.lit(".png ")).alias("creative_image_url"),
+        cta.alias("creative_cta_type"), _day_text(k % 200).alias("created_time"),
+        F.when(k % 6 != 0, _day_text(k % 200 + run)).otherwise(F.lit("")).alias("updated_time"),
+        F.lit(None).cast("bigint").alias("ad_account_id"), _audit(run),
         F.lit(False).alias("is_deleted"))
 
 
@@ -165,6 +203,12 @@ def ad_feed(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
 ENTITY_AUDIT_TS = {1: "2024-02-15 00:00:00", 2: "2024-02-20 00:00:00"}
 
 
+def _day_text(n: F.Column) -> F.Column:
+    """Noon of the n-th day of 2023, as the text an extract holds (F3 parses it)."""
+    day = F.date_add(F.lit("2023-01-01").cast("date"), n.cast("int"))
+    return F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" 12:00:00"))
+
+
 def _audit(run: int) -> F.Column:
     return ts_literal(ENTITY_AUDIT_TS[run]).alias("audit_updated_at")
 
@@ -185,7 +229,8 @@ def contact_list_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").cast("bigint").alias("list_id"),
         F.concat(F.lit(" "), F.col("n_name"), F.lit(" list ")).alias("name"),
         F.col("n_regionkey").cast("bigint").alias("folder_id"), "total_subscribers", "unique_subscribers",
-        "total_blacklisted", ts_literal(LOAD_AUDIT_TS).alias("audit_updated_at"), F.lit(False).alias("is_deleted"))
+        "total_blacklisted", X.add_minutes(ts_literal(LOAD_AUDIT_TS), 5).alias("api_extracted_at"),
+        ts_literal(LOAD_AUDIT_TS).alias("audit_updated_at"), F.lit(False).alias("is_deleted"))
 
 
 def smtp_email_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,8 +241,9 @@ def smtp_email_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("msg-"), _s(F.col("o_orderkey"))).alias("message_id"),
         F.col("o_orderdate").alias("email_date"),
         F.concat(F.lit(" Customer"), _s(F.col("o_custkey")), F.lit("@Mail.COM")).alias("smtp_email"),
+        F.concat(F.lit("Event"), _s(F.col("o_custkey") % 100), F.lit("@Mail.COM ")).alias("smtp_event_email"),
         F.lit("NoReply@Shop.COM").alias("from_email"),
-        F.col("o_orderpriority").alias("subject"),
+        F.col("o_orderpriority").alias("subject"), F.concat(F.lit(" "), F.col("o_orderstatus"), F.lit(",order ")).alias("tags"),
         F.col("o_orderdate").alias("audit_updated_at"), F.lit(False).alias("is_deleted"))
 
 
@@ -208,7 +254,11 @@ def smtp_event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("msg-"), _s(F.col("l_orderkey"))).alias("message_id"),
         F.when(F.col("l_linestatus") == "O", F.lit("opened")).otherwise(F.lit("delivered")).alias("event"),
         F.col("l_shipdate").alias("event_date"),
+        F.concat(F.lit(" Part"), _s(F.col("l_partkey")), F.lit("@Mail.COM")).alias("email"),
+        F.lit("NoReply@Shop.COM ").alias("from_email"),
+        F.concat(F.lit(" Line "), _s(F.col("l_linenumber"))).alias("subject"),
         F.when(F.col("l_returnflag") == "R", F.lit("bounced")).otherwise(F.lit("")).alias("reason"),
+        (F.col("l_suppkey") % 12).alias("template_id"), X.add_hours("l_shipdate", 1).alias("api_extracted_at"),
         F.col("l_shipdate").alias("audit_updated_at"), F.col("l_linenumber").alias("line_no"),
         F.lit(False).alias("is_deleted"))
 
@@ -220,6 +270,11 @@ def custom_audience_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("LOOKALIKE").alias("subtype"), F.floor(F.col("s_acctbal")).cast("bigint").alias("approx_count_lower"),
         F.ceil(F.col("s_acctbal") * 2).cast("bigint").alias("approx_count_upper"),
         (F.col("s_nationkey") + 30).alias("retention_days"), F.lit("").alias("lookalike_spec"),
+        F.concat(F.lit(" from "), F.col("s_name")).alias("description"),
+        F.when(F.col("s_acctbal") < 0, F.lit(300)).otherwise(F.lit(200)).alias("delivery_status_code"),
+        F.when(F.col("s_acctbal") < 0, F.lit("too small ")).otherwise(F.lit("ready ")).alias("delivery_status_desc"),
+        F.lit("EVENT_BASED").alias("data_source_type"), F.lit(" WEB").alias("data_source_sub_type"),
+        (F.col("s_nationkey") % 5).cast("bigint").alias("ad_account_id"),
         ts_literal(LOAD_AUDIT_TS).alias("audit_updated_at"), F.lit(False).alias("is_deleted"))
 
 
@@ -230,4 +285,7 @@ def insight_level_feed(spark: SparkSession, sf_dir: str, level: str) -> DataFram
             .agg(F.sum("impressions").alias("impressions"), F.sum("reach").alias("reach"),
                  F.sum("clicks").alias("clicks"), F.sum("spend").cast("decimal(18,2)").alias("spend"),
                  F.max("audit_updated_at").alias("audit_updated_at"))
+            .withColumn("actions", F.concat(F.lit('{"link_click":'), _s(F.col("clicks")), F.lit("}")))
+            .withColumn("action_values", F.concat(F.lit('{"purchase":'), _s(F.col("spend")), F.lit("}")))
+            .withColumn("level_name", F.concat(F.lit(" "), F.lit(level), F.lit("-"), _s(F.col(level)), F.lit(" ")))
             .withColumn("is_deleted", F.lit(False)))

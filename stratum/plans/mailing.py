@@ -35,7 +35,8 @@ def contact_silver(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 def dim_contact_source(silver: DataFrame) -> DataFrame:
     return (silver.filter(X.active_valid("is_valid_record", "is_deleted"))
-            .withColumn("full_name", X.full_name("first_name", "last_name")))
+            .withColumn("full_name", X.full_name("first_name", "last_name"))
+            .withColumn("contact_created_at", F.col("created_at")))
 
 
 def contact_dims(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -101,7 +102,7 @@ def plan_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FACT_EVENT_COLS = ("event_uuid", "dim_contact_sk", "dim_policy_sk", "dim_plan_sk", "contact_id", "event_date_id",
-                   "policy_id", "plan_id_key", "event_name", "premium_amount", "event_date")
+                   "policy_id", "plan_id_key", "event_name", "premium_amount", "payment_status_id", "event_date", "customer_id")
 
 
 def fact_event_source(events: DataFrame, dim_contact: DataFrame, dim_policy: DataFrame,

@@ -34,7 +34,8 @@ class SilverSpec:
         """clean -> latest row per key -> target columns."""
         cleaned = self.clean(raw, run_ts)
         latest = dedup_latest(cleaned, self.keys, self.order_by,
-                              [F.col(c).desc_nulls_last() for c in self.tie_break])
+                              # total: rows that still tie are equal in every target column
+                              [F.col(c).desc_nulls_last() for c in (*self.tie_break, *self.columns)])
         return latest.select(*self.columns)
 
     def quarantine(self, raw: DataFrame, run_ts: Column) -> DataFrame:
@@ -74,7 +75,8 @@ def _clean_contact(raw: DataFrame, run_ts: Column) -> DataFrame:
         "contact_id", X.clean_lower("email").alias("email"),
         X.proper_case(F.trim("first_name")).alias("first_name"),
         X.proper_case(F.trim("last_name")).alias("last_name"),
-        X.clean_trim("vehicle_make").alias("vehicle_make"), "is_email_optin", "modified_at",
+        "date_of_birth", X.clean_trim("vehicle_make").alias("vehicle_make"), "is_email_blacklisted", "is_email_optin",
+        "is_sms_blacklisted", "created_at", "modified_at", "api_extracted_at",
         X.clean_trim("list_ids_raw").alias("list_ids_raw"),
         X.clean_trim("list_unsubscribed_raw").alias("list_unsubscribed_raw"),
         X.valid_email("email").alias("is_valid_email"),
@@ -85,15 +87,20 @@ def _clean_contact(raw: DataFrame, run_ts: Column) -> DataFrame:
 
 SLV_CONTACT = SilverSpec(
     name="slv_contact", keys=("contact_id",), clean=_clean_contact,
-    columns=("contact_id", "email", "first_name", "last_name", "vehicle_make", "is_email_optin", "modified_at",
-             "list_ids_raw", "list_unsubscribed_raw", "is_valid_email", "is_valid_record",
-             "audit_inserted_at", "audit_updated_at", "is_deleted", "batch_id"),
+    columns=("contact_id", "email", "first_name", "last_name", "date_of_birth", "vehicle_make", "is_email_blacklisted",
+             "is_email_optin", "is_sms_blacklisted", "created_at", "modified_at", "list_ids_raw",
+             "list_unsubscribed_raw", "is_valid_email", "is_valid_record", "api_extracted_at", "audit_inserted_at",
+             "audit_updated_at", "is_deleted", "batch_id"),
+    no_update=("created_at", "audit_inserted_at"),
     order_by=("modified_at", "audit_updated_at"), tie_break=("row_no",))
 
 
 def _clean_event(raw: DataFrame, run_ts: Column) -> DataFrame:
     return raw.select(
-        "event_uuid", "contact_id", X.clean_trim("event_name").alias("event_name"), "event_date",
+        "event_uuid", "contact_id", "customer_id", X.clean_lower("email").alias("email"),
+        X.proper_case(F.trim("first_name")).alias("first_name"), X.proper_case(F.trim("last_name")).alias("last_name"),
+        X.clean_trim("event_name").alias("event_name"), "event_date", "event_filter_id", "payment_status_id",
+        "contact_properties_raw", "event_properties_raw", "api_extracted_at",
         X.clean_trim("policy_code").alias("policy_code"), X.clean_trim("policy_number").alias("policy_number"),
         X.clean_trim("coverage_code").alias("coverage_code"), "policy_start_date", "policy_end_date",
         "premium_amount", "plan_id", X.clean_trim("payment_gateway").alias("payment_gateway"),
@@ -105,20 +112,23 @@ def _clean_event(raw: DataFrame, run_ts: Column) -> DataFrame:
 
 SLV_EVENT = SilverSpec(
     name="slv_event", keys=("event_uuid",), clean=_clean_event,
-    columns=("event_uuid", "contact_id", "event_name", "event_date", "policy_code", "policy_number",
-             "coverage_code", "policy_start_date", "policy_end_date", "premium_amount", "plan_id",
-             "payment_gateway", "is_valid_record", "is_valid_event_date", "audit_inserted_at",
-             "audit_updated_at", "is_deleted", "batch_id"))
+    columns=("event_uuid", "contact_id", "customer_id", "email", "first_name", "last_name", "event_name", "event_date",
+             "event_filter_id", "policy_code", "policy_number", "coverage_code", "policy_start_date", "policy_end_date",
+             "premium_amount", "plan_id", "payment_status_id", "payment_gateway", "contact_properties_raw",
+             "event_properties_raw", "is_valid_record", "is_valid_event_date", "api_extracted_at", "audit_inserted_at",
+             "audit_updated_at", "is_deleted", "batch_id"),
+    no_update=("event_filter_id", "audit_inserted_at"))
 
 
 def _clean_agg_report(raw: DataFrame, run_ts: Column) -> DataFrame:
     period = F.concat(F.col("report_date").cast("string"), F.lit("|"), F.col("report_date").cast("string"))
     return raw.select(
-        period.alias("date_range"), "requests", "delivered", "unique_opens", "unique_clicks", "hard_bounces",
+        period.alias("date_range"), "requests", "delivered", "opens", "unique_opens", "clicks", "unique_clicks",
+        "hard_bounces", "soft_bounces", "blocked", "spam_reports", "unsubscribed", "api_extracted_at",
         X.rate_pct("unique_opens", "delivered").alias("open_rate_pct"),
         X.rate_pct("unique_clicks", "delivered").alias("click_rate_pct"),
         X.rate_pct("delivered", "requests").alias("delivery_rate_pct"),
-        X.rate_pct("hard_bounces", "requests").alias("bounce_rate_pct"),
+        X.rate_pct(F.col("hard_bounces") + F.col("soft_bounces"), "requests").alias("bounce_rate_pct"),
         X.valid_metrics(period, "requests", "delivered").alias("is_valid_record"),
         (F.col("report_date").cast("timestamp_ntz") + F.make_interval(days=F.lit(1))).alias("audit_inserted_at"),
         (F.col("report_date").cast("timestamp_ntz") + F.make_interval(days=F.lit(1))).alias("audit_updated_at"),
@@ -127,14 +137,14 @@ def _clean_agg_report(raw: DataFrame, run_ts: Column) -> DataFrame:
 
 SLV_AGG_REPORT = SilverSpec(
     name="slv_agg_report", keys=("date_range",), clean=_clean_agg_report,
-    columns=("date_range", "requests", "delivered", "unique_opens", "unique_clicks", "hard_bounces",
-             "open_rate_pct", "click_rate_pct", "delivery_rate_pct", "bounce_rate_pct", "is_valid_record",
-             "audit_inserted_at", "audit_updated_at", "is_deleted", "batch_id"))
+    columns=("date_range", "requests", "delivered", "opens", "unique_opens", "clicks", "unique_clicks", "hard_bounces",
+             "soft_bounces", "blocked", "spam_reports", "unsubscribed", "open_rate_pct", "click_rate_pct",
+             "delivery_rate_pct", "bounce_rate_pct", "is_valid_record", "api_extracted_at", "audit_inserted_at", "audit_updated_at", "is_deleted", "batch_id"))
 
 def _clean_contact_list(raw: DataFrame, run_ts: Column) -> DataFrame:
     return raw.select(
         "list_id", X.clean_trim("name").alias("list_name"), "folder_id", "total_subscribers", "unique_subscribers",
-        "total_blacklisted",
+        "total_blacklisted", "api_extracted_at",
         X.valid_required_nonblank(not_null=("list_id",), nonblank=("name",)).alias("is_valid_record"),
         F.col("audit_updated_at").alias("audit_inserted_at"), "audit_updated_at", "is_deleted")
 
@@ -142,27 +152,31 @@ def _clean_contact_list(raw: DataFrame, run_ts: Column) -> DataFrame:
 SLV_CONTACT_LIST = SilverSpec(
     name="slv_contact_list", keys=("list_id",), clean=_clean_contact_list,
     columns=("list_id", "list_name", "folder_id", "total_subscribers", "unique_subscribers", "total_blacklisted",
-             "is_valid_record", "audit_inserted_at", "audit_updated_at", "is_deleted"))
+             "is_valid_record", "api_extracted_at", "audit_inserted_at", "audit_updated_at", "is_deleted"))
 
 
 def _clean_smtp_email(raw: DataFrame, run_ts: Column) -> DataFrame:
     return raw.select(
-        "email_uuid", "message_id", "email_date", X.clean_lower("smtp_email").alias("smtp_email"),
-        X.clean_lower("from_email").alias("from_email"), X.clean_trim("subject").alias("subject"),
+        "email_uuid", X.clean_trim("message_id").alias("message_id"), X.clean_lower("smtp_email").alias("recipient_email"),
+        X.clean_lower("smtp_event_email").alias("event_email"), X.clean_lower("from_email").alias("from_email"),
+        X.clean_trim("subject").alias("subject"), F.col("email_date").alias("sent_at"), X.clean_trim("tags").alias("tags"),
         X.valid_required_nonblank(nonblank=("email_uuid", "smtp_email")).alias("is_valid_record"),
-        F.col("audit_updated_at").alias("audit_inserted_at"), "audit_updated_at", "is_deleted")
+        F.col("audit_updated_at").alias("audit_inserted_at"), "audit_updated_at", "is_deleted", _batch(1).alias("batch_id"))
 
 
 SLV_SMTP_EMAIL = SilverSpec(
     name="slv_smtp_email", keys=("email_uuid",), clean=_clean_smtp_email,
-    columns=("email_uuid", "message_id", "email_date", "smtp_email", "from_email", "subject", "is_valid_record",
-             "audit_inserted_at", "audit_updated_at", "is_deleted"))
+    columns=("email_uuid", "message_id", "recipient_email", "event_email", "from_email", "subject", "sent_at", "tags",
+             "is_valid_record", "audit_inserted_at", "audit_updated_at", "is_deleted", "batch_id"))
 
 
 def _clean_smtp_event(raw: DataFrame, run_ts: Column) -> DataFrame:
     return raw.select(
         X.hash_key("message_id", "event", "event_date").alias("smtp_event_id"),   # key over the *raw* values
-        "message_id", X.clean_upper("event").alias("event"), "event_date", X.clean_trim("reason").alias("reason"),
+        "message_id", X.clean_upper("event").alias("event_type"), "event_date",
+        X.clean_lower("email").alias("recipient_email"), X.clean_lower("from_email").alias("from_email"),
+        X.clean_trim("subject").alias("subject"), X.clean_trim("reason").alias("failure_reason"), "template_id",
+        "api_extracted_at", _batch(1).alias("batch_id"),
         X.valid_required_nonblank(nonblank=("message_id", "event")).alias("is_valid_record"),
         X.valid_event_time("event_date", run_ts).alias("is_valid_event_date"),
         F.col("audit_updated_at").alias("audit_inserted_at"), "audit_updated_at", "is_deleted", "line_no")
@@ -170,9 +184,10 @@ def _clean_smtp_event(raw: DataFrame, run_ts: Column) -> DataFrame:
 
 SLV_SMTP_EVENT = SilverSpec(
     name="slv_smtp_event", keys=("smtp_event_id",), clean=_clean_smtp_event,
-    columns=("smtp_event_id", "message_id", "event", "event_date", "reason", "is_valid_record",
-             "is_valid_event_date", "audit_inserted_at", "audit_updated_at", "is_deleted"),
-    tie_break=("line_no", "reason"))
+    columns=("smtp_event_id", "message_id", "event_type", "event_date", "recipient_email", "from_email", "subject",
+             "failure_reason", "template_id", "is_valid_record", "is_valid_event_date", "api_extracted_at",
+             "audit_inserted_at", "audit_updated_at", "is_deleted", "batch_id"),
+    tie_break=("line_no", "failure_reason", "recipient_email", "template_id"))
 
 
 # ---------------------------------------------------------------- ads source
@@ -183,7 +198,7 @@ def _clean_insight_ad(raw: DataFrame, run_ts: Column) -> DataFrame:
     return raw.select(
         "ad_id", "adset_id", "campaign_id", "ad_account_id", "date_start", "date_stop", "impressions", "reach",
         "clicks", "spend", m["cpc"].alias("cpc"), m["cpm"].alias("cpm"), m["ctr"].alias("ctr"),
-        F.lit("").alias("actions_raw"),
+        X.clean_trim("ad_name").alias("ad_name"), F.col("actions").alias("actions_raw"),
         X.valid_required("ad_id", "date_start").alias("is_valid_record"),
         X.valid_date_range("date_start", "date_stop", F.to_date(run_ts)).alias("is_valid_date_range"),
         F.col("audit_updated_at").alias("audit_inserted_at"), "audit_updated_at", "is_deleted",
@@ -192,50 +207,70 @@ def _clean_insight_ad(raw: DataFrame, run_ts: Column) -> DataFrame:
 
 SLV_INSIGHT_AD = SilverSpec(
     name="slv_insight_ad", keys=("ad_id", "date_start", "date_stop"), clean=_clean_insight_ad,
-    columns=("ad_id", "adset_id", "campaign_id", "ad_account_id", "date_start", "date_stop", "impressions",
+    columns=("ad_id", "ad_name", "adset_id", "campaign_id", "ad_account_id", "date_start", "date_stop", "impressions",
              "reach", "clicks", "spend", "cpc", "cpm", "ctr", "actions_raw", "is_valid_record",
              "is_valid_date_range", "audit_inserted_at", "audit_updated_at", "is_deleted", "batch_id"),
     tie_break=("src_order", "src_line", "spend", "clicks", "adset_id"))
 
 
-def _entity_clean(key: str, text_cols: Sequence[str], other: Sequence[str]):
+def _entity_clean(key: str, text_cols: Sequence[str], other: Sequence[str], times: Sequence[str],
+                  renamed: dict[str, str]):
     def clean(raw: DataFrame, run_ts: Column) -> DataFrame:
         return raw.select(
-            key, *[X.clean_trim(c).alias(c) for c in text_cols], *other,
+            key, *[X.clean_trim(renamed.get(c, c)).alias(c) for c in text_cols],
+            *[F.col(renamed.get(c, c)).alias(c) for c in other], *[X.try_parse_ts(c).alias(c) for c in times],
             X.valid_required(key).alias("is_valid_record"),
-            F.col("audit_updated_at").alias("audit_inserted_at"), "audit_updated_at", "is_deleted")
+            F.col("audit_updated_at").alias("audit_inserted_at"), "audit_updated_at", "is_deleted",
+            _batch(1).alias("batch_id"))
     return clean
 
 
-def _entity_spec(name: str, key: str, text_cols: Sequence[str], other: Sequence[str]) -> SilverSpec:
-    return SilverSpec(name=name, keys=(key,), clean=_entity_clean(key, text_cols, other),
-                      columns=(key, *text_cols, *other, "is_valid_record", "audit_inserted_at",
-                               "audit_updated_at", "is_deleted"))
+def _entity_spec(name: str, key: str, text_cols: Sequence[str], other: Sequence[str], times: Sequence[str] = (),
+                 renamed: dict[str, str] | None = None) -> SilverSpec:
+    """``renamed``: target column -> source column, where they differ. ``times``: texts that F3 parses."""
+    return SilverSpec(name=name, keys=(key,), clean=_entity_clean(key, text_cols, other, times, renamed or {}),
+                      columns=(key, *text_cols, *other, *times, "is_valid_record", "audit_inserted_at",
+                               "audit_updated_at", "is_deleted", "batch_id"))
 
 
 SLV_AD_ACCOUNT = _entity_spec("slv_ad_account", "account_id", ("account_name", "currency", "timezone_name", "business_name"),
-                              ("account_status", "business_id"))
+                              ("account_id_text", "account_status", "spend_cap", "amount_spent", "balance", "business_id"))
 SLV_CAMPAIGN = _entity_spec("slv_campaign", "campaign_id", ("campaign_name", "status", "effective_status", "objective",
-                                                            "buying_type"),
-                            ("daily_budget", "lifetime_budget", "ad_account_id"))
+                                                            "buying_type", "special_ad_categories"),
+                            ("daily_budget", "lifetime_budget", "budget_remaining", "ad_account_id"),
+                            times=("created_time", "start_time", "stop_time", "updated_time"))
 SLV_ADSET = _entity_spec("slv_adset", "adset_id", ("adset_name", "status", "effective_status", "bid_strategy",
-                                                   "optimization_goal"),
-                         ("campaign_id", "daily_budget", "lifetime_budget", "ad_account_id"))
+                                                   "billing_event", "optimization_goal", "destination_type"),
+                         ("campaign_id", "bid_amount", "daily_budget", "lifetime_budget", "targeting_raw",
+                          "promoted_object_raw", "ad_account_id"),
+                         times=("start_time", "end_time", "updated_time"))
 SLV_AD = _entity_spec("slv_ad", "ad_id", ("ad_name", "status", "effective_status", "creative_name", "creative_title",
-                                          "creative_cta_type"),
-                      ("adset_id", "campaign_id", "creative_id", "ad_account_id"))
+                                          "creative_body", "creative_image_url", "creative_cta_type"),
+                      ("adset_id", "campaign_id", "creative_id", "ad_account_id"),
+                      times=("created_time", "updated_time"))
 
-SLV_CUSTOM_AUDIENCE = _entity_spec("slv_custom_audience", "audience_id", ("name", "subtype", "lookalike_spec"),
-                                   ("approx_count_lower", "approx_count_upper", "retention_days"))
+SLV_CUSTOM_AUDIENCE = _entity_spec("slv_custom_audience", "audience_id",
+                                   ("audience_name", "description", "subtype", "delivery_status_desc", "data_source_type",
+                                    "data_source_sub_type"),
+                                   ("approx_count_lower", "approx_count_upper", "retention_days", "delivery_status_code",
+                                    "lookalike_spec_raw", "ad_account_id"),
+                                   renamed={"audience_name": "name", "lookalike_spec_raw": "lookalike_spec"})
 
 
 def _clean_insight_level(level: str, with_frequency: bool):
     def clean(raw: DataFrame, run_ts: Column) -> DataFrame:
         m = X.ad_metrics("spend", "clicks", "impressions", "reach" if with_frequency else None)
-        extra = [m["frequency"].alias("frequency")] if with_frequency else []
+        key = F.col(level)
+        extra = {
+            "ad_account_id": [m["frequency"].alias("frequency") if with_frequency else None,
+                              F.col("action_values").alias("action_values_raw")],
+            "campaign_id": [X.clean_trim("level_name").alias("campaign_name"), (key % 5).alias("ad_account_id")],
+            "adset_id": [X.clean_trim("level_name").alias("adset_name"), (key % 25).alias("campaign_id"),
+                         (key % 5).alias("ad_account_id")]}[level]
         return raw.select(
             level, "date_start", "date_stop", "impressions", "reach", "clicks", "spend",
             m["cpc"].alias("cpc"), m["cpm"].alias("cpm"), m["ctr"].alias("ctr"), *extra,
+            F.col("actions").alias("actions_raw"), _batch(1).alias("batch_id"),
             X.valid_required(level, "date_start").alias("is_valid_record"),
             X.valid_date_range("date_start", "date_stop", F.to_date(run_ts)).alias("is_valid_date_range"),
             F.col("audit_updated_at").alias("audit_inserted_at"), "audit_updated_at", "is_deleted")
@@ -245,12 +280,14 @@ def _clean_insight_level(level: str, with_frequency: bool):
 def _insight_level_spec(level: str, with_frequency: bool = False) -> SilverSpec:
     name = {"ad_account_id": "slv_insight_account", "campaign_id": "slv_insight_campaign",
             "adset_id": "slv_insight_adset"}[level]
-    metrics = ("cpc", "cpm", "ctr") + (("frequency",) if with_frequency else ())
+    metrics = ("cpc", "cpm", "ctr", "actions_raw") + {
+        "ad_account_id": ("frequency", "action_values_raw"), "campaign_id": ("campaign_name", "ad_account_id"),
+        "adset_id": ("adset_name", "campaign_id", "ad_account_id")}[level]
     return SilverSpec(name=name, keys=(level, "date_start", "date_stop"),
                       clean=_clean_insight_level(level, with_frequency),
                       columns=(level, "date_start", "date_stop", "impressions", "reach", "clicks", "spend", *metrics,
                                "is_valid_record", "is_valid_date_range", "audit_inserted_at", "audit_updated_at",
-                               "is_deleted"))
+                               "is_deleted", "batch_id"))
 
 
 SLV_INSIGHT_ACCOUNT = _insight_level_spec("ad_account_id", with_frequency=True)
@@ -261,8 +298,8 @@ SLV_INSIGHT_ADSET = _insight_level_spec("adset_id")
 
 DIM_CONTACT = Scd2Spec(sk_col="dim_contact_sk", keys=("contact_id",),
                        tracked={"email": "", "first_name": "", "last_name": "", "vehicle_make": "",
-                                "is_email_optin": False},
-                       carried=("full_name",))
+                                "is_email_blacklisted": False, "is_email_optin": False},
+                       carried=("full_name", "date_of_birth", "is_sms_blacklisted", "contact_created_at"))
 DIM_POLICY = Scd2Spec(sk_col="dim_policy_sk", keys=("policy_id",),
                       tracked={"coverage_code": "", "policy_end_date": None},
                       carried=("policy_code", "policy_number", "policy_start_date", "policy_duration_days"))
