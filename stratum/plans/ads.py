@@ -12,7 +12,7 @@ from stratum.operators.calendar import date_dimension
 from stratum.operators.merge import fact_merge
 from stratum.operators.surrogate import assign_surrogate_keys_counted
 from stratum.plans import feeds, specs
-from stratum.plans.state import materialize, memo, scd2_runs, silver_runs
+from stratum.plans.state import SilverHistory, materialize, memo, scd2_runs, silver_runs
 
 # Fixed run times of the two ads runs.
 RUN_TS = {1: "2024-03-01 00:00:00", 2: "2024-03-02 00:00:00"}
@@ -62,9 +62,18 @@ def all_entity_dims(spark: SparkSession, sf_dir: str) -> dict[str, list[DataFram
         return {e: f.result() for e, f in futures.items()}
 
 
+def insight_runs(spark: SparkSession, sf_dir: str) -> SilverHistory:
+    """SLV_INSIGHT_AD after each of two deliveries."""
+    def build():
+        raw = feeds.insight_feed(spark, sf_dir)
+        name = specs.SLV_INSIGHT_AD.name
+        return silver_runs(spark, specs.SLV_INSIGHT_AD,
+                           [(feeds.delivered(raw, name, run), run_ts(run)) for run in (1, 2)], name)
+    return memo(spark, sf_dir, "insight_runs", build)
+
+
 def insight_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return memo(spark, sf_dir, "silver_insight_ad", lambda: materialize(
-        specs.SLV_INSIGHT_AD.merge(None, feeds.insight_feed(spark, sf_dir), run_ts(1))))
+    return insight_runs(spark, sf_dir)[-1]
 
 
 FACT_KEYS = ("ad_id", "date_start_id", "date_stop_id")
@@ -104,12 +113,12 @@ def fact_runs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     def build():
         with ThreadPoolExecutor(max_workers=2) as pool:
             dims_f = pool.submit(all_entity_dims, spark, sf_dir)
-            insights = insight_silver(spark, sf_dir)
+            insights = insight_runs(spark, sf_dir)
             all_dims = dims_f.result()
         out, fact, base = [], None, 0
         for run in (1, 2):
             dims = {e: all_dims[e][run - 1] for e in ENTITIES}
-            src = fact_source(insights, dims)
+            src = fact_source(insights[run - 1], dims)
             if fact is None:
                 fact = spark.createDataFrame([], src.select(
                     F.lit(None).cast("long").alias("insight_sk"), *src.columns,

@@ -126,7 +126,9 @@ def daily_report_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
                  one(et == "error").alias("hard_bounces"), one((et != "error") & (F.col("value") < 1)).alias("soft_bounces"),
                  one(F.col("value") > 49).alias("blocked"), one((et == "error") & (F.col("value") > 40)).alias("spam_reports"),
                  one((et == "view") & (F.col("value") < 2)).alias("unsubscribed"))
-            .withColumn("api_extracted_at", X.add_hours(F.col("report_date").cast("timestamp_ntz"), 25)))
+            .withColumn("api_extracted_at", X.add_hours(F.col("report_date").cast("timestamp_ntz"), 25))
+            .withColumn("audit_updated_at", X.add_days(F.col("report_date").cast("timestamp_ntz"), 1))
+            .withColumn("is_deleted", F.lit(False)))
 
 
 # Ads entity snapshots: two extracts ("runs") of each entity table. Run 2 changes some
@@ -289,3 +291,43 @@ def insight_level_feed(spark: SparkSession, sf_dir: str, level: str) -> DataFram
             .withColumn("action_values", F.concat(F.lit('{"purchase":'), _s(F.col("spend")), F.lit("}")))
             .withColumn("level_name", F.concat(F.lit(" "), F.lit(level), F.lit("-"), _s(F.col(level)), F.lit(" ")))
             .withColumn("is_deleted", F.lit(False)))
+
+
+# Two deliveries of the tables that have no extracts of their own: every record arrives in both. By a number n of the
+# record, the first holds it as deleted (n % 10 = 9: it is not inserted), the second brings changed values with a newer
+# audit time (n % 3 = 0; some of them twice with one audit time), an older audit time (n % 12 = 0: late data),
+# a deletion (n % 15 = 0) or nothing new.
+# name: (n, changed columns, columns of the twin record)
+DELIVERIES = {
+    "slv_contact_list": ("list_id", {"total_subscribers": "total_subscribers + 1"},
+                         {"total_subscribers": "total_subscribers + 2"}),
+    "slv_event": ("cast(substr(event_uuid, 5) AS bigint)",
+                  {"coverage_code": "'CHANGED'", "payment_gateway": "'Klarna'", "event_filter_id": "99L",
+                   "policy_end_date": "date_add(policy_end_date, 30)"},
+                  {"coverage_code": "'CHANGED'", "payment_gateway": "'Klarna'", "event_filter_id": "99L",
+                   "policy_end_date": "date_add(policy_end_date, 30)",
+                   "premium_amount": "cast(premium_amount + 1 AS decimal(10,2))"}),
+    "slv_agg_report": ("cast(day(report_date) AS bigint)", {"spam_reports": "spam_reports + 100"},
+                       {"spam_reports": "spam_reports + 101"}),
+    "slv_smtp_email": ("cast(substr(email_uuid, 4) AS bigint)", {"subject": "'resent'"}, {"subject": "'sent again'"}),
+    "slv_smtp_event": ("cast(substr(message_id, 5) AS bigint)", {"subject": "'resent'"}, {"subject": "'sent again'"}),
+    "slv_custom_audience": ("audience_id", {"retention_days": "retention_days + 1"}, {"retention_days": "retention_days + 2"}),
+    "slv_insight_account": ("dayofyear(date_start) + ad_account_id", {"reach": "reach + 7"}, {"reach": "reach + 8"}),
+    "slv_insight_campaign": ("dayofyear(date_start) + campaign_id", {"reach": "reach + 7"}, {"reach": "reach + 8"}),
+    "slv_insight_adset": ("dayofyear(date_start) + adset_id", {"reach": "reach + 7"}, {"reach": "reach + 8"}),
+    "slv_insight_ad": ("src_order", {"reach": "reach + 7"}, {"reach": "reach + 8"}),
+}
+
+
+def delivered(feed: DataFrame, name: str, run: int) -> DataFrame:
+    """The ``run``-th delivery (1 or 2) of ``feed`` for the table ``name``."""
+    number, changed, twin = DELIVERIES[name]
+    n = F.expr(number)
+    if run == 1:
+        return feed.withColumn("is_deleted", F.col("is_deleted") | (n % 10 == 9))
+    audit = (F.when(n % 12 == 0, X.add_days("audit_updated_at", -1)).when(n % 3 == 0, X.add_days("audit_updated_at", 30))
+             .otherwise(F.col("audit_updated_at")))
+    again = {"audit_updated_at": audit, "is_deleted": F.col("is_deleted") | (n % 15 == 0)}
+    with_new = lambda values: {c: F.when(n % 3 == 0, F.expr(e)).otherwise(F.col(c)) for c, e in values.items()}
+    twins = feed.filter(n % 21 == 0)          # in addition to the records themselves
+    return feed.withColumns(again | with_new(changed)).unionByName(twins.withColumns(again | with_new(twin)))

@@ -8,10 +8,9 @@ from stratum import functions as X
 from stratum.functions.temporal import ts_literal
 from stratum.operators.dedup import dedup_latest
 from stratum.operators.merge import fact_merge
-from stratum.operators.scd2 import scd2_apply
 from stratum.operators.flatten import list_membership
 from stratum.plans import feeds, specs
-from stratum.plans.state import materialize, memo, scd2_runs, silver_runs
+from stratum.plans.state import SilverHistory, memo, new_table, scd2_runs, silver_runs
 
 # Fixed run times of the three pipeline runs (one shared run_ts per run).
 RUN_TS = {1: "2024-03-01 00:00:00", 2: "2024-03-02 00:00:00", 3: "2024-03-03 00:00:00"}
@@ -55,13 +54,24 @@ def membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return list_membership(contact_silver(spark, sf_dir)[-1])
 
 
+def two_runs(spark: SparkSession, sf_dir: str, spec, feed) -> SilverHistory:
+    """A Silver table after each of two deliveries of its feed (``feeds.delivered``)."""
+    def build():
+        raw = feed(spark, sf_dir)
+        return silver_runs(spark, spec, [(feeds.delivered(raw, spec.name, run), run_ts(run)) for run in (1, 2)], spec.name)
+    return memo(spark, sf_dir, f"two_runs_{spec.name}", build)
+
+
+def event_runs(spark: SparkSession, sf_dir: str) -> SilverHistory:
+    return two_runs(spark, sf_dir, specs.SLV_EVENT, feeds.policy_event_feed)
+
+
 def event_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return memo(spark, sf_dir, "event_silver", lambda: materialize(
-        specs.SLV_EVENT.merge(None, feeds.policy_event_feed(spark, sf_dir), run_ts(1))))
+    return event_runs(spark, sf_dir)[-1]
 
 
 def agg_report_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return specs.SLV_AGG_REPORT.merge(None, feeds.daily_report_feed(spark, sf_dir), run_ts(1))
+    return two_runs(spark, sf_dir, specs.SLV_AGG_REPORT, feeds.daily_report_feed)[-1]
 
 
 def policy_id(code="policy_code", number="policy_number", null_as_empty=False):
@@ -91,14 +101,28 @@ def dim_plan_source(events: DataFrame) -> DataFrame:
     return dedup_latest(src, ["plan_id_key"], ["payment_gateway"])
 
 
+def _event_dims(spark: SparkSession, sf_dir: str, name: str, source, spec) -> list[DataFrame]:
+    def build():
+        silver = event_runs(spark, sf_dir)
+        return scd2_runs(spark, spec, [(source(silver[k]), run_ts(k + 1)) for k in range(len(silver))], name)
+    return memo(spark, sf_dir, name, build)
+
+
+def policy_dims(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """DIM_POLICY after each run, from the whole Silver table: a policy's latest event may be an old one."""
+    return _event_dims(spark, sf_dir, "dim_policy", dim_policy_source, specs.DIM_POLICY)
+
+
+def plan_dims(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return _event_dims(spark, sf_dir, "dim_plan", dim_plan_source, specs.DIM_PLAN)
+
+
 def policy_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return memo(spark, sf_dir, "policy_dim", lambda: materialize(
-        scd2_apply(None, dim_policy_source(event_silver(spark, sf_dir)), specs.DIM_POLICY, run_ts(1))))
+    return policy_dims(spark, sf_dir)[-1]
 
 
 def plan_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return memo(spark, sf_dir, "plan_dim", lambda: materialize(
-        scd2_apply(None, dim_plan_source(event_silver(spark, sf_dir)), specs.DIM_PLAN, run_ts(1))))
+    return plan_dims(spark, sf_dir)[-1]
 
 
 FACT_EVENT_COLS = ("event_uuid", "dim_contact_sk", "dim_policy_sk", "dim_plan_sk", "contact_id", "event_date_id",
@@ -125,10 +149,17 @@ def fact_event_source(events: DataFrame, dim_contact: DataFrame, dim_policy: Dat
 
 
 def fact_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FACT_EVENT after two runs; each takes in the rows its Silver run inserted or updated, linked to the dimension
+    versions of that run, and writes only those."""
     def build():
-        src = fact_event_source(event_silver(spark, sf_dir), contact_dims(spark, sf_dir)[-1],
-                                policy_dim(spark, sf_dir), plan_dim(spark, sf_dir))
-        empty = src.limit(0).withColumn("gold_loaded_at", F.lit(None).cast("timestamp_ntz")) \
-                   .withColumn("gold_updated_at", F.lit(None).cast("timestamp_ntz"))
-        return materialize(fact_merge(empty, src, ["event_uuid"], run_ts=run_ts(3)))
+        silver, policies, plans = event_runs(spark, sf_dir), policy_dims(spark, sf_dir), plan_dims(spark, sf_dir)
+        contacts = contact_dims(spark, sf_dir)[-1]
+        table = new_table(spark, "fact_event", ["event_uuid"])
+        for k in range(len(silver)):
+            src, ts = fact_event_source(silver.changed_rows(k), contacts, policies[k], plans[k]), run_ts(k + 1)
+            empty = (src.limit(0).withColumn("gold_loaded_at", F.lit(None).cast("timestamp_ntz"))
+                     .withColumn("gold_updated_at", F.lit(None).cast("timestamp_ntz")))
+            table.merge(src, lambda fact, new, ts=ts, empty=empty: fact_merge(
+                empty if fact is None else fact, new, ["event_uuid"], run_ts=ts), changed=F.lit(True))
+        return table.read()
     return memo(spark, sf_dir, "fact_event", build)

@@ -48,7 +48,7 @@ class SilverHistory(list):
         return reduce(DataFrame.unionByName, [self.spec.quarantine(raw, ts) for raw, ts in self.batches])
 
 
-def _new_table(spark: SparkSession, name: str, keys, root: str | None = None):
+def new_table(spark: SparkSession, name: str, keys, root: str | None = None):
     from stratum.sources.snapshots import ChangeTable
     if root is None:
         root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
@@ -64,7 +64,7 @@ def silver_runs(spark: SparkSession, spec, batches: list[tuple[DataFrame, object
     the history reports use) and each run's change rows for Gold. With ``root`` the table lives there: runs that
     it has already committed are not repeated.
     """
-    table = _new_table(spark, name, spec.keys, root)
+    table = new_table(spark, name, spec.keys, root)
     for version, (raw, run_ts) in enumerate(batches):
         last = table.last_commit()
         if last is None or version > last:
@@ -80,7 +80,7 @@ def scd2_runs(spark: SparkSession, spec, sources: list[tuple[DataFrame, object]]
     Fed with change rows (T7), a run reads the current rows of their keys only. The largest surrogate key is
     part of each commit, so a later process goes on from there.
     """
-    table = _new_table(spark, name, [spec.sk_col], root)
+    table = new_table(spark, name, [spec.sk_col], root)
     for version, (source, run_ts) in enumerate(sources):
         last = table.last_commit()
         if last is not None and version <= last:
