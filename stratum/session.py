@@ -6,7 +6,9 @@ import os
 
 from pyspark.sql import SparkSession
 
-# Settings every stratum session wants; callers may override any of them.
+# Settings every stratum session wants; callers may override any of them. On a cluster also set
+# spark.checkpoint.dir, and spark.sql.shuffle.partitions to the largest shuffle's bytes / 200 MB (AQE merges small
+# partitions, it does not make more of them).
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -38,9 +40,9 @@ def build_session(master: str | None = None, app: str = "stratum",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, setting one only when none is configured.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    When it is unset (tests, ad-hoc sessions) we fall back to a folder under the
-    warehouse directory, which is also shared storage on a cluster.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is; without it there is nowhere that
+    all executors can read, so this raises. In local mode (tests, ad-hoc sessions) a folder under the warehouse
+    directory serves.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not (sc.master or "").split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         warehouse = spark.conf.get("spark.sql.warehouse.dir")
         configured = warehouse.rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(configured)
