@@ -291,7 +291,7 @@ def one_of_each(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recal
     """Pipeline stage: the rows of ``docs``, all columns, whose doc_id is the smallest of its group of near
     duplicates. Rows without a doc_id stay; rows that repeat both doc_id and n-gram set stay or go together."""
     lost = (_judged(docs, n, threshold, recall).filter("doc_id <> class_id")
-            .select(F.col("doc_id").alias("__lost"), F.col("key").alias("__lost_key")).distinct())
+            .select(F.col("doc_id").alias("__lost"), F.col("key").alias("__lost_key")))
     keyed = docs.withColumn("__key", _key_udf(n)(F.col("text")))
     return (keyed.join(lost, (keyed["doc_id"] == lost["__lost"]) & (keyed["__key"] == lost["__lost_key"]), "left_anti")
             .drop("__key"))
