@@ -7,7 +7,8 @@ lines except those in the smallest doc_id that holds it. Other lines stay, joine
 1. Every task fills two Bloom bitmaps, "seen in a document" and "seen in a second one", from the hashes
    of its lines. The bitmaps of all tasks are merged piece by piece on the executors
    (``twice = twice1 | twice2 | once1 & once2``). Their size follows the number of bytes of text
-   up to ``max_bits``; beyond that the filter lets more lines pass, and the result stays the same.
+   up to ``MAX_BITS`` (64 MB, the proven bound of what is broadcast). Beyond some tens of GB of text the
+   filter fills up and lets more and more lines pass; the result stays the same.
 2. Only lines whose bits are all in the second bitmap are shuffled. They are grouped by the key itself
    (pre-aggregated in each task: smallest and largest doc_id), which is the exact confirmation.
 3. The confirmed keys, written to shared storage, are joined with the suspected lines; each document gets
@@ -30,8 +31,9 @@ from .common import arrow_udf, map_arrow, written
 
 MIN_CHARS = 10
 BITS_PER_BYTE = 1 / 4          # bits of each bitmap per byte of text: about 16 per line of 64 bytes
-MIN_BITS, MAX_BITS = 1 << 16, 1 << 26
-PIECE_BITS = 1 << 15           # bitmaps travel in pieces of 4 KB
+MIN_BITS, MAX_BITS = 1 << 16, 1 << 29    # 64 MB at most
+PIECE_BITS = 1 << 16           # bitmaps travel in pieces, as lists of places or as bitmaps of 8 KB
+PIECE_BYTES = PIECE_BITS // 8
 BLANKS = b" \t\n\x0b\x0c\r"
 N_HASHES = 3
 
@@ -57,33 +59,63 @@ def _bits(keys, n_bits: int) -> np.ndarray:
     return ((lo[:, None] + np.arange(N_HASHES, dtype=np.uint64) * hi[:, None]) % np.uint64(n_bits)).astype(np.int64)
 
 
+def _sent(at: np.ndarray) -> bytes:
+    """Places in a piece: as 16-bit numbers while that is shorter, else as the piece's bitmap."""
+    if len(at) * 2 < PIECE_BYTES:
+        return at.astype("<u2").tobytes()
+    bits = np.zeros(PIECE_BITS, dtype=bool)
+    bits[at] = True
+    return np.packbits(bits).tobytes()
+
+
+def _bitmap(sent: bytes) -> np.ndarray:
+    if len(sent) == PIECE_BYTES:
+        return np.frombuffer(sent, np.uint8)
+    bits = np.zeros(PIECE_BITS, dtype=bool)
+    bits[np.frombuffer(sent, "<u2")] = True
+    return np.packbits(bits)
+
+
 def _fill(n_bits: int, min_chars: int):
-    """One task's two bitmaps, sent as the pieces that are not empty."""
+    """One task's two bitmaps, as the places of their set bits, piece by piece."""
     def run(batches):
-        once, twice = np.zeros(n_bits, bool), np.zeros(n_bits, bool)
+        once, twice = [], []        # places set by a document of this task, sorted; those set by two
+
+        def settle():
+            every, counts = np.unique(np.concatenate(once), return_counts=True)
+            twice.append(every[counts > 1])
+            once[:] = [every]
+
+        held = 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 keys = _keys(text, min_chars)
                 if keys:
-                    at = np.unique(_bits(keys, n_bits))
-                    twice[at[once[at]]] = True
-                    once[at] = True
-        for k in range(0, n_bits, PIECE_BITS):
-            one = once[k:k + PIECE_BITS]
-            if one.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k // PIECE_BITS], pa.int32()), pa.array([np.packbits(one).tobytes()], pa.binary()),
-                     pa.array([np.packbits(twice[k:k + PIECE_BITS]).tobytes()], pa.binary())],
-                    names=["piece", "once", "twice"])
+                    once.append(np.unique(_bits(keys, n_bits)))
+                    held += len(once[-1])
+            if held > 1 << 22:
+                settle()
+                held = 0
+        if not once:
+            return
+        settle()
+        one, two = once[0], np.unique(np.concatenate(twice))
+        pieces = np.unique(one // PIECE_BITS)
+        for k in range(0, len(pieces), 1024):
+            some = pieces[k:k + 1024]
+            cols = [[_sent(x[np.searchsorted(x, p * PIECE_BITS):np.searchsorted(x, (p + 1) * PIECE_BITS)] - p * PIECE_BITS)
+                     for p in some] for x in (one, two)]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array(c, pa.binary()) for c in cols)],
+                                             names=["piece", "once", "twice"])
     return run
 
 
 def _merge(batches):
-    """The merged pieces of this partition: at most as many as there are pieces, 8 KB each."""
+    """The merged pieces of this partition: at most as many as there are pieces, twice ``PIECE_BYTES`` each."""
     have: dict[int, list[np.ndarray]] = {}
     for batch in batches:
         for piece, once, twice in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            one, two = np.frombuffer(once, np.uint8), np.frombuffer(twice, np.uint8)
+            one, two = _bitmap(once), _bitmap(twice)
             if piece in have:
                 had = have[piece]
                 had[1] = had[1] | two | (had[0] & one)
@@ -91,8 +123,9 @@ def _merge(batches):
             else:
                 have[piece] = [one, two]
     for piece, (one, two) in have.items():
-        yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([one.tobytes()], pa.binary()),
-                                          pa.array([two.tobytes()], pa.binary())], names=["piece", "once", "twice"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([piece], pa.int32()), *(pa.array([_sent(np.flatnonzero(np.unpackbits(x)))], pa.binary()) for x in (one, two))],
+            names=["piece", "once", "twice"])
 
 
 PIECES = "piece int, once binary, twice binary"
@@ -104,10 +137,10 @@ def twice_filter(docs: DataFrame, n_bits: int, min_chars: int = MIN_CHARS) -> np
     salted = pieces.repartition(F.col("piece"), F.pmod(F.xxhash64("once"), F.lit(16)))   # two levels: no task merges
     some = map_arrow(salted, _merge, PIECES)                                            # all copies of a piece
     merged = map_arrow(some.repartition("piece"), _merge, PIECES)
-    out = np.zeros(n_bits // 8, dtype=np.uint8)
-    for r in merged.select("piece", "twice").toLocalIterator():   # n_bits / 8 bytes in all, at most 8 MB
-        at = r["piece"] * (PIECE_BITS // 8)
-        out[at:at + PIECE_BITS // 8] = np.frombuffer(r["twice"], np.uint8)
+    out = np.zeros(max(n_bits // 8, PIECE_BYTES), dtype=np.uint8)
+    for r in merged.select("piece", "twice").toLocalIterator():   # at most MAX_BITS / 8 bytes in all
+        at = r["piece"] * PIECE_BYTES
+        out[at:at + PIECE_BYTES] = _bitmap(r["twice"])
     return out
 
 

@@ -125,7 +125,7 @@ def test_line_dedup_with_a_saturated_filter(spark):
     """A filter that lets every line pass changes nothing."""
     rows = [(k, "\n".join(["the same long line", prose(k, 5)])) for k in range(30)]
     docs = docs_of(spark, rows)
-    a = line_dedup.lost_keys(docs, n_bits=1 << 15).select("doc_id", F.explode("lost")).collect()
+    a = line_dedup.lost_keys(docs, n_bits=1 << 6).select("doc_id", F.explode("lost")).collect()
     b = line_dedup.lost_keys(docs, n_bits=1 << 20).select("doc_id", F.explode("lost")).collect()
     assert sorted(a) == sorted(b) and len(a) == 29
 
