@@ -43,6 +43,10 @@ def _integers(rows: list, dim: int) -> np.ndarray:
     return np.floor(SCALE * out)
 
 
+def _vectors(data: bytes, kind: str, dim: int) -> np.ndarray:
+    return np.frombuffer(data, dtype=kind).reshape(-1, dim).astype(np.float64)
+
+
 def _distances(v: np.ndarray, extra: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """Euclidean distances of (v, extra) to the pivots (whose last component is the extra one)."""
     d = ((v ** 2).sum(axis=1) + extra ** 2)[:, None] + (pivots ** 2).sum(axis=1)[None, :]
@@ -78,7 +82,7 @@ def scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return (exact(queries) @ exact(vectors).T).astype(np.int64)
 
 
-def _keyed(pivots, top: float, dim: int):
+def _keyed(pivots, top: float, dim: int, kind: str):
     def run(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 4096):
@@ -88,7 +92,7 @@ def _keyed(pivots, top: float, dim: int):
                 own = d.argmin(axis=1)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(own, pa.int32()), pa.array(d[np.arange(len(v)), own], pa.float64()),
-                     pa.array([r.tobytes() for r in v], pa.binary())], names=["id", "pivot", "distance", "v"])
+                     pa.array([r.tobytes() for r in v.astype(kind)], pa.binary())], names=["id", "pivot", "distance", "v"])
     return run
 
 
@@ -135,13 +139,13 @@ def _best(queries, q_ids, vectors, ids, k: int):
     return out_q, out_i, out_s
 
 
-def _pairs(k: int, dim: int, pivots, top: float):
+def _pairs(k: int, dim: int, pivots, top: float, kind: str):
     """Rows of block pairs to candidates; ``radius`` (per query, or null) and the annulus drop queries first."""
     def run(batches):
         for whole in batches:
             for at in range(whole.num_rows):
                 r = {n: whole.column(n)[at].as_py() for n in whole.schema.names}
-                q = np.frombuffer(r["q_data"]).reshape(-1, dim)
+                q = _vectors(r["q_data"], kind, dim)
                 q_ids = np.frombuffer(r["q_ids"], dtype=np.int64)
                 if r["q_bound"] is not None:
                     bound = np.frombuffer(r["q_bound"])           # the k-th best score so far, or -inf
@@ -151,7 +155,7 @@ def _pairs(k: int, dim: int, pivots, top: float):
                     q, q_ids = q[near], q_ids[near]
                 if not len(q_ids):
                     continue
-                got = _best(q, q_ids, np.frombuffer(r["data"]).reshape(-1, dim), np.frombuffer(r["ids"], dtype=np.int64), k)
+                got = _best(q, q_ids, _vectors(r["data"], kind, dim), np.frombuffer(r["ids"], dtype=np.int64), k)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in got], names=["query_id", "vec_id", "score"])
     return run
 
@@ -162,13 +166,13 @@ def _radius(q: np.ndarray, bound: np.ndarray, top: float) -> np.ndarray:
     return np.sqrt(np.maximum(square, 0)) * (1 + SLACK) + SLACK * (1 + np.sqrt(top))
 
 
-def _ranges(dim: int, n_pivots: int, pivots, top: float):
+def _ranges(dim: int, n_pivots: int, pivots, top: float, kind: str):
     """Blocks of queries with bounds to rows (q_block, pivot, reach_lo, reach_hi)."""
     def run(batches):
         for whole in batches:
             for at in range(whole.num_rows):
                 r = {n: whole.column(n)[at].as_py() for n in whole.schema.names}
-                q = np.frombuffer(r["q_data"]).reshape(-1, dim)
+                q = _vectors(r["q_data"], kind, dim)
                 radius = _radius(q, np.frombuffer(r["q_bound"]), top)
                 d = _distances(q, np.zeros(len(q)), pivots.value)
                 yield pa.RecordBatch.from_arrays(
@@ -187,15 +191,17 @@ def search(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
              .filter(F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))))
     result = "query_id long, rank int, vec_id long, score long"
     squares = F.aggregate("e", F.lit(0.0), lambda s, x: s + F.floor(x * SCALE).cast("double") * F.floor(x * SCALE).cast("double"))
-    n, dim, top = clean.agg(F.count(F.lit(1)), F.max(F.size("e")), F.max(squares)).first()
+    largest = F.array_max(F.transform("e", lambda x: F.abs(F.floor(x * SCALE).cast("double"))))
+    n, dim, top, most = clean.agg(F.count(F.lit(1)), F.max(F.size("e")), F.max(squares), F.max(largest)).first()
     if not n:
         return spark.createDataFrame([], result)
     dim, top = max(int(dim), 1), float(top or 0.0) * (1 + 1e-12)
+    kind = "<i2" if (most or 0.0) < 1 << 15 else "<f8"      # how components travel; both hold them exactly
     sample = clean.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("e").collect()   # at most SAMPLE vectors
     fitted = fit_pivots(_integers([r[0] for r in sample], dim), top, max(1, min(MAX_PIVOTS, int(n ** 0.5) // 4)))
     pivots = spark.sparkContext.broadcast(fitted)       # at most MAX_PIVOTS vectors
 
-    keyed = written(map_arrow(clean, _keyed(pivots, top, dim), "id long, pivot int, distance double, v binary"), "keyed")
+    keyed = written(map_arrow(clean, _keyed(pivots, top, dim, kind), "id long, pivot int, distance double, v binary"), "keyed")
 
     def blocked(rows, size, tag):
         ordered = rows.select("pivot", "id", "distance", "v").repartitionByRange("pivot", "distance", "id")
@@ -214,7 +220,7 @@ def search(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
         with_both = with_q.join(index.select(F.col("block").alias("b"), "pivot", "lo", "hi", "ids", "data"),
                                 F.col("i_block") == F.col("b"))
         sides = with_both.select("pivot", "lo", "hi", "q_ids", "q_data", "q_bound", "ids", "data")
-        return map_arrow(sides.repartition(F.xxhash64("lo", "hi", "pivot", F.col("q_ids"))), _pairs(k, dim, pivots, top),
+        return map_arrow(sides.repartition(F.xxhash64("lo", "hi", "pivot", F.col("q_ids"))), _pairs(k, dim, pivots, top, kind),
                          "query_id long, vec_id long, score long")
 
     # One block of queries spans distances q_lo..q_hi of its own pivot: the annuli there, and the nearest one.
@@ -246,7 +252,7 @@ def search(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
                       .agg(F.sort_array(F.collect_list(F.struct("place", "b_score"))).alias("held")),   # QUERY_BLOCK rows
                       bounds, "m_block long, q_bound binary")
     bounded = written(asked.join(bound, F.col("q_block") == F.col("m_block")).drop("m_block"), "bounded")
-    reach = map_arrow(bounded.select("q_block", "q_data", "q_bound"), _ranges(dim, len(fitted), pivots, top),
+    reach = map_arrow(bounded.select("q_block", "q_data", "q_bound"), _ranges(dim, len(fitted), pivots, top, kind),
                       "r_block long, r_pivot int, reach_lo double, reach_hi double")
     left = (reach.join(rings, (F.col("r_pivot") == F.col("pivot")) & (F.col("lo") <= F.col("reach_hi"))
                        & (F.col("hi") >= F.col("reach_lo")))
