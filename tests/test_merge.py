@@ -113,6 +113,8 @@ def test_spec_quarantine_plus_loaded_equals_input(spark):
                                       "last_name string, vehicle_make string, is_email_optin boolean, "
                                       "modified_at timestamp_ntz, audit_updated_at timestamp_ntz, is_deleted boolean, "
                                       "list_ids_raw string, list_unsubscribed_raw string, batch_no int")
+    raw = raw.selectExpr("*", "cast(null AS date) AS date_of_birth", "false AS is_email_blacklisted", "true AS is_sms_blacklisted",
+                         "modified_at AS created_at", "modified_at AS api_extracted_at")
     run = ts_literal(RUN)
     loaded = specs.SLV_CONTACT.merge(None, raw, run)
     bad = specs.SLV_CONTACT.quarantine(raw, run)
