@@ -20,9 +20,18 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _shipped: set[str] = set()
 
 
+ROWS_PER_BATCH = "1000"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package once per application, wherever the driver's own copy lies."""
+    """Give the executors this package once per application, wherever the driver's own copy lies.
+
+    Also keeps Arrow batches of whole texts small, unless the session says otherwise: Spark's default of 10,000 rows
+    takes memory outside the heap in proportion to the texts."""
     sc = spark.sparkContext
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows, "10000") == "10000":
+        spark.conf.set(rows, ROWS_PER_BATCH)
     if sc.applicationId in _shipped:
         return
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

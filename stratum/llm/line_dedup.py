@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,7 @@ PIECE_BITS = 1 << 16           # bitmaps travel in pieces, as lists of places or
 PIECE_BYTES = PIECE_BITS // 8
 BLANKS = b" \t\n\x0b\x0c\r"
 N_HASHES = 3
+ROWS_AT_A_TIME = 256          # rows of a batch that are Python objects at one time
 
 
 def line_key(line: bytes) -> bytes:
@@ -87,13 +89,13 @@ def _fill(n_bits: int, min_chars: int):
             once[:] = [every]
 
         held = 0
-        for batch in batches:
+        for batch in (whole.slice(k, ROWS_AT_A_TIME) for whole in batches for k in range(0, whole.num_rows, ROWS_AT_A_TIME)):
             for text in batch.column(0).to_pylist():
                 keys = _keys(text, min_chars)
                 if keys:
                     once.append(np.unique(_bits(keys, n_bits)))
                     held += len(once[-1])
-            if held > 1 << 22:
+            if held > 1 << 20:
                 settle()
                 held = 0
         if not once:
@@ -159,7 +161,7 @@ def lost_keys(docs: DataFrame, min_chars: int = MIN_CHARS, n_bits: int | None =
     twice = docs.sparkSession.sparkContext.broadcast(twice_filter(docs, n_bits, min_chars))   # at most MAX_BITS / 8 bytes
 
     def suspects(batches):
-        for batch in batches:
+        for batch in (whole.slice(k, ROWS_AT_A_TIME) for whole in batches for k in range(0, whole.num_rows, ROWS_AT_A_TIME)):
             ids, keys = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = list(_keys(text, min_chars))
@@ -187,21 +189,20 @@ def lost_keys(docs: DataFrame, min_chars: int = MIN_CHARS, n_bits: int | None =
 def _kept_udf():
     @arrow_udf("struct<text:string,n_lines:long,n_dropped:long>")
     def kept(text: pa.Array, lost: pa.Array) -> pa.Array:
-        out, n, dropped = [], [], []
-        for t, gone in zip(text.to_pylist(), lost.to_pylist(), strict=True):
-            t = t or ""
-            if not gone:
-                out.append(t)
-                n.append(t.count("\n") + 1)
-                dropped.append(0)
-                continue
-            lines, gone = t.encode("utf-8").split(b"\n"), {x.encode("utf-8") for x in gone}
-            stay = [x for x in lines if line_key(x) not in gone]
-            out.append(b"\n".join(stay).decode("utf-8"))
-            n.append(len(lines))
-            dropped.append(len(lines) - len(stay))
-        return pa.StructArray.from_arrays([pa.array(out, pa.string()), pa.array(n, pa.int64()),
-                                           pa.array(dropped, pa.int64())], names=["text", "n_lines", "n_dropped"])
+        text = text.fill_null("")
+        lines = pc.add(pc.count_substring(text, "\n").cast(pa.int64()), 1)
+        hit = np.flatnonzero(lost.is_valid().to_numpy(zero_copy_only=False))    # most documents lose nothing
+        parts, dropped, at = [], np.zeros(len(text), dtype=np.int64), 0
+        for k in hit.tolist():
+            gone = {x.encode("utf-8") for x in lost[k].as_py()}
+            own = text[k].as_py().encode("utf-8").split(b"\n")
+            stay = [x for x in own if line_key(x) not in gone]
+            dropped[k] = len(own) - len(stay)
+            parts += [text.slice(at, k - at), pa.array([b"\n".join(stay).decode("utf-8")], text.type)]
+            at = k + 1
+        whole = pa.concat_arrays([*parts, text.slice(at)])
+        return pa.StructArray.from_arrays([whole.cast(pa.string()), lines, pa.array(dropped)],
+                                          names=["text", "n_lines", "n_dropped"])
     return kept
 
 
