@@ -92,8 +92,15 @@ def scd2_changes(current: DataFrame | None, source: DataFrame, spec: Scd2Spec, r
     """
     attrs = spec.attr_cols
     src = source.select(*attrs)
-    if current is None:
-        current = empty_dimension(source.sparkSession, spec, src.schema)
+
+    def open_versions(rows):
+        keyed, n = assign_surrogate_keys_counted(rows, [*spec.keys, *spec.order_extra], spec.sk_col, base=sk_base)
+        return keyed.select(spec.sk_col, *attrs, run_ts.alias(spec.start_col), ts_literal(OPEN_END).alias(spec.end_col),
+                            F.lit(True).alias(spec.current_col), run_ts.alias(spec.loaded_col),
+                            F.lit(None).cast("timestamp_ntz").alias(spec.updated_col)), sk_base + n
+
+    if current is None:      # an empty dimension: everything is new, nothing to join
+        return open_versions(src)
     d = current.select(*[F.col(c).alias(_D + c) for c in spec.dim_cols], F.lit(True).alias("__d_present"))
     s = src.select(*[F.col(c).alias(_S + c) for c in attrs])
     on = reduce(lambda a, b: a & b, [F.col(_D + k) == F.col(_S + k) for k in spec.keys])
@@ -106,9 +113,5 @@ def scd2_changes(current: DataFrame | None, source: DataFrame, spec: Scd2Spec, r
         F.lit(False).alias(spec.current_col), F.col(_D + spec.loaded_col).alias(spec.loaded_col),
         run_ts.alias(spec.updated_col))
     opened = j.filter(~dp | changed).select(*[F.col(_S + c).alias(c) for c in attrs])
-    opened, n_new = assign_surrogate_keys_counted(opened, [*spec.keys, *spec.order_extra], spec.sk_col, base=sk_base)
-    opened = opened.select(
-        spec.sk_col, *attrs, run_ts.alias(spec.start_col), ts_literal(OPEN_END).alias(spec.end_col),
-        F.lit(True).alias(spec.current_col), run_ts.alias(spec.loaded_col),
-        F.lit(None).cast("timestamp_ntz").alias(spec.updated_col))
-    return closed.unionByName(opened), sk_base + n_new
+    opened, base = open_versions(opened)
+    return closed.unionByName(opened), base

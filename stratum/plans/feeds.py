@@ -7,13 +7,21 @@ table. The same definitions are written in SQL in :mod:`stratum.plans.oracle`.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from stratum import functions as X
 from stratum.functions.temporal import ts_literal
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. Its schema is read from the files once per process, not by a job for every use."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _s(c) -> F.Column:

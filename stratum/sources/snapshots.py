@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 class SnapshotTable:
@@ -131,7 +132,8 @@ class ChangeTable:
             return None
         parts = [(-1, f"{self.root}/base={m['base']}")] if m["base"] is not None else []
         parts += [(v, f"{self.root}/v={v}") for v in m["changes"]]
-        frames = [self.spark.read.parquet(path).withColumn("__v", F.lit(v)) for v, path in parts]
+        schema = StructType.fromJson(m["schema"])      # known: no job to read it from the files
+        frames = [self.spark.read.schema(schema).parquet(path).withColumn("__v", F.lit(v)) for v, path in parts]
         if len(frames) == 1:
             return frames[0].drop("__v")
         latest = Window.partitionBy(*self.keys).orderBy(F.col("__v").desc())
@@ -142,7 +144,8 @@ class ChangeTable:
         """The rows that commit ``version`` inserted or replaced."""
         if version not in self._versions():
             return None
-        return self.spark.read.parquet(f"{self.root}/v={version}")
+        schema = StructType.fromJson(self.manifest(version)["schema"])
+        return self.spark.read.schema(schema).parquet(f"{self.root}/v={version}")
 
     def commit(self, rows: DataFrame, version: int | None = None, meta: dict | None = None) -> int:
         """Write ``rows`` (inserted or replacing the row of the same key) as ``version``; a version that is
@@ -153,7 +156,8 @@ class ChangeTable:
             return version
         had = self.manifest() or {"base": None, "changes": [], "meta": {}}
         rows.write.mode("overwrite").parquet(f"{self.root}/v={version}")
-        new = {"base": had["base"], "changes": [*had["changes"], version], "meta": {**had["meta"], **(meta or {})}}
+        new = {"base": had["base"], "changes": [*had["changes"], version], "meta": {**had["meta"], **(meta or {})},
+               "schema": json.loads(rows.schema.json())}
         if len(new["changes"]) > self.max_changes:
             self._assemble(new).write.mode("overwrite").parquet(f"{self.root}/base={version}")
             new |= {"base": version, "changes": []}
