@@ -3,7 +3,7 @@
 A text becomes its words (``[0-9a-z]`` and characters beyond ASCII, A-Z lower-cased) joined by single blanks. The rules
 are regular expressions over that string: every license family below with every form in which licenses are granted,
 named or tagged, and the opening sentences of license texts. A text without any of the ``GATES`` is not looked at
-further, and a family's rules run only if its keyword occurs.
+further. A rule runs only if one of its keywords occurs, and each of its matches contains one of them.
 
 Detections are intervals of words. A rule with higher priority, then a longer interval, comes first; a later
 detection inside an interval that stays is suppressed. The labels of the detections that stay, and those of the base
@@ -34,14 +34,14 @@ VERSION = r"(?: version| v)?(?: \d+)*(?: or(?: any)? later(?: version)?)?"
 
 class Family(NamedTuple):
     label: str
-    keyword: str        # has to occur for the family's rules to run
+    keyword: str        # every match of the name contains it, or one of several with | between them
     name: str           # regular expression of the license's name, without its version
     tag: str            # regular expression of its short identifier
 
 
 FAMILIES = [
-    Family("mit", "mit", "(?:mit|expat|x11)", "mit"),
-    Family("mit-0", "mit", "mit no attribution", "mit 0"),
+    Family("mit", " mit | expat | x11 ", "(?:mit|expat|x11)", "mit"),
+    Family("mit-0", "mit no attribution", "mit no attribution", "mit 0"),
     Family("apache", "apache", "apache(?: software)?", r"apache \d(?: \d)?"),
     Family("gpl", "general public", "(?:gnu )?general public", r"gpl \d(?: \d)?(?: only| or later)?"),
     Family("gpl", "gpl", "(?:gnu )?gplv?", r"gplv? ?\d"),
@@ -69,7 +69,7 @@ FAMILIES = [
     Family("bsl", "business source", "business source", r"busl \d \d"),
     Family("sspl", "server side", "server side public", r"sspl \d \d"),
     Family("elastic", "elastic", "elastic", r"elastic \d \d"),
-    Family("odbl", "open database", "open (?:data commons )?(?:open )?database", r"odbl \d \d"),
+    Family("odbl", "open data", "open (?:data commons )?(?:open )?database", r"odbl \d \d"),
     Family("cc0", "cc0", "cc0", r"cc0 \d \d"),
     Family("cc-by-nc-nd", "nc nd", "cc by nc nd", r"cc by nc nd(?: \d \d)?"),
     Family("cc-by-nc-sa", "nc sa", "cc by nc sa", r"cc by nc sa(?: \d \d)?"),
@@ -77,7 +77,7 @@ FAMILIES = [
     Family("cc-by-nd", "by nd", "cc by nd", r"cc by nd(?: \d \d)?"),
     Family("cc-by-sa", "by sa", "cc by sa", r"cc by sa(?: \d \d)?"),
     Family("cc-by", "cc by", "cc by(?! nc| nd| sa)", r"cc by(?! nc| nd| sa)(?: \d \d)?"),
-    Family("cc-by-nc-nd", "noderivatives", "creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: works)?",
+    Family("cc-by-nc-nd", "creative commons", "creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: works)?",
            "by nc nd"),
     Family("cc-by-nc-sa", "creative commons", "creative commons attribution non ?commercial share ?alike", "by nc sa"),
     Family("cc-by-nc", "creative commons", "creative commons attribution non ?commercial(?! share| no)", "by nc(?! nd| sa)"),
@@ -87,6 +87,7 @@ FAMILIES = [
     Family("commercial", "commercial", "commercial", "licenseref commercial"),
 ]
 # Forms: (priority, weight, regular expression around {name} or {tag}).
+TAGGED = " spdx licen"   # every match of a tag form contains it
 FORMS = [
     (9, 1.0, r"spdx licen[cs]e identifier {tag}"),
     (8, 0.95, r"(?:dual |jointly |is |are )?licen[cs]ed (?:to you )?under (?:the )?(?:terms of )?(?:the )?{name}(?: licen[cs]e)?{v}"),
@@ -103,7 +104,7 @@ TEXTS = [
     ("isc", "permission to use", r"permission to use copy modify and or distribute this software for any purpose"),
     ("bsd", "redistribution and use", r"redistribution and use in source and binary forms with or without modification"),
     ("apache", "you may not use this file", r"you may not use this file except in compliance with the license"),
-    ("gpl", "free software", r"you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("gpl", "you can redistribute it", r"you can redistribute it and or modify it under the terms of the gnu general public license"),
     ("mpl", "source code form", r"this source code form is subject to the terms of the mozilla public license"),
     ("unlicense", "public domain", r"this is free and unencumbered software released into the public domain"),
     ("public-domain", "public domain", r"(?:dedicated|released|placed|is) (?:in|to|into) the public domain"),
@@ -116,20 +117,20 @@ GATES = tuple(g.encode() for g in (" licen", " spdx", " permission ", " redistri
 
 
 class RuleSet(NamedTuple):
-    keyword: bytes
+    keywords: tuple[bytes, ...]
     rules: list[tuple[int, float, str, int, re.Pattern]]   # priority, weight, label, number, expression
 
 
 @functools.lru_cache(maxsize=1)
 def rule_sets() -> list[RuleSet]:
-    """All rules, by keyword: every family in every form, and the texts."""
+    """All rules, by their keywords: every family in every form, and the texts."""
     out, number = {}, 0
-    entries = [(f.keyword, p, w, f.label, form.format(name=f.name, tag=f.tag, v=VERSION))
+    entries = [(TAGGED if "{tag}" in form else f.keyword, p, w, f.label, form.format(name=f.name, tag=f.tag, v=VERSION))
                for f in FAMILIES for p, w, form in FORMS]
     entries += [(k, 10, 1.0 if label != "proprietary" else 0.6, label, text) for label, k, text in TEXTS]
     for keyword, priority, weight, label, text in entries:
         rule = (priority, weight, label, number, re.compile(rf"(?<= ){text}(?= )".encode()))
-        out.setdefault(keyword.encode(), []).append(rule)
+        out.setdefault(tuple(keyword.encode().split(b"|")), []).append(rule)
         number += 1
     return [RuleSet(k, r) for k, r in out.items()]
 
@@ -167,7 +168,7 @@ def detect(text: bytes) -> list[Detection]:
         return []
     found = []
     for group in rule_sets():
-        if group.keyword in text:
+        if any(k in text for k in group.keywords):
             for priority, weight, label, number, expression in group.rules:
                 found += [(priority, m.start(), m.end(), label, number, weight) for m in expression.finditer(text)]
     found.sort(key=lambda d: (-d[0], d[1] - d[2], d[1], d[4]))

@@ -439,6 +439,53 @@ def test_license_suppression_and_rule_count():
     assert license_scan.detect(license_scan.normalised(b"nothing of that kind here")[0]) == []
 
 
+def matching_texts(pattern, rng, n):
+    """``n`` random strings that fit the regular expression (look-arounds are passed over)."""
+    from re import _parser
+
+    def one(part):
+        out = ""
+        for op, arg in part:
+            op = str(op)
+            if op == "LITERAL":
+                out += chr(arg)
+            elif op == "IN":
+                kind, first = arg[0]
+                out += chr(first) if str(kind) == "LITERAL" else rng.choice("0123456789")
+            elif op == "MAX_REPEAT":
+                out += "".join(one(arg[2]) for _ in range(rng.randint(arg[0], min(arg[1], arg[0] + 2))))
+            elif op == "SUBPATTERN":
+                out += one(arg[3])
+            elif op == "BRANCH":
+                out += one(rng.choice(arg[1]))
+            else:
+                assert op in ("ASSERT", "ASSERT_NOT"), op
+        return out
+    return [one(_parser.parse(pattern)) for _ in range(n)]
+
+
+def test_license_keywords_lose_no_rule():
+    rng = random.Random(9)
+    for group in license_scan.rule_sets():
+        for _, _, label, _, expression in group.rules:
+            texts = [f" so {t} then ".encode() for t in matching_texts(expression.pattern.decode(), rng, 40)]
+            texts = [t for t in texts if expression.search(t)]
+            assert texts, expression.pattern
+            for t in texts:
+                assert any(k in t for k in group.keywords), (label, t)
+
+
+@pytest.mark.parametrize("text,label", [
+    ("SPDX-License-Identifier: MPL-2.0", "mpl"), ("SPDX-License-Identifier: LGPL-2.1-only", "lgpl"), ("SPDX-License-Identifier: AGPL-3.0", "agpl"),
+    ("SPDX-License-Identifier: EPL-2.0", "epl"), ("SPDX-License-Identifier: BSL-1.0", "boost"), ("SPDX-License-Identifier: WTFPL", "wtfpl"),
+    ("SPDX-License-Identifier: ODbL-1.0", "odbl"), ("under the Expat License", "mit"), ("see the X11 license", "mit"),
+    ("Licensed under the Open Data Commons Database License", "odbl"),
+    ("You can redistribute it and/or modify it under the terms of the GNU General Public License", "gpl"),
+    ("licensed under Creative Commons Attribution NonCommercial NoDerivs", "cc-by-nc-nd")])
+def test_license_short_identifiers_and_names(text, label):
+    assert label in {d.label for d in license_scan.detect(license_scan.normalised(text.encode())[0])}
+
+
 # --- 10 packing -------------------------------------------------------------------------------------
 
 def best_fit_by_force(lengths, capacity):
