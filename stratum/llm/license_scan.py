@@ -2,8 +2,8 @@
 
 A text becomes its words (``[0-9a-z]`` and characters beyond ASCII, A-Z lower-cased) joined by single blanks. The rules
 are regular expressions over that string: every license family below with every form in which licenses are granted,
-named or tagged, and the opening sentences of license texts. A text without any of the ``GATES`` is not looked at
-further. A rule runs only if one of its keywords occurs, and each of its matches contains one of them.
+named or tagged, and the opening sentences of license texts. A rule runs only if one of its form's keywords and one of
+its family's occur; each of its matches contains both.
 
 Detections are intervals of words. A rule with higher priority, then a longer interval, comes first; a later
 detection inside an interval that stays is suppressed. The labels of the detections that stay, and those of the base
@@ -86,17 +86,19 @@ FAMILIES = [
     Family("proprietary", "proprietary", "proprietary", "licenseref proprietary"),
     Family("commercial", "commercial", "commercial", "licenseref commercial"),
 ]
-# Forms: (priority, weight, regular expression around {name} or {tag}).
-TAGGED = " spdx licen"   # every match of a tag form contains it
+TAGGED = " spdx licen"
+# Forms: (priority, weight, keyword, regular expression around {name} or {tag}). Every match contains the keyword, or one
+# of several with | between them.
 FORMS = [
-    (9, 1.0, r"spdx licen[cs]e identifier {tag}"),
-    (8, 0.95, r"(?:dual |jointly |is |are )?licen[cs]ed (?:to you )?under (?:the )?(?:terms of )?(?:the )?{name}(?: licen[cs]e)?{v}"),
-    (7, 0.9, r"(?:released|distributed|published|available|provided|made available|open sourced|covered|governed) "
-             r"(?:under|by|subject to|according to) (?:the )?(?:terms (?:and conditions )?of )?(?:the )?{name}(?: licen[cs]e)?{v}"),
-    (6, 0.9, r"under (?:the )?(?:terms (?:and conditions )?of )(?:the )?{name}(?: licen[cs]e)?{v}"),
-    (6, 0.85, r"licen[cs]e (?:is )?(?:the )?{name} licen[cs]e{v}"),
-    (5, 0.8, r"(?:see|under|uses?|with|accept|read|by) (?:the )?{name} licen[cs]e{v}"),
-    (4, 0.7, r"{name} (?:public )?licen[cs]e{v}"),
+    (9, 1.0, TAGGED, r"spdx licen[cs]e identifier {tag}"),
+    (8, 0.95, " licensed | licenced ", r"(?:dual |jointly |is |are )?licen[cs]ed (?:to you )?under (?:the )?(?:terms of )?(?:the )?{name}(?: licen[cs]e)?{v}"),
+    (7, 0.9, " released | distributed | published | available | provided | open sourced | covered | governed ",
+     r"(?:released|distributed|published|available|provided|made available|open sourced|covered|governed) "
+     r"(?:under|by|subject to|according to) (?:the )?(?:terms (?:and conditions )?of )?(?:the )?{name}(?: licen[cs]e)?{v}"),
+    (6, 0.9, " under the terms | under terms ", r"under (?:the )?(?:terms (?:and conditions )?of )(?:the )?{name}(?: licen[cs]e)?{v}"),
+    (6, 0.85, " licen", r"licen[cs]e (?:is )?(?:the )?{name} licen[cs]e{v}"),
+    (5, 0.8, " licen", r"(?:see|under|uses?|with|accept|read|by) (?:the )?{name} licen[cs]e{v}"),
+    (4, 0.7, " licen", r"{name} (?:public )?licen[cs]e{v}"),
 ]
 # Opening sentences of license texts: (label, keyword, regular expression), priority 10.
 TEXTS = [
@@ -112,11 +114,10 @@ TEXTS = [
     ("proprietary", "all rights reserved", r"all rights reserved(?: worldwide)?"),
     ("proprietary", "confidential", r"(?:proprietary and confidential|confidential and proprietary)"),
 ]
-GATES = tuple(g.encode() for g in (" licen", " spdx", " permission ", " redistribution ", " public domain ",
-                                   " all rights reserved ", " proprietary ", " software is provided ", " under the "))
 
 
 class RuleSet(NamedTuple):
+    form: tuple[bytes, ...]        # keywords; one of each of the two has to occur
     keywords: tuple[bytes, ...]
     rules: list[tuple[int, float, str, int, re.Pattern]]   # priority, weight, label, number, expression
 
@@ -125,14 +126,15 @@ class RuleSet(NamedTuple):
 def rule_sets() -> list[RuleSet]:
     """All rules, by their keywords: every family in every form, and the texts."""
     out, number = {}, 0
-    entries = [(TAGGED if "{tag}" in form else f.keyword, p, w, f.label, form.format(name=f.name, tag=f.tag, v=VERSION))
-               for f in FAMILIES for p, w, form in FORMS]
-    entries += [(k, 10, 1.0 if label != "proprietary" else 0.6, label, text) for label, k, text in TEXTS]
-    for keyword, priority, weight, label, text in entries:
+    entries = [(k, k if k == TAGGED else f.keyword, p, w, f.label, form.format(name=f.name, tag=f.tag, v=VERSION))
+               for f in FAMILIES for p, w, k, form in FORMS]
+    entries += [(k, k, 10, 1.0 if label != "proprietary" else 0.6, label, text) for label, k, text in TEXTS]
+    for form, keyword, priority, weight, label, text in entries:
         rule = (priority, weight, label, number, re.compile(rf"(?<= ){text}(?= )".encode()))
-        out.setdefault(tuple(keyword.encode().split(b"|")), []).append(rule)
+        key = tuple(form.encode().split(b"|")), tuple(keyword.encode().split(b"|"))
+        out.setdefault(key, []).append(rule)
         number += 1
-    return [RuleSet(k, r) for k, r in out.items()]
+    return [RuleSet(*k, r) for k, r in out.items()]
 
 
 class Detection(NamedTuple):
@@ -164,11 +166,15 @@ def _word_numbers(text: bytes, places: list[int]) -> dict[int, int]:
 
 def detect(text: bytes) -> list[Detection]:
     """The detections that stay, in a text as ``normalised`` gives it."""
-    if not any(g in text for g in GATES):
-        return []
-    found = []
+    found, seen = [], {}
+
+    def occurs(keywords):
+        if keywords not in seen:
+            seen[keywords] = any(k in text for k in keywords)
+        return seen[keywords]
+
     for group in rule_sets():
-        if any(k in text for k in group.keywords):
+        if occurs(group.form) and occurs(group.keywords):
             for priority, weight, label, number, expression in group.rules:
                 found += [(priority, m.start(), m.end(), label, number, weight) for m in expression.finditer(text)]
     found.sort(key=lambda d: (-d[0], d[1] - d[2], d[1], d[4]))

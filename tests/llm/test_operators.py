@@ -486,6 +486,24 @@ def test_license_short_identifiers_and_names(text, label):
     assert label in {d.label for d in license_scan.detect(license_scan.normalised(text.encode())[0])}
 
 
+def test_license_detections_equal_those_without_keywords(monkeypatch):
+    rng = random.Random(10)
+    texts = [f" so {t} then ".encode() for g in license_scan.rule_sets() for rule in g.rules
+             for t in matching_texts(rule[4].pattern.decode(), rng, 3)]
+    got = [license_scan.detect(t) for t in texts]
+    assert all(d for d, t in zip(got, texts, strict=True)
+               if any(rule[4].search(t) for g in license_scan.rule_sets() for rule in g.rules))
+    ungated = [g._replace(form=(b"",), keywords=(b"",)) for g in license_scan.rule_sets()]
+    monkeypatch.setattr(license_scan, "rule_sets", lambda: ungated)
+    assert got == [license_scan.detect(t) for t in texts]
+
+
+@pytest.mark.parametrize("text,label", [
+    ("Released under Apache 2.0", "apache"), ("available under BSD 3-Clause", "bsd"), ("governed by GPL 3", "gpl"), ("under terms of MIT", "mit")])
+def test_license_grants_without_the_word(text, label):
+    assert label in {d.label for d in license_scan.detect(license_scan.normalised(text.encode())[0])}
+
+
 # --- 10 packing -------------------------------------------------------------------------------------
 
 def best_fit_by_force(lengths, capacity):
