@@ -1,11 +1,11 @@
 """Benchmark decontamination by templates.
 
 Texts become token templates: numbers, names and units turn into typed placeholders, all other words stay
-(A-Z lower-cased). Windows of ``WINDOW`` template tokens of the documents are hash-joined with those of the
-benchmark items. Each hit carries the values of its slots; slots of an item must map one to one onto the
-document's values over all windows of one alignment, which catches re-parameterised questions ("12 apples"
-against "15 apples") and refuses windows that merely have the same shape. Windows whose slots are equal
-count in any case.
+(A-Z lower-cased). Windows of ``WINDOW`` words of the documents are hash-joined with those of the benchmark items,
+whatever the words are: these are exact hits and count in any case. Windows of ``WINDOW`` template tokens with at
+least ``MIN_LITERALS`` literal ones are joined as well. Each of these hits carries the values of its slots; slots of
+an item must map one to one onto the document's values over all windows of one alignment, which catches
+re-parameterised questions ("12 apples" against "15 apples") and refuses windows that merely have the same shape.
 
 A document is contaminated by an item if the windows that hold cover at least ``COVER`` of its tokens, or
 ``SHARE`` of them where the item is shorter.
@@ -17,8 +17,8 @@ A fixed-size Bloom bitmap of the benchmark's window hashes (``BLOOM_BITS``, what
 broadcast, so that only windows that may hit are shuffled; the join decides.
 
 Defined results: null and empty texts and rows with a null doc_id or item_id match nothing. An item shorter
-than the window is one window and has to be matched as a whole text's window of that width only if the
-document is as short. Repeated rows of an item or a document count once. Empty tables give no rows.
+than the window is one window; documents make windows of each width that occurs among the items (at most ``WINDOW``),
+so it is found anywhere in a document, an item of one word too. Repeated rows of an item or a document count once. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -85,36 +85,52 @@ def _bloom_bits(h: np.ndarray) -> np.ndarray:
     return np.stack([h % np.uint64(BLOOM_BITS), two % np.uint64(BLOOM_BITS)], axis=1).astype(np.int64)
 
 
-def _window_rows(width: int, passes=None):
-    """Rows (id, at, n_tokens, template, slots, exact) of every window, or of those ``passes`` lets through."""
+def _window_rows(widths, items: bool, passes=None):
+    """Rows (id, at, n_tokens, width, exact, key, slots) of every window, or of those ``passes`` lets through.
+
+    Texts of at least ``width`` tokens have windows of each width; items shorter than the largest one, of their own."""
+    def rows(ids, n_words, hashes, tokens, kinds, first, width, exact):
+        counts = np.diff(first)
+        fits = counts == width if items and width < max(widths) else counts >= width
+        grams, at = windows(tokens, first, width)
+        doc = np.repeat(np.arange(len(ids)), np.diff(at))
+        place = np.arange(len(grams)) - at[doc]
+        begin = first[doc] + place
+        take = fits[doc]
+        keys = mix(grams ^ np.uint64(width * 2 + exact))
+        if not exact:       # without a slot, the exact window says the same
+            literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
+            n_literal = literal[np.minimum(begin + width, len(tokens))] - literal[begin]
+            take &= (n_literal >= min(MIN_LITERALS, width)) & (n_literal < width)
+        if passes is not None:
+            take &= passes(keys)
+        at = np.flatnonzero(take)
+        if exact and width < max(widths) and len(at):   # one place of a short item in a document is enough
+            order = np.lexsort((at, keys[at], doc[at]))
+            at = at[order]
+            new = np.ones(len(at), dtype=bool)
+            new[1:] = (doc[at][1:] != doc[at][:-1]) | (keys[at][1:] != keys[at][:-1])
+            at = at[new]
+        slots = [[] if exact else hashes[b:b + width][kinds[b:b + width] != LITERAL].view(np.int64) for b in begin[at]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids[doc[at]], pa.int64()), pa.array(place[at], pa.int32()), pa.array(n_words[doc[at]], pa.int32()),
+             pa.array(np.full(len(at), width), pa.int32()), pa.array(np.full(len(at), exact), pa.bool_()),
+             pa.array(keys[at].view(np.int64)), pa.array(slots, pa.list_(pa.int64()))],
+            names=["id", "at", "n_tokens", "width", "exact", "key", "slots"])
+
     def run(batches):
         for batch in batches:
             raw, off = text_buffer(batch.column(1))
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, j in row_groups(off):
                 hashes, tokens, kinds, first = templates(raw[off[i]:off[j]], off[i:j + 1] - off[i])
-                grams, at = windows(tokens, first, width)
-                literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
-                counts = np.diff(first)
-                doc = np.repeat(np.arange(j - i), np.diff(at))
-                place = np.arange(len(grams)) - at[doc]
-                begin = first[doc] + place
-                size = np.minimum(width, counts[doc])
-                take = literal[begin + size] - literal[begin] >= np.minimum(MIN_LITERALS, size)
-                if passes is not None:
-                    take &= passes(grams)
-                rows = np.flatnonzero(take)
-                slots = [hashes[b:b + s][kinds[b:b + s] != LITERAL].view(np.int64)
-                         for b, s in zip(begin[rows], size[rows], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[i:j][doc[rows]], pa.int64()), pa.array(place[rows], pa.int32()),
-                     pa.array(counts[doc[rows]], pa.int32()), pa.array(size[rows], pa.int32()),
-                     pa.array(grams[rows].view(np.int64)), pa.array(slots, pa.list_(pa.int64()))],
-                    names=["id", "at", "n_tokens", "width", "template", "slots"])
+                for width in widths:
+                    yield rows(ids[i:j], np.diff(first), hashes, hashes, kinds, first, width, True)
+                    yield rows(ids[i:j], np.diff(first), hashes, tokens, kinds, first, width, False)
     return run
 
 
-ROWS = "id long, at int, n_tokens int, width int, template long, slots array<long>"
+ROWS = "id long, at int, n_tokens int, width int, exact boolean, key long, slots array<long>"
 
 
 def _bloom(items: DataFrame) -> np.ndarray:
@@ -125,7 +141,7 @@ def _bloom(items: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(bits >> 6, pa.int64()),
                                               pa.array(np.left_shift(np.uint64(1), (bits & 63).astype(np.uint64)).view(np.int64))],
                                              names=["word", "bits"])
-    got = (map_arrow(items.select("template"), words_of, "word long, bits long")
+    got = (map_arrow(items.select("key"), words_of, "word long, bits long")
            .groupBy("word").agg(F.bit_or("bits").alias("bits")))
     out = np.zeros(BLOOM_BITS // 64, dtype=np.int64)
     for r in got.toLocalIterator():     # at most BLOOM_BITS / 64 words
@@ -140,22 +156,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, cov
     ``n_matched`` of the item's ``n_tokens`` words lie in windows that hold; ``kind`` is ``exact`` if all slots
     are equal, else ``template``."""
     items = written(map_arrow(benchmark.filter("item_id IS NOT NULL").select(F.col("item_id").cast("long"), "text"),
-                              _window_rows(width), ROWS).distinct(), "items")
+                              _window_rows(range(1, width + 1), True), ROWS).distinct(), "items")
+    widths = sorted({r["width"] for r in items.select("width").distinct().collect()} | {width})   # at most ``width``
     bitmap = docs.sparkSession.sparkContext.broadcast(_bloom(items))
 
-    def passes(grams):
-        bits = _bloom_bits(grams)
+    def passes(keys):
+        bits = _bloom_bits(keys)
         return ((bitmap.value[bits >> 6] >> (bits & 63).astype(np.uint64)) & np.uint64(1)).all(axis=1)
 
     found = written(map_arrow(docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text"),
-                              _window_rows(width, passes), ROWS), "windows")
+                              _window_rows(widths, False, passes), ROWS), "windows")
     items = items.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "n_tokens",
-                         F.col("width").alias("item_width"), F.col("template").alias("t"),
+                         F.col("width").alias("item_width"), F.col("exact").alias("item_exact"), F.col("key").alias("k"),
                          F.col("slots").alias("item_slots"))
-    hits = (found.select(F.col("id").alias("doc_id"), "at", "width", "template", "slots")
-            .join(items, (F.col("template") == F.col("t")) & (F.col("width") == F.col("item_width"))
-                  & (F.size("slots") == F.size("item_slots")))
-            .withColumn("same", F.col("slots") == F.col("item_slots"))
+    hits = (found.select(F.col("id").alias("doc_id"), "at", "width", "exact", "key", "slots")
+            .join(items, (F.col("key") == F.col("k")) & (F.col("width") == F.col("item_width"))
+                  & (F.col("exact") == F.col("item_exact")) & (F.size("slots") == F.size("item_slots")))
             .withColumn("pairs", F.expr("zip_with(item_slots, slots, (a, b) -> struct(a AS i, b AS d))")))
 
     def one_to_one(pairs):
@@ -167,7 +183,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, cov
     aligned = (hits.groupBy("doc_id", "item_id", "n_tokens", (F.col("at") - F.col("item_at")).alias("shift"))
                .agg(F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
                     F.array_distinct(F.flatten(F.collect_set(places))).alias("all_places"),
-                    F.array_distinct(F.flatten(F.collect_set(F.when(F.col("same"), places)))).alias("same_places")))
+                    F.array_distinct(F.flatten(F.collect_set(F.when(F.col("exact"), places)))).alias("same_places")))
     consistent = one_to_one(F.col("pairs"))
     held = (aligned.withColumn("places", F.when(consistent, F.col("all_places")).otherwise(F.col("same_places")))
             .groupBy("doc_id", "item_id", "n_tokens")

@@ -263,6 +263,19 @@ def test_decontamination_of_empty_tables(spark):
     assert decontam.without_benchmark(docs.limit(0), bench).count() == 0
 
 
+def found_in(spark, items, rows):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]): r["kind"] for r in decontam.contaminated(docs_of(spark, rows), bench).collect()}
+
+
+def test_exact_passages_of_few_literals_and_short_items_are_found(spark):
+    items = [(1, "What is 12 + 15 + 7 + 3 + 9 ?"), (2, "Name the largest prime below 100."), (3, "Photosynthesis")]
+    rows = [(1, prose(1, 60) + ". " + items[0][1] + " " + prose(2, 60)), (2, prose(3, 40) + ". " + items[1][1] + " " + prose(4, 40)),
+            (3, prose(5, 40) + " photosynthesis, " + prose(6, 40) + " Photosynthesis"), (4, "What is 13 + 16 + 8 + 4 + 2 ?"),
+            (5, prose(7, 40) + " largest prime below 100. Name the"), (6, prose(8, 90)), (7, items[1][1])]
+    assert found_in(spark, items, rows) == {(1, 1): "exact", (2, 2): "exact", (3, 3): "exact", (7, 2): "exact"}
+
+
 # --- 6 n-gram join ----------------------------------------------------------------------------------
 
 def joined_by_force(rows):
