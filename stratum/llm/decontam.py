@@ -4,14 +4,17 @@ Texts become token templates: numbers, names and units turn into typed placehold
 (A-Z lower-cased). Windows of ``WINDOW`` words of the documents are hash-joined with those of the benchmark items,
 whatever the words are: these are exact hits and count in any case. Windows of ``WINDOW`` template tokens with at
 least ``MIN_LITERALS`` literal ones are joined as well. Each of these hits carries the values of its slots; slots of
-an item must map one to one onto the document's values over all windows of one alignment, which catches
-re-parameterised questions ("12 apples" against "15 apples") and refuses windows that merely have the same shape.
+an item must map one to one, per type, onto the document's values over all windows of one alignment, which catches
+re-parameterised questions ("12 apples" against "15 apples") and refuses windows that merely have the same shape:
+a window with a value that clashes with another one does not count.
 
 A document is contaminated by an item if the windows that hold cover at least ``COVER`` of its tokens, or
 ``SHARE`` of them where the item is shorter.
 
-* number: a word of digits only. * unit: a word of ``UNITS`` after a number. * name: a word with a capital
-  first letter and not a capital second one, not at the start of a sentence or line.
+* number: a word of digits, with its decimals and thousands ("3.5", "1,000"). * unit: a word of ``UNITS`` after a
+  number, also without a blank ("5kg"); singular and plural are one value. * name: a word with a capital first letter
+  and not a capital second one. At the start of a sentence or line it may be either, so windows over such a word are
+  hashed both with it as a literal and with it as a name.
 
 A fixed-size Bloom bitmap of the benchmark's window hashes (``BLOOM_BITS``, whatever the benchmark's size) is
 broadcast, so that only windows that may hit are shuffled; the join decides.
@@ -23,13 +26,16 @@ so it is found anywhere in a document, an item of one word too. Repeated rows of
 
 from __future__ import annotations
 
+import functools
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow, row_groups, text_buffer, written
-from .words import mix, windows, words
+from .words import LOWERED, _hash_runs, mix, windows, words
 
 WINDOW, MIN_LITERALS = 8, 4
 COVER, SHARE = 13, 0.6
@@ -45,39 +51,104 @@ _STOPS = np.zeros(256, dtype=bool)
 _STOPS[list(b".!?\n:;|\"")] = True
 
 
-def _unit_hashes() -> np.ndarray:
+@functools.lru_cache(maxsize=1)
+def _unit_hashes() -> tuple[np.ndarray, np.ndarray]:
+    """(sorted hashes of ``UNITS``, those of their singulars)."""
+    singular = {u: u[:-1] for u in UNITS if len(u) > 2 and u.endswith("s") and u[:-1] in UNITS} | {"feet": "foot", "inches": "inch"}
     raw, off = text_buffer(pa.array(UNITS))
-    return np.sort(words(raw, off).hashes)
+    plain = words(raw, off).hashes
+    raw, off = text_buffer(pa.array([singular.get(u, u) for u in UNITS]))
+    order = np.argsort(plain)
+    return plain[order], words(raw, off).hashes[order]
+
+
+class Templates(NamedTuple):
+    words: np.ndarray    # word hashes
+    first: np.ndarray    # index of each text's first word, and one more
+    values: np.ndarray   # of each token: hash of its type and value
+    kinds: np.ndarray    # (2, tokens): names at starts as literals, as names
+    tokens: np.ndarray   # (2, tokens): hash of the literal or the placeholder
+    begin: np.ndarray    # index of each text's first token, and one more
+    lo: np.ndarray       # first and last word of each token
+    hi: np.ndarray
 
 
-def templates(raw: np.ndarray, offsets: np.ndarray):
-    """(word hashes, template hashes, kinds, first) of texts lying one after the other in ``raw``."""
+def templates(raw: np.ndarray, offsets: np.ndarray) -> Templates:
+    """Words and template tokens of texts lying one after the other in ``raw``."""
     w = words(raw, offsets)
     n = len(w.hashes)
-    kinds = np.zeros(n, dtype=np.int8)
-    if n:
-        digit = np.concatenate([[0], np.cumsum((raw >= 48) & (raw <= 57))])
-        kinds[digit[w.ends] - digit[w.starts] == w.ends - w.starts] = NUMBER
-        # capital: A-Z, or a Latin-1 capital letter (UTF-8 C3 80..9E)
-        nxt = np.append(raw, 0)[w.starts + 1]
-        capital = ((raw[w.starts] >= 65) & (raw[w.starts] <= 90)) | ((raw[w.starts] == 0xC3) & (nxt >= 0x80) & (nxt <= 0x9E))
-        second = w.starts + np.where(raw[w.starts] == 0xC3, 2, 1)
-        inside = second < w.ends
-        then = np.append(raw, 0)[np.minimum(second, len(raw))]
-        small = inside & ~((then >= 65) & (then <= 90))
-        stops = np.concatenate([[0], np.cumsum(_STOPS[raw])])
-        begins = np.ones(n, dtype=bool)
-        begins[1:] = stops[w.starts[1:]] - stops[w.ends[:-1]] > 0
-        begins[w.first[:-1][np.diff(w.first) > 0]] = True
-        kinds[capital & small & ~begins] = NAME
-        same = np.ones(n, dtype=bool)
-        same[w.first[:-1][np.diff(w.first) > 0]] = False
-        after = np.zeros(n, dtype=bool)
-        after[1:] = kinds[:-1] == NUMBER
-        units = _unit_hashes()
-        at = np.minimum(np.searchsorted(units, w.hashes), len(units) - 1)
-        kinds[after & same & (units[at] == w.hashes)] = UNIT
-    return w.hashes, np.where(kinds == LITERAL, w.hashes, _SLOT[kinds]), kinds, w.first
+    if not n:
+        none = np.zeros(0, dtype=np.int64)
+        two = np.zeros((2, 0), dtype=np.uint64)
+        return Templates(w.hashes, w.first, w.hashes, two.astype(np.int8), two, w.first, none, none)
+    begins_text = np.zeros(n, dtype=bool)
+    begins_text[w.first[:-1][np.diff(w.first) > 0]] = True
+    is_digit = (raw >= 48) & (raw <= 57)
+    digit = np.concatenate([[0], np.cumsum(is_digit)])
+    number = digit[w.ends] - digit[w.starts] == w.ends - w.starts
+    units, singular = _unit_hashes()
+
+    def unit_at(hashes):
+        at = np.minimum(np.searchsorted(units, hashes), len(units) - 1)
+        return units[at] == hashes, singular[at]
+
+    # a number and its unit in one word
+    mixed = np.flatnonzero(is_digit[w.starts] & ~number)
+    rest = np.append(np.flatnonzero(~is_digit), len(raw))
+    cut = rest[np.searchsorted(rest, w.starts[mixed])]
+    low = LOWERED[raw]
+    is_unit, unit = unit_at(_hash_runs(low, cut, w.ends[mixed]))
+    mixed, cut, unit = mixed[is_unit], cut[is_unit], unit[is_unit]
+    compound = np.zeros(n, dtype=bool)
+    compound[mixed] = True
+    number_end = w.ends.copy()
+    number_end[mixed] = cut
+    value = w.hashes.copy()
+    value[mixed] = _hash_runs(low, w.starts[mixed], cut)
+    # decimals and thousands go on with the number before them
+    size = number_end - w.starts
+    mark = raw[w.starts - 1]
+    goes_on = np.zeros(n, dtype=bool)
+    goes_on[1:] = (number[:-1] & (number | compound)[1:] & ~begins_text[1:] & (w.starts[1:] - w.ends[:-1] == 1)
+                   & ((mark[1:] == 46) | ((mark[1:] == 44) & (size[1:] == 3) & (size[:-1] <= 3))))
+    # capital: A-Z, or a Latin-1 capital letter (UTF-8 C3 80..9E)
+    nxt = np.append(raw, 0)[w.starts + 1]
+    capital = ((raw[w.starts] >= 65) & (raw[w.starts] <= 90)) | ((raw[w.starts] == 0xC3) & (nxt >= 0x80) & (nxt <= 0x9E))
+    second = w.starts + np.where(raw[w.starts] == 0xC3, 2, 1)
+    inside = second < w.ends
+    then = np.append(raw, 0)[np.minimum(second, len(raw))]
+    name = capital & inside & ~((then >= 65) & (then <= 90))
+    stops = np.concatenate([[0], np.cumsum(_STOPS[raw])])
+    begins = begins_text.copy()
+    begins[1:] |= stops[w.starts[1:]] - stops[w.ends[:-1]] > 0
+    after = np.zeros(n, dtype=bool)
+    after[1:] = number[:-1] & ~begins_text[1:]
+    is_unit, one = unit_at(w.hashes)
+    after &= is_unit
+    value[after] = one[after]
+    kinds = np.zeros((2, n), dtype=np.int8)
+    kinds[0, name & ~begins] = NAME
+    kinds[1, name] = NAME
+    kinds[:, number | compound] = NUMBER
+    kinds[:, after] = UNIT
+    # words to tokens
+    head = np.flatnonzero(~goes_on)
+    depth = np.arange(n) - head[np.cumsum(~goes_on) - 1]
+    joined = np.add.reduceat(mix(value + depth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), head)
+    ends = np.concatenate([[0], np.cumsum((~goes_on).astype(np.int64) + compound)])
+    main = ends[head]
+    extra = ends[mixed] + ~goes_on[mixed]
+    m = int(ends[-1])
+    values, lo, hi = np.zeros(m, dtype=np.uint64), np.zeros(m, dtype=np.int64), np.zeros(m, dtype=np.int64)
+    kind, literal = np.zeros((2, m), dtype=np.int8), np.zeros(m, dtype=np.uint64)
+    values[main], values[extra] = joined, unit
+    literal[main] = w.hashes[head]
+    lo[main], hi[main] = head, np.append(head[1:], n) - 1
+    lo[extra] = hi[extra] = mixed
+    kind[:, main] = kinds[:, head]
+    kind[:, extra] = UNIT
+    values = mix(values ^ _SLOT[kind[1]])
+    return Templates(w.hashes, w.first, values, kind, np.where(kind == LITERAL, literal, _SLOT[kind]), ends[w.first], lo, hi)
 
 
 def _bloom_bits(h: np.ndarray) -> np.ndarray:
@@ -85,52 +156,69 @@ def _bloom_bits(h: np.ndarray) -> np.ndarray:
     return np.stack([h % np.uint64(BLOOM_BITS), two % np.uint64(BLOOM_BITS)], axis=1).astype(np.int64)
 
 
+EXACT, TEMPLATE, NAMED = 0, 1, 2      # word windows; template windows; those with a word at a start as a name
+
+
 def _window_rows(widths, items: bool, passes=None):
-    """Rows (id, at, n_tokens, width, exact, key, slots) of every window, or of those ``passes`` lets through.
+    """Rows (id, at, lo, hi, n_tokens, width, form, key, slots) of every window, or of those ``passes`` lets through.
 
+    ``at`` counts the tokens before the window, ``lo`` and ``hi`` are its first and last word.
     Texts of at least ``width`` tokens have windows of each width; items shorter than the largest one, of their own."""
-    def rows(ids, n_words, hashes, tokens, kinds, first, width, exact):
+    def rows(ids, t, width, form):
+        first = t.first if form == EXACT else t.begin
+        tokens = t.words if form == EXACT else t.tokens[form - TEMPLATE]
         counts = np.diff(first)
         fits = counts == width if items and width < max(widths) else counts >= width
         grams, at = windows(tokens, first, width)
         doc = np.repeat(np.arange(len(ids)), np.diff(at))
         place = np.arange(len(grams)) - at[doc]
         begin = first[doc] + place
+        end = np.minimum(begin + width, len(tokens))
         take = fits[doc]
-        keys = mix(grams ^ np.uint64(width * 2 + exact))
-        if not exact:       # without a slot, the exact window says the same
-            literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
-            n_literal = literal[np.minimum(begin + width, len(tokens))] - literal[begin]
+        keys = mix(grams ^ np.uint64(width * 2 + (form == EXACT)))
+        if form != EXACT:       # without a slot, the exact window says the same
+            literal = np.concatenate([[0], np.cumsum(t.kinds[form - TEMPLATE] == LITERAL)])
+            n_literal = literal[end] - literal[begin]
             take &= (n_literal >= min(MIN_LITERALS, width)) & (n_literal < width)
+        if form == NAMED:       # the others have been hashed
+            either = np.concatenate([[0], np.cumsum(t.kinds[0] != t.kinds[1])])
+            take &= either[end] > either[begin]
         if passes is not None:
             take &= passes(keys)
         at = np.flatnonzero(take)
-        if exact and width < max(widths) and len(at):   # one place of a short item in a document is enough
+        if form == EXACT and width < max(widths) and len(at):   # one place of a short item in a document is enough
             order = np.lexsort((at, keys[at], doc[at]))
             at = at[order]
             new = np.ones(len(at), dtype=bool)
             new[1:] = (doc[at][1:] != doc[at][:-1]) | (keys[at][1:] != keys[at][:-1])
             at = at[new]
-        slots = [[] if exact else hashes[b:b + width][kinds[b:b + width] != LITERAL].view(np.int64) for b in begin[at]]
+        begin, doc, start = begin[at], doc[at], t.first[:-1][doc[at]]
+        if form == EXACT:
+            lo, hi, slots = begin, begin + width - 1, [[]] * len(at)
+        else:
+            lo, hi = t.lo[begin], t.hi[begin + width - 1]
+            kinds = t.kinds[form - TEMPLATE]
+            slots = [t.values[b:b + width][kinds[b:b + width] != LITERAL].view(np.int64) for b in begin]
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids[doc[at]], pa.int64()), pa.array(place[at], pa.int32()), pa.array(n_words[doc[at]], pa.int32()),
-             pa.array(np.full(len(at), width), pa.int32()), pa.array(np.full(len(at), exact), pa.bool_()),
+            [pa.array(ids[doc], pa.int64()), pa.array(place[at], pa.int32()), pa.array(lo - start, pa.int32()),
+             pa.array(hi - start, pa.int32()), pa.array(np.diff(t.first)[doc], pa.int32()),
+             pa.array(np.full(len(at), width), pa.int32()), pa.array(np.full(len(at), form), pa.int32()),
              pa.array(keys[at].view(np.int64)), pa.array(slots, pa.list_(pa.int64()))],
-            names=["id", "at", "n_tokens", "width", "exact", "key", "slots"])
+            names=["id", "at", "lo", "hi", "n_tokens", "width", "form", "key", "slots"])
 
     def run(batches):
         for batch in batches:
             raw, off = text_buffer(batch.column(1))
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, j in row_groups(off):
-                hashes, tokens, kinds, first = templates(raw[off[i]:off[j]], off[i:j + 1] - off[i])
+                t = templates(raw[off[i]:off[j]], off[i:j + 1] - off[i])
                 for width in widths:
-                    yield rows(ids[i:j], np.diff(first), hashes, hashes, kinds, first, width, True)
-                    yield rows(ids[i:j], np.diff(first), hashes, tokens, kinds, first, width, False)
+                    for form in (EXACT, TEMPLATE, NAMED):
+                        yield rows(ids[i:j], t, width, form)
     return run
 
 
-ROWS = "id long, at int, n_tokens int, width int, exact boolean, key long, slots array<long>"
+ROWS = "id long, at int, lo int, hi int, n_tokens int, width int, form int, key long, slots array<long>"
 
 
 def _bloom(items: DataFrame) -> np.ndarray:
@@ -166,27 +254,42 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, cov
 
     found = written(map_arrow(docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text"),
                               _window_rows(widths, False, passes), ROWS), "windows")
-    items = items.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "n_tokens",
-                         F.col("width").alias("item_width"), F.col("exact").alias("item_exact"), F.col("key").alias("k"),
+    items = items.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "lo", "hi", "n_tokens",
+                         F.col("width").alias("item_width"), F.col("form").alias("item_form"), F.col("key").alias("k"),
                          F.col("slots").alias("item_slots"))
-    hits = (found.select(F.col("id").alias("doc_id"), "at", "width", "exact", "key", "slots")
+    # keys of word windows and of template windows differ; a name at a start may meet one inside a sentence
+    hits = (found.select(F.col("id").alias("doc_id"), "at", "width", "form", "key", "slots")
             .join(items, (F.col("key") == F.col("k")) & (F.col("width") == F.col("item_width"))
-                  & (F.col("exact") == F.col("item_exact")) & (F.size("slots") == F.size("item_slots")))
-            .withColumn("pairs", F.expr("zip_with(item_slots, slots, (a, b) -> struct(a AS i, b AS d))")))
+                  & ((F.col("form") == EXACT) == (F.col("item_form") == EXACT)) & (F.size("slots") == F.size("item_slots")))
+            .select("doc_id", "item_id", "n_tokens", (F.col("at") - F.col("item_at")).alias("shift"), "lo", "hi",
+                    F.greatest("form", "item_form").alias("form"),
+                    F.expr("zip_with(item_slots, slots, (a, b) -> struct(a AS i, b AS d))").alias("pairs")))
 
     def one_to_one(pairs):
         return ((F.size(F.array_distinct(pairs["i"])) == F.size(pairs))
                 & (F.size(F.array_distinct(pairs["d"])) == F.size(pairs)))
 
-    places = F.sequence(F.col("item_at"), F.col("item_at") + F.col("width") - 1)
-    # one alignment: a shift between document and item. Its rows are at most the document's windows.
-    aligned = (hits.groupBy("doc_id", "item_id", "n_tokens", (F.col("at") - F.col("item_at")).alias("shift"))
-               .agg(F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
-                    F.array_distinct(F.flatten(F.collect_set(places))).alias("all_places"),
-                    F.array_distinct(F.flatten(F.collect_set(F.when(F.col("exact"), places)))).alias("same_places")))
-    consistent = one_to_one(F.col("pairs"))
-    held = (aligned.withColumn("places", F.when(consistent, F.col("all_places")).otherwise(F.col("same_places")))
-            .groupBy("doc_id", "item_id", "n_tokens")
+    def clash(p, q):
+        return (p["i"] == q["i"]) != (p["d"] == q["d"])
+
+    def places(found):
+        return F.array_distinct(F.flatten(F.transform(found, lambda w: F.sequence(w["lo"], w["hi"]))))
+
+    window = F.struct("lo", "hi", "pairs")
+    # one alignment: a shift between document and item. Its rows are at most the item's windows. Names at starts are
+    # literals first, then names: what holds in the first case is not lost to a clash in the second.
+    aligned = (hits.withColumn("named", F.explode(F.when(F.col("form") == TEMPLATE, F.array(F.lit(0), F.lit(1)))
+                                                  .when(F.col("form") == NAMED, F.array(F.lit(1))).otherwise(F.array(F.lit(0)))))
+               .groupBy("doc_id", "item_id", "n_tokens", "shift", "named")
+               .agg(F.collect_set(F.when(F.col("form") == EXACT, F.struct("lo", "hi"))).alias("same"),
+                    F.collect_set(F.when(F.col("form") != EXACT, window)).alias("shaped"))
+               .withColumn("pairs", F.array_distinct(F.flatten("shaped.pairs")))
+               .withColumn("wrong", F.when(one_to_one(F.col("pairs")), F.slice("pairs", 1, 0)).otherwise(
+                   F.filter("pairs", lambda p: F.exists("pairs", lambda q: clash(p, q)))))
+               .withColumn("held", F.filter("shaped", lambda w: ~F.arrays_overlap(w["pairs"], F.col("wrong"))))
+               .withColumn("same_places", places(F.col("same")))
+               .withColumn("places", F.array_union("same_places", places(F.col("held")))))
+    held = (aligned.groupBy("doc_id", "item_id", "n_tokens")
             .agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("n_matched"),
                  F.size(F.array_distinct(F.flatten(F.collect_set("same_places")))).alias("n_same")))
     need = F.least(F.lit(cover), F.ceil(F.col("n_tokens") * share).cast("int"))

@@ -276,6 +276,18 @@ def test_exact_passages_of_few_literals_and_short_items_are_found(spark):
     assert found_in(spark, items, rows) == {(1, 1): "exact", (2, 2): "exact", (3, 3): "exact", (7, 2): "exact"}
 
 
+def test_recased_and_reparameterised_copies_are_found(spark):
+    short = "Tom has 5 apples. Anna has 7 apples. Tom gives Anna 2. How many apples does Tom have now?"
+    price = "the farmer sells his cow for 4 dollars and then buys a bag of 5kg of seed for 1000 dollars from the shop"
+    hours = "the train goes for 1 hour to the coast and then waits there 2 hours before it goes on again"
+    rows = [(1, prose(1, 40) + ". " + short.replace("Tom", "Bob").replace("Anna", "Mary")), (2, short.lower()), (3, ITEM.title()),
+            (4, prose(4, 40) + ". " + price.replace("4", "3.5").replace("5kg", "7 kg").replace("1000", "1,250")),
+            (5, hours.replace("1 hour", "3 hours").replace("2", "4")), (6, prose(6, 90)), (7, ITEM.upper()),
+            (8, "In 3.5 hours. Then 1,000 more; 5kg. " + prose(8, 60))]
+    got = found_in(spark, [(1, short), (2, ITEM), (3, price), (4, hours)], rows)
+    assert got == {(1, 1): "template", (2, 1): "exact", (3, 2): "exact", (4, 3): "template", (5, 4): "template", (7, 2): "exact"}
+
+
 # --- 6 n-gram join ----------------------------------------------------------------------------------
 
 def joined_by_force(rows):
