@@ -9,7 +9,8 @@ re-parameterised questions ("12 apples" against "15 apples") and refuses windows
 a window with a value that clashes with another one does not count.
 
 A document is contaminated by an item if the windows that hold cover at least ``COVER`` of its tokens, or
-``SHARE`` of them where the item is shorter.
+``SHARE`` of them where the item is shorter. Windows of several alignments count together, as in a copy with a word put
+in, if the alignments lie within the item's length of each other and their slot maps agree.
 
 * number: a word of digits, with its decimals and thousands ("3.5", "1,000"). * unit: a word of ``UNITS`` after a
   number, also without a blank ("5kg"); singular and plural are one value. * name: a word with a capital first letter
@@ -258,11 +259,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, cov
                          F.col("width").alias("item_width"), F.col("form").alias("item_form"), F.col("key").alias("k"),
                          F.col("slots").alias("item_slots"))
     # keys of word windows and of template windows differ; a name at a start may meet one inside a sentence
-    hits = (found.select(F.col("id").alias("doc_id"), "at", "width", "form", "key", "slots")
+    hits = (found.select(F.col("id").alias("doc_id"), "at", F.col("lo").alias("doc_lo"), "width", "form", "key", "slots")
             .join(items, (F.col("key") == F.col("k")) & (F.col("width") == F.col("item_width"))
                   & ((F.col("form") == EXACT) == (F.col("item_form") == EXACT)) & (F.size("slots") == F.size("item_slots")))
-            .select("doc_id", "item_id", "n_tokens", (F.col("at") - F.col("item_at")).alias("shift"), "lo", "hi",
-                    F.greatest("form", "item_form").alias("form"),
+            .select("doc_id", "item_id", "n_tokens", (F.col("at") - F.col("item_at")).alias("shift"),
+                    (F.col("doc_lo") - F.col("lo")).alias("offset"), "lo", "hi", F.greatest("form", "item_form").alias("form"),
                     F.expr("zip_with(item_slots, slots, (a, b) -> struct(a AS i, b AS d))").alias("pairs")))
 
     def one_to_one(pairs):
@@ -276,22 +277,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, cov
         return F.array_distinct(F.flatten(F.transform(found, lambda w: F.sequence(w["lo"], w["hi"]))))
 
     window = F.struct("lo", "hi", "pairs")
-    # one alignment: a shift between document and item. Its rows are at most the item's windows. Names at starts are
-    # literals first, then names: what holds in the first case is not lost to a clash in the second.
-    aligned = (hits.withColumn("named", F.explode(F.when(F.col("form") == TEMPLATE, F.array(F.lit(0), F.lit(1)))
-                                                  .when(F.col("form") == NAMED, F.array(F.lit(1))).otherwise(F.array(F.lit(0)))))
+    # one alignment: a shift between document and item, of words in exact hits, else of tokens. Its rows are at most the
+    # item's windows. Names at starts are literals first, then names: what holds in the first case is not lost to a
+    # clash in the second.
+    aligned = (hits.withColumn("named", F.explode(F.when(F.col("form") == EXACT, F.array(F.lit(-1)))
+                                                  .when(F.col("form") == TEMPLATE, F.array(F.lit(0), F.lit(1)))
+                                                  .otherwise(F.array(F.lit(1)))))
                .groupBy("doc_id", "item_id", "n_tokens", "shift", "named")
-               .agg(F.collect_set(F.when(F.col("form") == EXACT, F.struct("lo", "hi"))).alias("same"),
-                    F.collect_set(F.when(F.col("form") != EXACT, window)).alias("shaped"))
-               .withColumn("pairs", F.array_distinct(F.flatten("shaped.pairs")))
+               .agg(F.min("offset").alias("offset"), F.collect_set(window).alias("found"))
+               .withColumn("pairs", F.array_distinct(F.flatten("found.pairs")))
                .withColumn("wrong", F.when(one_to_one(F.col("pairs")), F.slice("pairs", 1, 0)).otherwise(
                    F.filter("pairs", lambda p: F.exists("pairs", lambda q: clash(p, q)))))
-               .withColumn("held", F.filter("shaped", lambda w: ~F.arrays_overlap(w["pairs"], F.col("wrong"))))
-               .withColumn("same_places", places(F.col("same")))
-               .withColumn("places", F.array_union("same_places", places(F.col("held")))))
-    held = (aligned.groupBy("doc_id", "item_id", "n_tokens")
-            .agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("n_matched"),
-                 F.size(F.array_distinct(F.flatten(F.collect_set("same_places")))).alias("n_same")))
+               .withColumn("held", F.filter("found", lambda w: ~F.arrays_overlap(w["pairs"], F.col("wrong"))))
+               .withColumn("pairs", F.array_distinct(F.flatten("held.pairs")))
+               .withColumn("places", places(F.col("held"))).filter(F.size("places") > 0)
+               .withColumn("same", F.when(F.col("named") < 0, F.col("places")).otherwise(F.slice("places", 1, 0))))
+    # with each alignment, those at most the item's length behind it whose values agree with it, longest first
+    several = F.expr("""sort_array(collect_list(struct(-size(places) AS size, offset, named, places, same, pairs)) OVER (
+        PARTITION BY doc_id, item_id ORDER BY offset / n_tokens RANGE BETWEEN CURRENT ROW AND 1.000001D FOLLOWING))""")
+
+    def unite(so_far, one):
+        both = F.array_union(so_far["pairs"], one["pairs"])
+        return F.when(one_to_one(both), F.struct(
+            F.array_union(so_far["places"], one["places"]).alias("places"),
+            F.array_union(so_far["same"], one["same"]).alias("same"), both.alias("pairs"))).otherwise(so_far)
+
+    held = (aligned.withColumn("near", several)
+            .withColumn("all", F.aggregate("near", F.struct("places", "same", "pairs"), unite))
+            .groupBy("doc_id", "item_id", "n_tokens")
+            .agg(F.max(F.struct(F.size("all.places").alias("n_matched"), F.size("all.same").alias("n_same"))).alias("best"))
+            .select("doc_id", "item_id", "n_tokens", "best.*"))
     need = F.least(F.lit(cover), F.ceil(F.col("n_tokens") * share).cast("int"))
     return (held.filter(F.col("n_matched") >= need)
             .select("doc_id", "item_id", "n_matched", "n_tokens",

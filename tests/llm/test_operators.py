@@ -288,6 +288,19 @@ def test_recased_and_reparameterised_copies_are_found(spark):
     assert got == {(1, 1): "template", (2, 1): "exact", (3, 2): "exact", (4, 3): "template", (5, 4): "template", (7, 2): "exact"}
 
 
+def test_windows_far_apart_or_at_odds_do_not_count_together(spark):
+    w = ITEM.split()
+    one, two = " ".join(w[:9]), " ".join(w[15:25])
+    inserted = " ".join(w[:10] + ["really", "and", "truly"] + w[10:])
+    odd = "the man Tom went out of the house with bread for his old friend Bob because a dog of Tom was"
+    halves = [" ".join(odd.split()[:10]), " ".join(odd.split()[10:])]
+    at_odds = halves[0].replace("Tom", "Max") + " and then after it " + halves[1].replace("Tom", "Jim").replace("Bob", "Ron")
+    agreed = halves[0].replace("Tom", "Max") + " and then after it " + halves[1].replace("Tom", "Max").replace("Bob", "Ron")
+    rows = [(1, one + ". " + prose(1, 500) + ". " + two), (2, prose(2, 50) + ". " + inserted), (3, one + ". " + two),
+            (4, at_odds), (5, agreed)]
+    assert found_in(spark, [(1, ITEM), (2, odd)], rows) == {(2, 1): "exact", (3, 1): "exact", (5, 2): "template"}
+
+
 # --- 6 n-gram join ----------------------------------------------------------------------------------
 
 def joined_by_force(rows):
