@@ -11,7 +11,8 @@
 3. A piece's place follows from its length and its rank among all pieces of that length: the counts per
    task give each task's first rank, so no group of equal lengths is ever sorted or put together.
 
-Defined results: a null or empty text is the single end token. Every row is packed, also repeated rows and
+Defined results: a null or empty text is the single end token. Texts of millions of blanks, line breaks or letters have
+the ids of the tokenizers library. Every row is packed, also repeated rows and
 rows without a doc_id. An empty table gives an empty result.
 """
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import zlib
 from collections import defaultdict, deque
 from typing import NamedTuple
@@ -33,6 +35,8 @@ from .common import map_arrow, written
 
 CAPACITY = 1024
 END_TOKEN = 2
+SAFE_BLANKS = 20_000           # characters of one run of blanks that tiktoken is given
+LONG_BLANKS = re.compile(r"(?<!\s)\s{%d}" % SAFE_BLANKS)
 
 
 # --- tokens -----------------------------------------------------------------------------------------
@@ -48,21 +52,29 @@ def _byte_letters() -> dict[str, int]:
     return letters
 
 
-@functools.lru_cache(maxsize=2)
-def encoder(path: str):
+def has_long_blank_run(text: str) -> bool:
+    """A run of blanks that tiktoken's pattern matcher may not survive: it backtracks over the run, one stack frame a
+    character, and a run of a million ends the process."""
+    return len(text) > SAFE_BLANKS and LONG_BLANKS.search(text) is not None
+
+
+@functools.lru_cache(maxsize=4)
+def encoder(path: str, special_as_text: bool = False):
     """A function from a text to its ids under the tokenizer file at ``path`` (special tokens not added).
 
     A plain byte-level BPE file is run by tiktoken, which gives the same ids several times faster: there
-    a token's id is its merge rank. Texts that hold the string of a special token, and any other kind of
-    file, go to the tokenizers library."""
+    a token's id is its merge rank. Texts with a very long run of blanks, texts that hold the string of a special
+    token (unless ``special_as_text``), and any other kind of file, go to the tokenizers library."""
     from tokenizers import Tokenizer
     slow = Tokenizer.from_file(path)
+    slow.encode_special_tokens = special_as_text
     by_file = lambda text: slow.encode(text, add_special_tokens=False).ids
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
     letters = _byte_letters()
     special = [t["content"] for t in spec.get("added_tokens", [])]
+    apart = [] if special_as_text else special
     plain = {t: i for t, i in model.get("vocab", {}).items() if t not in special} if model["type"] == "BPE" else {}
     if (pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or pre.get("use_regex") is False
             or spec.get("normalizer") or model.get("dropout") or model.get("ignore_merges") or not plain
@@ -73,7 +85,8 @@ def encoder(path: str):
     ranks = {bytes(letters[c] for c in t): i for t, i in plain.items()}
     pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # of byte-level BPE
     fast = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: by_file(text) if any(s in text for s in special) else fast.encode_ordinary(text)
+    return lambda text: (by_file(text) if any(s in text for s in apart) or has_long_blank_run(text)
+                         else fast.encode_ordinary(text))
 
 
 def cut(n_ids: int, capacity: int) -> list[tuple[int, int]]:

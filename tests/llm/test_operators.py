@@ -613,3 +613,25 @@ def test_other_tokenizer_files_go_to_the_library():
     from tokenizers import Tokenizer
     text = "Some Words, here 123"
     assert list(packing.encoder(path)(text)) == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("n", [1_000_000, 5_000_000])
+@pytest.mark.parametrize("unit", [" ", "\n", "\t \r\n", "x"])
+def test_packing_survives_very_long_runs(unit, n):
+    from tokenizers import Tokenizer
+    text = "a " + (unit * n)[:n] + "b"
+    slow = Tokenizer.from_file(tokenizer_path())
+    assert packing.encoder(tokenizer_path())(text) == slow.encode(text, add_special_tokens=False).ids
+
+
+def test_pack_of_very_long_blank_runs(spark):
+    rows = [(1, "\n" * 1_000_000), (2, " " * 1_000_000 + "end"), (3, "plain text"), (4, None)]
+    out = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer_path()).collect()
+    encode = packing.encoder(tokenizer_path())
+    for doc_id, text in rows:
+        own = sorted((r for r in out if r["doc_id"] == doc_id), key=lambda r: r["piece"])
+        ids = [*encode(text or ""), packing.END_TOKEN]
+        assert sum(r["length"] for r in own) == len(ids)
+        for r in own:
+            part = np.array(ids[r["start"]:r["start"] + r["length"]], dtype="<u4")
+            assert zlib.crc32(part.tobytes()) == r["ids_crc32"]
