@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, license_scan, line_dedup, ngram_join, packing, quality, secret_scan, topk, urlfilter, warc
+from . import alignment, decontam, license_scan, line_dedup, ngram_join, packing, quality, secret_scan, topk, urlfilter, warc
 from .common import load, tokenizer_path
 
 
@@ -65,9 +65,13 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_line_dedup, op3_exact_topk_search, op4_secret_scans, op5_benchmark_decontamination,
                                    op6_ngram_jaccard_join, op7_warc, op8_url_filters, op9_license_scans,
-                                   op10_best_fit_packing)}
+                                   op10_best_fit_packing, op11_cross_tokenizer_alignment)}
 
 ORACLE_SQL = {
     "op3_exact_topk_search": """
