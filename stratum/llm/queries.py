@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, decontam, license_scan, line_dedup, ngram_join, packing, quality, secret_scan, topk, urlfilter, warc
+from . import (alignment, decontam, license_scan, line_dedup, line_frequency, ngram_join, packing, quality, secret_scan, topk,
+               urlfilter, warc)
 from .common import load, tokenizer_path
 
 
@@ -69,9 +70,13 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return alignment.alignments(load(spark, sf_dir, "documents"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_frequency.verdicts(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_line_dedup, op3_exact_topk_search, op4_secret_scans, op5_benchmark_decontamination,
                                    op6_ngram_jaccard_join, op7_warc, op8_url_filters, op9_license_scans,
-                                   op10_best_fit_packing, op11_cross_tokenizer_alignment)}
+                                   op10_best_fit_packing, op11_cross_tokenizer_alignment, op12_quality_rules)}
 
 ORACLE_SQL = {
     "op3_exact_topk_search": """
@@ -113,6 +118,37 @@ ORACLE_SQL = {
                     WHEN canonical <> '' AND canonical IN (SELECT canonical FROM d WHERE spam) THEN 'block'
                     ELSE 'allow' END AS verdict
         FROM e""",
+    "op12_quality_rules": r"""
+        WITH d AS (SELECT row_number() OVER () AS id, doc_id, source, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT id, [x FOR x IN string_split_regex(text, '[\x20\x09-\x0D]+') IF x <> ''] AS words FROM d),
+        e AS (SELECT id, unnest(words) AS a, generate_subscripts(words, 1) AS pos FROM w),
+        t AS (SELECT *, lead(a) OVER p AS b, lead(a, 2) OVER p AS c FROM e WINDOW p AS (PARTITION BY id ORDER BY pos)),
+        r AS (SELECT id, pos, count(*) OVER (PARTITION BY id, a, b, c) AS times FROM t WHERE c IS NOT NULL),
+        m AS (SELECT DISTINCT id, pos + k AS pos FROM r, range(3) AS x(k) WHERE times > 1),
+        n AS (SELECT id, count(*) AS n_repeat_words FROM m GROUP BY id),
+        l AS (SELECT id, source, text, unnest(string_split(text, chr(10))) AS line FROM d),
+        k AS (SELECT *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789',
+                                                      'abcdefghijklmnopqrstuvwxyz000000000'),
+                                            '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS key,
+                     length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars
+              FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+        f AS (SELECT source, key, count(DISTINCT text) AS held FROM k GROUP BY source, key),
+        h AS (SELECT source, count(DISTINCT text) AS texts FROM d GROUP BY source),
+        g AS (SELECT f.source, f.key FROM f JOIN h ON f.source IS NOT DISTINCT FROM h.source
+              WHERE held > 20 AND held > 0.01 * texts),
+        s AS (SELECT k.id, count(*) AS n_lines, count(*) - count(DISTINCT k.line) AS n_dup_lines,
+                     count(*) FILTER (g.key IS NOT NULL) AS n_removed,
+                     coalesce(sum(chars) FILTER (g.key IS NOT NULL), 0)::BIGINT AS chars_removed
+              FROM k LEFT JOIN g ON k.key = g.key AND k.source IS NOT DISTINCT FROM g.source GROUP BY k.id),
+        x AS (SELECT d.doc_id, len(w.words) AS n_words, length(array_to_string(w.words, '')) AS word_chars,
+                     length(d.text) - length(translate(d.text, '#*$%&|<>', '')) AS n_symbols,
+                     coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+                     coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+                     coalesce(chars_removed, 0) AS chars_removed
+              FROM d JOIN w USING (id) LEFT JOIN s USING (id) LEFT JOIN n USING (id))
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND chars_removed <= 0.5 * word_chars AS kept
+        FROM x""",
     "op2_line_dedup": """
         WITH lines AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
