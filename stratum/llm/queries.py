@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (alignment, decontam, license_scan, line_dedup, line_frequency, ngram_join, packing, quality, secret_scan, topk,
-               urlfilter, warc)
+from . import (alignment, decontam, license_scan, line_dedup, line_frequency, ngram_join, packing, quality, secret_scan,
+               spelling, topk, urlfilter, warc)
 from .common import load, tokenizer_path
 
 
@@ -74,9 +74,14 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency.verdicts(load(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variant_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_line_dedup, op3_exact_topk_search, op4_secret_scans, op5_benchmark_decontamination,
                                    op6_ngram_jaccard_join, op7_warc, op8_url_filters, op9_license_scans,
-                                   op10_best_fit_packing, op11_cross_tokenizer_alignment, op12_quality_rules)}
+                                   op10_best_fit_packing, op11_cross_tokenizer_alignment, op12_quality_rules,
+                                   op13_spelling_variant_grouping)}
 
 ORACLE_SQL = {
     "op3_exact_topk_search": """
