@@ -8,8 +8,16 @@ an item must map one to one, per type, onto the document's values over all windo
 re-parameterised questions ("12 apples" against "15 apples") and refuses windows that merely have the same shape:
 a window with a value that clashes with another one does not count.
 
+Windows of more than ``FEW`` families of items (a family: items that differ in slot values only) are boilerplate, such as
+a preamble that many items share: they make no document a candidate. A window that a family shares stands for the family
+once, by its smallest item_id. Only where a document holds a window of an item's own are the item's other windows, boilerplate
+too, looked up in that document; so the rows grow with the documents that hold an item, not with documents times items. An
+item that is made of boilerplate alone counts by all its windows, one item for each. Of an item's words outside boilerplate
+at least ``OWN`` (or ``SHARE`` of them, where it has fewer) have to be covered.
+
 A document is contaminated by an item if the windows that hold cover at least ``COVER`` of its tokens, or
-``SHARE`` of them where the item is shorter. Windows of several alignments count together, as in a copy with a word put
+``SHARE`` of them where the item is shorter. An item of fewer than ``MIN_ITEM`` words ("Paris", "Yes") says nothing about a
+longer text: it counts only in documents of at most twice its words. Windows of several alignments count together, as in a copy with a word put
 in, if the alignments lie within the item's length of each other and their slot maps agree.
 
 * number: a word of digits, with its decimals and thousands ("3.5", "1,000"). * unit: a word of ``UNITS`` after a
@@ -22,7 +30,7 @@ broadcast, so that only windows that may hit are shuffled; the join decides.
 
 Defined results: null and empty texts and rows with a null doc_id or item_id match nothing. An item shorter
 than the window is one window; documents make windows of each width that occurs among the items (at most ``WINDOW``),
-so it is found anywhere in a document, an item of one word too. Repeated rows of an item or a document count once. Empty tables give no rows.
+so it is found anywhere in a document. Repeated rows of an item or a document count once. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -32,6 +40,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +49,7 @@ from .words import LOWERED, _hash_runs, mix, windows, words
 
 WINDOW, MIN_LITERALS = 8, 4
 COVER, SHARE = 13, 0.6
+FEW, MIN_ITEM, OWN = 3, 5, 4
 BLOOM_BITS = 1 << 23            # 1 MB
 UNITS = ("mm cm m km in ft mi mg g kg lb oz ml l s sec min h hr hrs ms hz khz mhz ghz kb mb gb tb w kw v a k c f "
          "percent meter meters metre metres kilometer kilometers kilometre kilometres mile miles foot feet inch inches "
@@ -160,12 +170,23 @@ def _bloom_bits(h: np.ndarray) -> np.ndarray:
 EXACT, TEMPLATE, NAMED = 0, 1, 2      # word windows; template windows; those with a word at a start as a name
 
 
+def families(t: Templates) -> np.ndarray:
+    """A hash per text that is the same for texts which differ in the values of their slots only: of its template with all
+    names as names, and of which of its slots hold the same value."""
+    out = np.empty(len(t.begin) - 1, dtype=np.uint64)
+    for k, (b, e) in enumerate(zip(t.begin, t.begin[1:])):
+        _, first, same = np.unique(t.values[b:e][t.kinds[1][b:e] != LITERAL], return_index=True, return_inverse=True)
+        out[k] = xxhash.xxh3_64_intdigest(t.tokens[1][b:e].tobytes() + b"|" + first[same].astype("<i8").tobytes())
+    return out
+
+
 def _window_rows(widths, items: bool, passes=None):
-    """Rows (id, at, lo, hi, n_tokens, width, form, key, slots) of every window, or of those ``passes`` lets through.
+    """Rows (id, at, lo, hi, n_tokens, width, form, key, slots, family) of every window, or of those ``passes`` lets
+    through; documents have no family.
 
     ``at`` counts the tokens before the window, ``lo`` and ``hi`` are its first and last word.
     Texts of at least ``width`` tokens have windows of each width; items shorter than the largest one, of their own."""
-    def rows(ids, t, width, form):
+    def rows(ids, t, kin, width, form):
         first = t.first if form == EXACT else t.begin
         tokens = t.words if form == EXACT else t.tokens[form - TEMPLATE]
         counts = np.diff(first)
@@ -204,8 +225,9 @@ def _window_rows(widths, items: bool, passes=None):
             [pa.array(ids[doc], pa.int64()), pa.array(place[at], pa.int32()), pa.array(lo - start, pa.int32()),
              pa.array(hi - start, pa.int32()), pa.array(np.diff(t.first)[doc], pa.int32()),
              pa.array(np.full(len(at), width), pa.int32()), pa.array(np.full(len(at), form), pa.int32()),
-             pa.array(keys[at].view(np.int64)), pa.array(slots, pa.list_(pa.int64()))],
-            names=["id", "at", "lo", "hi", "n_tokens", "width", "form", "key", "slots"])
+             pa.array(keys[at].view(np.int64)), pa.array(slots, pa.list_(pa.int64())),
+             pa.array(kin[doc].view(np.int64)) if items else pa.nulls(len(at), pa.int64())],
+            names=["id", "at", "lo", "hi", "n_tokens", "width", "form", "key", "slots", "family"])
 
     def run(batches):
         for batch in batches:
@@ -213,13 +235,33 @@ def _window_rows(widths, items: bool, passes=None):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, j in row_groups(off):
                 t = templates(raw[off[i]:off[j]], off[i:j + 1] - off[i])
+                kin = families(t) if items else None
                 for width in widths:
                     for form in (EXACT, TEMPLATE, NAMED):
-                        yield rows(ids[i:j], t, width, form)
+                        yield rows(ids[i:j], t, kin, width, form)
     return run
 
 
-ROWS = "id long, at int, lo int, hi int, n_tokens int, width int, form int, key long, slots array<long>"
+ROWS = "id long, at int, lo int, hi int, n_tokens int, width int, form int, key long, slots array<long>, family long"
+
+
+def boilerplate(items: DataFrame, few: int = FEW) -> tuple[DataFrame, DataFrame]:
+    """(t_key, t_slots, item_id, t_tokens): the windows that make a document a candidate for an item, each for as few items
+    as possible; and (p_item, plain): the places of an item's words that lie in boilerplate."""
+    common = written(items.groupBy(F.col("key").alias("of")).agg(F.countDistinct("family").alias("kin"))
+                     .filter(F.col("kin") > few).select("of"), "boilerplate")
+    own = items.join(common, F.col("key") == F.col("of"), "left_anti")
+    has = own.select(F.col("id").alias("has")).distinct()
+    rest = items.join(has, F.col("id") == F.col("has"), "left_anti")
+    size = F.size("slots").alias("t_slots")
+    both = (own.groupBy("key", size, "family").agg(F.min(F.struct("id", "n_tokens")).alias("one")).drop("family")
+            .unionByName(rest.groupBy("key", size).agg(F.min(F.struct("id", "n_tokens")).alias("one"))))
+    tell = both.select(F.col("key").alias("t_key"), "t_slots", F.col("one.id").alias("item_id"),
+                       F.col("one.n_tokens").alias("t_tokens")).distinct()
+    plain = (items.join(common, F.col("key") == F.col("of"), "left_semi").join(has, F.col("id") == F.col("has"), "left_semi")
+             .groupBy(F.col("id").alias("p_item"))
+             .agg(F.array_distinct(F.flatten(F.collect_set(F.sequence("lo", "hi")))).alias("plain")))
+    return written(tell, "telling"), written(plain, "plain")
 
 
 def _bloom(items: DataFrame) -> np.ndarray:
@@ -239,7 +281,7 @@ def _bloom(items: DataFrame) -> np.ndarray:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, cover: int = COVER,
-                 share: float = SHARE) -> DataFrame:
+                 share: float = SHARE, few: int = FEW, min_item: int = MIN_ITEM) -> DataFrame:
     """(doc_id, item_id, n_matched, n_tokens, kind) of every document and item that it contains.
 
     ``n_matched`` of the item's ``n_tokens`` words lie in windows that hold; ``kind`` is ``exact`` if all slots
@@ -254,13 +296,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, cov
         return ((bitmap.value[bits >> 6] >> (bits & 63).astype(np.uint64)) & np.uint64(1)).all(axis=1)
 
     found = written(map_arrow(docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text"),
-                              _window_rows(widths, False, passes), ROWS), "windows")
+                              _window_rows(widths, False, passes), ROWS).drop("family"), "windows")
+    tell, plain = boilerplate(items, few)
+    candidates = (found.join(tell, (F.col("key") == F.col("t_key")) & (F.size("slots") == F.col("t_slots")))
+                  .filter((F.col("t_tokens") >= min_item) | (F.col("n_tokens") <= 2 * F.col("t_tokens")))
+                  .select(F.col("id").alias("c_doc"), F.col("item_id").alias("c_item")).distinct())
     items = items.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "lo", "hi", "n_tokens",
                          F.col("width").alias("item_width"), F.col("form").alias("item_form"), F.col("key").alias("k"),
                          F.col("slots").alias("item_slots"))
+    wanted = items.join(written(candidates, "candidates"), F.col("item_id") == F.col("c_item"))
     # keys of word windows and of template windows differ; a name at a start may meet one inside a sentence
     hits = (found.select(F.col("id").alias("doc_id"), "at", F.col("lo").alias("doc_lo"), "width", "form", "key", "slots")
-            .join(items, (F.col("key") == F.col("k")) & (F.col("width") == F.col("item_width"))
+            .join(wanted, (F.col("doc_id") == F.col("c_doc")) & (F.col("key") == F.col("k"))
+                  & (F.col("width") == F.col("item_width"))
                   & ((F.col("form") == EXACT) == (F.col("item_form") == EXACT)) & (F.size("slots") == F.size("item_slots")))
             .select("doc_id", "item_id", "n_tokens", (F.col("at") - F.col("item_at")).alias("shift"),
                     (F.col("doc_lo") - F.col("lo")).alias("offset"), "lo", "hi", F.greatest("form", "item_form").alias("form"),
@@ -302,8 +350,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, cov
             F.array_union(so_far["places"], one["places"]).alias("places"),
             F.array_union(so_far["same"], one["same"]).alias("same"), both.alias("pairs"))).otherwise(so_far)
 
+    outside = F.size(F.array_except("all.places", "plain"))
     held = (aligned.withColumn("near", several)
             .withColumn("all", F.aggregate("near", F.struct("places", "same", "pairs"), unite))
+            .join(plain, F.col("item_id") == F.col("p_item"), "left")
+            .filter(F.col("plain").isNull()
+                    | (outside >= F.least(F.lit(OWN), F.ceil((F.col("n_tokens") - F.size("plain")) * share).cast("int"))))
             .groupBy("doc_id", "item_id", "n_tokens")
             .agg(F.max(F.struct(F.size("all.places").alias("n_matched"), F.size("all.same").alias("n_same"))).alias("best"))
             .select("doc_id", "item_id", "n_tokens", "best.*"))

@@ -272,8 +272,45 @@ def test_exact_passages_of_few_literals_and_short_items_are_found(spark):
     items = [(1, "What is 12 + 15 + 7 + 3 + 9 ?"), (2, "Name the largest prime below 100."), (3, "Photosynthesis")]
     rows = [(1, prose(1, 60) + ". " + items[0][1] + " " + prose(2, 60)), (2, prose(3, 40) + ". " + items[1][1] + " " + prose(4, 40)),
             (3, prose(5, 40) + " photosynthesis, " + prose(6, 40) + " Photosynthesis"), (4, "What is 13 + 16 + 8 + 4 + 2 ?"),
-            (5, prose(7, 40) + " largest prime below 100. Name the"), (6, prose(8, 90)), (7, items[1][1])]
-    assert found_in(spark, items, rows) == {(1, 1): "exact", (2, 2): "exact", (3, 3): "exact", (7, 2): "exact"}
+            (5, prose(7, 40) + " largest prime below 100. Name the"), (6, prose(8, 90)), (7, items[1][1]), (8, "(Photosynthesis)")]
+    # an item of one word says nothing about a longer text
+    assert found_in(spark, items, rows) == {(1, 1): "exact", (2, 2): "exact", (8, 3): "exact", (7, 2): "exact"}
+
+
+def test_items_of_a_few_words_leave_long_texts_alone(spark):
+    items = [(1, "the"), (2, "Paris"), (3, "Yes"), (4, "True or false"), (5, "The capital is Paris")]
+    rows = [(1, "the capital of the country is Paris and " + prose(1, 60)), (2, "Yes, the train was late. " + prose(2, 60)),
+            (3, "True or false " * 3 + prose(3, 30)), (4, "Paris!"), (5, "It is Paris"), (6, "Well, true or false?"),
+            (7, "They say that the capital is Paris, " + prose(4, 40)), (8, prose(5, 80))]
+    assert found_in(spark, items, rows) == {(4, 2): "exact", (6, 4): "exact"}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    kept = {r["doc_id"] for r in decontam.without_benchmark(docs_of(spark, rows), bench).collect()}
+    assert kept == {1, 2, 3, 5, 7, 8}
+
+
+def test_boilerplate_of_many_items_is_no_hit(spark):
+    preamble = "read the following passage with care and then choose the best answer from the list"
+    own = lambda k: prose(5000 + k, 12)
+    items = [(k, f"{preamble} {own(k)}") for k in range(300)]
+    rows = [(k, f"{prose(k, 30)} {preamble} {prose(900 + k, 30)}") for k in range(300)]
+    assert found_in(spark, items, rows) == {}
+    rows += [(1000 + k, f"{prose(2000 + k, 20)} {preamble} {own(k)} {prose(3000 + k, 20)}") for k in range(0, 300, 10)]
+    rows += [(2000, own(7) + " " + prose(1, 50))]
+    got = found_in(spark, items, rows)
+    assert got == {(1000 + k, k): "exact" for k in range(0, 300, 10)} | ({(2000, 7): "exact"} if (2000, 7) in got else {})
+    # an item that is nothing but the preamble still counts
+    assert found_in(spark, [*items, (999, preamble)], rows[:2]) == {(0, 999): "exact", (1, 999): "exact"}
+
+
+def test_families_and_copies_of_items_stand_for_one(spark):
+    question = "if farmer John buys {} apples and {} kg of pears how many apples does he have left after giving half of them away"
+    items = [(k, question.format(10 + k, 100 + k)) for k in range(60)]
+    rows = [(1, prose(1, 40) + ". " + question.format(7, 9).replace("John", "Peter") + " " + prose(2, 40)),
+            (2, prose(3, 40) + ". " + question.format(15, 105) + " " + prose(4, 40)), (3, prose(5, 90))]
+    got = found_in(spark, items, rows)
+    assert (1, 0) in got and (2, 5) in got and got[2, 5] == "exact" and {d for d, _ in got} == {1, 2} and len(got) <= 6
+    copies = [(k, ITEM) for k in range(50, 60)]
+    assert found_in(spark, copies, [(1, ITEM), (2, prose(2, 50))]) == {(1, 50): "exact"}
 
 
 def test_recased_and_reparameterised_copies_are_found(spark):
