@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from .common import map_arrow, text_buffer, tokenizer_path, written
 from .packing import _byte_letters, encoder
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 SPACE = "▁"
 # last bytes of the UTF-8 forms of blanks beyond ASCII, by the bytes before them; a space after one of these
 # characters, or after any other character that starts alike, does not end a stretch
