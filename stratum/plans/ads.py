@@ -9,10 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stratum import functions as X
 from stratum.functions.temporal import ts_literal
 from stratum.operators.calendar import date_dimension
-from stratum.operators.merge import fact_merge
 from stratum.operators.surrogate import assign_surrogate_keys_counted
 from stratum.plans import feeds, specs
-from stratum.plans.state import SilverHistory, materialize, memo, scd2_runs, silver_runs
+from stratum.plans.state import DimHistory, SilverHistory, memo, new_table, scd2_runs, silver_runs
 
 # Fixed run times of the two ads runs.
 RUN_TS = {1: "2024-03-01 00:00:00", 2: "2024-03-02 00:00:00"}
@@ -98,37 +97,86 @@ def fact_source(insights: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
                          "cpm", "ctr", "actions_raw")
 
 
-def fill_insight_sk(fact: DataFrame, base: int) -> tuple[DataFrame, int]:
-    """New fact rows (NULL key) get keys after ``base`` in (ad, start, stop) order (M6).
-
-    ``fact`` is a materialised snapshot; only the new rows are re-laid out and checkpointed.
-    """
-    new, n = assign_surrogate_keys_counted(fact.filter(F.col("insight_sk").isNull()), list(FACT_KEYS),
-                                           "insight_sk", base=base)
-    return fact.filter(F.col("insight_sk").isNotNull()).unionByName(new.select(*fact.columns)), base + n
+def touched(fact: DataFrame, run_ts) -> DataFrame:
+    """The fact as the reference's whole-table upsert would leave it after the run at ``run_ts``: that upsert stamps every row
+    that is in its source, changed or not, so the stamp of a live row is the last run's and need not be stored."""
+    stamp = F.when(F.col("in_source") & (F.col("gold_loaded_at") < run_ts), run_ts).otherwise(F.col("gold_updated_at"))
+    return fact.withColumn("gold_updated_at", stamp).select(*FACT_COLS)
+
+
+LINKS = {"ad": ("ad_id", "ad_id"), "adset": ("adset_id", "adset_id"), "campaign": ("campaign_id", "campaign_id"),
+         "ad_account": ("ad_account_id", "account_id")}     # entity -> column of the fact, key of the dimension
+
+
+def fact_delta(fact_for, fact: DataFrame | None, changed: DataFrame, dims: dict[str, DataFrame], opened: dict[str, DataFrame],
+               run_ts, last_ts, base: int) -> tuple[DataFrame, int]:
+    """The fact rows that one run has to write, and the next key base (M8 as a delta).
+
+    ``changed`` are the insights that the Silver run wrote, ``opened`` the dimension versions that this run opened.
+    Written are the facts of changed insights, looked up in the current dimensions, and those whose dimension row is
+    new; every other row of the fact keeps its place. ``fact_for(rows)`` gives the facts with the keys of ``rows``."""
+    keys = list(FACT_KEYS)
+    fresh = fact_source(changed, dims)
+    changed = changed.withColumnsRenamed({"date_start": "date_start_id", "date_stop": "date_stop_id"})
+    live = F.coalesce(X.active_valid("is_valid_record", "is_deleted", "is_valid_date_range"), F.lit(False))
+    none = F.lit(None).cast("timestamp_ntz")
+    if fact is None:
+        new, again = fresh, None
+    else:
+        held = fact_for(changed)
+        had = held.select(*keys, F.col("insight_sk").alias("had_sk"), F.col("gold_loaded_at").alias("had_at"))
+        both = fresh.join(had, keys, "left")
+        new = both.filter("had_sk IS NULL").drop("had_sk", "had_at")
+        same = both.filter("had_sk IS NOT NULL").select(
+            F.col("had_sk").alias("insight_sk"), *fresh.columns, F.col("had_at").alias("gold_loaded_at"),
+            run_ts.alias("gold_updated_at"), F.lit(True).alias("in_source"))
+        # insights that are no longer valid or live leave the source: their facts stay, with the last run's stamp
+        left = touched_stamp(held.filter("in_source"), last_ts).join(changed.filter(~live).select(*keys), keys, "left_semi")
+        moved = fact.filter("in_source").join(changed.select(*keys), keys, "left_anti")
+        for entity, (column, key) in LINKS.items():
+            sk = f"dim_{entity}_sk"
+            moved = moved.join(opened[entity].select(F.col(key).alias(f"to_{column}"), F.col(sk).alias(f"to_{sk}")),
+                               F.col(column) == F.col(f"to_{column}"), "left").drop(f"to_{column}")
+        pointed = [f"dim_{e}_sk" for e in LINKS]
+        moved = (moved.filter(F.coalesce(*[f"to_{c}" for c in pointed]).isNotNull())
+                 .withColumns({c: F.coalesce(f"to_{c}", c) for c in pointed}).drop(*[f"to_{c}" for c in pointed]))
+        cols = [*FACT_COLS, "in_source"]
+        again = same.select(*cols).unionByName(left.select(*cols)).unionByName(moved.select(*cols))
+    keyed, n = assign_surrogate_keys_counted(
+        new.select(*fresh.columns, run_ts.alias("gold_loaded_at"), none.alias("gold_updated_at"), F.lit(True).alias("in_source")),
+        keys, "insight_sk", base=base)
+    keyed = keyed.select(*FACT_COLS, "in_source")
+    return (keyed if again is None else again.unionByName(keyed)), base + n
+
+
+def touched_stamp(rows: DataFrame, last_ts) -> DataFrame:
+    return rows.withColumns({"gold_updated_at": F.when(F.col("gold_loaded_at") < last_ts, last_ts)
+                             .otherwise(F.col("gold_updated_at")), "in_source": F.lit(False)})
+
+
+def fact_history(spark: SparkSession, insights: SilverHistory, dims: dict[str, DimHistory], runs: int,
+                 root: str | None = None) -> list[DataFrame]:
+    """FACT_AD_INSIGHT after each of ``runs`` runs. A run reads the fact once and writes only the rows it changes; with
+    ``root`` the table lives there and runs it has committed are not repeated."""
+    table = new_table(spark, "fact_ad_insight", list(FACT_KEYS), root)
+    for k in range(runs):
+        last = table.last_commit()
+        if last is not None and k <= last:
+            continue
+        rows, base = fact_delta(table.read_for, table.read(), insights.changed_rows(k), {e: d[k] for e, d in dims.items()},
+                                {e: d.opened(k) for e, d in dims.items()}, run_ts(k + 1), run_ts(max(k, 1)),
+                                table.meta().get("sk_base", 0))
+        table.commit(rows, k, meta={"sk_base": base})
+    return [touched(table.read(k), run_ts(k + 1)) for k in range(runs)]
 
 
 def fact_runs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """FACT_AD_INSIGHT after each run: every run re-points all rows to the current dimension rows."""
+    """FACT_AD_INSIGHT after each run."""
     def build():
         with ThreadPoolExecutor(max_workers=2) as pool:
-            dims_f = pool.submit(all_entity_dims, spark, sf_dir)
+            dims = pool.submit(all_entity_dims, spark, sf_dir)
             insights = insight_runs(spark, sf_dir)
-            all_dims = dims_f.result()
-        out, fact, base = [], None, 0
-        for run in (1, 2):
-            dims = {e: all_dims[e][run - 1] for e in ENTITIES}
-            src = fact_source(insights[run - 1], dims)
-            if fact is None:
-                fact = spark.createDataFrame([], src.select(
-                    F.lit(None).cast("long").alias("insight_sk"), *src.columns,
-                    F.lit(None).cast("timestamp_ntz").alias("gold_loaded_at"),
-                    F.lit(None).cast("timestamp_ntz").alias("gold_updated_at")).schema)
-            merged = materialize(fact_merge(fact, src, list(FACT_KEYS), run_ts=run_ts(run)))
-            fact, base = fill_insight_sk(merged, base)
-            fact = fact.select(*FACT_COLS)
-            out.append(fact)
-        return out
+            return fact_history(spark, insights, dims.result(), len(insights))
     return memo(spark, sf_dir, "fact_ad_insight", build)
 
 

@@ -11,9 +11,10 @@ from __future__ import annotations
 import threading
 import uuid
 from collections.abc import Callable
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from stratum.operators.scd2 import scd2_changes
 from stratum.session import ensure_checkpoint_dir
@@ -35,17 +36,28 @@ def materialize(df: DataFrame) -> DataFrame:
 class SilverHistory(list):
     """Snapshots of a Silver table after each run (a list), the change rows of each run and the rows set aside."""
 
-    def __init__(self, snapshots, table, spec=None, batches=()):
+    def __init__(self, snapshots, table, rejected: StructType):
         super().__init__(snapshots)
-        self.table, self.spec, self.batches = table, spec, list(batches)
+        self.table, self.rejected = table, rejected
 
     def changed_rows(self, run_index: int) -> DataFrame:
         """Rows inserted or updated by run ``run_index`` (T4/T5): exactly what its commit wrote."""
         return self.table.changes(run_index)
 
     def quarantined(self) -> DataFrame:
-        """Records of all batches whose key has a NULL part; no merge takes them in."""
-        return reduce(DataFrame.unionByName, [self.spec.quarantine(raw, ts) for raw, ts in self.batches])
+        """The records that the runs set aside because their key has a NULL part, with their ``run``."""
+        return self.table.spark.read.schema(self.rejected).parquet(quarantine_path(self.table))
+
+
+class DimHistory(list):
+    """A dimension after each SCD-2 run (a list), and the versions that each run opened."""
+
+    def __init__(self, snapshots, table, current_col: str):
+        super().__init__(snapshots)
+        self.table, self.current_col = table, current_col
+
+    def opened(self, run_index: int) -> DataFrame:
+        return self.table.changes(run_index).filter(F.col(self.current_col))
 
 
 def new_table(spark: SparkSession, name: str, keys, root: str | None = None):
@@ -56,25 +68,48 @@ def new_table(spark: SparkSession, name: str, keys, root: str | None = None):
     return ChangeTable(spark, root, list(keys))
 
 
+def quarantine_path(table) -> str:
+    return f"{table.root}/quarantine"
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
 def silver_runs(spark: SparkSession, spec, batches: list[tuple[DataFrame, object]], name: str,
                 root: str | None = None) -> SilverHistory:
     """Apply a Silver spec to successive batches; each run writes only the rows it inserts or updates.
 
     Version = run number - 1. The result holds the table as of each run (earlier versions stay readable, which
-    the history reports use) and each run's change rows for Gold. With ``root`` the table lives there: runs that
-    it has already committed are not repeated.
+    the history reports use) and each run's change rows for Gold. Records whose key has a NULL part are written to the
+    table's quarantine, one partition per run: what a run takes in, supersedes and sets aside is its whole batch. With
+    ``root`` the table lives there: what it has already committed, of either, is not repeated.
     """
     table = new_table(spark, name, spec.keys, root)
-    for version, (raw, run_ts) in enumerate(batches):
+
+    def merge(version, raw, run_ts):
         last = table.last_commit()
         if last is None or version > last:
-            table.merge(spec.prepare(raw, run_ts), lambda target, src, ts=run_ts: spec.merge_prepared(target, src, ts),
+            table.merge(spec.prepare(raw, run_ts), lambda target, src: spec.merge_prepared(target, src, run_ts),
                         changed=spec.changed_by(run_ts), version=version)
-    return SilverHistory([table.read(v) for v in range(len(batches))], table, spec, batches)
+
+    def set_aside(version, raw, run_ts):
+        path = f"{quarantine_path(table)}/run={version}"
+        if not _complete(spark, path):
+            spec.quarantine(raw, run_ts).write.mode("overwrite").parquet(path)
+
+    with ThreadPoolExecutor(max_workers=2) as pool:      # a run's two outputs do not depend on each other
+        for version, (raw, run_ts) in enumerate(batches):
+            beside = pool.submit(set_aside, version, raw, run_ts)
+            merge(version, raw, run_ts)
+            beside.result()
+    rejected = StructType([*spec.quarantine(*batches[0]).schema.fields, StructField("run", IntegerType())])
+    return SilverHistory([table.read(v) for v in range(len(batches))], table, rejected)
 
 
 def scd2_runs(spark: SparkSession, spec, sources: list[tuple[DataFrame, object]], name: str,
-              root: str | None = None) -> list[DataFrame]:
+              root: str | None = None) -> DimHistory:
     """SCD-2 runs on a dimension stored as its changes: a run writes the versions it closes and opens.
 
     Fed with change rows (T7), a run reads the current rows of their keys only. The largest surrogate key is
@@ -85,13 +120,11 @@ def scd2_runs(spark: SparkSession, spec, sources: list[tuple[DataFrame, object]]
         last = table.last_commit()
         if last is not None and version <= last:
             continue
-        dim = table.read()
-        current = None
-        if dim is not None:
-            current = dim.filter(F.col(spec.current_col)).join(source.select(*spec.keys), list(spec.keys), "left_semi")
+        held = table.read_for(source, list(spec.keys))
+        current = None if held is None else held.filter(F.col(spec.current_col))
         rows, base = scd2_changes(current, source, spec, run_ts, table.meta().get("sk_base", 0))
         table.commit(rows, version, meta={"sk_base": base})
-    return [table.read(v) for v in range(len(sources))]
+    return DimHistory([table.read(v) for v in range(len(sources))], table, spec.current_col)
 
 
 def memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):

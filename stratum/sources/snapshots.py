@@ -127,18 +127,29 @@ class ChangeTable:
         """The table as of the last commit, or as of version ``as_of``; None before the first commit."""
         return self._assemble(self.manifest(as_of))
 
-    def _assemble(self, m: dict | None) -> DataFrame | None:
+    def read_for(self, rows: DataFrame, on: list[str] | None = None) -> DataFrame | None:
+        """The table's rows that match ``rows`` on ``on`` (default: the keys; else columns that a key's row never changes).
+        Each stored part is cut down to them before parts meet, so nothing else is shuffled or sorted."""
+        return self._assemble(self.manifest(), rows.select(*(on or self.keys)), on)
+
+    def _assemble(self, m: dict | None, only: DataFrame | None = None, on: list[str] | None = None) -> DataFrame | None:
         if m is None:
             return None
         parts = [(-1, f"{self.root}/base={m['base']}")] if m["base"] is not None else []
         parts += [(v, f"{self.root}/v={v}") for v in m["changes"]]
         schema = StructType.fromJson(m["schema"])      # known: no job to read it from the files
         frames = [self.spark.read.schema(schema).parquet(path).withColumn("__v", F.lit(v)) for v, path in parts]
-        if len(frames) == 1:
-            return frames[0].drop("__v")
-        latest = Window.partitionBy(*self.keys).orderBy(F.col("__v").desc())
-        rows = reduce(DataFrame.unionByName, frames).withColumn("__n", F.row_number().over(latest))
-        return rows.filter("__n = 1").drop("__v", "__n")
+        if only is not None:
+            frames = [f.join(only, list(on or self.keys), "left_semi") for f in frames]
+        oldest, newer = frames[0], frames[1:]
+        if not newer:
+            return oldest.drop("__v")
+        rows = reduce(DataFrame.unionByName, newer)
+        if len(newer) > 1:
+            latest = Window.partitionBy(*self.keys).orderBy(F.col("__v").desc())
+            rows = rows.withColumn("__n", F.row_number().over(latest)).filter("__n = 1").drop("__n")
+        # the oldest part is most of the table: it is neither sorted nor, beside a few changes, shuffled
+        return oldest.join(rows.select(*self.keys), self.keys, "left_anti").unionByName(rows).drop("__v")
 
     def changes(self, version: int) -> DataFrame | None:
         """The rows that commit ``version`` inserted or replaced."""
@@ -170,14 +181,12 @@ class ChangeTable:
         last = self.last_commit()
         if version is not None and last is not None and version <= last:
             return version
-        target = self.read()
-        if target is None:
+        if last is None:
             return self.commit(merge_fn(None, source), version)
         # the batch is read twice (its keys, then its rows): computed once
         source = source.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            held = target.join(source.select(*self.keys), self.keys, "left_semi")
-            return self.commit(merge_fn(held, source).filter(F.coalesce(changed, F.lit(False))), version)
+            return self.commit(merge_fn(self.read_for(source), source).filter(F.coalesce(changed, F.lit(False))), version)
         finally:
             source.unpersist()
 
