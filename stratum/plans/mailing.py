@@ -10,7 +10,7 @@ from stratum.operators.dedup import dedup_latest
 from stratum.operators.merge import fact_merge
 from stratum.operators.flatten import list_membership
 from stratum.plans import feeds, specs
-from stratum.plans.state import SilverHistory, memo, new_table, scd2_runs, silver_runs
+from stratum.plans.state import DimHistory, SilverHistory, memo, new_table, scd2_runs, silver_runs
 
 # Fixed run times of the three pipeline runs (one shared run_ts per run).
 RUN_TS = {1: "2024-03-01 00:00:00", 2: "2024-03-02 00:00:00", 3: "2024-03-03 00:00:00"}
@@ -101,20 +101,37 @@ def dim_plan_source(events: DataFrame) -> DataFrame:
     return dedup_latest(src, ["plan_id_key"], ["payment_gateway"])
 
 
-def _event_dims(spark: SparkSession, sf_dir: str, name: str, source, spec) -> list[DataFrame]:
+def dim_event_sources(silver: SilverHistory, source, of: list[str]) -> list:
+    """Per run the source rows of an event dimension, each with its run time. After the first run: of those dimension keys
+    (columns ``of``) only that a row written by the run has or had, since the others' events are what they were."""
+    out = [(source(silver[0]), run_ts(1))]
+    for k in range(1, len(silver)):
+        changed = silver.changed_rows(k)
+        had = silver[k - 1].join(changed.select("event_uuid"), "event_uuid", "left_semi")
+        keys = changed.select(*of).unionByName(had.select(*of)).distinct()
+        alike = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in of]
+        rows = silver[k].join(keys.select(*[F.col(c).alias(f"__{c}") for c in of]), alike, "left_semi")
+        out.append((source(rows), run_ts(k + 1)))
+    return out
+
+
+def _event_dims(spark: SparkSession, sf_dir: str, name: str, source, spec, of: list[str]) -> DimHistory:
     def build():
-        silver = event_runs(spark, sf_dir)
-        return scd2_runs(spark, spec, [(source(silver[k]), run_ts(k + 1)) for k in range(len(silver))], name)
+        return scd2_runs(spark, spec, dim_event_sources(event_runs(spark, sf_dir), source, of), name)
     return memo(spark, sf_dir, name, build)
 
 
-def policy_dims(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """DIM_POLICY after each run, from the whole Silver table: a policy's latest event may be an old one."""
-    return _event_dims(spark, sf_dir, "dim_policy", dim_policy_source, specs.DIM_POLICY)
+# the plan alone: a NULL and an empty gateway of one plan share a key
+POLICY_OF, PLAN_OF = ["policy_code", "policy_number"], ["plan_id"]
+
+
+def policy_dims(spark: SparkSession, sf_dir: str) -> DimHistory:
+    """DIM_POLICY after each run: the latest event of every policy that a changed event belongs to."""
+    return _event_dims(spark, sf_dir, "dim_policy", dim_policy_source, specs.DIM_POLICY, POLICY_OF)
 
 
-def plan_dims(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    return _event_dims(spark, sf_dir, "dim_plan", dim_plan_source, specs.DIM_PLAN)
+def plan_dims(spark: SparkSession, sf_dir: str) -> DimHistory:
+    return _event_dims(spark, sf_dir, "dim_plan", dim_plan_source, specs.DIM_PLAN, PLAN_OF)
 
 
 def policy_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,18 +165,39 @@ def fact_event_source(events: DataFrame, dim_contact: DataFrame, dim_policy: Dat
                            for c in FACT_EVENT_COLS])
 
 
+def event_fact_history(spark: SparkSession, silver: SilverHistory, contacts: DimHistory, policies: DimHistory,
+                       plans: DimHistory, runs: int, root: str | None = None) -> list[DataFrame]:
+    """FACT_EVENT after each of ``runs`` runs; each takes in the rows its Silver run inserted or updated, linked to the
+    dimension versions of that run, and writes only those. With ``root``, committed runs are not repeated."""
+    table = new_table(spark, "fact_event", ["event_uuid"], root)
+    for k in range(runs):
+        last = table.last_commit()
+        if last is not None and k <= last:
+            continue
+        src, ts = fact_event_source(silver.changed_rows(k), contacts[k], policies[k], plans[k]), run_ts(k + 1)
+        empty = (src.limit(0).withColumn("gold_loaded_at", F.lit(None).cast("timestamp_ntz"))
+                 .withColumn("gold_updated_at", F.lit(None).cast("timestamp_ntz")))
+        table.merge(src, lambda fact, new, ts=ts, empty=empty: fact_merge(
+            empty if fact is None else fact, new, ["event_uuid"], run_ts=ts), changed=F.lit(True), version=k)
+    return [table.read(k) for k in range(runs)]
+
+
 def fact_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FACT_EVENT after two runs; each takes in the rows its Silver run inserted or updated, linked to the dimension
-    versions of that run, and writes only those."""
+    """FACT_EVENT after two runs, each on the contact, policy and plan versions of its own run."""
     def build():
-        silver, policies, plans = event_runs(spark, sf_dir), policy_dims(spark, sf_dir), plan_dims(spark, sf_dir)
-        contacts = contact_dims(spark, sf_dir)[-1]
-        table = new_table(spark, "fact_event", ["event_uuid"])
-        for k in range(len(silver)):
-            src, ts = fact_event_source(silver.changed_rows(k), contacts, policies[k], plans[k]), run_ts(k + 1)
-            empty = (src.limit(0).withColumn("gold_loaded_at", F.lit(None).cast("timestamp_ntz"))
-                     .withColumn("gold_updated_at", F.lit(None).cast("timestamp_ntz")))
-            table.merge(src, lambda fact, new, ts=ts, empty=empty: fact_merge(
-                empty if fact is None else fact, new, ["event_uuid"], run_ts=ts), changed=F.lit(True))
-        return table.read()
+        silver = event_runs(spark, sf_dir)
+        return event_fact_history(spark, silver, contact_dims(spark, sf_dir), policy_dims(spark, sf_dir),
+                                  plan_dims(spark, sf_dir), len(silver))[-1]
     return memo(spark, sf_dir, "fact_event", build)
+
+
+# Silver tables without a Gold table: spec and feed.
+MORE_SILVER = {
+    "slv_contact_list": (specs.SLV_CONTACT_LIST, feeds.contact_list_feed),
+    "slv_smtp_email": (specs.SLV_SMTP_EMAIL, feeds.smtp_email_feed),
+    "slv_smtp_event": (specs.SLV_SMTP_EVENT, feeds.smtp_event_feed),
+    "slv_custom_audience": (specs.SLV_CUSTOM_AUDIENCE, feeds.custom_audience_feed),
+    "slv_insight_account": (specs.SLV_INSIGHT_ACCOUNT, lambda spark, sf: feeds.insight_level_feed(spark, sf, "ad_account_id")),
+    "slv_insight_campaign": (specs.SLV_INSIGHT_CAMPAIGN, lambda spark, sf: feeds.insight_level_feed(spark, sf, "campaign_id")),
+    "slv_insight_adset": (specs.SLV_INSIGHT_ADSET, lambda spark, sf: feeds.insight_level_feed(spark, sf, "adset_id")),
+}

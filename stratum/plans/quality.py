@@ -34,6 +34,15 @@ def stack(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def digest(df: DataFrame, name: str) -> DataFrame:
+    """One row per table: its rows and an order-free digest of all its columns (the sum of 48 bits of each row's MD5 over its
+    values as text, in column-name order). Equal tables have equal digests whatever wrote them, in whatever order."""
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(df.columns)]
+    bits = F.conv(F.substring(F.md5(F.concat_ws("|", *text)), 1, 12), 16, 10).cast("decimal(38,0)")
+    return df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+                  F.coalesce(F.sum(bits), F.lit(0)).cast("decimal(38,0)").alias("digest"))
+
+
 def row_counts(tables: dict[str, DataFrame], layer: str | None = None) -> DataFrame:
     """A1/Q3: one (layer, table_name, row_count) row per table, stacked."""
     parts = []

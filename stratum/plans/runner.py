@@ -1,16 +1,21 @@
-"""End-to-end run (T8's order as plain driver code): Silver first, then dimensions, then facts.
+"""End-to-end runs (T8's order as plain driver code): load, Silver, dimensions, facts.
 
-Independent branches are submitted as concurrent Spark jobs; each step is a DataFrame job on the
-cluster. Returns every table by name (snapshots as of the last run).
+Independent branches are submitted as concurrent Spark jobs; each step is a DataFrame job on the cluster. ``run_all`` builds
+every table from scratch for one session, ``pipeline_run`` keeps them at given locations and goes on where it stopped.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.plans import ads, catalog, mailing
+from stratum.operators.flatten import list_membership
+from stratum.plans import ads, catalog, feeds, mailing, specs
+from stratum.plans.state import DimHistory, SilverHistory, scd2_runs, silver_runs
+from stratum.sources.snapshots import SnapshotTable
 
 
 def run_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -44,28 +49,95 @@ def run_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return tables
 
 
-def pipeline_run(spark: SparkSession, sf_dir: str, root: str, batches: int | None = None) -> dict[str, DataFrame]:
-    """One scheduled run of the contact and ads chains over tables kept under ``root`` (shared storage).
-
-    ``batches`` bounds how many batches of each source have arrived (default: all). Every table knows from its own
-    manifest what it has committed, and the key base of each dimension is part of its manifest, so a later call, also in
-    another process, does only what is new: Silver of a source first, then its dimension from Silver's change rows."""
-    from stratum.plans import feeds, specs
-    from stratum.plans.state import scd2_runs, silver_runs
-    root = root.rstrip("/")
-
-    def chain(silver_name, silver_spec, raw, dim_name, dim_spec, source):
-        silver = silver_runs(spark, silver_spec, raw[:batches], silver_name, root=f"{root}/{silver_name}")
-        fed = [(source(silver.changed_rows(k)), ts) for k, (_, ts) in enumerate(raw[:batches])]
-        dim = scd2_runs(spark, dim_spec, fed, dim_name, root=f"{root}/{dim_name}")
-        return {silver_name: silver[-1], dim_name: dim[-1]}
-
-    feed = feeds.contact_feed(spark, sf_dir)
-    contacts = [(feed.filter(feed["batch_no"] == b), mailing.run_ts(k))
-                for k, b in enumerate(mailing.CONTACT_BATCH_ORDER, start=1)]
-    jobs = [("slv_contact", specs.SLV_CONTACT, contacts, "dim_contact", specs.DIM_CONTACT, mailing.dim_contact_source)]
-    for name, (silver_spec, gold_spec, entity_feed) in ads.ENTITIES.items():
-        raw = [(entity_feed(spark, sf_dir, run), ads.run_ts(run)) for run in (1, 2)]
-        jobs.append((f"slv_{name}", silver_spec, raw, f"dim_{name}", gold_spec, ads.dim_source))
-    with ThreadPoolExecutor(max_workers=4) as pool:      # the sources do not depend on each other
-        return {k: t for done in pool.map(lambda j: chain(*j), jobs) for k, t in done.items()}
+@dataclass(frozen=True)
+class Source:
+    """A Silver table of the scheduled run: its spec and the raw records of each of its runs, with the run's time."""
+    spec: object
+    batches: list
+
+
+def sources(spark: SparkSession, sf_dir: str) -> dict[str, Source]:
+    """All Silver tables by name. Contacts arrive in three runs, everything else in two."""
+    contact = feeds.contact_feed(spark, sf_dir)
+    out = {"slv_contact": Source(specs.SLV_CONTACT, [(contact.filter(contact["batch_no"] == b), mailing.run_ts(k))
+                                                     for k, b in enumerate(mailing.CONTACT_BATCH_ORDER, start=1)])}
+    delivered = {"slv_event": (specs.SLV_EVENT, feeds.policy_event_feed), "slv_agg_report": (specs.SLV_AGG_REPORT, feeds.daily_report_feed),
+                 "slv_insight_ad": (specs.SLV_INSIGHT_AD, feeds.insight_feed), **mailing.MORE_SILVER}
+    for name, (spec, feed) in delivered.items():
+        raw = feed(spark, sf_dir)
+        out[name] = Source(spec, [(feeds.delivered(raw, spec.name, run), mailing.run_ts(run)) for run in (1, 2)])
+    for name, (spec, _, feed) in ads.ENTITIES.items():
+        out[f"slv_{name}"] = Source(spec, [(feed(spark, sf_dir, run), ads.run_ts(run)) for run in (1, 2)])
+    return out
+
+
+RUNS = 3
+
+
+class Stopped(RuntimeError):
+    """Raised by ``pipeline_run`` before a step its ``before`` hook refuses (tests of resumption)."""
+
+
+def pipeline_run(spark: SparkSession, sf_dir: str, root: str, runs: int = RUNS,
+                 before: Callable[[str], None] | None = None) -> dict[str, DataFrame]:
+    """The scheduled runs 1 to ``runs`` of the whole graph over tables kept under ``root`` (shared storage): per run the load
+    of every source into Bronze, the 15 Silver tables, the 7 dimensions from Silver's change rows, and both facts.
+
+    Every step is a table's commit of one run and is skipped where that commit exists, so a call after a crash, also in
+    another process, does what is left, and a call without new batches does nothing. Steps of one level run as
+    concurrent Spark jobs. ``before`` is called with each step's name before it starts."""
+    root, start = root.rstrip("/"), before or (lambda step: None)
+    raw = sources(spark, sf_dir)
+    silver: dict[str, SilverHistory] = {}
+    dims: dict[str, DimHistory] = {}
+    facts: dict[str, list[DataFrame]] = {}
+
+    def load(name: str, upto: int) -> list:
+        """Bronze: each run's records under the run's own name; a loaded run is not read from its source again."""
+        table = SnapshotTable(spark, f"{root}/bronze/{name}")
+        out = []
+        for k, (records, ts) in enumerate(raw[name].batches[:upto]):
+            start(f"load {name} {k}")
+            table.append(records, str(k))
+            out.append((spark.read.schema(records.schema).parquet(f"{table.root}/batch={k}"), ts))
+        return out
+
+    def merge(name: str, upto: int) -> None:
+        batches = load(name, upto)
+        start(f"{name} {upto}")
+        silver[name] = silver_runs(spark, raw[name].spec, batches, name, root=f"{root}/{name}")
+
+    def dimension(name: str, spec, fed, upto: int) -> None:
+        start(f"{name} {upto}")
+        dims[name] = scd2_runs(spark, spec, fed(), name, root=f"{root}/{name}")
+
+    def changes(name: str, source):
+        return lambda: [(source(silver[name].changed_rows(k)), ts) for k, (_, ts) in enumerate(raw[name].batches[:len(silver[name])])]
+
+    def event_changes(source, of):
+        return lambda: mailing.dim_event_sources(silver["slv_event"], source, of)
+
+    def facts_of(kind: str, upto: int) -> None:
+        start(f"{kind} {upto}")
+        if kind == "fact_event":
+            facts[kind] = mailing.event_fact_history(spark, silver["slv_event"], dims["dim_contact"], dims["dim_policy"],
+                                                     dims["dim_plan"], len(silver["slv_event"]), root=f"{root}/{kind}")
+        else:
+            facts[kind] = ads.fact_history(spark, silver["slv_insight_ad"], {e: dims[f"dim_{e}"] for e in ads.ENTITIES},
+                                           len(silver["slv_insight_ad"]), root=f"{root}/{kind}")
+
+    with ThreadPoolExecutor(max_workers=6) as pool:
+        def level(jobs) -> None:
+            for done in [pool.submit(*j) for j in jobs]:
+                done.result()
+
+        for upto in range(1, runs + 1):
+            level([(merge, name, min(upto, len(s.batches))) for name, s in raw.items()])
+            level([(dimension, "dim_contact", specs.DIM_CONTACT, changes("slv_contact", mailing.dim_contact_source), upto),
+                   (dimension, "dim_policy", specs.DIM_POLICY, event_changes(mailing.dim_policy_source, mailing.POLICY_OF), upto),
+                   (dimension, "dim_plan", specs.DIM_PLAN, event_changes(mailing.dim_plan_source, mailing.PLAN_OF), upto),
+                   *[(dimension, f"dim_{e}", gold, changes(f"slv_{e}", ads.dim_source), upto)
+                     for e, (_, gold, _) in ads.ENTITIES.items()]])
+            level([(facts_of, "fact_event", upto), (facts_of, "fact_ad_insight", upto)])
+    return {**{k: v[-1] for k, v in silver.items()}, **{k: v[-1] for k, v in dims.items()}, **{k: v[-1] for k, v in facts.items()},
+            "slv_contact_list_membership": list_membership(silver["slv_contact"][-1]), "dim_date": ads.dim_date(spark, sf_dir)}
