@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from stratum.operators.skew import heavy_keys, key_hash
 
 from stratum.functions.numeric import count_true
 
@@ -73,6 +75,37 @@ def as_of_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], ts_col: st
     return out.drop(*[f"__dim_{k}" for k in keys])
 
 
+def as_of_sweep(facts: DataFrame, dim: DataFrame, keys: Sequence[str], ts_col: str, start_col: str = "effective_start_date",
+                end_col: str = "effective_end_date", heavy: list[int] | None = None) -> DataFrame:
+    """J11 as a sweep, the left :func:`as_of_join` for versions that do not overlap: facts and versions are put in one time
+    line per key and the last version is carried forward. One shuffle and one sort, whatever the number of versions.
+
+    The rows of a hot key (found by a sketch) are dealt out by month as well; its versions are copied to each month of the
+    facts that they reach into, which at most ``skew.MOST_HEAVY`` keys do."""
+    keys, values = list(keys), [c for c in dim.columns if c not in keys]
+    heavy = heavy_keys(facts, keys) if heavy is None else heavy
+    month = lambda c: F.year(c) * 12 + F.month(c)
+    hot = key_hash(keys).isin(heavy) if heavy else F.lit(False)
+    own, months = F.lit(0), F.array(F.lit(0))
+    if heavy:
+        first, last = facts.filter(hot).agg(F.min(month(ts_col)), F.max(month(ts_col))).first()
+        lo, hi = F.greatest(month(start_col), F.lit(first)), F.least(month(end_col), F.lit(last))
+        own = F.when(hot, F.coalesce(month(ts_col), F.lit(0))).otherwise(F.lit(0))
+        months = F.when(hot, F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))).otherwise(months)
+    line = (dim.select(*keys, F.explode(months).alias("__part"), F.col(start_col).alias("__at"), F.lit(0).alias("__kind"),
+                       F.struct(*values).alias("__version"), F.lit(None).cast(facts.schema).alias("__fact"))
+            .unionByName(facts.select(*keys, own.alias("__part"), F.col(ts_col).alias("__at"), F.lit(1).alias("__kind"),
+                                      F.lit(None).cast(dim.select(*values).schema).alias("__version"),
+                                      F.struct(*facts.columns).alias("__fact"))))
+    # a version is in force from the instant it starts at, so it comes before the facts of that instant
+    so_far = Window.partitionBy(*keys, "__part").orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, 0)
+    carried = line.withColumn("__version", F.last("__version", ignorenulls=True).over(so_far)).filter("__kind = 1")
+    known = F.when(carried["__version"][end_col] > carried["__at"], carried["__version"])
+    for k in keys:
+        known = F.when(F.col(k).isNotNull(), known)
+    return carried.withColumn("__version", known).select("__fact.*", *[F.col("__version")[c].alias(c) for c in values])
+
+
 def versions_opened_since(dim: DataFrame, keys: Sequence[str], since: Column,
                           start_col: str = "effective_start_date") -> DataFrame:
     """Keys with more than one version opened at or after ``since``."""

@@ -115,3 +115,15 @@ def scd2_changes(current: DataFrame | None, source: DataFrame, spec: Scd2Spec, r
     opened = j.filter(~dp | changed).select(*[F.col(_S + c).alias(c) for c in attrs])
     opened, base = open_versions(opened)
     return closed.unionByName(opened), base
+
+
+def scd2_commit(table, source: DataFrame, spec: Scd2Spec, run_ts: Column, version: int) -> None:
+    """One SCD-2 run on a stored dimension, as its commit ``version``; a version that is committed is left alone. Only
+    the current rows of the source's keys are read; the largest surrogate key is part of the commit."""
+    last = table.last_commit()
+    if last is not None and version <= last:
+        return
+    held = table.read_for(source, list(spec.keys))
+    current = None if held is None else held.filter(F.col(spec.current_col))
+    rows, base = scd2_changes(current, source, spec, run_ts, table.meta().get("sk_base", 0))
+    table.commit(rows, version, meta={"sk_base": base})

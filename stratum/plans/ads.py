@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stratum import functions as X
 from stratum.functions.temporal import ts_literal
 from stratum.operators.calendar import date_dimension
+from stratum.operators.increments import merged_sums, signed_sums
 from stratum.operators.surrogate import assign_surrogate_keys_counted
 from stratum.plans import feeds, specs
+from stratum.sources.snapshots import SnapshotTable
 from stratum.plans.state import DimHistory, SilverHistory, memo, new_table, scd2_runs, silver_runs
 
 # Fixed run times of the two ads runs.
@@ -154,8 +156,25 @@ def touched_stamp(rows: DataFrame, last_ts) -> DataFrame:
                              .otherwise(F.col("gold_updated_at")), "in_source": F.lit(False)})
 
 
+AD_GRAIN, AD_SUMS = ["dim_campaign_sk", "ad_id"], ["impressions", "reach", "clicks", "spend"]
+
+
+class FactHistory(list):
+    """The fact after each run (a list) and what each run changed."""
+
+    def __init__(self, snapshots, table):
+        super().__init__(snapshots)
+        self.table = table
+
+    def partial_sums(self, run_index: int) -> DataFrame:
+        """What the run added to the sums of each ad under each campaign version, from the rows it wrote alone."""
+        new = self.table.changes(run_index)
+        old = self.table.read_for(new, as_of=run_index - 1) if run_index else None
+        return signed_sums(new, old, AD_GRAIN, AD_SUMS)
+
+
 def fact_history(spark: SparkSession, insights: SilverHistory, dims: dict[str, DimHistory], runs: int,
-                 root: str | None = None) -> list[DataFrame]:
+                 root: str | None = None) -> FactHistory:
     """FACT_AD_INSIGHT after each of ``runs`` runs. A run reads the fact once and writes only the rows it changes; with
     ``root`` the table lives there and runs it has committed are not repeated."""
     table = new_table(spark, "fact_ad_insight", list(FACT_KEYS), root)
@@ -167,10 +186,20 @@ def fact_history(spark: SparkSession, insights: SilverHistory, dims: dict[str, D
                                 {e: d.opened(k) for e, d in dims.items()}, run_ts(k + 1), run_ts(max(k, 1)),
                                 table.meta().get("sk_base", 0))
         table.commit(rows, k, meta={"sk_base": base})
-    return [touched(table.read(k), run_ts(k + 1)) for k in range(runs)]
+    return FactHistory([touched(table.read(k), run_ts(k + 1)) for k in range(runs)], table)
+
+
+def maintained_sums(spark: SparkSession, fact: FactHistory, root: str) -> DataFrame:
+    """The sums of each ad under each campaign version, kept under ``root`` as one partial per run: a run whose partial is
+    there is not read again."""
+    store = SnapshotTable(spark, root)
+    for k in range(len(fact)):
+        store.append(fact.partial_sums(k), str(k))
+    schema = fact.partial_sums(0).schema
+    return merged_sums(spark.read.schema(schema).parquet(f"{store.root}/batch=*"), AD_GRAIN, AD_SUMS)
 
 
-def fact_runs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+def fact_runs(spark: SparkSession, sf_dir: str) -> FactHistory:
     """FACT_AD_INSIGHT after each run."""
     def build():
         with ThreadPoolExecutor(max_workers=2) as pool:

@@ -24,7 +24,8 @@ def layer_lineage(bronze: DataFrame, silver: DataFrame, gold: DataFrame, n: int
 
 
 def campaign_performance(fact: DataFrame, dim_campaign: DataFrame, n: int = 20) -> DataFrame:
-    """Q17: per campaign version: ads, impressions, reach, clicks, spend and ratio-of-sums KPIs."""
+    """Q17: per campaign version: ads, impressions, reach, clicks, spend and ratio-of-sums KPIs. ``fact`` may be the fact or
+    its sums per campaign version and ad."""
     j = fact.join(dim_campaign, "dim_campaign_sk", "inner")
     agg = j.groupBy("campaign_name", "objective", "status").agg(
         F.count_distinct("ad_id").alias("total_ads"),

@@ -16,7 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from stratum.operators.scd2 import scd2_changes
+from stratum.operators.scd2 import scd2_commit
 from stratum.session import ensure_checkpoint_dir
 
 _MEMO: dict[tuple, object] = {}
@@ -117,13 +117,7 @@ def scd2_runs(spark: SparkSession, spec, sources: list[tuple[DataFrame, object]]
     """
     table = new_table(spark, name, [spec.sk_col], root)
     for version, (source, run_ts) in enumerate(sources):
-        last = table.last_commit()
-        if last is not None and version <= last:
-            continue
-        held = table.read_for(source, list(spec.keys))
-        current = None if held is None else held.filter(F.col(spec.current_col))
-        rows, base = scd2_changes(current, source, spec, run_ts, table.meta().get("sk_base", 0))
-        table.commit(rows, version, meta={"sk_base": base})
+        scd2_commit(table, source, spec, run_ts, version)
     return DimHistory([table.read(v) for v in range(len(sources))], table, spec.current_col)
 
 

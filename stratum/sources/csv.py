@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Iterable
+from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
@@ -27,30 +28,58 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | No
     if schema is None:
         reader = spark.read.options(**CSV_OPTIONS)
         return (reader.option("inferSchema", "true") if infer else reader).csv(path)
-    frames = [load_by_name(spark.read.options(**CSV_OPTIONS).schema(_string_schema(names, corrupt=False)).csv(files), schema)
-              for names, files in header_groups(spark, path)]
+    frames = [load_by_name(extract.read(spark.read.options(**CSV_OPTIONS).schema(_string_schema(extract.names, corrupt=False))),
+                           schema) for extract in header_groups(spark, path)]
     return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], schema)
 
 
-def header_groups(spark: SparkSession, path: str | list[str]) -> list[tuple[list[str], list[str]]]:
-    """(column names, files) of each distinct header line among the files at ``path``; empty files are left out.
+@dataclass(frozen=True)
+class Extract:
+    """The files of one load that share a header: where they lie, and which of them where others lie there too."""
+    names: list[str]
+    path: str | list[str]
+    only: DataFrame | None = None      # (header_file)
 
-    The header is the first line of a file. Only file names and header lines reach the driver, for the files of one
-    load (a stream bounds them by ``maxFilesPerTrigger``)."""
-    lines = (spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+    def read(self, reader) -> DataFrame:
+        """The files' rows, with ``FILE`` where it has to be known."""
+        rows = reader.csv(self.path)
+        if self.only is None:
+            return rows
+        return rows.withColumn(FILE, F.col("_metadata.file_path")).join(self.only, F.col(FILE) == F.col("header_file"), "left_semi").drop(FILE)
+
+
+FILE = "__file"
+
+
+def header_groups(spark: SparkSession, path: str | list[str]) -> list[Extract]:
+    """The files at ``path`` by their header, that is by their first line; empty files are left out.
+
+    Only the distinct header lines reach the driver. Where there are several, the files of each are told apart on the
+    executors; the names that the caller lists in ``path`` (a stream's micro-batch) are sorted out here instead."""
+    lines = (spark.read.text(path).select("value", F.col("_metadata.file_path").alias("header_file"),
                                           F.col("_metadata.file_block_start").alias("at"),
                                           F.monotonically_increasing_id().alias("n"))
-             .filter("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("header")))
-    groups: dict[str, list[str]] = {}
-    for r in lines.collect():
-        groups.setdefault(r["header"].lstrip("\ufeff").rstrip("\r"), []).append(unquote(r["file"]))
+             .filter("at = 0").groupBy("header_file").agg(F.min_by("value", "n").alias("header"))
+             .withColumn("header", F.regexp_replace("header", "^\ufeff|\r$", "")))
+    listed: dict[str, list[str]] = {}
+    if isinstance(path, list):
+        for r in lines.collect():              # at most as many rows as the caller has named files or folders of one load
+            listed.setdefault(r["header"], []).append(unquote(r["header_file"]))
+        headers = sorted(listed)
+    else:
+        headers = sorted(r["header"] for r in lines.select("header").distinct().collect())      # one row per layout
     out = []
-    for header, files in sorted(groups.items()):
+    for header in headers:
         names = next(csv.reader([header]), [])
         seen = [normalize_name(n) or f"column_{k}" for k, n in enumerate(names)]
-        out.append(([n if n.strip() and seen.count(normalize_name(n)) == 1 else f"{n.strip() or 'column'} {k}"
-                     for k, n in enumerate(names)], sorted(files)))
-    return [g for g in out if g[0]]
+        names = [n if n.strip() and seen.count(normalize_name(n)) == 1 else f"{n.strip() or 'column'} {k}"
+                 for k, n in enumerate(names)]
+        if names and isinstance(path, list):
+            out.append(Extract(names, sorted(listed[header])))
+        elif names:
+            own = None if len(headers) == 1 else lines.filter(F.col("header") == header).select("header_file")
+            out.append(Extract(names, path, own))
+    return out
 
 
 def infer_schema(spark: SparkSession, path: str | list[str]) -> StructType:
@@ -126,9 +155,10 @@ def load_files(spark: SparkSession, path: str | list[str], target: StructType, k
     lineage = [StructField(source_file_col, StringType())] if source_file_col else []
     good = [spark.createDataFrame([], StructType([*target.fields, *lineage]))]
     bad = [spark.createDataFrame([], "source_file string, reason string, record string")]
-    for names, files in header_groups(spark, path):
+    for extract in header_groups(spark, path):
+        names = extract.names
         raw = (spark.read.options(**CSV_OPTIONS).option("columnNameOfCorruptRecord", CORRUPT)
-               .schema(_string_schema(names)).csv(files))
+               .schema(_string_schema(names)).csv(extract.path))
         by_norm = {normalize_name(c): c for c in names}
         reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("fields"))
         for f in target.fields:
@@ -141,8 +171,10 @@ def load_files(spark: SparkSession, path: str | list[str], target: StructType, k
             reason = reason.when(F.col(f"`{src}`").isNull() if src else F.lit(True), F.lit(f"no {k}"))
         record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in names], F.col(CORRUPT)))
         # the record is part of every row, so the reader parses all columns and counts the fields of each row
-        read = raw.select("*", record.alias("__record"), F.col("_metadata.file_path").alias("__file"),
+        read = raw.select("*", record.alias("__record"), F.col("_metadata.file_path").alias(FILE),
                           reason.alias("__reason")).filter(F.length("__record") >= 0)
+        if extract.only is not None:
+            read = read.join(extract.only, F.col(FILE) == F.col("header_file"), "left_semi")
         fit = read.filter("__reason IS NULL").withColumnRenamed("__file", source_file_col or "__file")
         good.append(load_by_name(fit.select(*[f"`{c}`" for c in names], *[f.name for f in lineage]),
                                  StructType([*target.fields, *lineage])))

@@ -127,10 +127,10 @@ class ChangeTable:
         """The table as of the last commit, or as of version ``as_of``; None before the first commit."""
         return self._assemble(self.manifest(as_of))
 
-    def read_for(self, rows: DataFrame, on: list[str] | None = None) -> DataFrame | None:
+    def read_for(self, rows: DataFrame, on: list[str] | None = None, as_of: int | None = None) -> DataFrame | None:
         """The table's rows that match ``rows`` on ``on`` (default: the keys; else columns that a key's row never changes).
         Each stored part is cut down to them before parts meet, so nothing else is shuffled or sorted."""
-        return self._assemble(self.manifest(), rows.select(*(on or self.keys)), on)
+        return self._assemble(self.manifest(as_of), rows.select(*(on or self.keys)), on)
 
     def _assemble(self, m: dict | None, only: DataFrame | None = None, on: list[str] | None = None) -> DataFrame | None:
         if m is None:

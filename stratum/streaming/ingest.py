@@ -9,7 +9,7 @@
   table. The version number is the micro-batch id, so a batch replayed after a failure finds its
   version already committed and does nothing (idempotent, exactly-once effect).
 * T6 ``has_new_files``: the gate; ``availableNow`` itself runs zero batches when nothing is new.
-* T7 ``silver_changes``: the Silver table as a change stream for Gold (snapshot diff, T4).
+* T7 ``stream_changes``: the change folders of a Silver table as a stream into an SCD-2 dimension.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from stratum.operators.change_feed import change_feed
+from stratum.operators.scd2 import scd2_commit
 from stratum.sources.csv import load_files
 from stratum.sources.snapshots import SnapshotTable
 
@@ -103,6 +103,35 @@ class TableMergeSink:
                          changed=self.spec.changed_by(ts), version=batch_id)
 
 
+class DimensionSink:
+    """``foreachBatch`` target of :func:`stream_changes`: each Silver run in a micro-batch is one SCD-2 run on the stored
+    dimension, joined with the stored current versions of its keys. A Silver run that is committed, in a replayed
+    micro-batch or another one, is left alone."""
+
+    def __init__(self, table, spec, source: Callable[[DataFrame], DataFrame], run_ts_for: Callable[[int], Column]):
+        self.table, self.spec, self.source, self.run_ts_for = table, spec, source, run_ts_for
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        runs = sorted(r[RUN] for r in batch.select(RUN).distinct().collect())     # one number per waiting Silver run
+        for run in runs:
+            rows = batch.filter(F.col(RUN) == run).drop(RUN)
+            scd2_commit(self.table, self.source(rows), self.spec, self.run_ts_for(run), run)
+
+
+RUN = "__run"
+
+
+def stream_changes(spark: SparkSession, silver_root: str, schema: StructType, sink: Callable[[DataFrame, int], None],
+                   checkpoint: str) -> StreamingQuery:
+    """One ``availableNow`` run of a Silver table's change folders (one per Silver run) into ``sink``. The checkpoint is
+    the position, so each change row is read once; it has to start after the Silver run has committed, as a scheduled
+    graph does."""
+    stream = (spark.readStream.schema(schema).parquet(f"{silver_root.rstrip('/')}/v=*")
+              .withColumn(RUN, F.regexp_extract(F.col("_metadata.file_path"), "/v=([0-9]+)/", 1).cast("int")))
+    return (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def stream_merge(spark: SparkSession, bronze_dir: str, schema: StructType, sink: MergeSink,
                  checkpoint: str) -> StreamingQuery:
     """One ``availableNow`` run of Bronze -> Silver."""
@@ -122,13 +151,13 @@ def pending_files(spark: SparkSession, landing_glob: str, checkpoint: str) -> Da
     return files.join(spark.read.parquet(log).select("file"), "file", "left_anti")
 
 
+def pending_rows(spark: SparkSession, landing_glob: str, checkpoint: str, schema: StructType) -> DataFrame:
+    """The rows of all files that still wait on the stage, however many; which files they are stays on the executors."""
+    rows = load_files(spark, landing_glob, schema, source_file_col="__landed")[0]
+    files = pending_files(spark, landing_glob, checkpoint)
+    return rows.join(files, rows["__landed"] == files["file"], "left_semi").drop("__landed")
+
+
 def has_new_files(spark: SparkSession, landing_glob: str, checkpoint: str) -> bool:
     """T6 gate: is anything on the stage that the ingest has not loaded yet?"""
     return not pending_files(spark, landing_glob, checkpoint).isEmpty()
-
-
-def silver_changes(previous: DataFrame | None, current: DataFrame, keys: list[str]) -> DataFrame:
-    """Silver as a change stream for Gold (``SHOW_INITIAL_ROWS``: everything is an insert first)."""
-    if previous is None:
-        return current.withColumns({"metadata_action": F.lit("INSERT"), "metadata_is_update": F.lit(False)})
-    return change_feed(previous, current, keys)
