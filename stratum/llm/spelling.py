@@ -47,8 +47,9 @@ MIN_GRAM, MAX_GRAM = 2, 5
 FREQUENT = 64             # places that a gram may stand at before it is extended
 LIST = 1024               # words of one list that are compared in one unit
 LONG = 64
-COUNTER = 1 << 18         # words that a task counts before it hands them on
+COUNTER = 1 << 19         # words that a task counts before it hands them on
 CELLS = 1 << 23           # characters compared at a time
+FEW = 12                  # words that are compared one by one: numpy's fixed cost is larger
 
 
 # --- words ------------------------------------------------------------------------------------------
@@ -212,8 +213,26 @@ def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return differs.argmax(axis=2)
 
 
+def one_edit(a: str, b: str) -> bool:
+    """Whether two distinct words are one edit apart. The place where they part is found by halving."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1:
+        return False
+    lo, hi = 0, len(a)                      # a[:lo] == b[:lo]; they part at hi or before
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        if a[lo:mid] == b[lo:mid]:
+            lo = mid
+        else:
+            hi = mid - 1
+    return a[lo + (len(a) == len(b)):] == b[lo + 1:]
+
+
 def near_in(words: list[str]) -> list[tuple[int, int]]:
     """The pairs of places of distinct words one edit apart."""
+    if len(words) <= FEW:
+        return [(i, j) for j in range(len(words)) for i in range(j) if one_edit(words[i], words[j])]
     by_length: dict[int, list[int]] = {}
     for k, w in enumerate(words):
         by_length.setdefault(len(w), []).append(k)
@@ -254,8 +273,8 @@ def _verified(batches):
         words = list(counts)
         if len(words) > 1:
             for i, j in near_in(words):
-                a, b = words[i], words[j]
-                out += [(a, counts[a], b, counts[b]), (b, counts[b], a, counts[a])]
+                a, b = sorted((words[i], words[j]))
+                out.append((a, counts[a], b, counts[b]))
         if len(out) > 1 << 14:
             yield batch_of()
             out.clear()
@@ -278,8 +297,9 @@ def near_words(words: DataFrame, frequent: int = FREQUENT, list_size: int = LIST
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "word", "n"))
     units = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    pairs = map_arrow(units, _verified, "word string, n long, near string, near_n long")
-    return pairs.distinct()
+    pairs = map_arrow(units, _verified, "word string, n long, near string, near_n long").distinct()
+    there, back = F.struct("word", "n", "near", "near_n"), F.struct("near", "near_n", "word", "n")
+    return pairs.select(F.inline(F.array(there, back.cast(pairs.schema))))
 
 
 # --- forms ------------------------------------------------------------------------------------------
