@@ -210,6 +210,40 @@ def test_markov_spans_find_random_tokens_and_leave_words(spark):
     assert sum(bool(got[i]) for i, _ in plain) <= 1
 
 
+def test_random_values_behind_words_are_found_where_they_stand(spark):
+    rng = random.Random(6)
+    token = lambda n: "".join(rng.choice(secret_scan.ALPHABET[:62]) for _ in range(n))
+    plain = [(k, prose(k, 200) + " some-long-hyphenated-name-of-a-thing and-another-name-with-words") for k in range(60)]
+    behind = [(1000 + k, prose(k, 20) + " some-long-name-of-a-thing-" + token(28) + " end") for k in range(20)]
+    copies = [(2000 + k, "copied " + prose(9, 30) + " " + "x9Kd72LmQpZ0aB4vTnRw81Ye") for k in range(30)]   # copies count once
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == 3]
+           for r in secret_scan.scan(docs_of(spark, plain + behind + copies)).collect()}
+    assert sum(bool(got[i]) for i, _ in plain) <= 1
+    hit = 0
+    for i, t in behind:
+        at = t.index("thing-") + 6
+        hit += any(abs(s - at) <= 6 and abs(e - at - 28) <= 3 for s, e in got[i])
+    assert hit >= 17
+    assert all(got[i] for i, _ in copies)
+
+
+def test_many_spans_in_one_text_take_linear_time(spark):
+    import time
+    digest = lambda k: hashlib.sha256(str(k).encode()).hexdigest()
+    secret_scan.scan(docs_of(spark, [(1, digest(1))])).collect()
+    took = []
+    for n in (10_000, 40_000):
+        text = "é " + " ".join(digest(k) for k in range(n)) + " password: abcdefgh1"
+        rows = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        r = secret_scan.with_base(rows).collect()[0]
+        took.append(time.perf_counter() - start)
+        assert [(s["start"], s["end"], s["kind"]) for s in r["base"]][:-1] == [(2 + 65 * k, 66 + 65 * k, 2) for k in range(n)]
+        assert r["base"][-1]["kind"] == 0
+    whole = secret_scan.scan(rows).collect()[0]
+    assert len(whole["base"]) == 40_001 and took[1] < 8 * took[0] + 3 and took[1] < 40
+
+
 # --- 5 decontamination ------------------------------------------------------------------------------
 
 ITEM = ("if farmer John buys 12 apples and 7 kg of pears for 30 dollars in the market of Springfield how many apples does "
