@@ -37,7 +37,9 @@ def test_every_record_is_taken_in_superseded_or_quarantined(spark, tmp_path):
         for run, (raw, ts) in enumerate(broken):
             r = source.spec.clean(raw, ts).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.expr(whole)).alias("usable"),
                                                F.count_distinct(*source.spec.keys).alias("keys")).first()
-            assert rejected.get(run, 0) == r["n"] - r["usable"] > 0, name
+            assert rejected.get(run, 0) == r["n"] - r["usable"], name
+            # the key of an SMTP event is a hash that takes NULL parts as empty: it is never NULL
+            assert rejected.get(run, 0) > 0 or name == "slv_smtp_event", name
             assert source.spec.prepare(raw, ts).filter(whole).count() == r["keys"], name
 
 
