@@ -7,7 +7,8 @@ separates their labels; the published score is a logistic of the distance to the
 the cut is exactly ``CUT`` (0.3).
 
 Defined results: a null or empty text is scored like any other text (all its features are 0). A doc_id
-labelled both 0 and 1, and null labels or ids, are not learnt from. Without labels of both kinds the
+labelled both 0 and 1, and null labels or ids, are not learnt from. An id with several texts is learnt from by one of
+them. Without labels of both kinds the
 score is 0.5 (no labels), 1.0 (only 1s) or 0.0 (only 0s). Repeated rows are scored one by one. Labels,
 language, source and id are never features.
 """
@@ -93,6 +94,13 @@ def features(col: pa.Array) -> np.ndarray:
     return out
 
 
+def preferences(good: np.ndarray, bad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a better and a worse row: ``PAIRS_PER_ROW`` of each row with random ones of the other kind."""
+    rng = np.random.default_rng(7)
+    left = np.concatenate([np.repeat(good, PAIRS_PER_ROW), rng.choice(good, len(bad) * PAIRS_PER_ROW)])
+    return left, np.concatenate([rng.choice(bad, len(good) * PAIRS_PER_ROW), np.repeat(bad, PAIRS_PER_ROW)])
+
+
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 25) -> Model:
     """Weights from preference pairs, then the score quantile that best separates the labels."""
     mean, scale = (x.mean(axis=0), x.std(axis=0)) if len(x) else (np.zeros(N_FEATURES), np.ones(N_FEATURES))
@@ -100,9 +108,7 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 25) -> M
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     if not len(good) or not len(bad):
         return Model(np.zeros(N_FEATURES), mean, scale, 0.0, 0.5 if not len(y) else float(len(good) > 0))
-    rng = np.random.default_rng(7)
-    left = np.concatenate([np.repeat(good, PAIRS_PER_ROW), rng.choice(good, len(bad) * PAIRS_PER_ROW)])
-    right = np.concatenate([rng.choice(bad, len(good) * PAIRS_PER_ROW), np.repeat(bad, PAIRS_PER_ROW)])
+    left, right = preferences(good, bad)
     z = (x - mean) / scale
     w = np.zeros(N_FEATURES)
     for _ in range(steps):  # Newton steps on the mean logistic loss, pairs in blocks
@@ -139,9 +145,10 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) ->
              .groupBy("doc_id").agg(F.min("quality").alias("lo"), F.max("quality").alias("hi"))
              .filter("lo = hi").select("doc_id", F.col("lo").alias("y")))
     sample = known.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(max_rows)
-    rows = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")   # at most max_rows ids
-            .select("doc_id", "y", _features_udf()(F.col("text")).alias("x")).limit(4 * max_rows).toPandas())
-    rows = rows.iloc[np.lexsort((rows["x"].map(tuple), rows["doc_id"]))] if len(rows) else rows
+    # at most max_rows ids, each with one text: of several, the one with the smallest hash
+    texts = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+             .groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
+    rows = texts.select("doc_id", "y", _features_udf()(F.col("text")).alias("x")).toPandas().sort_values("doc_id")
     x = np.array(rows["x"].tolist(), dtype=float).reshape(len(rows), N_FEATURES)
     return fit(x, rows["y"].to_numpy(dtype=int) if len(rows) else np.zeros(0, int))
 
