@@ -188,3 +188,33 @@ def test_columns_are_matched_by_each_files_header(spark, tmp_path):
     write(tmp_path, "h2.csv", "Name,ID\nBob,2\n")
     df = read_csv(spark, str(tmp_path / "h*.csv"), StructType.fromDDL("id long, name string, city string"))
     assert sorted(tuple(r) for r in df.collect()) == [(1, "Ann", "Rome"), (2, "Bob", None)]
+
+
+def test_contracts_of_a_stage_are_inferred_kept_and_widened(spark, tmp_path):
+    from stratum.sources.contracts import column_states, contracts, from_json, merged_states, to_json
+    from stratum.sources.csv import load_files
+
+    def put(stage, table, name, text):
+        (tmp_path / stage / table).mkdir(parents=True, exist_ok=True)
+        (tmp_path / stage / table / name).write_text(text)
+    for k in range(88):
+        put("one", f"t{k:02d}", "a.csv", f"Id,Sent At,Flag,Note,Col {k}\n1,2024-01-02,true,,{k}\n2,2024-01-03,FALSE,,7\n")
+        put("one", f"t{k:02d}", "b.csv", f"col-{k},ID\n3,3\n")                   # other columns in another order
+    put("one", "odd", "a.csv", 'Text,Quoted\n"a\nb","1,5"\n"",""\n')
+    put("one", "odd", "empty.csv", "")
+    first = column_states(spark, str(tmp_path / "one"))
+    found = contracts(first)
+    assert len(found) == 89 and all(
+        [(f.name, f.dataType.simpleString()) for f in found[f"t{k:02d}"].fields]
+        == [("id", "bigint"), ("sent_at", "date"), ("flag", "boolean"), ("note", "string"), (f"col_{k}", "bigint")]
+        or sorted(f.name for f in found[f"t{k:02d}"].fields) == sorted(["id", "sent_at", "flag", "note", f"col_{k}"]) for k in range(88))
+    assert {f.name: f.dataType.simpleString() for f in found["odd"].fields} == {"text": "string", "quoted": "string"}
+    assert from_json(to_json(found)) == found
+    put("two", "t05", "c.csv", "SENT AT,col 5,id,flag\n2024-01-04 10:00:00,1.5,x9,true\n")
+    after = contracts(merged_states(first, column_states(spark, str(tmp_path / "two"))))
+    kinds = {f.name: f.dataType.simpleString() for f in after["t05"].fields}
+    assert kinds == {"id": "string", "sent_at": "timestamp_ntz", "col_5": "double", "flag": "boolean", "note": "string"}
+    assert after["t06"] == found["t06"]
+    good, bad = load_files(spark, f"{tmp_path}/*/t05/*.csv", after["t05"])
+    assert good.count() == 4 and bad.count() == 0
+    assert sorted(str(r["id"]) for r in good.collect()) == ["1", "2", "3", "x9"]
