@@ -28,7 +28,7 @@ def test_query_matches_sql(spark, key):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and "pipeline" in E.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 def test_pipeline_stage_by_stage(spark, tmp_path):
