@@ -219,3 +219,25 @@ def test_only_buckets_that_differ_are_compared(spark, tmp_path):
     assert len(set(re.findall(r"key_bucket#\d+ = (\d+)|key_bucket=(\d+)", plan_of(feed)))) <= 1
     same = change_feed_by_digest(stored[0], stored[0], *[bucket_digests(stored[0])] * 2, ["k"])
     assert same.count() == 0
+
+
+def test_bucketed_tables_meet_without_an_exchange(spark, tmp_path):
+    from stratum.sources.bucketed import attach, latest_per_key, write_bucketed
+    rows = spark.range(3000).selectExpr("id % 500 AS k", "id AS at", "concat('v', id) AS v")
+    facts = spark.range(4000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id % 600 END AS k", "id AS n")
+    a = write_bucketed(rows, "versions_b", str(tmp_path / "a"), ["k"], 4)
+    b = write_bucketed(facts, "facts_b", str(tmp_path / "b"), ["k"], 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = b.join(latest_per_key(a, ["k"], ["at"]), "k", "left")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Window" in plan and "Exchange" not in plan
+        plain = facts.join(latest_per_key(rows, ["k"], ["at"]), "k", "left")
+        assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE versions_b")
+    again = attach(spark, "versions_again", str(tmp_path / "a"), rows, ["k"], 4)
+    assert again.count() == 3000
+    spark.sql("DROP TABLE versions_again")
+    spark.sql("DROP TABLE facts_b")
