@@ -20,6 +20,12 @@ from stratum.sources.csv import CSV_OPTIONS, normalize_name
 TYPES: list[tuple[str, DataType]] = [("boolean", BooleanType()), ("long", LongType()), ("double", DoubleType()),
                                      ("date", DateType()), ("timestamp", TimestampNTZType())]
 DATE = r"^\d{4}-\d{2}-\d{2}$"
+# What every text that casts to a number or a timestamp looks like. A failed cast costs an exception per cell, so it is tried on
+# these alone; text that looks so and is none still fails its cast.
+_PAD = r"[\x00-\x20\x7F]*"
+LIKE = {"long": rf"^{_PAD}[+-]?[0-9]+{_PAD}$",
+        "double": rf"(?s)^{_PAD}[+-]?(?:[0-9.]+(?:[eE][+-]?[0-9]+)?[fFdD]?|0[xX].*|(?i:inf|nan).*){_PAD}$",
+        "timestamp": rf"(?s)^{_PAD}[+-]?[0-9]{{4,7}}(?:-.*)?{_PAD}$"}
 
 
 def _fits(name: str, kind: DataType, v: Column) -> Column:
@@ -27,7 +33,7 @@ def _fits(name: str, kind: DataType, v: Column) -> Column:
         return F.lower(v).isin("true", "false")
     if name == "date":      # a timestamp casts to a date as well, and loses its time
         return v.rlike(DATE) & v.try_cast(kind).isNotNull()
-    return v.try_cast(kind).isNotNull()
+    return v.rlike(LIKE[name]) & v.try_cast(kind).isNotNull()
 
 
 def _first_lines(spark: SparkSession, stage: str) -> DataFrame:
@@ -50,20 +56,25 @@ def column_states(spark: SparkSession, stage: str) -> DataFrame:
     rows = (spark.read.options(**options).schema(StructType([StructField(c, StringType()) for c in cells])).csv(f"{stage}/*/*")
             .select(F.array(*cells).alias("cells"), F.col("_metadata.file_path").alias("file"),
                     F.monotonically_increasing_id().alias("n")))      # a file is read by one task, from its start
-    first = rows.groupBy("file").agg(F.min_by("cells", "n").alias("names"), F.min("n").alias("head"))
-    body = rows.join(first, "file").filter(F.col("n") > F.col("head"))
-    cell = body.select(F.regexp_extract("file", "([^/]+)/[^/]+$", 1).alias("table_name"),
-                       F.posexplode(F.arrays_zip("names", "cells")).alias("position", "x"))
-    named = (cell.filter("x.names IS NOT NULL")
-             .select("table_name", F.lower(F.regexp_replace(F.trim("x.names"), "[^0-9A-Za-z]+", "_")).alias("column_name"), "position",
-                     F.col("x.cells").alias("value")))
+    heads = rows.groupBy("file").agg(F.min("n").alias("head"))
+    # names are worked out once per file, not per cell; there is one row per file, so the cells stay where they were read
+    first = (rows.join(F.broadcast(heads), "file").filter(F.col("n") == F.col("head"))
+             .select("file", "head", F.regexp_extract("file", "([^/]+)/[^/]+$", 1).alias("table_name"),
+                     F.transform("cells", _column_name).alias("names")))
+    body = rows.join(F.broadcast(first), "file").filter(F.col("n") > F.col("head"))
+    cell = body.select("table_name", F.posexplode(F.arrays_zip("names", "cells")).alias("position", "x"))
+    named = cell.filter("x.names IS NOT NULL").select("table_name", F.col("x.names").alias("column_name"), "position",
+                                                      F.col("x.cells").alias("value"))
     known = F.col("value").isNotNull() & (F.trim("value") != "")
     fits = [F.coalesce(F.bool_and(F.when(known, _fits(name, kind, F.trim("value")))), F.lit(True)).alias(name) for name, kind in TYPES]
-    return (named.withColumn("column_name", F.regexp_replace("column_name", "^_+|_+$", ""))
-            .groupBy("table_name", "column_name").agg(F.min("position").alias("position"), F.count_if(known).alias("n_values"), *fits)
+    return (named.groupBy("table_name", "column_name").agg(F.min("position").alias("position"), F.count_if(known).alias("n_values"), *fits)
             .select(*STATE.fieldNames()))
 
 
+def _column_name(c: Column) -> Column:
+    return F.regexp_replace(F.lower(F.regexp_replace(F.trim(c), "[^0-9A-Za-z]+", "_")), "^_+|_+$", "")
+
+
 STATE = StructType([StructField("table_name", StringType()), StructField("column_name", StringType()), StructField("position", LongType()),
                     StructField("n_values", LongType()), *[StructField(name, BooleanType()) for name, _ in TYPES]])
 

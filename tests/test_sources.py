@@ -218,3 +218,33 @@ def test_contracts_of_a_stage_are_inferred_kept_and_widened(spark, tmp_path):
     good, bad = load_files(spark, f"{tmp_path}/*/t05/*.csv", after["t05"])
     assert good.count() == 4 and bad.count() == 0
     assert sorted(str(r["id"]) for r in good.collect()) == ["1", "2", "3", "x9"]
+
+
+def test_cast_guards_refuse_nothing_that_casts(spark):
+    """A value is only cast where it looks like its type: the look must hold for all that does cast."""
+    from pyspark.sql import functions as F
+    from stratum.sources import contracts as C
+    texts = ["1", "+1", "-0", "1.", ".5", "1e5", "1E-3", "1e+3f", "1d", "0x1p3", "NaN", "nan", "inf", "-Infinity", "+inf",
+             "9223372036854775807", "-9223372036854775808", "12345678901234567890", "1995", "199506", "1995-1-1", "1995-01-01",
+             "+12345-01-01", "1995-01-01T10", "1995-01-01 10:00:00", "1995-01-01 10:00:00Z", "T10:00", "10:00", "n/a", "true",
+             "Customer#1", "--1", "+", ".", "e5", "1,000"]
+    padded = [(p + t + q,) for t in texts for p in ("", "\t", "\n", "\x01") for q in ("", "\t", "\n", "\x7f", "x")]
+    df = spark.createDataFrame(padded, "v string")
+    for name, kind in C.TYPES:
+        if name in C.LIKE:
+            casts = F.col("v").try_cast(kind).isNotNull()
+            assert df.filter(casts).count() > 0
+            assert df.filter(casts & ~F.col("v").rlike(C.LIKE[name])).count() == 0, name
+
+
+def test_column_names_are_worked_out_per_file(spark, tmp_path):
+    """No regular expression over the path or the header runs for each cell, and no file's rows are shuffled for its header."""
+    from stratum.sources.contracts import column_states
+    for name, text in (("a", "X Id,Note\n1,hello\n2,\n"), ("b", "note,,x-id\nq,9,2.5\n")):
+        (tmp_path / "t").mkdir(exist_ok=True)
+        (tmp_path / "t" / f"{name}.csv").write_text(text)
+    states = column_states(spark, str(tmp_path))
+    plan = states._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    got = {r["column_name"]: (r["table_name"], r["n_values"], r["long"], r["double"]) for r in states.collect()}
+    assert got == {"x_id": ("t", 3, False, True), "note": ("t", 2, False, False)}
