@@ -34,3 +34,17 @@ def test_dedup_is_partial_before_shuffle_in_pipeline(spark):
 def test_calendar_broadcast_is_the_bounded_side(spark):
     p = plan(E.queries()["star_join"](spark, SF0001))
     assert "BroadcastHashJoin" in p
+
+
+@pytest.mark.parametrize("name", ["slv_event", "slv_insight_ad", "slv_smtp_event", "slv_smtp_email"])
+def test_a_run_sorts_its_batch_after_the_shuffle(spark, name):
+    """A map task that sorts all it has read spills: a run's rows are dealt to their keys first, in one exchange."""
+    from stratum.plans import runner
+    source = runner.sources(spark, SF0001)[name]
+    raw, ts = source.batches[-1]
+    p = plan(source.spec.prepare(raw, ts, keyed=True))
+    before = plan(raw).count("Exchange hashpartitioning")
+    dealt = p.count("REPARTITION_BY_COL")
+    assert dealt == 1 and p.count("Exchange hashpartitioning") == before + 1
+    assert p.index("Window ") < p.index("REPARTITION_BY_COL")      # the plan is printed from its result downwards
+    assert " Sort " not in p[p.index("REPARTITION_BY_COL"):]
