@@ -48,3 +48,28 @@ def test_a_run_sorts_its_batch_after_the_shuffle(spark, name):
     assert dealt == 1 and p.count("Exchange hashpartitioning") == before + 1
     assert p.index("Window ") < p.index("REPARTITION_BY_COL")      # the plan is printed from its result downwards
     assert " Sort " not in p[p.index("REPARTITION_BY_COL"):]
+
+
+@pytest.mark.parametrize("name", ["slv_insight_ad", "slv_smtp_event"])
+def test_runs_of_a_large_table_shuffle_only_their_batches(spark, name, tmp_path):
+    """The stored rows are bucketed by the key: neither the merge with a batch nor a read of the table moves them."""
+    from dataclasses import replace
+
+    from stratum.plans import runner
+    from stratum.plans.state import silver_runs
+    spec, batches = (s := runner.sources(spark, SF0001)[name]).spec, s.batches
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        history = silver_runs(spark, spec, batches, name, root=str(tmp_path / "bucketed"))
+        plain = silver_runs(spark, replace(spec, bucketed=False), batches, name, root=str(tmp_path / "plain"))
+        n, (raw, ts) = history.table.buckets, batches[-1]
+        merged = spec.merge_prepared(history.table.read(0), spec.prepare(raw, ts, keyed=True, partitions=n), ts, only_source=True)
+        p = plan(merged.repartition(n, *spec.keys))
+        assert p.count("Exchange hashpartitioning") == plan(raw).count("Exchange hashpartitioning") + 1
+        assert "Exchange" not in plan(history[-1])
+        for k in range(len(batches)):
+            assert sorted(map(str, history[k].collect())) == sorted(map(str, plain[k].collect()))
+            assert sorted(map(str, history.changed_rows(k).collect())) == sorted(map(str, plain.changed_rows(k).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
