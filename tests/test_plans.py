@@ -73,3 +73,34 @@ def test_runs_of_a_large_table_shuffle_only_their_batches(spark, name, tmp_path)
             assert sorted(map(str, history.changed_rows(k).collect())) == sorted(map(str, plain.changed_rows(k).collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
+def test_event_dimensions_are_cut_to_one_row_per_key_before_they_meet_the_changed_keys(spark):
+    """Few policies and plans have most events: a join of all events with the keys would put them into few tasks."""
+    from stratum.plans import mailing
+    silver = mailing.event_runs(spark, SF0001)
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for source, of in ((mailing.dim_policy_source, mailing.POLICY_OF), (mailing.dim_plan_source, mailing.PLAN_OF)):
+            rows, _ = mailing.dim_event_sources(silver, source, of)[1]
+            p = plan(rows)
+            assert p.index("LeftSemi") < p.index("Window ")      # the plan is printed from its result downwards
+            whole = set(map(str, source(silver[1]).collect()))
+            assert set(map(str, rows.collect())) <= whole
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
+def test_facts_are_read_and_written_where_their_keys_are(spark):
+    """Bucketed by the key: reading the fact moves no row, and a run writes at most one file per bucket and part."""
+    from stratum.plans import ads, mailing
+    fact = ads.fact_runs(spark, SF0001)
+    n = fact.table.buckets
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange" not in plan(fact[-1]) and "Exchange" not in plan(mailing.fact_event(spark, SF0001))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert len(fact.table.changes(0).inputFiles()) <= n and len(fact.table.changes(1).inputFiles()) <= 4 * n
