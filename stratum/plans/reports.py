@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stratum.functions.numeric import exact_ratio
 from stratum.functions.temporal import ts_text
+from stratum.operators.sized import sized
 
 
 def layer_lineage(bronze: DataFrame, silver: DataFrame, gold: DataFrame, n: int = 5) -> DataFrame:
@@ -43,13 +44,17 @@ def campaign_performance(fact: DataFrame, dim_campaign: DataFrame, n: int = 20)
             .limit(n))
 
 
-def star(fact: DataFrame, dims: dict[str, DataFrame], dim_date: DataFrame) -> DataFrame:
-    """The fact with all its dimensions (by surrogate key) and the calendar (by date)."""
+STAR = {"ad_account": ["account_name"], "campaign": ["campaign_name", "objective"], "adset": ["adset_name", "optimization_goal"],
+        "ad": ["ad_name", "creative_title"]}
+
+
+def star(fact: DataFrame, dims: dict[str, DataFrame], dim_date: DataFrame, most: dict[str, int | None] | None = None) -> DataFrame:
+    """The fact with all its dimensions (by surrogate key) and the calendar (by date). ``most``: the rows that each
+    dimension has at most, where that is known."""
+    for entity, names in STAR.items():
+        sk = f"dim_{entity}_sk"
+        fact = fact.join(sized(dims[entity].select(sk, *names), (most or {}).get(entity)), sk, "left")
     return (fact
-            .join(dims["ad_account"].select("dim_ad_account_sk", "account_name"), "dim_ad_account_sk", "left")
-            .join(dims["campaign"].select("dim_campaign_sk", "campaign_name", "objective"), "dim_campaign_sk", "left")
-            .join(dims["adset"].select("dim_adset_sk", "adset_name", "optimization_goal"), "dim_adset_sk", "left")
-            .join(dims["ad"].select("dim_ad_sk", "ad_name", "creative_title"), "dim_ad_sk", "left")
             .join(F.broadcast(dim_date.select(F.col("date_id").alias("date_start_id"), "day_name")),
                   "date_start_id", "left")
             .select("insight_sk", "account_name", "campaign_name", "objective", "adset_name", "optimization_goal",
