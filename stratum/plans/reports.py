@@ -24,10 +24,11 @@ def layer_lineage(bronze: DataFrame, silver: DataFrame, gold: DataFrame, n: int
     return b.union(s).union(g)
 
 
-def campaign_performance(fact: DataFrame, dim_campaign: DataFrame, n: int = 20) -> DataFrame:
+def campaign_performance(fact: DataFrame, dim_campaign: DataFrame, n: int = 20, most: int | None = None) -> DataFrame:
     """Q17: per campaign version: ads, impressions, reach, clicks, spend and ratio-of-sums KPIs. ``fact`` may be the fact or
-    its sums per campaign version and ad."""
-    j = fact.join(dim_campaign, "dim_campaign_sk", "inner")
+    its sums per campaign version and ad. ``most``: the rows that ``dim_campaign`` has at most, if that is known."""
+    campaigns = dim_campaign.select("dim_campaign_sk", "campaign_name", "objective", "status")
+    j = fact.join(sized(campaigns, most), "dim_campaign_sk", "inner")
     agg = j.groupBy("campaign_name", "objective", "status").agg(
         F.count_distinct("ad_id").alias("total_ads"),
         F.sum("impressions").alias("total_impressions"),
