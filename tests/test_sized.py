@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from stratum.operators.scd2 import Scd2Spec, scd2_commit
 from stratum.operators.sized import fits, look_up, sized, threshold
-from stratum.plans import ads, catalog, reports
+from stratum.plans import ads, reports
 from stratum.sources.snapshots import ChangeTable
 from tests.test_plans import plan
 
@@ -109,9 +109,15 @@ def test_facts_star_and_report_merge_with_large_dimensions(spark, keys_file):
     assert report.collect()[0]["total_ads"] == 50
 
 
-def test_reports_over_many_tables_are_one_job_for_each(spark):
-    """Not one plan over all tables: its stages would all start at once."""
-    parts = [spark.range(n).agg(F.lit(f"t{n}").alias("table_name"), F.count(F.lit(1)).alias("row_count")) for n in range(12)]
-    out = catalog._stacked(spark, parts)
-    assert [tuple(r) for r in out.collect()] == [(f"t{n}", n) for n in range(12)] and out.schema == parts[0].schema
-    assert "Union" not in plan(out) and "Exchange" not in plan(out)
+def test_bucketed_tables_never_pass_through_the_driver(spark, tmp_path, keys_file):
+    """What layer_counts, empty_tables and pipeline_run read side by side: large tables, and runs that meet all of one."""
+    from stratum.operators.merge import fact_merge
+    rows = spark.read.parquet(keys_file)
+    t = ChangeTable(spark, str(tmp_path / "b"), ["k"], buckets=4)
+    t.commit(rows)
+    t.commit(rows.filter("k % 2 = 0").withColumn("a", F.lit("new")))
+    assert "BroadcastExchange" not in plan(t.read().groupBy().count()) and t.read().count() == ROWS
+    assert "BroadcastExchange" not in plan(t.read_for(rows)) and t.read_for(rows.filter("k < 7")).count() == 7
+    stamps = {c: F.lit(None).cast("timestamp_ntz") for c in ("gold_loaded_at", "gold_updated_at")}
+    merged = fact_merge(t.read().withColumns(stamps), rows, ["k"], run_ts=F.lit("2024-01-01").cast("timestamp_ntz"), only_source=True)
+    assert "BroadcastExchange" not in plan(merged) and merged.count() == ROWS
